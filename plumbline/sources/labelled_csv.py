@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 
 from plumbline.functions.parse import feature_array, parse_label
 from plumbline.operators.labels import encode_first_seen
+from plumbline.session import checkpoint_root
 
 CORRUPT = "_corrupt_record"
+BROADCAST_SPLITS = 500_000
 
 # Label columns that would give each other away as features.
 SIBLING_LABELS = {"is_malicious": ["attack_type"], "attack_type": ["is_malicious"]}
@@ -51,20 +53,23 @@ def _with_file_position(raw):
         F.col("_metadata.file_block_length").alias("_length"),
         F.monotonically_increasing_id().alias("_place"),
     )
-    splits = placed.groupBy(*split).agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    spark = raw.sparkSession
+    checkpoint_root(spark)
+    counts = placed.groupBy(*split).agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    splits = counts.checkpoint()
     files = splits.groupBy("_file").agg(F.sum("_n").alias("_rows")).orderBy("_file").collect()
     start, before = 0, []
     for row in files:
         before.append((row["_file"], start))
         start += row["_rows"]
-    spark = raw.sparkSession
     earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         splits.join(spark.createDataFrame(before, "_file string, _before long"), "_file")
         .withColumn("_offset", F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .select(*split, "_first", "_offset")
     )
-    joined = placed.join(F.broadcast(offsets), split, "left")
+    small = splits.count() <= BROADCAST_SPLITS
+    joined = placed.join(F.broadcast(offsets) if small else offsets, split, "left")
     position = F.col("_offset") + F.col("_place") - F.col("_first")
     changed = F.raise_error(F.lit("the files were cut differently between two reads of them"))
     return joined.withColumn("row_id", F.coalesce(position, changed.cast("long"))).drop(
@@ -100,13 +105,17 @@ def load_labelled_csv(spark, path, label, max_rows=-1, text_label=False, exclude
     )
     if raw.isEmpty():
         raise ValueError("empty dataset")
-    ragged = F.raise_error(F.concat(F.lit("wrong number of fields: "), F.col(CORRUPT)))
+    escaped = "`" + label.replace("`", "``") + "`"
+    cell = F.coalesce(F.col(escaped), F.lit(""))
+    # Naming the label keeps a data column in the scan: Spark refuses one of bad lines only.
+    ragged = F.raise_error(
+        F.concat(F.lit("wrong number of fields, label '"), cell, F.lit("': "), F.col(CORRUPT))
+    )
     whole = F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(ragged.cast("boolean"))
     placed = _with_file_position(raw).filter(whole)
     if max_rows > 0:
         placed = placed.filter(F.col("row_id") < max_rows)
-    escaped = "`" + label.replace("`", "``") + "`"
-    target = F.coalesce(F.col(escaped), F.lit("")) if text_label else parse_label(label)
+    target = cell if text_label else parse_label(label)
     table = placed.select("row_id", feature_array(features).alias("features"), target.alias("label"))
     if not text_label:
         return LabelledTable(table, features)
