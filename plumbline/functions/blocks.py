@@ -4,16 +4,21 @@ import numpy as np
 import pyarrow as pa
 
 TILE = 4096
-QUERY_ROWS = 256
+QUERY_ROWS = 128
 PAIRS = 1 << 18
+FLOOR = 1e-30
+WIDER = 2.0**20
 
 
 def matrix(column, width):
-    """A list-of-float Arrow column as a (rows, width) double matrix."""
+    """A list-of-float Arrow column as a (rows, width) matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(len(column), width)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
+def doubles(column, width):
+    return matrix(column, width).astype(np.float64)
 
 
 def limit_copies(ids, points, k):
@@ -22,7 +27,8 @@ def limit_copies(ids, points, k):
     Further copies lose every tie against those, so no top-k result changes.
     ``ids`` must be ascending.
     """
-    rows = np.ascontiguousarray(points).view(np.dtype((np.void, points.shape[1] * 8))).ravel()
+    row = np.dtype((np.void, points.shape[1] * points.itemsize))
+    rows = np.ascontiguousarray(points).view(row).ravel()
     order = np.argsort(rows, kind="stable")
     start = np.ones(len(rows), dtype=bool)
     start[1:] = rows[order][1:] != rows[order][:-1]
@@ -42,35 +48,78 @@ def _exact(queries, points, qi, ti):
     return out
 
 
+def _scale(table):
+    """A power of two that brings all finite values within one."""
+    top = np.abs(table, where=np.isfinite(table), out=np.zeros_like(table)).max(initial=0.0)
+    return 2.0 ** -np.ceil(np.log2(top)) if top > 0 else 1.0
+
+
+class Points:
+    """Points to search in, by ascending id, with what every search needs of them."""
+
+    def __init__(self, ids, labels, values):
+        self.ids, self.labels, self.values = ids, labels, values
+        self.scale = None
+
+    def __getstate__(self):
+        return self.ids, self.labels, self.values
+
+    def __setstate__(self, state):
+        self.__init__(*state)
+
+    def prepare(self, scale):
+        """Scaled coordinates in single precision; once per worker as a rule."""
+        if self.scale is not None and self.scale <= scale * WIDER:
+            return
+        self.exact = self.values.astype(np.float64)
+        self.scale = min(scale * WIDER, _scale(self.exact))
+        with np.errstate(invalid="ignore", over="ignore", under="ignore"):
+            scaled = self.exact * self.scale
+            self.norms = np.einsum("ij,ij->i", scaled, scaled)
+            columns = [scaled, self.norms * (1 - slack(scaled)), np.ones_like(self.norms)]
+            self.sides = np.ascontiguousarray(np.column_stack(columns).T, dtype=np.float32)
+
+
+def slack(table):
+    """Relative rounding error of a single-precision product over this width."""
+    return 4 * (table.shape[1] + 8) * np.finfo(np.float32).eps
+
+
 def nearest(queries, points, k):
     """The k nearest points of every query: ``(squared distance, position)``.
 
     Both are (queries, k); ties go to the lower position and unused places hold
-    position -1. A matrix product bounds all distances of a tile from below and
-    above; only pairs that the bounds cannot rule out are computed exactly.
+    position -1. One single-precision matrix product per tile gives bounds that
+    hold for every distance despite its rounding; only pairs that the bounds
+    cannot rule out are computed, in double.
     """
     distances = np.full((len(queries), k), np.inf)
     positions = np.full((len(queries), k), -1, dtype=np.int64)
-    slack = 4 * (queries.shape[1] + 8) * np.finfo(np.float64).eps
-    with np.errstate(invalid="ignore", over="ignore"):
-        norms = np.einsum("ij,ij->i", points, points)
-        one = np.ones_like(norms)
-        below = np.column_stack([points, norms * (1 - slack), one]).T
-        for q in range(0, len(queries), QUERY_ROWS):
-            part = queries[q : q + QUERY_ROWS]
-            own = np.einsum("ij,ij->i", part, part)
-            sides = np.column_stack([-2.0 * part, np.ones_like(own), own * (1 - slack)])
-            best_d, best_p = distances[q : q + QUERY_ROWS], positions[q : q + QUERY_ROWS]
-            for t in range(0, len(points), TILE):
-                lower = sides @ below[:, t : t + TILE]
-                kth = best_d[:, -1]
+    points.prepare(_scale(queries))
+    exact, norms, sides, scale = points.exact, points.norms, points.sides, points.scale
+    error = slack(queries)
+    step = QUERY_ROWS * max(1, TILE // max(1, len(exact)))
+    with np.errstate(invalid="ignore", over="ignore", under="ignore"):
+        for q in range(0, len(queries), step):
+            part = queries[q : q + step]
+            scaled = part * scale
+            own = np.einsum("ij,ij->i", scaled, scaled)
+            columns = [-2.0 * scaled, np.ones_like(own), own * (1 - error) - FLOOR]
+            rows = np.column_stack(columns).astype(np.float32)
+            best_d, best_p = distances[q : q + step], positions[q : q + step]
+            for t in range(0, len(exact), TILE):
+                lower = rows @ sides[:, t : t + TILE]
                 if t == 0 and lower.shape[1] > k:
-                    upper = lower + 2 * slack * (own[:, None] + norms[None, :TILE])
+                    upper = lower + 2 * (error * (own[:, None] + norms[None, :TILE]) + FLOOR)
                     upper[np.isnan(upper)] = np.inf
                     kth = np.partition(upper, k - 1, axis=1)[:, k - 1]
-                qi, ti = np.nonzero(~(lower > kth[:, None]))
+                else:
+                    kth = best_d[:, -1] * scale * scale * (1 + error)
+                # Rounded up, so that no bound is tightened by its single precision.
+                bar = np.nextafter(kth.astype(np.float32), np.float32(np.inf))
+                qi, ti = np.divmod(np.flatnonzero(~(lower > bar[:, None])), lower.shape[1])
                 if len(qi):
-                    _merge(best_d, best_p, qi, ti + t, _exact(part, points, qi, ti + t))
+                    _merge(best_d, best_p, qi, ti + t, _exact(part, exact, qi, ti + t))
     return distances, positions
 
 

@@ -72,9 +72,10 @@ def fit_random_forest(
         array_to_vector(F.col(features)).alias("_vector"),
         number.alias("_label", metadata=nominal),
     )
-    if rows_found * width <= SPREAD_VALUES:
+    small = rows_found * width <= SPREAD_VALUES
+    if small:
         # A small table comes in few splits, and every tree level is heavy work.
-        rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
     estimator = RandomForestClassifier(
         featuresCol="_vector",
         labelCol="_label",
@@ -93,4 +94,7 @@ def fit_random_forest(
         seed=SEED,
         maxMemoryInMB=memory_mb,
     )
-    return ForestModel(estimator.fit(rows), classes, width)
+    fitted = estimator.fit(rows)
+    if small:
+        rows.unpersist()
+    return ForestModel(fitted, classes, width)

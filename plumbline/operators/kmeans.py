@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import blocks
 from plumbline.functions.vectors import of_width
 from plumbline.operators.evaluate import training_shape
-from plumbline.operators.nearest import BROADCAST_BYTES, PointSet, with_neighbors
+from plumbline.operators.nearest import BROADCAST_BYTES, PointSet, as_points, with_neighbors
 
 DEFAULT_CLUSTERS = 8
 DEFAULT_ITERATIONS = 300
@@ -79,13 +79,14 @@ def _partial_sums(shared, width):
     """Per task: one row per cluster with its count, coordinate sums and cost."""
 
     def collect(batches):
-        centers = shared.value
+        points = shared.value
+        centers = points.values
         counts = np.zeros(len(centers), dtype=np.int64)
         sums = np.zeros(centers.shape)
         costs = np.zeros(len(centers))
         for batch in batches:
-            rows = blocks.matrix(batch.column(0), width)
-            distance, cluster = blocks.nearest(rows, centers, 1)
+            rows = blocks.doubles(batch.column(0), width)
+            distance, cluster = blocks.nearest(rows, points, 1)
             cluster = cluster[:, 0]
             counts += np.bincount(cluster, minlength=len(centers))
             costs += np.bincount(cluster, weights=distance[:, 0], minlength=len(centers))
@@ -106,7 +107,7 @@ def _partial_sums(shared, width):
 
 def _cluster_sums(df, centers, width):
     """Count, cost and coordinate sums of every non-empty cluster."""
-    shared = df.sparkSession.sparkContext.broadcast(centers)
+    shared = df.sparkSession.sparkContext.broadcast(as_points(centers))
     partial = df.mapInArrow(
         _partial_sums(shared, width), "cluster_id int, n long, cost double, sums array<double>"
     )

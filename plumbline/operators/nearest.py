@@ -27,8 +27,14 @@ from plumbline.functions.vectors import of_width
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
 PIVOTS = 256
+FINE_CELLS = 128
+FINE_ROWS = 64
+FEW_MET = 0.5
 SAMPLE_ROWS = 2048
+MIN_BLOCK_ROWS = 16
+BLOCKS_PER_CORE = 4
 MAX_TASKS = 20_000
+SPREAD_ROWS = 10_000
 WORK_PER_TASK = 4 << 30
 BOUND_SLACK = 1e-9
 
@@ -73,11 +79,10 @@ class PointSet:
     def local(self, k):
         """Ids, labels and matrix of all points, shared with every task once."""
         if k not in self.broadcast:
-            local = _local(self.table, self.width)
-            keep = blocks.limit_copies(local[0], local[2], k)
-            self.broadcast[k] = self._spark.sparkContext.broadcast(
-                tuple(part[keep] for part in local)
-            )
+            ids, labels, values = _local(self.table, self.width)
+            keep = blocks.limit_copies(ids, values, k)
+            block = blocks.Points(ids[keep], labels[keep], values[keep])
+            self.broadcast[k] = self._spark.sparkContext.broadcast(block)
         return self.broadcast[k]
 
 
@@ -96,13 +101,13 @@ def _by_id(table, width):
 def _search_udf(shared, width, k):
     @F.arrow_udf(f"array<{NEIGHBOR}>")
     def search(features: pa.Array) -> pa.Array:
-        ids, labels, points = shared.value
-        distances, found = blocks.nearest(blocks.matrix(features, width), points, k)
+        points = shared.value
+        distances, found = blocks.nearest(blocks.doubles(features, width), points, k)
         used = found >= 0
         offsets = np.concatenate([[0], np.cumsum(used.sum(axis=1))]).astype(np.int32)
         at = found[used]
         rows = pa.StructArray.from_arrays(
-            [pa.array(distances[used]), pa.array(ids[at]), pa.array(labels[at])],
+            [pa.array(distances[used]), pa.array(points.ids[at]), pa.array(points.labels[at])],
             names=["distance", "train_id", "label"],
         )
         return pa.ListArray.from_arrays(offsets, rows)
@@ -110,9 +115,10 @@ def _search_udf(shared, width, k):
     return search
 
 
-def _spread(df, work_per_row, key):
+def _spread(df, points, key):
     """More tasks for a search that is heavy for its input size."""
-    if df.isStreaming:
+    work_per_row = points.rows * points.width
+    if df.isStreaming or points.rows < SPREAD_ROWS:
         return df
     tasks = min(MAX_TASKS, df.count() * work_per_row // WORK_PER_TASK)
     return df.repartition(int(tasks), key) if tasks > 1 else df
@@ -124,7 +130,7 @@ def with_neighbors(df, points, k, features="features", query_id="row_id", name="
         raise ValueError(f"k must be at least 1, not {k}")
     if points.fits_broadcast:
         search = _search_udf(points.local(k), points.width, k)
-        wide = _spread(df, points.rows * points.width, query_id)
+        wide = _spread(df, points, query_id)
         return wide.withColumn(name, search(of_width(features, points.width)))
     if df.isStreaming:
         raise ValueError("this reference table needs a shuffle: score the stream by foreachBatch")
@@ -169,8 +175,7 @@ def _sample(points):
 def _cell_udf(shared, width):
     @F.arrow_udf("struct<cell:int,radius:double>")
     def assign(features: pa.Array) -> pa.Array:
-        _, pivots = shared.value
-        distances, cells = blocks.nearest(blocks.matrix(features, width), pivots, 1)
+        distances, cells = blocks.nearest(blocks.doubles(features, width), shared.value[1], 1)
         return pa.StructArray.from_arrays(
             [pa.array(cells[:, 0].astype(np.int32)), pa.array(np.sqrt(distances[:, 0]))],
             names=["cell", "radius"],
@@ -184,11 +189,11 @@ def _visit_udf(shared, radii, homes, width, k):
     @F.arrow_udf("struct<home:int,cells:array<int>>")
     def visit(features: pa.Array) -> pa.Array:
         sample, pivots = shared.value
-        queries = blocks.matrix(features, width)
+        queries = blocks.doubles(features, width)
         reach = np.sqrt(blocks.nearest(queries, sample, k)[0][:, -1])
-        gaps = np.empty((len(queries), len(pivots)))
+        gaps = np.empty((len(queries), len(pivots.values)))
         with np.errstate(invalid="ignore", over="ignore"):
-            for j, pivot in enumerate(pivots):
+            for j, pivot in enumerate(pivots.values):
                 step = queries - pivot
                 gaps[:, j] = np.sqrt(np.einsum("ij,ij->i", step, step))
             slack = BOUND_SLACK * (gaps + radii + reach[:, None])
@@ -209,9 +214,9 @@ def _block_search(width, k):
         used = np.zeros((len(asked), k), dtype=bool)
         distances = np.empty((len(asked), k))
         if len(asked) and reference.num_rows:
-            ids, labels, matrix = _by_id(reference, width)
+            ids, labels, values = _by_id(reference, width)
             distances, found = blocks.nearest(
-                blocks.matrix(queries["features"], width), matrix, k
+                blocks.doubles(queries["features"], width), blocks.Points(ids, labels, values), k
             )
             used = found >= 0
         at = found[used] if found is not None else np.empty(0, np.int64)
@@ -227,26 +232,25 @@ def _block_search(width, k):
     return search
 
 
-def _search_blocks(queries, points, k):
-    """Ranked neighbours of every query, by visits to blocks of the reference."""
-    spark, width = queries.sparkSession, points.width
-    block_rows = max(1, points.block_bytes // points.row_bytes)
-    # Cells and query groups of about a block each, as long as pivots are few.
-    n_cells = min(PIVOTS, points.rows // block_rows + 1)
-    n_homes = min(n_cells, queries.count() // block_rows + 1)
-    sample = _sample(points)
-    pivots = sample[blocks.limit_copies(np.arange(len(sample)), sample, 1)][:n_cells]
-    shared = spark.sparkContext.broadcast((sample, pivots))
+def as_points(values):
+    ids = np.arange(len(values))
+    return blocks.Points(ids, ids, values)
 
-    # Copies beyond the k lowest ids lose every tie, so they need no visits.
-    copies = Window.partitionBy("features").orderBy("train_id")
-    reference = (
-        points.table.withColumn("copy", F.row_number().over(copies))
-        .filter(F.col("copy") <= k)
-        .withColumn("at", _cell_udf(shared, width)("features"))
-        .select("train_id", "label", "features", "at.*")
+
+def _route(queries, reference, sample, n_cells, n_homes, width, k):
+    """Rows by cell, queries by visit, and how many of each there are.
+
+    Counts come back to the driver as one row per cell, and one per pair of
+    query group and visited cell: at most PIVOTS x PIVOTS, whatever the tables
+    hold.
+    """
+    distinct = sample[blocks.limit_copies(np.arange(len(sample)), sample, 1)]
+    pivots = distinct[:n_cells].astype(np.float64)
+    shared = queries.sparkSession.sparkContext.broadcast((as_points(sample), as_points(pivots)))
+    placed = reference.withColumn("at", _cell_udf(shared, width)("features")).select(
+        "train_id", "label", "features", "at.*"
     )
-    cells = reference.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r"))
+    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r"))
     radii, sizes = np.full(len(pivots), -1.0), {}
     for row in cells.collect():
         radii[row["cell"]] = np.inf if np.isnan(row["r"]) else row["r"]
@@ -261,24 +265,54 @@ def _search_blocks(queries, points, k):
         .collect()
     )
     homes = {r["home"]: r["count"] for r in plan if r["cell"] == -1}
-    pairs = [
-        (
-            r["home"],
-            r["cell"],
-            -(-homes[r["home"]] // block_rows),
-            -(-sizes[r["cell"]] // block_rows),
+    visits = [(r["home"], r["cell"], r["count"]) for r in plan if r["cell"] != -1]
+    return placed, visiting, sizes, homes, visits
+
+
+def _search_blocks(queries, points, k):
+    """Ranked neighbours of every query, by visits to blocks of the reference."""
+    spark, width = queries.sparkSession, points.width
+    asked_rows = queries.count()
+    # Square blocks: small enough for a task's memory, and many enough for all cores.
+    slots = BLOCKS_PER_CORE * spark.sparkContext.defaultParallelism
+    block_rows = int(
+        max(
+            MIN_BLOCK_ROWS,
+            min(points.block_bytes // points.row_bytes, (asked_rows * points.rows / slots) ** 0.5),
         )
-        for r in plan
-        if r["cell"] != -1
+    )
+    n_blocks = points.rows // block_rows + 1
+    n_homes = min(PIVOTS, asked_rows // block_rows + 1)
+    sample = _sample(points)
+
+    # Copies beyond the k lowest ids lose every tie, so they need no visits.
+    copies = Window.partitionBy("features").orderBy("train_id")
+    reference = (
+        points.table.withColumn("copy", F.row_number().over(copies))
+        .filter(F.col("copy") <= k)
+        .drop("copy")
+    )
+    # Many small cells if that rules most of them out, else cells of a block each.
+    coarse = max(n_blocks, n_homes)
+    fine = min(FINE_CELLS, points.rows // FINE_ROWS)
+    for n_cells in (fine, coarse) if fine > coarse else (coarse,):
+        n_cells = min(PIVOTS, n_cells)
+        placed, visiting, sizes, homes, visits = _route(
+            queries, reference, sample, n_cells, n_homes, width, k
+        )
+        met = sum(n * sizes[cell] for _, cell, n in visits)
+        if met <= FEW_MET * asked_rows * sum(sizes.values()):
+            break
+    pairs = [
+        (home, cell, -(-homes[home] // block_rows), -(-sizes[cell] // block_rows))
+        for home, cell, _ in visits
     ]
-    # At most PIVOTS x PIVOTS rows, whatever the tables hold.
     routes = F.broadcast(
         spark.createDataFrame(pairs, "home int, cell int, query_blocks int, train_blocks int")
     )
     key = ["home", "query_block", "cell", "train_block"]
-    work = sum(r["count"] * sizes[r["cell"]] for r in plan if r["cell"] != -1) * width
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(MAX_TASKS, max(least, work // WORK_PER_TASK))
+    tasks = min(MAX_TASKS, max(least, slots, met * width // WORK_PER_TASK))
 
     def numbers(count):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
@@ -292,7 +326,7 @@ def _search_blocks(queries, points, k):
         .repartition(tasks, *key)
     )
     offered = (
-        reference.join(routes, "cell")
+        placed.join(routes, "cell")
         .withColumn("train_block", _hash("train_id", F.col("train_blocks")))
         .withColumn("query_block", numbers("query_blocks"))
         .select(*key, "train_id", "label", "features")

@@ -54,12 +54,13 @@ def test_blocks_skip_far_cells(points, monkeypatch):
 
     monkeypatch.setattr(nearest, "_visit_udf", watch)
     rng = np.random.default_rng(5)
-    x = rng.normal(size=(400, 3)) + 1000.0 * rng.integers(0, 8, (400, 1))
+    x = rng.normal(size=(4000, 3)) + 1000.0 * rng.integers(0, 8, (4000, 1))
     table = points([(i, v.tolist(), 0) for i, v in enumerate(x)])
-    model = pl.fit_knn(table, 3, **GRID)
+    model = pl.fit_knn(table, 3, broadcast_bytes=0, block_bytes=50_000)
     model.neighbors(table).count()
+    assert len(sent) == 1
     visits = table.withColumn("v", sent[0]("features")).select(F.size("v.cells").alias("n"))
-    assert visits.agg(F.avg("n")).first()[0] < 5
+    assert visits.agg(F.avg("n")).first()[0] < 62 / 6
 
 
 @pytest.mark.parametrize("limits", PATHS)
