@@ -8,6 +8,7 @@ QUERY_ROWS = 128
 PAIRS = 1 << 18
 FLOOR = 1e-30
 WIDER = 2.0**20
+CROWDED = 0.01
 
 
 def matrix(column, width):
@@ -68,56 +69,84 @@ class Points:
         self.__init__(*state)
 
     def prepare(self, scale):
-        """Scaled coordinates in single precision; once per worker as a rule."""
+        """Scaled coordinates; once per worker unless far larger queries come."""
         if self.scale is not None and self.scale <= scale * WIDER:
             return
         self.exact = self.values.astype(np.float64)
         self.scale = min(scale * WIDER, _scale(self.exact))
+        self.sides = {}
         with np.errstate(invalid="ignore", over="ignore", under="ignore"):
             scaled = self.exact * self.scale
             self.norms = np.einsum("ij,ij->i", scaled, scaled)
-            columns = [scaled, self.norms * (1 - slack(scaled)), np.ones_like(self.norms)]
-            self.sides = np.ascontiguousarray(np.column_stack(columns).T, dtype=np.float32)
 
-
-def slack(table):
-    """Relative rounding error of a single-precision product over this width."""
-    return 4 * (table.shape[1] + 8) * np.finfo(np.float32).eps
+    def side(self, kind):
+        """Right side of the product that gives lower bounds, in this precision."""
+        if kind not in self.sides:
+            scaled = self.exact * self.scale
+            low = self.norms * (1 - slack(scaled, kind))
+            columns = [scaled, low, np.ones_like(low)]
+            self.sides[kind] = np.ascontiguousarray(np.column_stack(columns).T, dtype=kind)
+        return self.sides[kind]
+
+
+def slack(table, kind):
+    """Relative rounding error of a matrix product over this width."""
+    return 4 * (table.shape[1] + 8) * np.finfo(kind).eps
+
+
+class _Bounds:
+    """Bounds of the distances between some queries and tiles of points."""
+
+    def __init__(self, queries, points, kind):
+        self.points, self.kind, self.error = points, kind, slack(queries, kind)
+        scaled = queries * points.scale
+        self.own = np.einsum("ij,ij->i", scaled, scaled)
+        columns = [-2.0 * scaled, np.ones_like(self.own), self.own * (1 - self.error) - FLOOR]
+        self.rows = np.column_stack(columns).astype(kind)
+
+    def candidates(self, t, k, kth):
+        """Pairs that may be among the k nearest, given distances already found."""
+        lower = self.rows @ self.points.side(self.kind)[:, t : t + TILE]
+        if t == 0 and lower.shape[1] > k:
+            span = self.own[:, None] + self.points.norms[None, :TILE]
+            upper = lower + 2 * (self.error * span + FLOOR)
+            upper[np.isnan(upper)] = np.inf
+            bar = np.partition(upper, k - 1, axis=1)[:, k - 1]
+        else:
+            bar = kth * self.points.scale * self.points.scale * (1 + self.error)
+        # Rounded up, so that the bar is not lowered by its precision.
+        bar = np.nextafter(bar.astype(self.kind), self.kind(np.inf))
+        found = np.flatnonzero(~(lower > bar[:, None]))
+        crowded = len(found) > CROWDED * lower.size + k * len(lower)
+        return *np.divmod(found, lower.shape[1]), crowded
 
 
 def nearest(queries, points, k):
     """The k nearest points of every query: ``(squared distance, position)``.
 
     Both are (queries, k); ties go to the lower position and unused places hold
-    position -1. One single-precision matrix product per tile gives bounds that
-    hold for every distance despite its rounding; only pairs that the bounds
-    cannot rule out are computed, in double.
+    position -1. One matrix product per tile gives bounds that hold for every
+    distance despite its rounding, in single precision while that tells points
+    apart and in double after; only pairs that the bounds cannot rule out are
+    computed, in double.
     """
     distances = np.full((len(queries), k), np.inf)
     positions = np.full((len(queries), k), -1, dtype=np.int64)
     points.prepare(_scale(queries))
-    exact, norms, sides, scale = points.exact, points.norms, points.sides, points.scale
-    error = slack(queries)
+    exact = points.exact
     step = QUERY_ROWS * max(1, TILE // max(1, len(exact)))
+    kind = np.float32
     with np.errstate(invalid="ignore", over="ignore", under="ignore"):
         for q in range(0, len(queries), step):
             part = queries[q : q + step]
-            scaled = part * scale
-            own = np.einsum("ij,ij->i", scaled, scaled)
-            columns = [-2.0 * scaled, np.ones_like(own), own * (1 - error) - FLOOR]
-            rows = np.column_stack(columns).astype(np.float32)
+            bounds = _Bounds(part, points, kind)
             best_d, best_p = distances[q : q + step], positions[q : q + step]
             for t in range(0, len(exact), TILE):
-                lower = rows @ sides[:, t : t + TILE]
-                if t == 0 and lower.shape[1] > k:
-                    upper = lower + 2 * (error * (own[:, None] + norms[None, :TILE]) + FLOOR)
-                    upper[np.isnan(upper)] = np.inf
-                    kth = np.partition(upper, k - 1, axis=1)[:, k - 1]
-                else:
-                    kth = best_d[:, -1] * scale * scale * (1 + error)
-                # Rounded up, so that no bound is tightened by its single precision.
-                bar = np.nextafter(kth.astype(np.float32), np.float32(np.inf))
-                qi, ti = np.divmod(np.flatnonzero(~(lower > bar[:, None])), lower.shape[1])
+                qi, ti, crowded = bounds.candidates(t, k, best_d[:, -1])
+                if crowded and kind is np.float32:
+                    kind = np.float64
+                    bounds = _Bounds(part, points, kind)
+                    qi, ti, _ = bounds.candidates(t, k, best_d[:, -1])
                 if len(qi):
                     _merge(best_d, best_p, qi, ti + t, _exact(part, exact, qi, ti + t))
     return distances, positions
