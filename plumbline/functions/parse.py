@@ -16,7 +16,11 @@ SPECIAL_TEXT = f"^({INFINITE}|{NOT_A_NUMBER})$"
 def _reject(kind, name, cell):
     return F.raise_error(
         F.concat(
-            F.lit(f"invalid {kind} in column '{name}': '"), F.coalesce(cell, F.lit("")), F.lit("'")
+            F.lit(f"invalid {kind} in column '"),
+            name,
+            F.lit("': '"),
+            F.coalesce(cell, F.lit("")),
+            F.lit("'"),
         )
     )
 
@@ -25,23 +29,40 @@ def _column(name):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def parse_feature(name):
+def _feature(cell, name):
     """True/False to 1/0, else a float; any other cell fails the job.
 
     A bare cast is looser than that: it trims, takes a trailing ``f`` or ``d``
     and turns out-of-range text into infinity.
     """
-    cell = _column(name)
     value = cell.try_cast("float")
-    in_range = cell.rlike(FINITE_TEXT) & ~F.abs(value).isin(float("inf"))
+    in_range = cell.rlike(FINITE_TEXT) & (F.abs(value) < float("inf"))
     return (
-        F.when(cell == "True", F.lit(1.0).cast("float"))
+        F.when(in_range, value)
+        .when(cell == "True", F.lit(1.0).cast("float"))
         .when(cell == "False", F.lit(0.0).cast("float"))
-        .when(in_range | cell.rlike(SPECIAL_TEXT), value)
+        .when(cell.rlike(SPECIAL_TEXT), value)
         .otherwise(_reject("feature", name, cell).cast("float"))
     )
 
 
+def parse_feature(name):
+    """A text column as a feature."""
+    return _feature(_column(name), F.lit(name))
+
+
+def feature_array(names):
+    """Text cells of the named columns, in that order, as one float array.
+
+    The cells go through one expression as an array: generated code for each of
+    many columns would outgrow what the JVM compiles.
+    """
+    titles = F.array(*[F.lit(n) for n in names])
+    return F.transform(
+        F.array(*[_column(n) for n in names]), lambda cell, i: _feature(cell, titles[i])
+    )
+
+
 def parse_label(name):
     """True/False to 1/0, else a 32-bit integer; any other cell fails the job."""
     cell = _column(name)
@@ -50,10 +71,6 @@ def parse_label(name):
         F.when(cell == "True", F.lit(1))
         .when(cell == "False", F.lit(0))
         .when(cell.rlike(f"^{INTEGER}$") & value.isNotNull(), value)
-        .otherwise(_reject("label", name, cell).cast("int"))
+        .otherwise(_reject("label", F.lit(name), cell).cast("int"))
     )
 
-
-def feature_array(names):
-    """Text cells of the named columns, in that order, as one float array."""
-    return F.array(*[parse_feature(n) for n in names]).cast("array<float>")

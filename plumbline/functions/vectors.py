@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-UNROLL_WIDTH = 128
+UNROLL_WIDTH = 64
 
 
 def numeric_features(columns):
