@@ -23,7 +23,7 @@ from plumbline.operators.split import Split, split_by_key
 from plumbline.plans.jobs import forest_job, kmeans_job, knn_job, sweep
 from plumbline.session import build_session, shared_folder, written_table
 from plumbline.sources.labelled_csv import load_labelled_csv
-from plumbline.sources.report_csv import read_report, write_report
+from plumbline.sources.report_csv import read_report, report_summary, write_report
 from plumbline.streaming.scoring import score_stream
 from plumbline.streaming.utilization import utilization_stream
 
@@ -55,6 +55,7 @@ __all__ = [
     "num_classes_max",
     "pair_with_truth",
     "read_report",
+    "report_summary",
     "score_stream",
     "shared_folder",
     "split_by_key",

@@ -45,3 +45,25 @@ def read_report(spark, path):
         return F.col(f"`{CSV_HEADER[name]}`").cast(kind).alias(name)
 
     return lines.select(*[typed(name) for name in CSV_HEADER])
+
+
+# Title, column, factor and format of the printed summary.
+SUMMARY = [
+    ("Train Rows", "train_rows", 1, "%d"),
+    ("Test Rows", "test_rows", 1, "%d"),
+    ("Training Time", "train_time_ms", 1, "%.3f ms"),
+    ("Total Time", "total_time_ms", 1, "%.3f ms"),
+    ("Accuracy", "accuracy", 100, "%.2f%%"),
+    ("Prediction Throughput", "prediction_throughput", 1, "%.2f samples/sec"),
+]
+
+
+def report_summary(report):
+    """The report as ``(run_id, summary)`` rows of readable text; no accuracy, no line."""
+    width = max(len(title) for title, *_ in SUMMARY)
+    lines = [F.concat(F.lit("=== "), F.col("model"), F.lit(" ==="))]
+    for title, name, factor, form in SUMMARY:
+        value = F.col(name) if form == "%d" else F.col(name) * float(factor)
+        text = F.format_string(f"{title:<{width}} : {form}", value)
+        lines.append(F.when(F.col(name).isNotNull(), text))
+    return report.select("run_id", F.concat_ws("\n", *lines).alias("summary"))

@@ -1,12 +1,13 @@
 """Predictions for rows that keep arriving."""
 
 
-def score_stream(model, stream, path, checkpoint, **predict):
+def score_stream(model, stream, path, checkpoint, trigger=None, **predict):
     """Starts a query that appends the predictions of each batch of rows to ``path``.
 
     Batches are predicted as tables, so a model whose search needs a shuffle
     scores a stream too. The batch id is part of the folder, so a batch that is
-    run again after a failure replaces its own rows.
+    run again after a failure replaces its own rows. The default trigger reads
+    what is there and stops.
     """
 
     def score(batch, batch_id):
@@ -15,6 +16,6 @@ def score_stream(model, stream, path, checkpoint, **predict):
     return (
         stream.writeStream.foreachBatch(score)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -87,6 +87,13 @@ def test_report_csv(report, spark, tmp_path):
         assert b.accuracy == r.accuracy
 
 
+def test_report_summary(report):
+    texts = {r.run_id: r.summary for r in pl.report_summary(report).collect()}
+    assert texts[0].startswith("=== Random Forest ===\nTrain Rows            : 24\n")
+    assert "Accuracy              : 100.00%" in texts[1]
+    assert "Accuracy" not in texts[2] and texts[2].endswith("samples/sec")
+
+
 def test_sweep_with_samples(spark, points):
     table = points([(i, [float(i % 2)], i % 2) for i in range(20)])
     now = datetime.now()
