@@ -23,7 +23,7 @@ STEPS = 3
 ASSIGN_CENTERS = 10
 
 # Limits that send even the small test tables down the large-table path.
-BLOCKED = {"broadcast_bytes": 0, "block_bytes": 50_000}
+BLOCKED = {"broadcast_bytes": 0, "block_bytes": 200_000}
 
 
 def _table(spark, sf_dir, name):

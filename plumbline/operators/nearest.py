@@ -23,12 +23,15 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import blocks
 from plumbline.functions.vectors import of_width
+from plumbline.session import written_table
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
 PIVOTS = 256
 FINE_CELLS = 128
 FINE_ROWS = 64
+FINER = 2
+PROBE_ROWS = 10_000
 FEW_MET = 0.5
 SAMPLE_ROWS = 2048
 MIN_BLOCK_ROWS = 16
@@ -237,16 +240,11 @@ def as_points(values):
     return blocks.Points(ids, ids, values)
 
 
-def _route(queries, reference, sample, n_cells, n_homes, width, k):
-    """Rows by cell, queries by visit, and how many of each there are.
-
-    Counts come back to the driver as one row per cell, and one per pair of
-    query group and visited cell: at most PIVOTS x PIVOTS, whatever the tables
-    hold.
-    """
+def _cells(reference, sample, n_cells, width):
+    """Reference rows by nearest pivot, with the pivots and each cell's radius and size."""
     distinct = sample[blocks.limit_copies(np.arange(len(sample)), sample, 1)]
     pivots = distinct[:n_cells].astype(np.float64)
-    shared = queries.sparkSession.sparkContext.broadcast((as_points(sample), as_points(pivots)))
+    shared = reference.sparkSession.sparkContext.broadcast((as_points(sample), as_points(pivots)))
     placed = reference.withColumn("at", _cell_udf(shared, width)("features")).select(
         "train_id", "label", "features", "at.*"
     )
@@ -255,18 +253,33 @@ def _route(queries, reference, sample, n_cells, n_homes, width, k):
     for row in cells.collect():
         radii[row["cell"]] = np.inf if np.isnan(row["r"]) else row["r"]
         sizes[row["cell"]] = row["n"]
+    return placed, shared, radii, sizes
+
+
+def _visits(queries, shared, radii, n_homes, width, k):
+    visit = _visit_udf(shared, radii, n_homes, width, k)("features")
+    return queries.withColumn("visit", visit).select("query_id", "features", "visit.*")
+
+
+def _count_visits(visiting):
+    """Queries per group, and visits per group and cell.
 
-    visiting = queries.withColumn("visit", _visit_udf(shared, radii, n_homes, width, k)("features"))
+    One row per pair of them, at most PIVOTS x PIVOTS, whatever the tables hold.
+    """
     total = F.lit(-1)
-    plan = (
-        visiting.select("visit.home", F.explode(F.array_append("visit.cells", total)).alias("cell"))
+    counts = (
+        visiting.select("home", F.explode(F.array_append("cells", total)).alias("cell"))
         .groupBy("home", "cell")
         .count()
         .collect()
     )
-    homes = {r["home"]: r["count"] for r in plan if r["cell"] == -1}
-    visits = [(r["home"], r["cell"], r["count"]) for r in plan if r["cell"] != -1]
-    return placed, visiting, sizes, homes, visits
+    homes = {r["home"]: r["count"] for r in counts if r["cell"] == -1}
+    return homes, [(r["home"], r["cell"], r["count"]) for r in counts if r["cell"] != -1]
+
+
+def _met(visits, sizes):
+    """Pairs of a query and a reference row in a cell that it visits."""
+    return sum(n * sizes[cell] for _, cell, n in visits)
 
 
 def _search_blocks(queries, points, k):
@@ -281,8 +294,9 @@ def _search_blocks(queries, points, k):
             min(points.block_bytes // points.row_bytes, (asked_rows * points.rows / slots) ** 0.5),
         )
     )
-    n_blocks = points.rows // block_rows + 1
     n_homes = min(PIVOTS, asked_rows // block_rows + 1)
+    coarse = min(PIVOTS, max(points.rows // block_rows + 1, n_homes))
+    fine = min(FINE_CELLS, points.rows // FINE_ROWS)
     sample = _sample(points)
 
     # Copies beyond the k lowest ids lose every tie, so they need no visits.
@@ -292,17 +306,19 @@ def _search_blocks(queries, points, k):
         .filter(F.col("copy") <= k)
         .drop("copy")
     )
-    # Many small cells if that rules most of them out, else cells of a block each.
-    coarse = max(n_blocks, n_homes)
-    fine = min(FINE_CELLS, points.rows // FINE_ROWS)
-    for n_cells in (fine, coarse) if fine > coarse else (coarse,):
-        n_cells = min(PIVOTS, n_cells)
-        placed, visiting, sizes, homes, visits = _route(
-            queries, reference, sample, n_cells, n_homes, width, k
-        )
-        met = sum(n * sizes[cell] for _, cell, n in visits)
-        if met <= FEW_MET * asked_rows * sum(sizes.values()):
-            break
+    reference = written_table(reference, "reference")
+    found = None
+    if fine >= FINER * coarse:
+        # Many small cells, if some of the queries show that it spares them most cells.
+        found = _cells(reference, sample, fine, width)
+        placed, shared, radii, sizes = found
+        some = queries.filter(_hash("query_id", F.lit(asked_rows // PROBE_ROWS + 1)) == 0)
+        tried, visits = _count_visits(_visits(some, shared, radii, n_homes, width, k))
+        if _met(visits, sizes) > FEW_MET * sum(tried.values()) * sum(sizes.values()):
+            found = None
+    placed, shared, radii, sizes = found or _cells(reference, sample, coarse, width)
+    visiting = written_table(_visits(queries, shared, radii, n_homes, width, k), "visits")
+    homes, visits = _count_visits(visiting)
     pairs = [
         (home, cell, -(-homes[home] // block_rows), -(-sizes[cell] // block_rows))
         for home, cell, _ in visits
@@ -312,13 +328,13 @@ def _search_blocks(queries, points, k):
     )
     key = ["home", "query_block", "cell", "train_block"]
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(MAX_TASKS, max(least, slots, met * width // WORK_PER_TASK))
+    tasks = min(MAX_TASKS, max(least, slots, _met(visits, sizes) * width // WORK_PER_TASK))
 
     def numbers(count):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
     asked = (
-        visiting.select("query_id", "features", "visit.home", F.explode("visit.cells").alias("cell"))
+        visiting.select("query_id", "features", "home", F.explode("cells").alias("cell"))
         .join(routes, ["home", "cell"])
         .withColumn("query_block", _hash("query_id", F.col("query_blocks")))
         .withColumn("train_block", numbers("train_blocks"))
