@@ -283,7 +283,7 @@ def kmeans_separable_sizes(spark, sf_dir):
 def _document_features(spark, sf_dir):
     """Text shape of the rated documents; the text itself is never shuffled."""
     text, chars = F.col("text"), F.col("n_chars")
-    words = F.filter(F.split(text, r"\s+"), lambda w: F.length(w) > 0)
+    words = F.array_remove(F.split(text, r"\s+"), "")
     shape = _table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("row_id"),
         chars.alias("chars"),

@@ -319,13 +319,13 @@ def _search_blocks(queries, points, k):
     placed, shared, radii, sizes = found or _cells(reference, sample, coarse, width)
     visiting = written_table(_visits(queries, shared, radii, n_homes, width, k), "visits")
     homes, visits = _count_visits(visiting)
+    names = ["home", "cell", "query_blocks", "train_blocks"]
     pairs = [
         (home, cell, -(-homes[home] // block_rows), -(-sizes[cell] // block_rows))
         for home, cell, _ in visits
     ]
-    routes = F.broadcast(
-        spark.createDataFrame(pairs, "home int, cell int, query_blocks int, train_blocks int")
-    )
+    columns = np.array(pairs, dtype=np.int32).reshape(-1, len(names)).T
+    routes = F.broadcast(spark.createDataFrame(pa.table(dict(zip(names, map(pa.array, columns))))))
     key = ["home", "query_block", "cell", "train_block"]
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tasks = min(MAX_TASKS, max(least, slots, _met(visits, sizes) * width // WORK_PER_TASK))

@@ -1,7 +1,9 @@
 """Labelled CSV files as ``(row_id, features, label)`` tables."""
 
 from dataclasses import dataclass
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,13 +60,16 @@ def _with_file_position(raw):
     counts = placed.groupBy(*split).agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
     splits = counts.checkpoint()
     files = splits.groupBy("_file").agg(F.sum("_n").alias("_rows")).orderBy("_file").collect()
-    start, before = 0, []
-    for row in files:
-        before.append((row["_file"], start))
-        start += row["_rows"]
+    starts = accumulate((row["_rows"] for row in files), initial=0)
+    before = pa.table(
+        {
+            "_file": pa.array([row["_file"] for row in files], pa.string()),
+            "_before": pa.array(list(starts)[: len(files)], pa.int64()),
+        }
+    )
     earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        splits.join(spark.createDataFrame(before, "_file string, _before long"), "_file")
+        splits.join(spark.createDataFrame(before), "_file")
         .withColumn("_offset", F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .select(*split, "_first", "_offset")
     )
