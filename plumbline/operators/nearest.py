@@ -13,12 +13,11 @@ spread over many tasks. Blocks emit k rows per query, never all pairs.
 """
 
 from dataclasses import dataclass, field
-from functools import cached_property
-from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import blocks
@@ -54,10 +53,7 @@ class PointSet:
     width: int
     broadcast_bytes: int = BROADCAST_BYTES
     block_bytes: int = BLOCK_BYTES
-    _spark: SparkSession = field(init=False, repr=False)
-
-    def __post_init__(self):
-        self._spark = self.table.sparkSession
+    shared: dict[int, Broadcast] = field(default_factory=dict, repr=False)
 
     @classmethod
     def of_centers(cls, spark, centers, **limits):
@@ -75,18 +71,14 @@ class PointSet:
     def fits_broadcast(self):
         return self.rows * self.row_bytes <= self.broadcast_bytes
 
-    @cached_property
-    def broadcast(self) -> dict[int, Any]:
-        return {}
-
     def local(self, k):
         """Ids, labels and matrix of all points, shared with every task once."""
-        if k not in self.broadcast:
+        if k not in self.shared:
             ids, labels, values = _local(self.table, self.width)
             keep = blocks.limit_copies(ids, values, k)
             block = blocks.Points(ids[keep], labels[keep], values[keep])
-            self.broadcast[k] = self._spark.sparkContext.broadcast(block)
-        return self.broadcast[k]
+            self.shared[k] = self.table.sparkSession.sparkContext.broadcast(block)
+        return self.shared[k]
 
 
 def _local(table, width):
