@@ -16,6 +16,21 @@ import plumbline as pl
 from plumbline.functions.parse import parse_feature, parse_label
 from plumbline.functions.vectors import numeric_features, squared_distance
 
+
+def _corpus():
+    """Queries and SQL of the corpus operators, where that subpackage is there."""
+    try:
+        import corpus_pipeline
+        from plumbline.llm import queries
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "plumbline.llm", "plumbline.llm.queries"):
+            raise
+        return {}, {}
+    found = {"pipeline": corpus_pipeline.run} | queries.QUERIES
+    sql = queries.SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
+    return found, sql
+
+
 K = 5
 WIDTH = 64
 SEED_CENTERS = 4
@@ -477,7 +492,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         benchmark_report,
         report_csv,
     ]
-    return {f.__name__: f for f in found}
+    return {f.__name__: f for f in found} | _corpus()[0]
 
 
 # --- SQL -------------------------------------------------------------------------------
@@ -568,7 +583,7 @@ def oracle_sql() -> dict[str, str]:
         "count(value) AS n_samples FROM events GROUP BY user_id, date_trunc('day', ts)"
     )
     flag_code = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 2 ELSE 5 END"
-    return {
+    return _corpus()[1] | {
         "csv_load_labelled": """
             SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_quantity,
                 l_extendedprice, l_discount, l_tax, l_returnflag = 'R', l_linestatus) - 1 AS row_id,
