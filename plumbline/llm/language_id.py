@@ -16,6 +16,8 @@ CORE, LEAD = 240, 16
 WINDOWS = 2048
 #: The bound of the training sample: rows of each language, and pieces of each row.
 ROWS_PER_LANGUAGE, PIECES, PIECE_CHARS = 400, 3, 96
+#: Languages whose sampling rates, a short string and a number each, are broadcast.
+BROADCAST_LANGUAGES = 100_000
 
 
 class ByteNetwork:
@@ -167,11 +169,14 @@ def fit_language_id(docs, train, doc_id="doc_id", text="text", lang="lang", rows
     known = docs.filter(train & column(lang).isNotNull() & column(text).isNotNull() & (column(text) != ""))
     known = known.select(column(doc_id).alias("i"), column(lang).alias("l"), column(text).alias("t"))
     rates = known.groupBy("l").agg(F.least(F.lit(1.0), rows / F.count("*")).alias("rate"))
+    if rates.count() <= BROADCAST_LANGUAGES:
+        rates = F.broadcast(rates)
     share = F.pmod(F.xxhash64("i", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     size = F.length("t")
     step = F.greatest(F.floor(size / PIECES), F.lit(1)).cast("int")
     pieces = [F.substring("t", 1 + k * step, F.lit(PIECE_CHARS)) for k in range(PIECES)]
-    chosen = known.join(rates, "l").filter(share < F.col("rate")).select("l", share.alias("s"), F.array(*pieces).alias("p"))
+    cut = known.select("l", share.alias("s"), F.array(*pieces).alias("p"))
+    chosen = cut.join(rates, "l").filter(F.col("s") < F.col("rate"))
     found = sorted((r.l, r.s, r.p) for r in chosen.toLocalIterator())
     languages = sorted({r[0] for r in found})
     network = ByteNetwork(languages, seed=seed)

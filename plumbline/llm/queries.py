@@ -3,12 +3,25 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from plumbline.llm.chat_format import rotate
 from plumbline.llm.decontamination import find_contamination
 from plumbline.llm.language_id import fit_language_id, is_held_out, predict_language
+from plumbline.llm.license_scan import PHRASES, TEMPLATES, scan_licenses, template_words
+from plumbline.llm.mixing import mix_sources
+from plumbline.llm.quality_rules import BASE_RULES, RULES, apply_quality_rules
 from plumbline.llm.token_counts import count_tokens
+from plumbline.llm.url_filter import filter_urls
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,20 +40,180 @@ def op2_language_id(spark, sf_dir):
     return found.withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_license_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licenses(docs, carry=["doc_id"])
+
+
+def op5_source_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+BASE_FACTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def op6_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = apply_quality_rules(docs, facts=BASE_FACTS, carry=["doc_id"])
+    base = " OR ".join(r.fails for r in BASE_RULES)
+    return found.select("doc_id", *BASE_FACTS, F.expr(base).alias("base_failed"), "kept")
+
+
+def op7_url_filter(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+
+
 def op9_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_language_id, op9_decontamination)}
+def op10_chat_format(spark, sf_dir):
+    found = rotate(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws("-", m["first"], m["end"]))
+    learned = F.aggregate("mask", F.lit(0), lambda n, m: n + m["end"] - m["first"])
+    return found.select(
+        "conv_id",
+        "speaker",
+        "part",
+        "n_messages",
+        "rendered",
+        F.array_join(spans, ",").alias("mask"),
+        learned.cast("long").alias("n_learned"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_language_id,
+        op3_license_scan,
+        op5_source_mixing,
+        op6_quality_rules,
+        op7_url_filter,
+        op9_decontamination,
+        op10_chat_format,
+    )
+}
 
 PLAIN_WORDS = (
     f"regexp_extract_all(translate(coalesce(text, ''), '{CAPITALS}', '{SMALL}'), "
     r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 )
 
+SPACED_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _list(values):
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+def _phrase_places():
+    found = []
+    for phrase, label in PHRASES.items():
+        test = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(phrase.split()))
+        places = f"list_filter(range(1, len(w) + 1), lambda i: coalesce({test}, false))"
+        found.append(f"SELECT doc_id, '{label}' AS label, unnest({places}) - 1 AS pos FROM d")
+    return " UNION ALL ".join(found)
+
+
+def _templates():
+    rows = []
+    for label, text in TEMPLATES:
+        ws = template_words(text)
+        rows.append(f"('{label}', {_list(ws)}, {-(-8 * len(ws) // 10)})")
+    return ", ".join(rows)
+
+
+def _url_rules():
+    return ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+
+BASE_FAILED = " OR ".join(r.fails for r in BASE_RULES)
+FAILED = " OR ".join(r.fails for r in BASE_RULES + RULES)
+
 SQL = {
+    "op3_license_scan": rf"""
+        WITH l AS (SELECT doc_id, translate(coalesce(text, ''), '{CAPITALS}', '{SMALL}') AS text FROM documents),
+        d AS (SELECT doc_id, {PLAIN_WORDS} AS w FROM l),
+        b AS (SELECT doc_id, label, count(*) AS n, min(pos) AS a, max(pos) AS z FROM ({_phrase_places()})
+          GROUP BY doc_id, label),
+        t(label, ws, least) AS (VALUES {_templates()}),
+        p AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\n[\x20\x09\x0B-\x0D]*\n')) AS text FROM l),
+        pw AS (SELECT doc_id, list_distinct({PLAIN_WORDS}) AS ws FROM p),
+        m AS (SELECT doc_id, label, max(len(list_intersect(pw.ws, t.ws)) / len(t.ws)) AS share
+          FROM pw, t WHERE len(list_intersect(pw.ws, t.ws)) >= least GROUP BY doc_id, label),
+        every AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM
+          (SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM m) GROUP BY doc_id),
+        base AS (SELECT doc_id, sum(n)::BIGINT AS n_base, min(a) AS first_word, max(z) AS last_word,
+          string_agg(label, ',' ORDER BY label) AS base_labels FROM b GROUP BY doc_id),
+        s AS (SELECT doc_id, max(share) AS score FROM m GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+          coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+        FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id) LEFT JOIN s USING (doc_id)""",
+    "op5_source_mixing": f"""
+        WITH d AS (SELECT doc_id, source, len({SPACED_WORDS}) AS size FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+        w AS (SELECT *, [5.0::DOUBLE, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w,
+          source_size * 2.0::DOUBLE AS most FROM s),
+        f AS (SELECT *, sum(source_size) OVER ()::BIGINT * 1.5::DOUBLE AS whole,
+          coalesce(sum(most) OVER before, 0) AS filled,
+          sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS free FROM w
+          WINDOW before AS (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        l AS (SELECT max((whole - filled) / free) AS level FROM f WHERE (whole - filled) / free * w <= most),
+        t AS (SELECT source, source_size, least(most, level * w) AS target FROM f, l),
+        r AS (SELECT d.*, source_size, target, row_number() OVER
+          (PARTITION BY d.source ORDER BY size, md5(doc_id::VARCHAR), doc_id) AS place,
+          ('0x' || substr(md5('mix:' || coalesce(d.source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u
+          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target, (size * (floor(place * e + u) - floor((place - 1) * e + u)))::BIGINT
+          AS taken FROM (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS e FROM r)""",
+    "op6_quality_rules": rf"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {SPACED_WORDS} AS w,
+          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l
+          FROM documents),
+        v AS (SELECT doc_id, j, w[j] || ' ' || w[j + 1] || ' ' || w[j + 2] AS s
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS j FROM d)),
+        c AS (SELECT doc_id, j FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS n FROM v) WHERE n > 1),
+        r AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest([j, j + 1, j + 2]) AS k FROM c)
+          GROUP BY doc_id),
+        f AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[ 	-]+', '', 'g')) AS word_chars,
+          length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(l) AS n_lines,
+          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+          length(regexp_replace(text, '\P{{L}}+', '', 'g')) AS n_letters,
+          length(regexp_replace(text, '\P{{Lu}}+', '', 'g')) AS n_capitals FROM d LEFT JOIN r USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {BASE_FAILED} AS base_failed,
+          NOT ({FAILED}) AS kept FROM f""",
+    "op7_url_filter": rf"""
+        WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3)
+          ELSE '' END AS rest FROM pages),
+        p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{CAPITALS}', '{SMALL}') AS host,
+          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        r(h, q, verdict) AS (VALUES {_url_rules()}),
+        k AS (SELECT page_id, h || q AS rule, verdict, row_number() OVER
+          (PARTITION BY page_id ORDER BY length(h || q) DESC) AS n FROM p, r
+          WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q))
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM p LEFT JOIN (SELECT * FROM k WHERE n = 1) USING (page_id)""",
+    "op10_chat_format": """
+        WITH m AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
+          FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+        s AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> 'system'),
+        p AS (SELECT conv_id, speaker, floor(turn / 64)::BIGINT AS part, turn, role, text, role = speaker AS own,
+          CASE WHEN role = speaker THEN '<|assistant|>' || chr(10) WHEN role = 'system' THEN '<|system|>' || chr(10)
+            ELSE '<|user|>' || chr(10) || role || ': ' END AS lead, text || '<|end|>' AS learned FROM m JOIN s USING (conv_id)),
+        q AS (SELECT *, sum(length(lead) + length(learned) + 1) OVER (PARTITION BY conv_id, speaker, part
+          ORDER BY turn, role, text) - length(learned) - 1 AS a FROM p)
+        SELECT conv_id, speaker, part, count(*) AS n_messages,
+          string_agg(lead || learned || chr(10), '' ORDER BY turn, role, text) AS rendered,
+          coalesce(string_agg(a::VARCHAR || '-' || (a + length(learned))::VARCHAR, ',' ORDER BY turn, role, text)
+            FILTER (own), '') AS mask,
+          coalesce(sum(length(learned)) FILTER (own), 0)::BIGINT AS n_learned
+        FROM q GROUP BY conv_id, speaker, part""",
     "op9_decontamination": f"""
         WITH d AS (SELECT doc_id, {PLAIN_WORDS} AS w FROM documents),
         b AS (SELECT item_id::VARCHAR AS item, {PLAIN_WORDS} AS w FROM benchmark),
