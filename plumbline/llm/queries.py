@@ -8,6 +8,7 @@ from plumbline.llm.decontamination import find_contamination
 from plumbline.llm.language_id import fit_language_id, is_held_out, predict_language
 from plumbline.llm.license_scan import PHRASES, TEMPLATES, scan_licenses, template_words
 from plumbline.llm.mixing import mix_sources
+from plumbline.llm.near_duplicates import near_duplicates
 from plumbline.llm.quality_rules import BASE_RULES, RULES, apply_quality_rules
 from plumbline.llm.token_counts import count_tokens
 from plumbline.llm.url_filter import filter_urls
@@ -45,6 +46,12 @@ def op3_license_scan(spark, sf_dir):
     return scan_licenses(docs, carry=["doc_id"])
 
 
+def op4_near_duplicates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_duplicates(docs, words=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_source_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -92,6 +99,7 @@ QUERIES = {
         op1_token_counts,
         op2_language_id,
         op3_license_scan,
+        op4_near_duplicates,
         op5_source_mixing,
         op6_quality_rules,
         op7_url_filter,
@@ -155,6 +163,22 @@ SQL = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
           coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
         FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id) LEFT JOIN s USING (doc_id)""",
+    "op4_near_duplicates": f"""
+        WITH RECURSIVE l AS (SELECT doc_id, translate(text, '{CAPITALS}', '{SMALL}') AS text FROM documents),
+        d AS (SELECT doc_id, {SPACED_WORDS} AS w FROM l),
+        g AS (SELECT doc_id, w, least(3, len(w)) AS m, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS j
+          FROM d WHERE len(w) > 0),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[j:j + m - 1], ' ') AS s FROM g),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id
+          GROUP BY 1, 2),
+        e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+          WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        f AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+        r AS (SELECT doc_id, doc_id AS o FROM d UNION SELECT r.doc_id, f.b FROM r JOIN f ON r.o = f.a),
+        k AS (SELECT doc_id, min(o) AS component_id FROM r GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM d JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op5_source_mixing": f"""
         WITH d AS (SELECT doc_id, source, len({SPACED_WORDS}) AS size FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -174,14 +198,16 @@ SQL = {
           AS taken FROM (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS e FROM r)""",
     "op6_quality_rules": rf"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {SPACED_WORDS} AS w,
-          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l
+          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l
           FROM documents),
         v AS (SELECT doc_id, j, w[j] || ' ' || w[j + 1] || ' ' || w[j + 2] AS s
           FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS j FROM d)),
         c AS (SELECT doc_id, j FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS n FROM v) WHERE n > 1),
         r AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest([j, j + 1, j + 2]) AS k FROM c)
           GROUP BY doc_id),
-        f AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[ 	-]+', '', 'g')) AS word_chars,
+        f AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[ 	-
+]+', '', 'g')) AS word_chars,
           length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(l) AS n_lines,
           len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
           length(regexp_replace(text, '\P{{L}}+', '', 'g')) AS n_letters,
