@@ -1,10 +1,13 @@
-"""A corpus pipeline: each stage keeps part of the documents of the one before."""
+"""A corpus pipeline: each stage works on what the one before kept."""
 
 from pyspark.sql import functions as F
 
 from plumbline.llm.arrow import column
 from plumbline.llm.decontamination import decontaminated
 from plumbline.llm.language_id import UNKNOWN, fit_language_id, is_held_out, predict_language
+from plumbline.llm.mixing import mix_sources
+from plumbline.llm.near_duplicates import without_near_duplicates
+from plumbline.llm.suffix_dedup import remove_repeats
 from plumbline.session import written_table
 
 #: A document whose likeliest language has a smaller share of it is rejected.
@@ -12,7 +15,7 @@ LEAST_SCORE = 0.35
 
 
 def language(spark, docs, sf_dir):
-    """Documents in a language the network can tell."""
+    """Documents in a language that the network can tell; the rest go."""
     network = fit_language_id(docs, ~is_held_out("doc_id"))
     rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), "text")
     found = predict_language(rows, network, carry=["row"])
@@ -20,18 +23,49 @@ def language(spark, docs, sf_dir):
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
-def clean_of_benchmark(spark, docs, sf_dir):
+def near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near duplicates, five words and 0.8."""
+    return without_near_duplicates(docs)
+
+
+def repeated_strings(spark, docs, sf_dir):
+    """Texts without the bytes of repeated 200-byte strings; emptied ones go.
+
+    n_chars follows the text. A document that had no text before stays.
+    """
+    found = remove_repeats(docs, carry=docs.columns, kept_text=True)
+    left = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    found = found.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes")))
+    changed = {"text": left, "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
+    return found.select(*[(changed[c] if c in changed else column(c)).alias(c) for c in docs.columns])
+
+
+def decontamination(spark, docs, sf_dir):
     """Documents of which less than a twentieth lies in benchmark windows."""
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("language", language), ("decontamination", clean_of_benchmark)]
+def mixing(spark, docs, sf_dir):
+    """The documents that the mix takes, with the number of times and words."""
+    mixed = mix_sources(docs, carry=["source", "lang"])
+    return mixed.filter("copies > 0").select("doc_id", "source", "lang", "size", "copies", "taken")
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("repeated_strings", repeated_strings),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
 
-#: Learned languages cannot be stated in SQL.
+#: The network of the first stage cannot be stated in SQL; the tests hold the
+#: stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    """All stages over ``documents``; each is written and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written_table(stage(spark, docs, sf_dir), f"pipeline-{name}")

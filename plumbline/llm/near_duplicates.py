@@ -16,9 +16,8 @@ WORDS, PERCENT = 5, 80
 #: Values that a sketch retains, and the chance that a linked pair shares too few of them.
 SKETCH, MISS = 48, 1e-10
 BLOCK_BYTES = 1 << 20
-#: Rounds of pairing each list with one of its members, while a list of several
-#: groups is longer than this; the rest is paired in full.
-ROUNDS, LONG_LIST = 4, 64
+#: Sets, a few numbers each, that are broadcast to find their texts.
+BROADCAST_SETS = 250_000
 
 
 def least_common(k, percent, miss=MISS):
@@ -74,13 +73,7 @@ def sketches(docs, doc_id, text, words, sketch):
                     sizes.append(len(found))
                     ids.append(hashlib.blake2b(found.tobytes(), digest_size=16).hexdigest())
                     kept.append(ordered_long(found[:sketch]))
-            lengths = np.concatenate([[0], np.cumsum([len(k) for k in kept])]).astype(np.int32)
-            values = np.concatenate(kept) if kept else np.zeros(0, np.int64)
-            return [
-                pa.array(sizes, pa.int64()),
-                pa.array(ids, pa.string()),
-                pa.ListArray.from_arrays(pa.array(lengths), pa.array(values)),
-            ]
+            return [pa.array(sizes, pa.int64()), pa.array(ids, pa.string()), lists_of(kept)]
 
         return compute
 
@@ -92,7 +85,7 @@ def sketches(docs, doc_id, text, words, sketch):
 
 
 def inverted_lists(sets, percent, sketch):
-    """(value, node, n): the retained values under which a set is looked for.
+    """(value, node, n, own): the retained values under which a set is looked for.
 
     Of a set's sketch these are the rarest ones. Linked sets share at least c of
     their k retained values, so with values in one order, by the number of sets
@@ -109,8 +102,9 @@ def inverted_lists(sets, percent, sketch):
         F.array_sort(F.collect_list(F.struct("held", "value"))).alias("shared")
     )
     left = (F.col("places") - (F.col("k") - F.size("shared"))).cast("int")
-    first = shared.filter(left > 0).select("node", "n", F.explode(F.slice("shared", 1, left)).alias("s"))
-    return first.select("node", "n", F.col("s.value").alias("value"))
+    own = 1 - F.size("shared") / F.col("k")
+    first = shared.filter(left > 0).select("node", "n", own.alias("own"), F.explode(F.slice("shared", 1, left)).alias("s"))
+    return first.select("node", "n", "own", F.col("s.value").alias("value"))
 
 
 def like_sizes(a, b, percent):
@@ -135,30 +129,41 @@ def likely(pairs, sets, percent, sketch):
     return both.filter(enough).select("a", "b")
 
 
-def linked(pairs, sets, docs, doc_id, text, words, percent):
-    """The pairs whose full shingle sets are similar enough."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def full_sets(nodes, sets, docs, doc_id, text, words):
+    """(node, shingles): the whole sets of the nodes, read from one text of each."""
     reps = nodes.join(sets.select("node", "rep"), "node").select("node", "rep.*")
+    reps = written_table(reps, "near-reps")
+    if reps.count() <= BROADCAST_SETS:
+        reps = F.broadcast(reps)
     texts = docs.select(
-        F.md5(column(text)).alias("text_key"), column(doc_id).alias("doc_id"), column(text).alias(TEXT)
-    ).filter("text_key IS NOT NULL")
-    same = [reps["text_key"] == texts["text_key"], reps["doc_id"].eqNullSafe(texts["doc_id"])]
+        F.md5(column(text)).alias("key"), column(doc_id).alias("id"), column(text).alias(TEXT)
+    ).filter("key IS NOT NULL")
+    same = (F.col("key") == F.col("text_key")) & F.col("id").eqNullSafe(F.col("doc_id"))
     found = texts.join(reps, same).select("node", TEXT).dropDuplicates(["node"])
 
     def shingles(batches):
         reader = ShingleReader(words)
         for batch in batches:
             data, bounds = utf8(batch.column(1))
-            sets_of = [
-                s.tobytes()
+            found = [
+                ordered_long(s)
                 for low, high in blocks(bounds, BLOCK_BYTES)
                 for s in reader.sets(data, bounds[low : high + 1])
             ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets_of, pa.binary())], names=["node", "shingles"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists_of(found)], names=["node", "shingles"])
+
+    return written_table(found.mapInArrow(shingles, "node long, shingles array<long>"), "near-full")
+
 
-    full = written_table(found.mapInArrow(shingles, "node long, shingles binary"), "near-shingles")
+def lists_of(arrays):
+    """Arrays of long numbers as one Arrow array of lists."""
+    ends = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    values = np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
+def linked(pairs, full, percent):
+    """The pairs whose full shingle sets are similar enough."""
     both = pairs.join(full.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     both = both.join(full.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
 
@@ -166,15 +171,45 @@ def linked(pairs, sets, docs, doc_id, text, words, percent):
         for batch in batches:
             yes = []
             for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = x.values.to_numpy(), y.values.to_numpy()
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 yes.append(100 * common >= percent * (len(x) + len(y) - common))
-            kept = batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
-            yield kept
+            yield batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
 
     return both.mapInArrow(similar, "a long, b long")
 
 
+def prefix_pairs(full, groups, percent):
+    """Pairs of sets of different groups that full sets leave possible.
+
+    ``full`` has whole sets, in one order of their values, rare ones first. At
+    least c = percent / (100 + percent) of both sizes must be common, so of the
+    first common value at most n - c values of either side stand before it. A set
+    is looked for under the values at such places for a partner of the least size.
+    """
+    size = F.size("shingles")
+    values = full.select("node", F.explode("shingles").alias("value"))
+    held = values.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
+    shared = values.join(held, "value").groupBy("node").agg(
+        F.array_sort(F.collect_list(F.struct("held", "value"))).alias("shared")
+    )
+    rows = full.select("node", size.cast("long").alias("n")).join(shared, "node").join(groups, "node")
+    left = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    alone = F.col("n") - F.size("shared")
+    rows = rows.filter(left > alone).select(
+        "node", "n", "comp", alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), (left - alone).cast("int")))
+    )
+    rows = rows.select("node", "n", "comp", (F.col("alone") + F.col("pos")).alias("before"), F.col("col.value").alias("value"))
+    rows = written_table(rows, "near-prefixes")
+    other = rows.select("value", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "comp", "before")])
+    least = F.ceil((F.col("n") + F.col("n_")) * percent / (100 + percent))
+    possible = (F.col("n") - F.col("before") >= least) & (F.col("n_") - F.col("before_") >= least)
+    pairs = rows.join(other, "value").filter(
+        (F.col("node") < F.col("node_")) & (F.col("comp") != F.col("comp_")) & possible
+    )
+    return pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
+
+
 def components(edges):
     """(node, comp): the smallest node that each node of the edges (a, b) reaches.
 
@@ -201,44 +236,27 @@ def components(edges):
 def links(lists, sets, docs, doc_id, text, words, percent, sketch):
     """Edges between distinct sets that connect all linked ones.
 
-    A list is paired with one of its members, which is linear in its length and
-    joins most copies of a text at once. Lists whose members are then in several
-    groups are paired again with another member while they are long, and at last
-    every two members of different groups; no link between groups is left out.
+    Each list is first paired with one member, that with the least share of
+    values of its own, the nearest to what the others are copies of; this is
+    linear in the list and joins most copies of a text at once. Sets that share a
+    list with another group after that are few. Among them the join on prefixes
+    of their full sets finds every other pair between groups.
     """
-    spark = lists.sparkSession
-    edges = spark.createDataFrame([], "a long, b long")
-    live = lists.withColumn("comp", F.col("node"))
-
-    def tested(pairs):
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = written_table(likely(pairs, sets, percent, sketch), "near-pairs")
-        return linked(pairs, sets, docs, doc_id, text, words, percent)
-
-    def regrouped(found):
-        labels = components(found)
-        rows = lists.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        several = rows.groupBy("value").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("length")
-        )
-        several = several.filter("low <> high").select("value", "length")
-        return written_table(rows.join(several, "value"), "near-live")
-
-    for round_ in range(ROUNDS):
-        order = F.xxhash64("node", F.lit(round_))
-        center = F.min(F.struct(order.alias("h"), F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx")))
-        centers = live.groupBy("value").agg(center.alias("c")).select("value", "c.*")
-        pairs = live.join(centers, "value").filter("comp <> cx").filter(like_sizes(F.col("n"), F.col("nx"), percent))
-        edges = written_table(
-            edges.unionByName(tested(pairs.select("x", F.col("node").alias("y")))), "near-links"
-        )
-        live = regrouped(edges)
-        if live.filter(F.col("length") > LONG_LIST).isEmpty():
-            break
-    other = live.select("value", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    pairs = live.join(other, "value").filter((F.col("x") < F.col("node")) & (F.col("comp") != F.col("cx")))
-    pairs = pairs.filter(like_sizes(F.col("n"), F.col("nx"), percent))
-    return edges.unionByName(tested(pairs.select("x", F.col("node").alias("y"))))
+    center = F.min(F.struct("own", F.col("node").alias("x"), F.col("n").alias("nx")))
+    centers = lists.groupBy("value").agg(center.alias("c")).select("value", "c.x", "c.nx")
+    pairs = lists.join(centers, "value").filter("node <> x").filter(like_sizes(F.col("n"), F.col("nx"), percent))
+    pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    pairs = written_table(likely(pairs, sets, percent, sketch), "near-pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    edges = written_table(linked(pairs, full_sets(nodes, sets, docs, doc_id, text, words), percent), "near-links")
+    rows = lists.select("value", "node").join(components(edges), "node", "left")
+    rows = rows.withColumn("comp", F.coalesce("comp", "node"))
+    several = rows.groupBy("value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    several = several.filter("low <> high").select("value")
+    live = written_table(rows.join(several, "value").select("node", "comp").distinct(), "near-live")
+    full = full_sets(live.select("node"), sets, docs, doc_id, text, words)
+    pairs = written_table(prefix_pairs(full, live, percent), "near-pairs")
+    return edges.unionByName(linked(pairs, full, percent))
 
 
 def near_duplicates(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, sketch=SKETCH):
@@ -253,7 +271,8 @@ def near_duplicates(docs, doc_id="doc_id", text="text", words=WORDS, percent=PER
     Rows with equal sets become one set first, however many they are. A set keeps
     the ``sketch`` smallest hashes of one hash function; lists of sets by retained
     value give the candidates, the sketch of a pair's union an estimate that
-    leaves out all but ``MISS`` of no linked pair, and the full sets decide.
+    leaves out a linked pair with the chance ``MISS`` at most, and the full sets
+    decide.
 
     Null, empty and blank texts have no shingles and are linked with nothing.
     Repeated rows are returned each, all of them kept if one is. A row with null

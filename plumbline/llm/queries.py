@@ -10,6 +10,7 @@ from plumbline.llm.license_scan import PHRASES, TEMPLATES, scan_licenses, templa
 from plumbline.llm.mixing import mix_sources
 from plumbline.llm.near_duplicates import near_duplicates
 from plumbline.llm.quality_rules import BASE_RULES, RULES, apply_quality_rules
+from plumbline.llm.suffix_dedup import remove_repeats
 from plumbline.llm.token_counts import count_tokens
 from plumbline.llm.url_filter import filter_urls
 
@@ -72,6 +73,11 @@ def op7_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, carry=["doc_id"])
+
+
 def op9_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
@@ -103,6 +109,7 @@ QUERIES = {
         op5_source_mixing,
         op6_quality_rules,
         op7_url_filter,
+        op8_suffix_dedup,
         op9_decontamination,
         op10_chat_format,
     )
@@ -240,6 +247,21 @@ SQL = {
             FILTER (own), '') AS mask,
           coalesce(sum(length(learned)) FILTER (own), 0)::BIGINT AS n_learned
         FROM q GROUP BY conv_id, speaker, part""",
+    "op8_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        w AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS h FROM
+          (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM d WHERE len(x) >= 400)),
+        r AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1),
+        g AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200, true)::INTEGER AS f
+          FROM r),
+        s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM
+          (SELECT *, sum(f) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g) GROUP BY doc_id, k),
+        p AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS y FROM s),
+        k AS (SELECT doc_id, string_agg(substr(x, 2 * y + 1, 2 * (a - y)), '' ORDER BY a) AS pieces,
+          max(z) AS z, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, len(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+          sha256(unhex(coalesce(pieces, '') || substr(x, 2 * coalesce(z, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN k USING (doc_id)""",
     "op9_decontamination": f"""
         WITH d AS (SELECT doc_id, {PLAIN_WORDS} AS w FROM documents),
         b AS (SELECT item_id::VARCHAR AS item, {PLAIN_WORDS} AS w FROM benchmark),
