@@ -179,35 +179,45 @@ def linked(pairs, full, percent):
     return both.mapInArrow(similar, "a long, b long")
 
 
-def prefix_pairs(full, groups, percent):
-    """Pairs of sets of different groups that full sets leave possible.
+def prefix_lists(full, percent):
+    """(value, node, n, alone, before): the values under which whole sets are looked for.
 
-    ``full`` has whole sets, in one order of their values, rare ones first. At
-    least c = percent / (100 + percent) of both sizes must be common, so of the
-    first common value at most n - c values of either side stand before it. A set
-    is looked for under the values at such places for a partner of the least size.
+    Values stand in one order, rare ones first; before is the number of a set's
+    values that stand before this one, alone that of values no other set has. Only
+    the first n - c + 1 values can be the first common one, with c = percent of n.
     """
-    size = F.size("shingles")
     values = full.select("node", F.explode("shingles").alias("value"))
     held = values.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1")
     shared = values.join(held, "value").groupBy("node").agg(
         F.array_sort(F.collect_list(F.struct("held", "value"))).alias("shared")
     )
-    rows = full.select("node", size.cast("long").alias("n")).join(shared, "node").join(groups, "node")
-    left = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    alone = F.col("n") - F.size("shared")
+    rows = full.select("node", F.size("shingles").cast("long").alias("n")).join(shared, "node")
+    left = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    alone = F.col("n").cast("int") - F.size("shared")
     rows = rows.filter(left > alone).select(
-        "node", "n", "comp", alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), (left - alone).cast("int")))
+        "node", "n", alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), left - alone))
     )
-    rows = rows.select("node", "n", "comp", (F.col("alone") + F.col("pos")).alias("before"), F.col("col.value").alias("value"))
-    rows = written_table(rows, "near-prefixes")
-    other = rows.select("value", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "comp", "before")])
-    least = F.ceil((F.col("n") + F.col("n_")) * percent / (100 + percent))
-    possible = (F.col("n") - F.col("before") >= least) & (F.col("n_") - F.col("before_") >= least)
-    pairs = rows.join(other, "value").filter(
-        (F.col("node") < F.col("node_")) & (F.col("comp") != F.col("comp_")) & possible
+    rows = rows.select(
+        "node", "n", "alone", (F.col("alone") + F.col("pos")).alias("before"), F.col("col.value").alias("value")
     )
-    return pairs.select(F.col("node").alias("a"), F.col("node_").alias("b")).distinct()
+    return written_table(rows, "near-prefixes")
+
+
+def possible(rows, other, percent):
+    """Pairs under one value, of different groups, that may be similar enough.
+
+    At least c = percent / (100 + percent) of both sizes must be common, and none
+    of the values before the first common one is.
+    """
+    other = other.select("value", *[F.col(c).alias(f"{c}_") for c in ("node", "n", "comp", "before")])
+    least = F.ceil((F.col("n") + F.col("n_")) * percent / (100 + percent))
+    enough = (F.col("n") - F.col("before") >= least) & (F.col("n_") - F.col("before_") >= least)
+    pairs = rows.join(other, "value").filter((F.col("comp") != F.col("comp_")) & enough)
+    return pairs.select(F.col("node").alias("x"), F.col("node_").alias("y"))
+
+
+def ordered_pairs(pairs):
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def components(edges):
@@ -233,29 +243,41 @@ def components(edges):
             return labels
 
 
+def grouped(rows, edges):
+    """``rows`` with the group (comp) of each node by the edges so far."""
+    return rows.join(components(edges), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
 def links(lists, sets, docs, doc_id, text, words, percent, sketch):
     """Edges between distinct sets that connect all linked ones.
 
     Each list is first paired with one member, that with the least share of
     values of its own, the nearest to what the others are copies of; this is
     linear in the list and joins most copies of a text at once. Sets that share a
-    list with another group after that are few. Among them the join on prefixes
-    of their full sets finds every other pair between groups.
+    list with another group after that are few. Their full sets are looked for
+    under their own rare values, again with one member of each list first, and at
+    last with every member of another group that the full sets leave possible.
     """
     center = F.min(F.struct("own", F.col("node").alias("x"), F.col("n").alias("nx")))
     centers = lists.groupBy("value").agg(center.alias("c")).select("value", "c.x", "c.nx")
     pairs = lists.join(centers, "value").filter("node <> x").filter(like_sizes(F.col("n"), F.col("nx"), percent))
-    pairs = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    pairs = ordered_pairs(pairs.select("x", F.col("node").alias("y")))
     pairs = written_table(likely(pairs, sets, percent, sketch), "near-pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     edges = written_table(linked(pairs, full_sets(nodes, sets, docs, doc_id, text, words), percent), "near-links")
-    rows = lists.select("value", "node").join(components(edges), "node", "left")
-    rows = rows.withColumn("comp", F.coalesce("comp", "node"))
+    rows = grouped(lists.select("value", "node"), edges)
     several = rows.groupBy("value").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
     several = several.filter("low <> high").select("value")
-    live = written_table(rows.join(several, "value").select("node", "comp").distinct(), "near-live")
-    full = full_sets(live.select("node"), sets, docs, doc_id, text, words)
-    pairs = written_table(prefix_pairs(full, live, percent), "near-pairs")
+    live = written_table(rows.join(several, "value").select("node").distinct(), "near-live")
+    full = full_sets(live, sets, docs, doc_id, text, words)
+    prefixes = prefix_lists(full, percent)
+    rows = written_table(grouped(prefixes, edges), "near-grouped")
+    center = F.min(F.struct("alone", "node", "n", "comp", "before")).alias("c")
+    pairs = possible(rows, rows.groupBy("value").agg(center).select("value", "c.*"), percent)
+    found = linked(written_table(ordered_pairs(pairs), "near-pairs"), full, percent)
+    edges = written_table(edges.unionByName(found), "near-links")
+    rows = written_table(grouped(prefixes, edges), "near-grouped")
+    pairs = written_table(ordered_pairs(possible(rows, rows, percent).filter("x < y")), "near-pairs")
     return edges.unionByName(linked(pairs, full, percent))
 
 

@@ -45,7 +45,7 @@ class AnchorReader:
         found = [np.zeros((4, 0), np.int64)]
         for low, high in blocks(bounds, BLOCK_BYTES):
             start, end = bounds[low], bounds[high]
-            if end - start <= PART_STARTS + SPAN:
+            if high - low > 1 or end - start <= PART_STARTS + SPAN:
                 found.append(self._part(data, bounds[low : high + 1], low))
                 continue
             for at in range(int(start), int(end) - SPAN + 1, PART_STARTS):
