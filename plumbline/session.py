@@ -2,10 +2,13 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_written = ContextVar("written", default=None)
 
 
 def build_session(app_name="plumbline", cpus="*", shuffle_partitions=8, **conf):
@@ -50,5 +53,40 @@ def written_table(df, name):
     cache it outlives lost executors, and scans of it still skip and prune.
     """
     path = shared_folder(df.sparkSession, name)
+    if _written.get() is not None:
+        _written.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove_folder(spark, path):
+    """Deletes a folder of the shared store, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark):
+    """Removes the tables that ``written_table`` writes inside the block when it ends.
+
+    Gives a function that writes a table to stay: what is returned from the block
+    and is not in memory must have gone through it.
+    """
+    paths = []
+    outer = _written.set(paths)
+
+    def keep(df, name):
+        path = shared_folder(spark, name)
+        df.write.parquet(path)
+        kept.append(path)
+        return spark.read.parquet(path)
+
+    kept = []
+    try:
+        yield keep
+    finally:
+        _written.reset(outer)
+        if _written.get() is not None:
+            _written.get().extend(kept)
+        for path in paths:
+            remove_folder(spark, path)
