@@ -33,11 +33,14 @@ def repeated_strings(spark, docs, sf_dir):
 
     n_chars follows the text. A document that had no text before stays.
     """
-    found = remove_repeats(docs, carry=docs.columns, kept_text=True)
-    left = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    found = found.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes")))
-    changed = {"text": left, "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))}
-    return found.select(*[(changed[c] if c in changed else column(c)).alias(c) for c in docs.columns])
+    found = remove_repeats(docs, carry=[c for c in docs.columns if c != "text"], kept_text=True)
+    cut = F.col("n_removed") > 0
+    found = found.filter(~cut | (F.col("n_removed") < F.col("n_bytes")))
+    changed = {
+        "text": F.col("kept_text"),
+        "n_chars": F.when(cut, F.length("kept_text").cast("long")).otherwise(F.col("n_chars")),
+    }
+    return found.select(*[changed.get(c, column(c)).alias(c) for c in docs.columns])
 
 
 def decontamination(spark, docs, sf_dir):

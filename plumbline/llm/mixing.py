@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.arrow import column, free_of
-from plumbline.session import written_table
+from plumbline.session import scratch, written_table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -84,40 +84,42 @@ def mix_sources(docs, doc_id="doc_id", text="text", source="source", weights=WEI
     their number does not. An empty table gives an empty mix.
     """
     kept = free_of(carry, ["doc_id", "size", "source_size", "target", "copies", "taken"])
-    sized = written_table(
-        docs.select(
-            column(doc_id).alias("doc_id"),
-            column(source).alias("__source"),
-            n_words(column(text)).alias("size"),
-            F.coalesce(F.md5(column(doc_id).cast("string")), F.lit("0" * 32)).alias("__hash"),
+    with scratch(docs.sparkSession) as keep:
+        sized = written_table(
+            docs.select(
+                column(doc_id).alias("doc_id"),
+                column(source).alias("__source"),
+                n_words(column(text)).alias("size"),
+                F.coalesce(F.md5(column(doc_id).cast("string")), F.lit("0" * 32)).alias("__hash"),
+                *[column(k) for k in kept],
+            ),
+            "mix-sizes",
+        )
+        counts = sized.groupBy(F.col("__source").alias("source"), "size").agg(F.count("*").alias("n"))
+        cells = written_table(_cells(counts, weights), "mix-cells")
+        cell = sized["__source"].eqNullSafe(cells["__cell_source"]) & (sized["size"] == cells["__cell_size"])
+        part = F.floor(_unit("__hash") * F.ceil(F.col("__n") / CELL_ROWS))
+        rows = sized.join(cells, cell).withColumn("__part", part)
+        rows = written_table(rows.drop("__cell_source", "__cell_size"), "mix-rows")
+        by_part = Window.partitionBy("__cell").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+        parts = rows.groupBy("__cell", "__part").agg(F.count("*").alias("m"))
+        parts = parts.select("__cell", "__part", F.coalesce(F.sum("m").over(by_part), F.lit(0)).alias("__earlier"))
+        in_part = Window.partitionBy("__cell", "__part").orderBy("__hash", "doc_id")
+        placed = rows.withColumn("__rank", F.row_number().over(in_part)).join(parts, ["__cell", "__part"])
+        place = F.col("__smaller") + F.col("__earlier") + F.col("__rank")
+        expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+        offset = _unit(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("__source"), F.lit("")))))
+        copies = F.floor(place * expected + offset) - F.floor((place - 1) * expected + offset)
+        mixed = placed.select(
+            "doc_id",
+            "size",
+            "source_size",
+            "target",
+            copies.cast("long").alias("copies"),
+            (copies * F.col("size")).cast("long").alias("taken"),
             *[column(k) for k in kept],
-        ),
-        "mix-sizes",
-    )
-    counts = sized.groupBy(F.col("__source").alias("source"), "size").agg(F.count("*").alias("n"))
-    cells = written_table(_cells(counts, weights), "mix-cells")
-    cell = sized["__source"].eqNullSafe(cells["__cell_source"]) & (sized["size"] == cells["__cell_size"])
-    part = F.floor(_unit("__hash") * F.ceil(F.col("__n") / CELL_ROWS))
-    rows = sized.join(cells, cell).withColumn("__part", part)
-    rows = written_table(rows.drop("__cell_source", "__cell_size"), "mix-rows")
-    by_part = Window.partitionBy("__cell").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = rows.groupBy("__cell", "__part").agg(F.count("*").alias("m"))
-    parts = parts.select("__cell", "__part", F.coalesce(F.sum("m").over(by_part), F.lit(0)).alias("__earlier"))
-    in_part = Window.partitionBy("__cell", "__part").orderBy("__hash", "doc_id")
-    placed = rows.withColumn("__rank", F.row_number().over(in_part)).join(parts, ["__cell", "__part"])
-    place = F.col("__smaller") + F.col("__earlier") + F.col("__rank")
-    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    offset = _unit(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("__source"), F.lit("")))))
-    copies = F.floor(place * expected + offset) - F.floor((place - 1) * expected + offset)
-    return placed.select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        copies.cast("long").alias("copies"),
-        (copies * F.col("size")).cast("long").alias("taken"),
-        *[column(k) for k in kept],
-    )
+        )
+        return keep(mixed, "mix")
 
 
 def _unit(hexadecimal):

@@ -10,7 +10,7 @@ from pyspark.sql.types import ArrayType, LongType, StringType
 
 from plumbline.llm.arrow import TEXT, append_columns, column
 from plumbline.llm.words import WordReader, blocks, run_hashes, spaced_word_bytes, utf8
-from plumbline.session import written_table
+from plumbline.session import scratch, written_table
 
 WORDS, PERCENT = 5, 80
 #: Values that a sketch retains, and the chance that a linked pair shares too few of them.
@@ -302,26 +302,26 @@ def near_duplicates(docs, doc_id="doc_id", text="text", words=WORDS, percent=PER
     ids. Texts are read whole; other columns are not used; an empty table gives an
     empty one.
     """
-    rows = written_table(sketches(docs, doc_id, text, words, sketch), "near-sketches")
-    sets = rows.filter("n_shingles > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("least_id"),
-        F.count("*").alias("copies"),
-        F.min(F.struct("text_key", "doc_id")).alias("rep"),
-        F.first("n_shingles").alias("n"),
-        F.first("sketch").alias("sketch"),
-    )
-    sets = written_table(sets.withColumn("node", F.monotonically_increasing_id()), "near-sets")
-    lists = written_table(inverted_lists(sets, percent, sketch), "near-lists")
-    labels = components(links(lists, sets, docs, doc_id, text, words, percent, sketch))
-    named = sets.select("node", "set_id", "least_id", "copies").join(labels, "node", "left")
-    groups = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("least_id").alias("group_id"))
-    named = named.filter("comp IS NOT NULL OR copies > 1").join(groups, "comp", "left")
-    named = named.select("set_id", F.coalesce("group_id", "least_id").alias("component_id"))
-    found = rows.select("doc_id", "n_shingles", "text_key", "set_id").join(named, "set_id", "left")
-    found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return found.select(
-        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key"
-    )
+    with scratch(docs.sparkSession) as keep:
+        rows = written_table(sketches(docs, doc_id, text, words, sketch), "near-sketches")
+        sets = rows.filter("n_shingles > 0").groupBy("set_id").agg(
+            F.min("doc_id").alias("least_id"),
+            F.count("*").alias("copies"),
+            F.min(F.struct("text_key", "doc_id")).alias("rep"),
+            F.first("n_shingles").alias("n"),
+            F.first("sketch").alias("sketch"),
+        )
+        sets = written_table(sets.withColumn("node", F.monotonically_increasing_id()), "near-sets")
+        lists = written_table(inverted_lists(sets, percent, sketch), "near-lists")
+        labels = components(links(lists, sets, docs, doc_id, text, words, percent, sketch))
+        named = sets.select("node", "set_id", "least_id", "copies").join(labels, "node", "left")
+        groups = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("least_id").alias("group_id"))
+        named = named.filter("comp IS NOT NULL OR copies > 1").join(groups, "comp", "left")
+        named = named.select("set_id", F.coalesce("group_id", "least_id").alias("component_id"))
+        found = rows.select("doc_id", "n_shingles", "text_key", "set_id").join(named, "set_id", "left")
+        found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+        kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        return keep(found.select("doc_id", "n_shingles", "component_id", kept, "text_key"), "near-groups")
 
 
 def without_near_duplicates(docs, doc_id="doc_id", text="text", **options):

@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from plumbline.llm.arrow import TEXT, column
 from plumbline.llm.words import ONE_BYTES, blocks, byte_values, mixed, utf8
-from plumbline.session import written_table
+from plumbline.session import scratch, written_table
 
 SPAN, WINDOW, GRAM = 200, 144, 8
 #: Bytes that the suffixes of two equal spans have in common at least.
@@ -422,7 +422,7 @@ def remove_repeats(docs, text="text", carry=None, kept_text=False):
     Every byte that lies in a string of ``SPAN`` bytes which stands anywhere else,
     in another row or in the same, is removed; n_spans counts the maximal removed
     ranges, kept_sha256 is of the other bytes, and with ``kept_text`` they are the
-    column kept_text, a character that is cut through becoming U+FFFD.
+    column kept_text, a character that is cut through becoming U+FFFD and null staying so.
 
     All copies of a text of at least ``SPAN`` bytes are removed whole; otherwise
     one row stands for equal texts. Null and empty texts have no bytes and lose
@@ -432,14 +432,12 @@ def remove_repeats(docs, text="text", carry=None, kept_text=False):
     made = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * kept_text
     taken = {m.lower() for m in made}
     names = [c for c in (docs.columns if carry is None else carry) if c.lower() not in taken]
-    rows = docs.select(
-        *[column(c) for c in names], F.coalesce(column(text), F.lit("")).alias(TEXT)
-    ).withColumn("__key", F.sha2(F.col(TEXT), 256))
-    rows = rows.withColumn("n_bytes", F.octet_length(TEXT).cast("long"))
+    rows = docs.select(*[column(c) for c in names], column(text).alias(TEXT))
+    whole_text = F.coalesce(F.col(TEXT), F.lit(""))
+    rows = rows.withColumn("__key", F.sha2(whole_text, 256))
+    rows = rows.withColumn("n_bytes", F.octet_length(whole_text).cast("long"))
     copies = rows.groupBy("__key").agg(F.count("*").alias("n"), F.first("n_bytes").alias("size"))
     whole = copies.filter((F.col("n") > 1) & (F.col("size") >= SPAN))
-    found = repeated_places(rows, "__key", TEXT)
-    found = found.join(whole.select(F.col("__key").alias("key")), "key", "left_anti")
 
     def results(batches):
         for batch in batches:
@@ -459,7 +457,6 @@ def remove_repeats(docs, text="text", carry=None, kept_text=False):
     kinds = [("__key", StringType()), ("n_removed", LongType()), ("n_spans", LongType())]
     kinds += [("kept_sha256", StringType()), ("kept_text", StringType())]
     schema = StructType([StructField(n, t) for n, t in kinds])
-    cut = found.select("key", "text", "spans").mapInArrow(results, schema)
     gone = whole.select(
         "__key",
         F.col("size").alias("n_removed"),
@@ -467,7 +464,11 @@ def remove_repeats(docs, text="text", carry=None, kept_text=False):
         F.lit(EMPTY_SHA).alias("kept_sha256"),
         F.lit("").alias("kept_text"),
     )
-    changed = written_table(cut.unionByName(gone), "suffix-results")
+    with scratch(docs.sparkSession) as keep:
+        found = repeated_places(rows, "__key", TEXT)
+        found = found.join(whole.select(F.col("__key").alias("key")), "key", "left_anti")
+        cut = found.select("key", "text", "spans").mapInArrow(results, schema)
+        changed = keep(cut.unionByName(gone), "suffix-results")
     shown = rows if kept_text else rows.drop(TEXT)
     answered = shown.join(changed, "__key", "left")
     return answered.select(

@@ -88,7 +88,8 @@ def test_repeats_equal_brute_force(spark, docs_of, monkeypatch, sizes):
     found = suffix_dedup.remove_repeats(docs_of(texts), kept_text=True)
     assert rows(found, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats(texts)
     left = rows(found, "kept_text", "n_bytes", "n_removed")
-    assert all(len(t.encode()) == b - r for t, b, r in left if "\ufffd" not in t)
+    assert left[0] == (None, 0, 0)
+    assert all(len(t.encode()) == b - r for t, b, r in left[1:] if "\ufffd" not in t)
     assert suffix_dedup.remove_repeats(docs_of(["x"]).limit(0)).count() == 0
 
 
