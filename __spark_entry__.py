@@ -201,6 +201,31 @@ def knn_predict_blocked(spark, sf_dir):
     return model.predict(test).select(F.col("row_id").alias("vec_id"), "prediction")
 
 
+def _shared_ids(spark, sf_dir):
+    """Embeddings whose ids repeat or are missing; the first coordinate tells them apart."""
+    rows = _embeddings(spark, sf_dir)
+    shared = F.when(F.col("row_id") % 7 > 0, F.col("row_id") % 50)
+    return rows.withColumns({"vec_id": F.col("row_id"), "row_id": shared})
+
+
+def _predict_shared_ids(spark, sf_dir, **limits):
+    model = pl.fit_knn(_embeddings(spark, sf_dir), K, **limits)
+    return model.predict(_shared_ids(spark, sf_dir)).select("vec_id", "prediction")
+
+
+def knn_predict_repeated_ids(spark, sf_dir):
+    return _predict_shared_ids(spark, sf_dir)
+
+
+def knn_predict_repeated_ids_blocked(spark, sf_dir):
+    return _predict_shared_ids(spark, sf_dir, **BLOCKED)
+
+
+def knn_predict_one(spark, sf_dir):
+    parts = pl.split_by_key(_embeddings(spark, sf_dir))
+    return pl.fit_knn(parts.train, 1).predict(parts.test).select(F.col("row_id").alias("vec_id"), "prediction")
+
+
 def knn_accuracy(spark, sf_dir):
     model, test = _knn(spark, sf_dir)
     predicted = model.predict(test).select("row_id", "prediction")
@@ -263,9 +288,26 @@ def cluster_sizes(spark, sf_dir):
 
 
 def kmeans_fit_predict(spark, sf_dir):
+    """Facts of a seeded fit that hold whatever centres it finds."""
     rows = _embeddings(spark, sf_dir)
-    clusters = pl.num_classes(rows)
-    return pl.fit_kmeans(rows, clusters).predict(rows).select("row_id", "prediction")
+    model = pl.fit_kmeans(rows, pl.num_classes(rows))
+    centers = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.centers])
+    gaps = F.transform(
+        centers,
+        lambda c: F.aggregate(
+            F.zip_with("features", c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda n, g: n + g
+        ),
+    )
+    found = model.assign(rows).withColumn("gap", F.array_min(gaps))
+    mean = np.array(pl.lloyd(rows, np.zeros((1, WIDTH)), 1, 0.0).centers)
+    total = pl.lloyd(rows, mean, 0).inertia
+    return found.agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("prediction").alias("n_clusters"),
+        F.bool_and(F.abs(F.col("distance") - F.col("gap")) < 1e-6).alias("all_at_nearest"),
+        (F.abs(F.sum("distance") - model.inertia) < 1e-3 * total).alias("inertia_is_sum"),
+        (F.sum("distance") < total).alias("inertia_below_total"),
+    )
 
 
 def _line_flags(spark, sf_dir):
@@ -322,18 +364,24 @@ def _forest(spark, sf_dir):
 
 
 def rf_fit_predict(spark, sf_dir):
+    """Every test row with its label, and whether a class of the training rows was predicted."""
     model, test = _forest(spark, sf_dir)
-    return model.predict(test).select("row_id", "label", "prediction")
+    known = F.col("prediction").isin(*model.classes)
+    return model.predict(test).select("row_id", "label", known.alias("known_class"))
 
 
 def rf_accuracy(spark, sf_dir):
+    """Whether the forest is at least as right as naming the most frequent label."""
     model, test = _forest(spark, sf_dir)
-    return pl.accuracy(model.predict(test))
+    found = pl.accuracy(model.predict(test))
+    most = test.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n").alias("most"))
+    return found.crossJoin(most).select("n_rows", (F.col("n_correct") >= F.col("most")).alias("majority_or_better"))
 
 
 def rf_train_set(spark, sf_dir):
     rows = _document_features(spark, sf_dir)
-    return pl.accuracy(pl.fit_random_forest(rows).predict(rows))
+    found = pl.accuracy(pl.fit_random_forest(rows).predict(rows))
+    return found.select("n_rows", (F.col("accuracy") > 0.9).alias("above_0_9"))
 
 
 def rf_separable(spark, sf_dir):
@@ -431,6 +479,31 @@ def knn_score_stream(spark, sf_dir):
     return _scored(spark, sf_dir, pl.fit_knn(_embeddings(spark, sf_dir), K))
 
 
+def knn_score_stream_blocked(spark, sf_dir):
+    return _scored(spark, sf_dir, pl.fit_knn(_embeddings(spark, sf_dir), K, **BLOCKED))
+
+
+def rf_score_stream(spark, sf_dir):
+    rows = _line_flags(spark, sf_dir)
+    model = pl.fit_random_forest(rows, max_depth=10)
+    flags = _line_flags(spark, sf_dir).schema
+    folder = pl.shared_folder(spark, "line-flags")
+    rows.write.parquet(folder)
+    stream = spark.readStream.schema(flags).parquet(folder)
+    path = pl.shared_folder(spark, "scored")
+    pl.score_stream(model, stream, path, pl.shared_folder(spark, "scored-state")).awaitTermination()
+    return spark.read.parquet(path).select("l_orderkey", "l_linenumber", "prediction")
+
+
+def csv_row_cap(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    path = pl.shared_folder(spark, "documents-csv")
+    docs.select("doc_id", "n_chars", "source").orderBy("doc_id").write.option("header", True).csv(path)
+    loaded = pl.load_labelled_csv(spark, path, "source", max_rows=50, text_label=True)
+    chars = F.col("features")[1].cast("long").alias("n_chars")
+    return loaded.rows.select("row_id", chars, "label")
+
+
 # --- jobs and report -------------------------------------------------------------------
 
 BUDGETS = (100, -1)
@@ -457,6 +530,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         csv_load_labelled,
         csv_load_text_label,
+        csv_row_cap,
         row_identity,
         row_cap,
         parse_features,
@@ -471,6 +545,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         knn_neighbors_blocked,
         knn_predict,
         knn_predict_blocked,
+        knn_predict_repeated_ids,
+        knn_predict_repeated_ids_blocked,
+        knn_predict_one,
         knn_accuracy,
         knn_train_set,
         kmeans_assign,
@@ -489,6 +566,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         utilization_stream_closed,
         kmeans_score_stream,
         knn_score_stream,
+        knn_score_stream_blocked,
+        rf_score_stream,
         benchmark_report,
         report_csv,
     ]
@@ -654,6 +733,29 @@ def oracle_sql() -> dict[str, str]:
         + " HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE",
         "kmeans_score_stream": lloyd_rows,
         "knn_score_stream": self_votes,
+        "knn_score_stream_blocked": self_votes,
+        "knn_predict_repeated_ids": self_votes,
+        "knn_predict_repeated_ids_blocked": self_votes,
+        "knn_predict_one": f"""
+            WITH {PARTS} SELECT vec_id, label AS prediction FROM (SELECT q.vec_id, t.label, row_number() OVER
+              (PARTITION BY q.vec_id ORDER BY {_gap('q.e', 't.e')}, t.vec_id) AS r FROM test q, train t) WHERE r = 1""",
+        "rf_score_stream": f"SELECT l_orderkey, l_linenumber, {flag_code} AS prediction FROM lineitem",
+        "rf_fit_predict": f"""
+            WITH o AS (SELECT doc_id AS row_id, quality AS label, row_number() OVER (ORDER BY doc_id) AS pos,
+              count(*) OVER () * 4 // 5 AS cut FROM documents JOIN labels USING (doc_id))
+            SELECT row_id, label, true AS known_class FROM o WHERE pos > cut""",
+        "rf_accuracy": f"""
+            SELECT count(*) - count(*) * 4 // 5 AS n_rows, true AS majority_or_better FROM ({RATED})""",
+        "rf_train_set": f"SELECT count(*) AS n_rows, true AS above_0_9 FROM ({RATED})",
+        "kmeans_fit_predict": """
+            SELECT count(*) AS n_rows, count(DISTINCT label) AS n_clusters, true AS all_at_nearest,
+              true AS inertia_is_sum, true AS inertia_below_total FROM embeddings""",
+        "csv_row_cap": """
+            WITH o AS (SELECT doc_id, n_chars, source, row_number() OVER (ORDER BY doc_id) - 1 AS row_id
+              FROM documents ORDER BY doc_id LIMIT 50),
+            f AS (SELECT source, min(row_id) AS first FROM o GROUP BY source),
+            c AS (SELECT source, (row_number() OVER (ORDER BY first) - 1)::INTEGER AS id FROM f)
+            SELECT row_id, n_chars::FLOAT::BIGINT AS n_chars, id AS label FROM o JOIN c USING (source)""",
         "benchmark_report": _report_sql(BUDGETS, ["Random Forest", "KNN", "KMeans"], True),
         "report_csv": _report_sql([-1], ["KNN", "KMeans"], False),
     }

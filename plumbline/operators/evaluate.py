@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
-BROADCAST_RUNS = 500_000
-SALTS = 16
+from plumbline.session import written_table
+
+BROADCAST_BYTES = 16 << 20
+# Readings of one run that are summed in one task, about.
+SALT_ROWS = 1_000_000
 
 
 def training_shape(df, features="features", label=None):
@@ -76,17 +79,25 @@ def utilization_summary(runs, samples, run="run_id", ts="ts", value="util"):
 
     ``runs`` holds one row per run with ``started_at`` and ``stopped_at``. A run
     without samples has average and peak 0, and no peak is below 0. Samples are
-    summed before the shuffle; when the runs are too many to broadcast, the
-    samples of one run are spread over several tasks.
+    summed before the shuffle; when the runs are too many bytes to broadcast, the
+    samples of a run that has many are spread over as many tasks as they need.
     """
+    runs = written_table(runs, "runs")
     spans = runs.select(run, "started_at", "stopped_at")
     taken = samples.select(run, F.col(ts).alias("_ts"), F.col(value).alias("_value"))
-    if spans.count() <= BROADCAST_RUNS:
+    size = spans.agg(F.sum(F.octet_length(F.col(run).cast("string")) + 16)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
         joined = taken.join(F.broadcast(spans), run)
     else:
-        salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        taken = taken.withColumn("_salt", F.pmod(F.xxhash64("_ts", "_value"), F.lit(SALTS)).cast("int"))
-        joined = taken.join(spans.withColumn("_salt", salt), [run, "_salt"])
+        counts = taken.groupBy(run).agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("_salts"))
+        # One run for each SALT_ROWS readings at most.
+        hot = F.broadcast(written_table(counts.filter("_salts > 1"), "hot-runs"))
+        salt = F.pmod(F.xxhash64("_ts", "_value"), F.col("_salts")).cast("int")
+        salted = taken.join(hot, run).withColumn("_salt", salt).drop("_salts")
+        each = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+        spread = spans.join(hot, run).withColumn("_salt", each).drop("_salts")
+        joined = taken.join(hot, run, "left_anti").join(spans, run)
+        joined = joined.unionByName(salted.join(spread, [run, "_salt"]).drop("_salt"))
     inside = joined.filter(F.col("_ts").between(F.col("started_at"), F.col("stopped_at")))
     found = inside.groupBy(run).agg(
         F.avg("_value").alias("_avg"), F.max("_value").alias("_max"), F.count("_value").alias("_n")

@@ -2,6 +2,8 @@
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -14,8 +16,9 @@ DEFAULT_DEPTH = 16
 DEEPEST = 30
 BINS = 128
 SEED = 42
-MAX_CLASSES = 10_000
-SPREAD_VALUES = 50_000_000
+# A partition of the training table holds about so many values.
+PART_VALUES, LEAST_PARTS = 2_000_000, 8
+BROADCAST_CLASSES = 1_000_000
 
 
 @dataclass
@@ -27,20 +30,36 @@ class ForestModel:
     def predict(self, df, features="features", prediction="prediction"):
         """Adds the class with the highest vote, leaf class shares summed over the trees."""
         vectors = df.withColumn("_vector", array_to_vector(of_width(features, self.width)))
-        scored = self.trees.transform(vectors)
-        names = F.array(*[F.lit(c) for c in self.classes])
-        return scored.withColumn(prediction, names[F.col("_class").cast("int")]).drop(
-            "_vector", "_class"
-        )
+        scored = self.trees.transform(vectors).drop("_vector")
+        names = _class_table(df.sparkSession, self.classes).withColumnRenamed("_name", prediction)
+        return scored.drop(prediction).join(names, "_class", "left").drop("_class")
+
+
+def _class_table(spark, classes):
+    """Class numbers as the trees give them, with the labels; a few bytes each."""
+    rows = pa.table({"_class": pa.array(np.arange(len(classes), dtype=np.float64)), "_name": pa.array(classes, pa.int32())})
+    table = spark.createDataFrame(rows)
+    return F.broadcast(table) if len(classes) <= BROADCAST_CLASSES else table
 
 
 def _classes(df, label):
-    """The distinct labels, which the trees need numbered without gaps."""
-    found = df.select(F.col(label).cast("int").alias("c")).distinct().limit(MAX_CLASSES + 1)
-    classes = sorted(r["c"] for r in found.collect())
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes: {label!r} is not a class label")
-    return classes
+    """The distinct labels, which the trees need numbered without gaps.
+
+    The trees keep one count for each of them at every node on the driver.
+    """
+    found = df.select(F.col(label).cast("int").alias("c")).distinct().collect()
+    return sorted(r["c"] for r in found)
+
+
+def _parts(rows, width, row_id, values):
+    """The rows in partitions that depend on nothing but the rows.
+
+    Bootstrap samples are drawn by partition and place in it. Rows go by a hash of
+    their id, of all values where there is none, and stand in order.
+    """
+    count = rows * width // PART_VALUES + LEAST_PARTS
+    keys = [row_id] if row_id in values.columns else values.columns
+    return values.repartition(int(count), F.xxhash64(*keys)).sortWithinPartitions(*keys)
 
 
 def fit_random_forest(
@@ -53,6 +72,7 @@ def fit_random_forest(
     features="features",
     label="label",
     memory_mb=512,
+    row_id="row_id",
 ):
     """Gini trees on bootstrap samples with the square root of the columns per node.
 
@@ -64,18 +84,14 @@ def fit_random_forest(
         raise ValueError(f"max_depth must lie between 0 and {DEEPEST}, not {max_depth}")
     rows_found, width = training_shape(df, features, label)
     classes = _classes(df, label)
-    number = F.array_position(
-        F.array(*[F.lit(c) for c in classes]), F.col(label).cast("int")
-    ).cast("double") - F.lit(1.0)
     nominal = {"ml_attr": {"type": "nominal", "num_vals": max(2, len(classes))}}
-    rows = df.select(
-        array_to_vector(F.col(features)).alias("_vector"),
-        number.alias("_label", metadata=nominal),
-    )
-    small = rows_found * width <= SPREAD_VALUES
-    if small:
-        # A small table comes in few splits, and every tree level is heavy work.
-        rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism).persist()
+    kept = [row_id] if row_id in df.columns else []
+    values = df.select(*kept, F.col(features).alias("_features"), F.col(label).cast("int").alias("_name"))
+    parted = _parts(rows_found, width, row_id, values.join(_class_table(df.sparkSession, classes), "_name"))
+    rows = parted.select(
+        array_to_vector(F.col("_features")).alias("_vector"),
+        F.col("_class").alias("_label", metadata=nominal),
+    ).persist()
     estimator = RandomForestClassifier(
         featuresCol="_vector",
         labelCol="_label",
@@ -95,6 +111,5 @@ def fit_random_forest(
         maxMemoryInMB=memory_mb,
     )
     fitted = estimator.fit(rows)
-    if small:
-        rows.unpersist()
+    rows.unpersist()
     return ForestModel(fitted, classes, width)

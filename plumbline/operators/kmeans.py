@@ -11,12 +11,21 @@ from pyspark.sql import functions as F
 from plumbline.functions import blocks
 from plumbline.functions.vectors import of_width
 from plumbline.operators.evaluate import training_shape
-from plumbline.operators.nearest import BROADCAST_BYTES, PointSet, as_points, with_neighbors
+from plumbline.operators.nearest import (
+    BROADCAST_BYTES,
+    PointSet,
+    as_points,
+    point_bytes,
+    with_neighbors,
+)
 
 DEFAULT_CLUSTERS = 8
 DEFAULT_ITERATIONS = 300
 DEFAULT_TOLERANCE = 1e-4
 SEED = 42
+# Partial sums of a cluster meet in two steps: so many groups of tasks, then one row.
+MERGE_TREE, MERGE_PARTS = 64, 256
+PARTIAL = "cluster_id int, n long, cost double, sums array<double>"
 
 
 @dataclass
@@ -30,7 +39,7 @@ class CentroidModel:
     def assign(self, df, features="features", row_id="row_id"):
         """Adds ``prediction`` and the squared ``distance`` to that centre."""
         points = PointSet.of_centers(df.sparkSession, self.centers)
-        found = with_neighbors(df, points, 1, features, row_id, "_nearest")
+        found = with_neighbors(df, points, 1, features, "_nearest")
         hit = F.col("_nearest")[0]
         return (
             found.withColumn("prediction", hit["label"])
@@ -51,7 +60,7 @@ class CentroidModel:
 def _check_clusters(k, width):
     if k < 1:
         raise ValueError(f"the number of clusters must be at least 1, not {k}")
-    if k * width * 8 > BROADCAST_BYTES:
+    if k * point_bytes(width) > BROADCAST_BYTES:
         raise ValueError(f"{k} centres of {width} columns do not fit the broadcast bound")
 
 
@@ -90,7 +99,10 @@ def _partial_sums(shared, width):
             cluster = cluster[:, 0]
             counts += np.bincount(cluster, minlength=len(centers))
             costs += np.bincount(cluster, weights=distance[:, 0], minlength=len(centers))
-            np.add.at(sums, cluster, rows)
+            order = np.argsort(cluster, kind="stable")
+            first = np.flatnonzero(np.diff(cluster[order], prepend=-1))
+            if len(first):
+                sums[cluster[order][first]] += np.add.reduceat(rows[order], first, axis=0)
         seen = np.nonzero(counts)[0]
         yield pa.RecordBatch.from_arrays(
             [
@@ -108,22 +120,38 @@ def _partial_sums(shared, width):
 def _cluster_sums(df, centers, width):
     """Count, cost and coordinate sums of every non-empty cluster."""
     shared = df.sparkSession.sparkContext.broadcast(as_points(centers))
-    partial = df.mapInArrow(
-        _partial_sums(shared, width), "cluster_id int, n long, cost double, sums array<double>"
-    )
+    partial = df.mapInArrow(_partial_sums(shared, width), PARTIAL)
+    parts = max(1, min(MERGE_PARTS, len(centers)))
     merged = (
-        partial.select("cluster_id", "n", "cost", F.posexplode("sums").alias("axis", "part"))
-        .groupBy("cluster_id", "axis")
-        .agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.sum("part").alias("total"))
+        partial.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_TREE)))
+        .groupBy("cluster_id", "part")
+        .applyInArrow(_add_sums, PARTIAL)
+        .repartition(parts, "cluster_id")
+        .groupBy("cluster_id")
+        .applyInArrow(_add_sums, PARTIAL)
     )
     found = merged.toArrow()
     shared.unpersist()
-    counts, sums, cost = np.zeros(len(centers)), np.zeros(centers.shape), 0.0
-    cluster, axis = found["cluster_id"].to_numpy(), found["axis"].to_numpy()
+    counts, sums = np.zeros(len(centers)), np.zeros(centers.shape)
+    cluster = found["cluster_id"].to_numpy()
     counts[cluster] = found["n"].to_numpy()
-    sums[cluster, axis] = found["total"].to_numpy()
-    cost = float(found["cost"].to_numpy()[axis == 0].sum())
-    return counts, sums, cost
+    if len(cluster):
+        sums[cluster] = blocks.doubles(found["sums"], width)
+    return counts, sums, float(found["cost"].to_numpy().sum())
+
+
+def _add_sums(parts):
+    """Partial sums of one cluster as one row, added up array by array."""
+    width = len(parts["sums"][0])
+    sums = blocks.doubles(parts["sums"], width).sum(axis=0)
+    return pa.table(
+        {
+            "cluster_id": pa.array([parts["cluster_id"][0].as_py()], pa.int32()),
+            "n": pa.array([int(parts["n"].to_numpy().sum())], pa.int64()),
+            "cost": pa.array([float(parts["cost"].to_numpy().sum())]),
+            "sums": pa.array([sums], pa.list_(pa.float64())),
+        }
+    )
 
 
 def lloyd(

@@ -21,8 +21,13 @@ class KnnModel:
         return nearest_neighbors(df, self.points, self.k, features, row_id)
 
     def predict(self, df, features="features", row_id="row_id", prediction="prediction"):
-        """Adds the majority label of the k nearest; the lowest label wins a tie."""
-        found = with_neighbors(df, self.points, self.k, features, row_id, "_neighbors")
+        """Adds the majority label of the k nearest; the lowest label wins a tie.
+
+        Rows are answered each, whatever their ids, of any size of training table.
+        """
+        if df.isStreaming:
+            raise ValueError("k-NN scores tables: use score_stream for a stream")
+        found = with_neighbors(df, self.points, self.k, features, "_neighbors")
         vote = majority(F.col("_neighbors.label"))
         return found.withColumn(prediction, vote).drop("_neighbors")
 

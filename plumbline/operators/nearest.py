@@ -10,6 +10,9 @@ bounds its distance to a whole pivot cell from below, and only cells that can
 hold a neighbour are visited. Cells and query groups are cut into blocks of
 bounded size by a hash of the row id, so a cell that holds much of the table is
 spread over many tasks. Blocks emit k rows per query, never all pairs.
+
+Both ways answer every row by itself: queries get an id of their own, so rows with
+equal, null or no ids are told apart, and a row without neighbours stays.
 """
 
 from dataclasses import dataclass, field
@@ -33,6 +36,7 @@ FINER = 2
 PROBE_ROWS = 10_000
 FEW_MET = 0.5
 SAMPLE_ROWS = 2048
+COPY_PARTS = 64
 MIN_BLOCK_ROWS = 16
 BLOCKS_PER_CORE = 4
 MAX_TASKS = 20_000
@@ -44,6 +48,11 @@ NEIGHBOR = "struct<distance:double,train_id:bigint,label:int>"
 NEIGHBOR_ROWS = "query_id long, distance double, train_id long, label int"
 
 
+def point_bytes(width):
+    """The bound of one point's size in a broadcast."""
+    return 8 * width + 16
+
+
 @dataclass
 class PointSet:
     """Reference points as ``(train_id, label, features)`` rows."""
@@ -54,6 +63,7 @@ class PointSet:
     broadcast_bytes: int = BROADCAST_BYTES
     block_bytes: int = BLOCK_BYTES
     shared: dict[int, Broadcast] = field(default_factory=dict, repr=False)
+    stored: dict = field(default_factory=dict, repr=False)
 
     @classmethod
     def of_centers(cls, spark, centers, **limits):
@@ -65,12 +75,34 @@ class PointSet:
 
     @property
     def row_bytes(self):
-        return 8 * self.width + 16
+        return point_bytes(self.width)
 
     @property
     def fits_broadcast(self):
         return self.rows * self.row_bytes <= self.broadcast_bytes
 
+    def reference(self, k):
+        """The rows that can be among the k nearest and a sample, stored once.
+
+        Copies of a point beyond the k lowest ids lose every tie. They are dropped
+        in parts of a hot point first, so no task ranks all of its copies.
+        """
+        if ("reference", k) not in self.stored:
+            part = F.pmod(F.xxhash64("train_id"), F.lit(COPY_PARTS))
+            rows = self.table
+            for keys in (["features", part], ["features"]):
+                copies = Window.partitionBy(*keys).orderBy("train_id")
+                rows = rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k).drop("copy")
+            self.stored["reference", k] = written_table(rows, "reference"), _sample(self)
+        return self.stored["reference", k]
+
+    def cells(self, k, n_cells):
+        """The reference by nearest pivot, found once for a number of pivots."""
+        if ("cells", k, n_cells) not in self.stored:
+            reference, sample = self.reference(k)
+            self.stored["cells", k, n_cells] = _cells(reference, sample, n_cells, self.width)
+        return self.stored["cells", k, n_cells]
+
     def local(self, k):
         """Ids, labels and matrix of all points, shared with every task once."""
         if k not in self.shared:
@@ -110,47 +142,44 @@ def _search_udf(shared, width, k):
     return search
 
 
-def _spread(df, points, key):
+def _spread(df, points):
     """More tasks for a search that is heavy for its input size."""
     work_per_row = points.rows * points.width
     if df.isStreaming or points.rows < SPREAD_ROWS:
         return df
     tasks = min(MAX_TASKS, df.count() * work_per_row // WORK_PER_TASK)
-    return df.repartition(int(tasks), key) if tasks > 1 else df
+    return df.repartition(int(tasks)) if tasks > 1 else df
 
 
-def with_neighbors(df, points, k, features="features", query_id="row_id", name="neighbors"):
+def with_neighbors(df, points, k, features="features", name="neighbors"):
     """The k nearest points of each row as an array ordered by distance, then id."""
     if k < 1:
         raise ValueError(f"k must be at least 1, not {k}")
     if points.fits_broadcast:
         search = _search_udf(points.local(k), points.width, k)
-        wide = _spread(df, points, query_id)
-        return wide.withColumn(name, search(of_width(features, points.width)))
+        return _spread(df, points).withColumn(name, search(of_width(features, points.width)))
     if df.isStreaming:
         raise ValueError("this reference table needs a shuffle: score the stream by foreachBatch")
-    queries = df.select(
-        F.col(query_id).alias("query_id"), of_width(features, points.width).alias("features")
+    asked = df.select(
+        F.monotonically_increasing_id().alias("query_id"),
+        of_width(features, points.width).alias("features"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
     )
-    hits = _search_blocks(queries, points, k)
+    visiting, hits = _search_blocks(asked, points, k)
     found = hits.groupBy("query_id").agg(
-        F.sort_array(F.collect_list(F.struct("distance", "train_id", "label"))).alias(name)
+        F.sort_array(F.collect_list(F.struct("distance", "train_id", "label"))).alias("found")
     )
-    return df.join(found.withColumnRenamed("query_id", query_id), query_id)
+    none = F.array().cast(f"array<{NEIGHBOR}>")
+    rows = visiting.select("query_id", "row").join(found, "query_id", "left")
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c != name]
+    return rows.select(*kept, F.coalesce("found", none).alias(name))
 
 
 def nearest_neighbors(df, points, k, features="features", query_id="row_id"):
     """One row per query and neighbour: id, rank from 1, neighbour id, distance, label."""
-    if points.fits_broadcast or df.isStreaming:
-        found = with_neighbors(df, points, k, features, query_id)
-        hits = found.select(query_id, F.posexplode("neighbors").alias("rank", "hit"))
-        return hits.select(query_id, (F.col("rank") + 1).alias("rank"), "hit.*")
-    queries = df.select(
-        F.col(query_id).alias("query_id"), of_width(features, points.width).alias("features")
-    )
-    return _search_blocks(queries, points, k).select(
-        F.col("query_id").alias(query_id), "rank", "distance", "train_id", "label"
-    )
+    found = with_neighbors(df, points, k, features)
+    hits = found.select(query_id, F.posexplode("neighbors").alias("rank", "hit"))
+    return hits.select(query_id, (F.col("rank") + 1).alias("rank"), "hit.*")
 
 
 def _hash(column, modulus):
@@ -250,7 +279,7 @@ def _cells(reference, sample, n_cells, width):
 
 def _visits(queries, shared, radii, n_homes, width, k):
     visit = _visit_udf(shared, radii, n_homes, width, k)("features")
-    return queries.withColumn("visit", visit).select("query_id", "features", "visit.*")
+    return queries.withColumn("visit", visit).select(*queries.columns, "visit.*")
 
 
 def _count_visits(visiting):
@@ -275,8 +304,9 @@ def _met(visits, sizes):
 
 
 def _search_blocks(queries, points, k):
-    """Ranked neighbours of every query, by visits to blocks of the reference."""
+    """The queries, stored, and the best hits of each by blocks of the reference."""
     spark, width = queries.sparkSession, points.width
+    queries = written_table(queries, "queries")
     asked_rows = queries.count()
     # Square blocks: small enough for a task's memory, and many enough for all cores.
     slots = BLOCKS_PER_CORE * spark.sparkContext.defaultParallelism
@@ -289,27 +319,18 @@ def _search_blocks(queries, points, k):
     n_homes = min(PIVOTS, asked_rows // block_rows + 1)
     coarse = min(PIVOTS, max(points.rows // block_rows + 1, n_homes))
     fine = min(FINE_CELLS, points.rows // FINE_ROWS)
-    sample = _sample(points)
-
-    # Copies beyond the k lowest ids lose every tie, so they need no visits.
-    copies = Window.partitionBy("features").orderBy("train_id")
-    reference = (
-        points.table.withColumn("copy", F.row_number().over(copies))
-        .filter(F.col("copy") <= k)
-        .drop("copy")
-    )
-    reference = written_table(reference, "reference")
     found = None
     if fine >= FINER * coarse:
         # Many small cells, if some of the queries show that it spares them most cells.
-        found = _cells(reference, sample, fine, width)
+        found = points.cells(k, fine)
         placed, shared, radii, sizes = found
         some = queries.filter(_hash("query_id", F.lit(asked_rows // PROBE_ROWS + 1)) == 0)
         tried, visits = _count_visits(_visits(some, shared, radii, n_homes, width, k))
         if _met(visits, sizes) > FEW_MET * sum(tried.values()) * sum(sizes.values()):
             found = None
-    placed, shared, radii, sizes = found or _cells(reference, sample, coarse, width)
-    visiting = written_table(_visits(queries, shared, radii, n_homes, width, k), "visits")
+    placed, shared, radii, sizes = found or points.cells(k, coarse)
+    asked = queries.select("query_id", "features")
+    visiting = written_table(_visits(asked, shared, radii, n_homes, width, k), "visits")
     homes, visits = _count_visits(visiting)
     names = ["home", "cell", "query_blocks", "train_blocks"]
     pairs = [
@@ -346,4 +367,4 @@ def _search_blocks(queries, points, k):
         .applyInArrow(_block_search(width, k), NEIGHBOR_ROWS)
     )
     best = Window.partitionBy("query_id").orderBy("distance", "train_id")
-    return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return queries, hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -5,14 +5,14 @@ key. Cutting a table at a position only looks for the key found there: the cut
 is then a range filter on the key, which is pushed into the scan.
 """
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from plumbline.session import written_table
+
 HISTOGRAM_BINS = 4096
 SORT_ROWS = 100_000
-ROWS_PER_BUCKET = 500_000
-MAX_BUCKETS = 8192
+ROWS_PER_PART = 500_000
 INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
 
 
@@ -79,28 +79,25 @@ def cap_rows(df, rows, key="row_id"):
 def with_row_id(df, key, name="row_id"):
     """Dense 0-based position of every row by a unique integral key.
 
-    Rows are ranked inside key ranges of bounded size and shifted by the exact
-    number of rows in the ranges before. The range of a row depends on its key
-    only, so a retried task finds the same position.
+    The rows are ranged by key into partitions of about ``ROWS_PER_PART``, sorted
+    and written once with their place; a position is the place in the partition
+    plus the rows of those before. A null or repeated key is an error at every size.
     """
     _require_integral(df, key)
-    rows = df.count()
-    buckets = min(MAX_BUCKETS, rows // ROWS_PER_BUCKET + 1)
-    probabilities = [i / buckets for i in range(1, buckets)]
-    inner = sorted(set(df.approxQuantile(key, probabilities, 0.25 / buckets))) if probabilities else []
-    if inner:
-        edges = [float("-inf"), *inner, float("inf")]
-        ranged = Bucketizer(splits=edges, inputCol="_key", outputCol="_range").transform(
-            df.withColumn("_key", F.col(key).cast("double"))
-        )
-        ranged = ranged.withColumn("_bucket", F.col("_range").cast("int")).drop("_key", "_range")
-    else:
-        ranged = df.withColumn("_bucket", F.lit(0))
-    counts = {r["_bucket"]: r["count"] for r in ranged.groupBy("_bucket").count().collect()}
-    offsets, total = [], 0
-    for bucket in range(len(inner) + 1):
-        offsets.append(total)
-        total += counts.get(bucket, 0)
-    shift = F.array(*[F.lit(o).cast("long") for o in offsets])[F.col("_bucket")]
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    return ranged.withColumn(name, shift + rank - F.lit(1)).drop("_bucket")
+    here = F.col(key)
+    seen = df.agg(F.count("*").alias("n"), F.count(here).alias("keys"), F.count_distinct(here).alias("kinds")).first()
+    if seen["keys"] < seen["n"]:
+        raise ValueError(f"{key!r} holds nulls, so it does not order the rows")
+    if seen["kinds"] < seen["n"]:
+        raise ValueError(f"{key!r} is not unique")
+    ranged = df.repartitionByRange(seen["n"] // ROWS_PER_PART + 1, key).sortWithinPartitions(key)
+    placed = written_table(
+        ranged.withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}), "ranged"
+    )
+    # One row for each partition.
+    parts = placed.groupBy("_part").agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")
+    shifts = parts.select("_part", offset.alias("_shift"))
+    numbered = placed.join(shifts, "_part").withColumn(name, F.col("_place") + F.col("_shift"))
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns if c != name], name)

@@ -11,7 +11,7 @@ from plumbline.operators.kmeans import fit_kmeans
 from plumbline.operators.knn import DEFAULT_K, fit_knn
 from plumbline.operators.order import cap_rows
 from plumbline.operators.split import split_by_key
-from plumbline.session import written_table
+from plumbline.session import scratch, written_table
 
 # The parameters the jobs run with.
 JOB_TREES = 100
@@ -30,9 +30,9 @@ def _clock():
     return time.perf_counter() * 1000.0, datetime.now(timezone.utc)
 
 
-def _run(name, df, key, fit, predict, score):
+def _run(name, df, key, parts, fit, predict, score):
     """One report row. Predicting and scoring are one pass over the test rows."""
-    parts = split_by_key(df, key)
+    parts = parts or split_by_key(df, key)
     begun, started_at = _clock()
     model = fit(parts.train)
     fitted, _ = _clock()
@@ -60,32 +60,32 @@ def _predict_only(predicted):
     predicted.agg(F.count("prediction")).first()
 
 
-def forest_job(df, key="row_id", trees=JOB_TREES, max_depth=JOB_DEPTH):
+def forest_job(df, key="row_id", trees=JOB_TREES, max_depth=JOB_DEPTH, parts=None):
     """Random forest on the first 80 % of the rows, scored on the rest."""
 
     def fit(train):
-        return fit_random_forest(train, trees, max_depth)
+        return fit_random_forest(train, trees, max_depth, row_id=key)
 
-    return _run("Random Forest", df, key, fit, lambda m, test: m.predict(test), _accuracy)
+    return _run("Random Forest", df, key, parts, fit, lambda m, test: m.predict(test), _accuracy)
 
 
-def knn_job(df, key="row_id", k=DEFAULT_K):
+def knn_job(df, key="row_id", k=DEFAULT_K, parts=None):
     """Nearest neighbours on the first 80 % of the rows, scored on the rest."""
 
     def fit(train):
         return fit_knn(train, k, row_id=key)
 
-    return _run("KNN", df, key, fit, lambda m, test: m.predict(test, row_id=key), _accuracy)
+    return _run("KNN", df, key, parts, fit, lambda m, test: m.predict(test, row_id=key), _accuracy)
 
 
-def kmeans_job(df, key="row_id", max_iter=JOB_ITERATIONS):
+def kmeans_job(df, key="row_id", max_iter=JOB_ITERATIONS, parts=None):
     """As many clusters as classes on the first 80 % of the rows; no accuracy."""
     clusters = num_classes(df)
 
     def fit(train):
         return fit_kmeans(train, clusters, max_iter, JOB_TOLERANCE, row_id=key)
 
-    return _run("KMeans", df, key, fit, lambda m, test: m.predict(test, row_id=key), _predict_only)
+    return _run("KMeans", df, key, parts, fit, lambda m, test: m.predict(test, row_id=key), _predict_only)
 
 
 JOBS = (forest_job, knn_job, kmeans_job)
@@ -98,13 +98,15 @@ def sweep(df, budgets=(-1,), key="row_id", samples=None, jobs=JOBS):
     written; those between start and stop of a run give its average and peak.
     """
     spark = df.sparkSession
-    # Each job passes over the rows many times; they are computed once.
-    df = written_table(df.select(key, "features", "label"), "sweep")
     rows = []
-    for budget in budgets:
-        capped = cap_rows(df, budget, key)
-        for job in jobs:
-            rows.append({"run_id": len(rows), **job(capped, key)})
+    with scratch(spark):
+        # Each job passes over the rows many times; they are computed once.
+        df = written_table(df.select(key, "features", "label"), "sweep")
+        for budget in budgets:
+            capped = cap_rows(df, budget, key)
+            parts = split_by_key(capped, key)
+            for job in jobs:
+                rows.append({"run_id": len(rows), **job(capped, key, parts=parts)})
     names = [part.split()[0] for part in REPORT.split(", ")]
     report = spark.createDataFrame([tuple(row[n] for n in names) for row in rows], REPORT)
     if samples is None:

@@ -1,19 +1,17 @@
 """Labelled CSV files as ``(row_id, features, label)`` tables."""
 
 from dataclasses import dataclass
-from itertools import accumulate
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.parse import feature_array, parse_label
 from plumbline.operators.labels import encode_first_seen
-from plumbline.session import checkpoint_root
+from plumbline.session import written_table
 
 CORRUPT = "_corrupt_record"
-BROADCAST_SPLITS = 500_000
+BROADCAST_BYTES = 16 << 20
 
 # Label columns that would give each other away as features.
 SIBLING_LABELS = {"is_malicious": ["attack_type"], "attack_type": ["is_malicious"]}
@@ -33,53 +31,41 @@ def _header(reader, path):
     return [cell or "" for cell in first]
 
 
-def _pin_splits(spark):
-    """Keeps the cutting of files into splits the same while executors come and go."""
-    key = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(key, None) is None:
-        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
-
-
 def _with_file_position(raw):
-    """Dense position of each row in file order, without shuffling the rows.
+    """Dense position of each row in file order, from one read of the files.
 
-    One light pass counts the rows of every file split. Splits are ordered by
-    file name and offset and their counts summed up; a row's position is its
-    place in its split plus the rows of all splits before.
+    The rows are written once with the file split they came from and their place
+    in it. Splits are ordered by file name and offset and their counts summed up;
+    a row's position is its place in its split plus the rows of all splits before.
     """
-    split = ["_file", "_start", "_length"]
+    split = ["_file", "_start"]
     placed = raw.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
-        F.col("_metadata.file_block_length").alias("_length"),
         F.monotonically_increasing_id().alias("_place"),
     )
-    spark = raw.sparkSession
-    checkpoint_root(spark)
-    counts = placed.groupBy(*split).agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
-    splits = counts.checkpoint()
-    files = splits.groupBy("_file").agg(F.sum("_n").alias("_rows")).orderBy("_file").collect()
-    starts = accumulate((row["_rows"] for row in files), initial=0)
-    before = pa.table(
-        {
-            "_file": pa.array([row["_file"] for row in files], pa.string()),
-            "_before": pa.array(list(starts)[: len(files)], pa.int64()),
-        }
-    )
-    earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        splits.join(spark.createDataFrame(before), "_file")
-        .withColumn("_offset", F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .select(*split, "_first", "_offset")
-    )
-    small = splits.count() <= BROADCAST_SPLITS
-    joined = placed.join(F.broadcast(offsets) if small else offsets, split, "left")
-    position = F.col("_offset") + F.col("_place") - F.col("_first")
-    changed = F.raise_error(F.lit("the files were cut differently between two reads of them"))
-    return joined.withColumn("row_id", F.coalesce(position, changed.cast("long"))).drop(
-        *split, "_place", "_first", "_offset"
-    )
+    placed = written_table(placed, "csv-rows")
+    splits = placed.groupBy(*split).agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    # One row for each split of a file, so the window is small.
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    offsets = written_table(splits.select(*split, offset.alias("_offset")), "csv-splits")
+    size = offsets.agg(F.sum(F.octet_length("_file") + 16)).first()[0] or 0
+    joined = placed.join(F.broadcast(offsets) if size <= BROADCAST_BYTES else offsets, split)
+    return joined.withColumn("row_id", F.col("_place") + F.col("_offset")).drop(*split, "_place", "_offset")
+
+
+def _first_files(raw, rows):
+    """As many of the files, by name, as hold the first ``rows`` rows."""
+    files = sorted(raw.inputFiles())
+    taken = 1
+    while taken < len(files):
+        found = raw.filter(F.col("_metadata.file_path").isin(files[:taken]))
+        if found.limit(rows).count() == rows:
+            return found
+        taken *= 2
+    return raw
 
 
 def load_labelled_csv(spark, path, label, max_rows=-1, text_label=False, exclude=None, multi_line=False):
@@ -100,7 +86,6 @@ def load_labelled_csv(spark, path, label, max_rows=-1, text_label=False, exclude
     left_out = {label, *(SIBLING_LABELS.get(label, []) if exclude is None else exclude)}
     features = [name for name in header if name not in left_out]
 
-    _pin_splits(spark)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*header, CORRUPT]])
     raw = (
         reader.options(header=True, enforceSchema=False, mode="PERMISSIVE", columnPruning=False)
@@ -117,6 +102,8 @@ def load_labelled_csv(spark, path, label, max_rows=-1, text_label=False, exclude
         F.concat(F.lit("wrong number of fields, label '"), cell, F.lit("': "), F.col(CORRUPT))
     )
     whole = F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(ragged.cast("boolean"))
+    if max_rows > 0:
+        raw = _first_files(raw, max_rows)
     placed = _with_file_position(raw).filter(whole)
     if max_rows > 0:
         placed = placed.filter(F.col("row_id") < max_rows)

@@ -135,3 +135,23 @@ def test_file_order_over_many_files_and_splits(spark, tmp_path):
     finally:
         spark.conf.set(key, before)
     assert sorted((r.row_id, int(r.a)) for r in found) == [(i, i) for i in range(2000)]
+
+
+def test_positions_do_not_depend_on_how_files_are_packed(spark, tmp_path):
+    for part in range(8):
+        lines = "".join(f"{100 * part + i},0\n" for i in range(100))
+        (tmp_path / f"part-{part}.csv").write_text("a,y\n" + lines)
+    keys = ["spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"]
+    before = [spark.conf.get(k) for k in keys]
+    table = pl.load_labelled_csv(spark, str(tmp_path), "y")
+    capped = pl.load_labelled_csv(spark, str(tmp_path), "y", max_rows=150)
+    try:
+        for k, value in zip(keys, ("1", "300")):
+            spark.conf.set(k, value)
+        found = table.rows.select("row_id", F.col("features")[0].alias("a")).collect()
+        first = capped.rows.select("row_id", F.col("features")[0].alias("a")).collect()
+    finally:
+        for k, value in zip(keys, before):
+            spark.conf.set(k, value)
+    assert sorted((r.row_id, int(r.a)) for r in found) == [(i, i) for i in range(800)]
+    assert sorted((r.row_id, int(r.a)) for r in first) == [(i, i) for i in range(150)]

@@ -16,9 +16,10 @@ def at(seconds):
     return START + timedelta(seconds=seconds)
 
 
-@pytest.mark.parametrize("broadcast_runs", [500_000, 0])
-def test_utilization(spark, monkeypatch, broadcast_runs):
-    monkeypatch.setattr(evaluate, "BROADCAST_RUNS", broadcast_runs)
+@pytest.mark.parametrize("limits", [(1 << 20, 10), (0, 10), (0, 2)])
+def test_utilization(spark, monkeypatch, limits):
+    monkeypatch.setattr(evaluate, "BROADCAST_BYTES", limits[0])
+    monkeypatch.setattr(evaluate, "SALT_ROWS", limits[1])
     runs = spark.createDataFrame([(i, at(10), at(20)) for i in (1, 2, 3)], RUNS)
     samples = spark.createDataFrame(
         [(1, at(9), 99.0), (1, at(10), 10.0), (1, at(20), 30.0), (1, at(21), 99.0), (2, at(15), -5.0)],

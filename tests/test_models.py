@@ -220,3 +220,45 @@ def test_forest_options(points):
     assert model.trees.getOrDefault("subsamplingRate") == 0.5
     assert model.trees.getFeatureSubsetStrategy() == "1.0"
     assert model.trees.getMaxBins() == 128 and model.trees.getImpurity() == "gini"
+
+
+@pytest.mark.parametrize("limits", PATHS)
+def test_repeated_null_and_absent_ids(spark, limits):
+    train = spark.createDataFrame([(i, [float(i)], i) for i in range(40)], "row_id long, features array<float>, label int")
+    asked = [(1, [0.2]), (1, [9.1]), (None, [30.0]), (None, [30.0]), (2, [5.0])]
+    table = spark.createDataFrame(asked, "row_id long, features array<float>")
+    model = pl.fit_knn(train, 3, **limits)
+    found = model.predict(table).collect()
+    assert sorted((r.features[0], r.prediction) for r in found) == [
+        (pytest.approx(0.2), 0), (5.0, 4), (pytest.approx(9.1), 8), (30.0, 29), (30.0, 29)
+    ]
+    assert model.predict(table.drop("row_id")).count() == 5
+    assert model.neighbors(table).count() == 15
+    with pytest.raises(ValueError, match="score_stream"):
+        model.predict(spark.readStream.format("rate").load())
+
+
+def test_reference_is_stored_once(points, monkeypatch):
+    written = []
+    plain = nearest.written_table
+    monkeypatch.setattr(nearest, "written_table", lambda df, name: written.append(name) or plain(df, name))
+    table = points([(i, [float(i)], i % 2) for i in range(60)])
+    model = pl.fit_knn(table, 2, **GRID)
+    first, second = model.predict(table).count(), model.predict(table).count()
+    assert first == second == 60 and written.count("reference") == 1
+
+
+def test_forest_depends_on_its_rows_only(points, spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=3).tolist(), int(rng.integers(0, 2))) for i in range(300)]
+    found = []
+    for table in (points(rows).repartition(2), points(rows[::-1]).repartition(7)):
+        predicted = pl.fit_random_forest(table, 5, 6).predict(points(rows))
+        found.append(sorted((r.row_id, r.prediction) for r in predicted.select("row_id", "prediction").collect()))
+    assert found[0] == found[1]
+
+
+def test_forest_takes_many_classes(points):
+    table = points([(i, [float(i)], 7 * i - 50) for i in range(120)])
+    found = pl.fit_random_forest(table, 2, 2).predict(table)
+    assert found.filter("prediction % 7 = -1 OR prediction % 7 = 6").count() == 120

@@ -13,7 +13,7 @@ from plumbline.operators.split import train_size
 def small_steps(monkeypatch):
     monkeypatch.setattr(order, "SORT_ROWS", 5)
     monkeypatch.setattr(order, "HISTOGRAM_BINS", 4)
-    monkeypatch.setattr(order, "ROWS_PER_BUCKET", 20)
+    monkeypatch.setattr(order, "ROWS_PER_PART", 20)
 
 
 @pytest.fixture
@@ -89,3 +89,12 @@ def test_large_label_dictionary_is_joined(spark, monkeypatch):
 def test_every_row_keeps_its_columns(spark):
     table = spark.range(30).withColumn("x", F.col("id") * 2)
     assert pl.with_row_id(table, "id").columns == ["id", "x", "row_id"]
+
+
+@pytest.mark.parametrize("rows_per_part", [2, 500_000])
+def test_row_id_refuses_nulls_and_copies_at_every_size(spark, monkeypatch, rows_per_part):
+    monkeypatch.setattr(order, "ROWS_PER_PART", rows_per_part)
+    for keys, message in ([(1, None, 3, 4, 5), "null"], [(1, 2, 2, 4, 5), "not unique"]):
+        table = spark.createDataFrame([(k,) for k in keys], "k long")
+        with pytest.raises(ValueError, match=message):
+            pl.with_row_id(table, "k")
