@@ -158,10 +158,11 @@ def scan_licenses(
     blocks = F.filter(blocks, lambda b: F.arrays_overlap(head(b), _strings(heads)))
     hinted = F.col(TEXT).rlike("|".join(f"{GAP}+".join(map(re.escape, p.split())) for p in phrases) or "(?!)")
     no_places = F.array().cast("array<struct<at:bigint,label:string>>")
+    places = F.when(hinted, phrase_places(F.col(TEXT), phrases)).otherwise(no_places) if phrases else no_places
     found = rows.select(
         *[column(k) for k in kept],
         let(words(F.col(TEXT)), word_count).cast("long").alias("n_words"),
-        F.when(hinted, phrase_places(F.col(TEXT), phrases)).otherwise(no_places).alias("__places"),
+        places.alias("__places"),
         F.when(F.size(blocks) > 0, F.to_json(F.array_sort(F.array_distinct(blocks)))).alias("__blocks"),
     )
     found = written_table(found, "license-rows")
