@@ -8,6 +8,7 @@ the bytes before it back to where its first span starts.
 """
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ BLOCK_BYTES = 1 << 20
 PART_STARTS = 4 << 20
 #: Suffixes sorted in one run, about, those of one range, and the sample that ranges are cut by.
 RUN_SUFFIXES, RANGE_SUFFIXES, SAMPLE_TEXTS, SAMPLE_SUFFIXES = 40_000, 40_000, 4_000, 40_000
+#: A range of more than so many times its suffixes is crowded: one beginning has very many contexts.
+CROWDED = 4
 
 
 class AnchorReader:
@@ -287,10 +290,11 @@ def _suffixes(batches):
             seen.clear()
 
 
-def _sorted_pieces(rows, cuts):
+def _sorted_pieces(rows, cuts, splits):
     """One sorted run cut into ranges: (range, n, packed, size, refs) for each.
 
-    Equal suffixes with equal bytes before are one, however many there are; refs
+    A range between two cuts is split further by a hash of the beginnings, so there
+    are as many ranges as the suffixes need, however few cuts the sample gave. Equal suffixes with equal bytes before are one, however many there are; refs
     has the id and place of each of them, and which one it is.
     """
     rows.sort(key=lambda r: (r[2], r[3]))
@@ -298,7 +302,9 @@ def _sorted_pieces(rows, cuts):
     for ident, place, suffix, before in rows:
         if last != (suffix, before):
             last = (suffix, before)
-            at = int(np.searchsorted(cuts, suffix[:SHARED], "right")) if len(cuts) else 0
+            begin = suffix[:SHARED]
+            at = int(np.searchsorted(cuts, begin, "right")) if len(cuts) else 0
+            at = at * splits + zlib.crc32(begin) % splits
             piece = pieces.setdefault(at, ([], [], [], []))
             piece[0].append(suffix)
             piece[1].append(before)
@@ -311,10 +317,11 @@ def _sorted_pieces(rows, cuts):
 
 
 def _cuts(texts, total):
-    """Suffix beginnings that cut all suffixes into ranges, from a bounded sample."""
+    """Suffix beginnings that cut all suffixes into ranges, from a bounded sample,
+    and the number of parts that each of these needs yet."""
     ranges = -(-total // RANGE_SUFFIXES)
     if ranges < 2:
-        return []
+        return [], 1
 
     def beginnings(batches):
         rows = [[s[:SHARED]] for _, _, s, _ in _suffixes(batches)]
@@ -322,8 +329,52 @@ def _cuts(texts, total):
 
     share = min(1.0, SAMPLE_TEXTS / max(texts.count(), 1))
     sample = texts.sample(share, seed=3).mapInArrow(beginnings, "s binary")
-    picked = sorted(bytes(r.s) for r in sample.orderBy(F.xxhash64("s")).limit(SAMPLE_SUFFIXES).collect())
-    return sorted({picked[len(picked) * i // ranges] for i in range(1, ranges)}) if picked else []
+    picked = sorted(bytes(r.s) for r in sample.orderBy(F.rand(3)).limit(SAMPLE_SUFFIXES).collect())
+    cuts = sorted({picked[len(picked) * i // ranges] for i in range(1, ranges)}) if picked else []
+    return cuts, -(-ranges // (len(cuts) + 1))
+
+
+def _contexts(batches):
+    """(piece, i, n, several, whole, before) of every suffix of front-coded pieces."""
+    for batch in batches:
+        for piece, packed, size, n in zip(*(batch.column(c).to_pylist() for c in ("piece", "packed", "size", "n"))):
+            suffixes, _, befores, several = front_decoded(packed, size, n)
+            wholes = [b + s for b, s in zip(befores, suffixes)]
+            columns = [pa.array([piece] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array([n] * n, pa.int32())]
+            columns += [pa.array(several, pa.int32()), pa.array(wholes, pa.binary())]
+            columns.append(pa.array([len(b) for b in befores], pa.int32()))
+            yield pa.RecordBatch.from_arrays(columns, names=["piece", "i", "n", "several", "whole", "before"])
+
+
+def crowded_offsets(pieces):
+    """(piece, offsets) as ``merged_offsets`` gives them, for pieces of crowded ranges.
+
+    The contexts of one beginning may be too many to meet in one task. Each span
+    of theirs goes by its own digest, counted before the shuffle.
+    """
+    kinds = "piece long, i int, n int, several int, whole binary, before int"
+    contexts = written_table(pieces.mapInArrow(_contexts, kinds), "suffix-contexts")
+    starts = F.explode(F.sequence(F.lit(0), F.octet_length("whole") - SPAN))
+    spans = contexts.select("*", starts.alias("start")).select(
+        "piece", "i", "n", "several", (F.col("before") - F.col("start")).alias("o"),
+        F.unhex(F.md5(F.substring("whole", F.col("start") + 1, F.lit(SPAN)))).alias("digest"),
+    )
+    twice = spans.groupBy("digest").agg(F.sum("several").alias("held")).filter("held > 1").select("digest")
+    repeated = spans.join(twice, "digest").groupBy("piece", "n", "i").agg(F.min("o").alias("low"), F.max("o").alias("high"))
+    # One row for each suffix of a piece, which a run bounds.
+    answers = repeated.groupBy("piece", "n").agg(F.collect_list(F.struct("i", "low", "high")).alias("found"))
+
+    def packed(batches):
+        for batch in batches:
+            offsets = []
+            for n, found in zip(batch.column("n").to_pylist(), batch.column("found")):
+                i, low, high = (found.values.field(c).to_numpy() for c in range(3))
+                out = np.stack([np.full(n, SPAN, np.int64), np.full(n, -1, np.int64)])
+                out[:, i] = low, high
+                offsets.append(out.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(offsets, pa.binary())], names=["piece", "offsets"])
+
+    return answers.mapInArrow(packed, "piece long, offsets binary")
 
 
 def repeated_places(docs, key, text):
@@ -334,7 +385,8 @@ def repeated_places(docs, key, text):
     of them has, once, is dropped. The others are sorted in runs, exchanged front-
     coded by ranges of their beginnings and merged by a loser tree. Only the
     distinct suffixes of a run travel; where they stand stays with the run and
-    meets the answer by the number of its piece.
+    meets the answer by the number of its piece. A crowded range is not gathered:
+    its spans are counted by digest.
     """
     rows = docs.select(column(key).alias("key"), F.xxhash64(column(text)).alias("c"), column(text).alias("text"))
     rows = rows.filter(F.octet_length("text") >= SPAN)
@@ -348,7 +400,7 @@ def repeated_places(docs, key, text):
     texts = rows.join(marks, "c").select("key", "text", "hs", F.monotonically_increasing_id().alias("id"))
     texts = written_table(texts, "suffix-texts")
     total = texts.agg(F.sum(F.size("hs"))).first()[0] or 0
-    cuts = _cuts(texts, total)
+    cuts, splits = _cuts(texts, total)
 
     def runs(batches):
         sliced = np.array(cuts, dtype=object)
@@ -356,11 +408,11 @@ def repeated_places(docs, key, text):
         for row in _suffixes(batches):
             held.append(row)
             if len(held) >= RUN_SUFFIXES:
-                yield _piece_batch(_sorted_pieces(held, sliced))
+                yield _piece_batch(_sorted_pieces(held, sliced, splits))
                 held = []
-        yield _piece_batch(_sorted_pieces(held, sliced))
+        yield _piece_batch(_sorted_pieces(held, sliced, splits))
 
-    pieces = texts.mapInArrow(runs, "range int, n int, packed binary, size long, refs binary")
+    pieces = texts.mapInArrow(runs, "range long, n int, packed binary, size long, refs binary")
     pieces = written_table(pieces.withColumn("piece", F.monotonically_increasing_id()), "suffix-pieces")
 
     def merge(table):
@@ -368,8 +420,12 @@ def repeated_places(docs, key, text):
         found = merged_offsets([(r["packed"], r["size"], r["n"]) for r in rows])
         return pa.table({"piece": table.column("piece"), "offsets": pa.array([f.tobytes() for f in found], pa.binary())})
 
+    crowded = pieces.groupBy("range").agg(F.sum("n").alias("total")).filter(F.col("total") > CROWDED * RANGE_SUFFIXES)
+    crowded = written_table(crowded.select("range"), "suffix-crowded")
     moved = pieces.select("range", "piece", "packed", "size", "n")
-    merged = moved.groupBy("range").applyInArrow(merge, "piece long, offsets binary")
+    merged = moved.join(crowded, "range", "left_anti").groupBy("range").applyInArrow(merge, "piece long, offsets binary")
+    if not crowded.isEmpty():
+        merged = merged.unionByName(crowded_offsets(moved.join(crowded, "range")))
 
     def placed(batches):
         for batch in batches:
@@ -388,7 +444,7 @@ def repeated_places(docs, key, text):
 
 
 def _piece_batch(pieces):
-    kinds = [("range", pa.int32()), ("n", pa.int32()), ("packed", pa.binary()), ("size", pa.int64()), ("refs", pa.binary())]
+    kinds = [("range", pa.int64()), ("n", pa.int32()), ("packed", pa.binary()), ("size", pa.int64()), ("refs", pa.binary())]
     columns = list(zip(*pieces)) or [()] * len(kinds)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, kinds)], names=[n for n, _ in kinds])
 

@@ -77,11 +77,12 @@ def repeated_texts():
     return [*texts, texts[-1], texts[-2]]
 
 
-@pytest.mark.parametrize("sizes", [None, (30, 25)])
-def test_repeats_equal_brute_force(spark, docs_of, monkeypatch, sizes):
+@pytest.mark.parametrize("sizes,crowded", [(None, None), ((30, 25), 4), ((30, 25), 0), ((50, 200), 0.3)])
+def test_repeats_equal_brute_force(spark, docs_of, monkeypatch, sizes, crowded):
     if sizes:
         monkeypatch.setattr(suffix_dedup, "RUN_SUFFIXES", sizes[0])
         monkeypatch.setattr(suffix_dedup, "RANGE_SUFFIXES", sizes[1])
+        monkeypatch.setattr(suffix_dedup, "CROWDED", crowded)
         monkeypatch.setattr(suffix_dedup, "PART_STARTS", 90)
         monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 500)
     texts = repeated_texts()
