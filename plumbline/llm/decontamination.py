@@ -2,20 +2,24 @@
 
 import hashlib
 from collections import defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType
 
-from plumbline.llm.arrow import TEXT, append_columns, column
+from plumbline.llm.arrow import TEXT, append_columns, column, free_of
 from plumbline.llm.words import NONE, WordReader, blocks, plain_word_bytes, run_hashes, utf8, window_minima
+from plumbline.session import scratch, written_table
 
 SPAN = 13
 GRAM = 5
 BLOCK_BYTES = 1 << 20
-#: Bytes of benchmark texts that a task holds at once; more are read in several parts.
-PART_BYTES = 16 << 20
+#: A benchmark of at most so many bytes is broadcast; fingerprints of a larger one are joined.
+BROADCAST_BYTES = 16 << 20
+#: Items that a document is compared with at once where fingerprints are joined, about.
+PART_ITEMS = 64
 
 
 def winnowed(hashes, of, span, gram):
@@ -117,19 +121,136 @@ def covered(ranges):
     return total
 
 
-def item_parts(benchmark, item_id, text, part_bytes):
-    """The items with words, in parts of bounded size, one at a time."""
-    rows = benchmark.select(column(item_id).cast("string").alias("i"), column(text).alias("t"))
-    ids, texts, size = [], [], 0
-    for row in rows.filter("i IS NOT NULL AND t IS NOT NULL").toLocalIterator():
-        ids.append(row.i)
-        texts.append(row.t)
-        size += len(row.t)
-        if size >= part_bytes:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+def _fingerprints(batches, shapes=None):
+    """(size, hash, key) of the distinct fingerprints of each text: an item's own window
+    size, or those of ``shapes`` for a document."""
+    reader = WordReader(plain_word_bytes())
+    for batch in batches:
+        data, bounds = utf8(batch.column(1))
+        sizes, hashes, rows = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for low, high in blocks(bounds, BLOCK_BYTES):
+            _, _, of, words = reader.read(data, bounds[low : high + 1])
+            numbers = np.bincount(of, minlength=high - low)
+            for size, span, gram in shapes(numbers):
+                kept, grams = winnowed(words, of, span, gram)
+                text = of[kept]
+                if shapes.own:
+                    there = np.minimum(numbers[text], shapes.span) == size
+                    kept, text = kept[there], text[there]
+                found = np.unique(np.stack([text + low, grams[kept].view(np.int64)]), axis=1)
+                rows.append(found[0])
+                hashes.append(found[1])
+                sizes.append(np.full(found.shape[1], size, np.int32))
+        keys = batch.column(0).take(pa.array(np.concatenate(rows)))
+        columns = [pa.array(np.concatenate(sizes)), pa.array(np.concatenate(hashes)), keys]
+        yield pa.RecordBatch.from_arrays(columns, names=["size", "hash", "key"])
+
+
+@dataclass(frozen=True)
+class Shapes:
+    """(window size, span, gram) of the windows to be fingerprinted in texts of so many words."""
+
+    span: int
+    gram: int
+    sizes: tuple = ()
+    own: bool = False
+
+    def __call__(self, numbers):
+        sizes = np.unique(np.minimum(numbers[numbers > 0], self.span)) if self.own else self.sizes
+        return [(int(n), self.span, self.gram) if n == self.span else (int(n), int(n), int(n)) for n in sizes]
+
+
+def _contained(rows, items, span, gram):
+    """(key, ranges, items): hit words and items of each text of ``rows`` that has any.
+
+    ``rows`` has key and text, ``items`` item, id and text. Fingerprints of both
+    are joined; a document and the items it shares one with are compared in full,
+    ``PART_ITEMS`` items at a time, so no document's items meet in one place.
+    """
+    kinds = "size int, hash long, key"
+    own = Shapes(span, gram, own=True)
+    theirs = items.select("item", "text").mapInArrow(lambda b: _fingerprints(b, own), f"{kinds} long")
+    theirs = written_table(theirs.withColumnRenamed("key", "item"), "leak-items")
+    # One size for each number of words up to the span.
+    sizes = tuple(r["size"] for r in theirs.select("size").distinct().collect())
+    every = Shapes(span, gram, sizes)
+    ours = rows.mapInArrow(lambda b: _fingerprints(b, every), f"{kinds} string")
+    pairs = written_table(ours.join(theirs, ["size", "hash"]).select("key", "item").distinct(), "leak-pairs")
+    met = pairs.groupBy("key").agg(F.ceil(F.count("*") / PART_ITEMS).alias("parts"))
+    some = pairs.join(met, "key").withColumn("part", F.pmod(F.xxhash64("item"), F.col("parts")))
+    some = some.join(items.withColumnRenamed("text", "item_text"), "item")
+    some = some.groupBy("key", "part").agg(F.collect_list(F.struct("id", "item_text")).alias("items"))
+    texts = rows.join(met.select("key"), "key", "left_semi").dropDuplicates(["key"])
+
+    def compare(batches):
+        scanner = Scanner()
+        for batch in batches:
+            keys, ranges, names = [], [], []
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1).to_pylist()[0]
+                raw = np.frombuffer(row["text"].encode(), np.uint8)
+                held = Items([i["id"] for i in row["items"]], [i["item_text"] for i in row["items"]], span, gram)
+                hits = scanner.scan(held, raw, np.array([0, len(raw)]))[1].get(0)
+                if hits:
+                    keys.append(row["key"])
+                    ranges.append([{"a": a, "b": b} for a, b in {(int(a), int(b)) for a, b, _ in hits}])
+                    names.append(sorted({held.ids[i] for _, _, i in hits}))
+            kinds = [pa.string(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.list_(pa.string())]
+            columns = [pa.array(v, t) for v, t in zip((keys, ranges, names), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "ranges", "items"])
+
+    schema = "key string, ranges array<struct<a: long, b: long>>, items array<string>"
+    found = texts.join(some, "key").select("key", "text", "items").mapInArrow(compare, schema)
+    return found.groupBy("key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("ranges")))).alias("ranges"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+
+
+def _join_contamination(docs, items, text, span, gram, share, carry):
+    """The result of ``find_contamination`` for a benchmark that is not broadcast."""
+    whole = F.coalesce(column(text), F.lit(""))
+    key = F.sha2(whole, 256)
+    with scratch(docs.sparkSession) as keep:
+        items = written_table(items.withColumn("item", F.monotonically_increasing_id()), "leak-benchmark")
+        found = _contained(docs.select(key.alias("key"), whole.alias("text")), items, span, gram)
+        found = keep(found, "leak-hits")
+
+    def start():
+        reader = WordReader(plain_word_bytes())
+
+        def compute(array):
+            data, bounds = utf8(array)
+            numbers = np.zeros(len(array), np.int64)
+            for low, high in blocks(bounds, BLOCK_BYTES):
+                of = reader.read(data, bounds[low : high + 1])[2]
+                numbers[low:high] = np.bincount(of, minlength=high - low)
+            return [pa.array(numbers)]
+
+        return compute
+
+    made = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated"]
+    kept = free_of(docs.columns if carry is None else carry, made)
+    rows = docs.select(F.struct(F.lit(0).alias("__none"), *[column(c) for c in kept]).alias("row"), key.alias("key"), whole.alias(TEXT))
+    rows = append_columns(rows, TEXT, [("n_words", LongType())], start, carry=["row", "key"])
+    zero = F.lit(0).cast("long")
+
+    def add(state, r):
+        more = F.greatest(zero, r["b"] - F.greatest(r["a"], state["reach"]))
+        return F.struct((state["total"] + more).alias("total"), F.greatest(state["reach"], r["b"]).alias("reach"))
+
+    start_state = F.struct(zero.alias("total"), zero.alias("reach"))
+    hit = F.coalesce(F.aggregate("ranges", start_state, add, lambda state: state["total"]), zero)
+    names = F.coalesce(F.array_join("items", ","), F.lit(""))
+    answered = rows.join(found, "key", "left").select(
+        *[F.col("row").getField(c).alias(c) for c in kept],
+        "n_words",
+        hit.alias("n_hit"),
+        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        names.alias("items"),
+        F.sha2(names, 256).alias("items_sha256"),
+    )
+    return answered.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
 
 
 def find_contamination(
@@ -141,7 +262,7 @@ def find_contamination(
     span=SPAN,
     gram=GRAM,
     share=20,
-    part_bytes=PART_BYTES,
+    broadcast_bytes=BROADCAST_BYTES,
     carry=None,
 ):
     """``docs`` with the words that lie in a benchmark window, and the items met.
@@ -153,8 +274,9 @@ def find_contamination(
     each shared span; what the look-up finds is extended to the left and right
     and compared word by word.
 
-    The documents do not move. The benchmark goes to the tasks in parts of
-    ``part_bytes``; a larger benchmark is met part by part by the same batch.
+    A benchmark of at most ``broadcast_bytes`` goes to every task, and the
+    documents do not move. Fingerprints of a larger one are joined with those of
+    the documents by a shuffle. Both ways give the same rows.
 
     Null and empty texts have no words and no hits; null ids or texts of items
     are left out; items with one id count once. Repeated rows are judged each,
@@ -163,35 +285,27 @@ def find_contamination(
     """
     if not 0 < gram <= span:
         raise ValueError("a fingerprint has 1 to span words")
-    context = docs.sparkSession.sparkContext
-    parts = [context.broadcast(p) for p in item_parts(benchmark, item_id, item_text, part_bytes)]
+    items = benchmark.select(column(item_id).cast("string").alias("id"), column(item_text).alias("text")).dropna()
+    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("id") + 16)).first()[0] or 0
+    if size > broadcast_bytes:
+        return _join_contamination(docs, items, text, span, gram, share, carry)
+    whole = items.toArrow()
+    whole = whole["id"].to_pylist(), whole["text"].to_pylist()
+    shared = docs.sparkSession.sparkContext.broadcast(whole)
 
     def start():
-        scanner = Scanner()
-        held = {}
-
-        def items_of(k):
-            if k not in held:
-                held.clear()
-                held[k] = Items(*parts[k].value, span, gram)
-            return held[k]
+        scanner, items = Scanner(), Items(*shared.value, span, gram)
 
         def compute(array):
             data, bounds = utf8(array)
-            numbers = np.zeros(len(array), np.int64)
-            ranges, met = defaultdict(list), defaultdict(set)
-            for k in range(max(1, len(parts))):
-                items = items_of(k) if parts else Items([], [], span, gram)
-                for low, high in blocks(bounds, BLOCK_BYTES):
-                    n, hits = scanner.scan(items, data, bounds[low : high + 1])
-                    numbers[low:high] = n
-                    for number, found in hits.items():
-                        ranges[low + number] += [(a, b) for a, b, _ in found]
-                        met[low + number].update(items.ids[i] for _, _, i in found)
-            hit = np.zeros(len(array), np.int64)
-            for number, found in ranges.items():
-                hit[number] = covered(found)
-            names = [sorted(met.get(i, ())) for i in range(len(array))]
+            numbers, hit = np.zeros(len(array), np.int64), np.zeros(len(array), np.int64)
+            names = [[] for _ in range(len(array))]
+            for low, high in blocks(bounds, BLOCK_BYTES):
+                n, hits = scanner.scan(items, data, bounds[low : high + 1])
+                numbers[low:high] = n
+                for number, found in hits.items():
+                    hit[low + number] = covered((a, b) for a, b, _ in found)
+                    names[low + number] = sorted({items.ids[i] for _, _, i in found})
             return [
                 pa.array(numbers),
                 pa.array(hit),

@@ -177,11 +177,11 @@ def contaminated_texts():
     return texts + [texts[-1], "ww " * 20_000], items
 
 
-@pytest.mark.parametrize("part_bytes", [200, 1 << 20])
-def test_decontamination_equals_brute_force(spark, docs_of, part_bytes):
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_decontamination_equals_brute_force(spark, docs_of, limit):
     texts, items = contaminated_texts()
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    found = find_contamination(docs_of(texts), benchmark, part_bytes=part_bytes)
+    found = find_contamination(docs_of(texts), benchmark, broadcast_bytes=limit)
     known = [(i, t) for i, t in items if i is not None and t is not None]
     expected = brute.contamination(texts, known)
     assert rows(found, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == expected
