@@ -90,8 +90,8 @@ def utilization_summary(runs, samples, run="run_id", ts="ts", value="util"):
         joined = taken.join(F.broadcast(spans), run)
     else:
         counts = taken.groupBy(run).agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("_salts"))
-        # One run for each SALT_ROWS readings at most.
-        hot = F.broadcast(written_table(counts.filter("_salts > 1"), "hot-runs"))
+        # One run for each SALT_ROWS readings at most; Spark broadcasts the table if it is small.
+        hot = written_table(counts.filter("_salts > 1"), "hot-runs")
         salt = F.pmod(F.xxhash64("_ts", "_value"), F.col("_salts")).cast("int")
         salted = taken.join(hot, run).withColumn("_salt", salt).drop("_salts")
         each = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))

@@ -18,6 +18,7 @@ from plumbline.operators.nearest import (
     point_bytes,
     with_neighbors,
 )
+from plumbline.session import scratch, written_table
 
 DEFAULT_CLUSTERS = 8
 DEFAULT_ITERATIONS = 300
@@ -164,8 +165,9 @@ def lloyd(
 ):
     """Fit from given centres; the result depends on nothing but the rows.
 
-    Each pass reads the rows once, sums them per cluster inside the tasks and
-    brings back one row per cluster and column. It stops after ``max_iter``
+    The features are written once, so joins and parsing before them are not
+    repeated. Each pass reads them once, sums them per cluster inside the tasks
+    and brings back one row per cluster. It stops after ``max_iter``
     passes or when no centre moves further than ``tol``; a cluster that loses
     all rows keeps its centre.
     """
@@ -175,6 +177,13 @@ def lloyd(
         raise ValueError(f"centres must have {width} columns")
     _check_clusters(len(centers), width)
     rows = df.select(of_width(features, width).alias("features"))
+    with scratch(df.sparkSession):
+        if max_iter > 1:
+            rows = written_table(rows, "kmeans-rows")
+        return _passes(rows, centers, width, max_iter, tol)
+
+
+def _passes(rows, centers, width, max_iter, tol):
     done = 0
     while done < max_iter:
         counts, sums, _ = _cluster_sums(rows, centers, width)

@@ -31,6 +31,10 @@ class KnnModel:
         vote = majority(F.col("_neighbors.label"))
         return found.withColumn(prediction, vote).drop("_neighbors")
 
+    def unpersist(self):
+        """Removes the stored reference; predictions not yet computed need it."""
+        self.points.release()
+
 
 def fit_knn(df, k=DEFAULT_K, features="features", label="label", row_id="row_id", **limits):
     """Keeps the training rows; with fewer than k of them, all vote."""

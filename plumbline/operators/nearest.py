@@ -25,11 +25,13 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import blocks
 from plumbline.functions.vectors import of_width
-from plumbline.session import written_table
+from plumbline.session import remove_folder, written_folder, written_table
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
 PIVOTS = 256
+# A larger reference has a pivot for so many rows, as far as the sample goes.
+PIVOT_ROWS = 1_000_000
 FINE_CELLS = 128
 FINE_ROWS = 64
 FINER = 2
@@ -39,7 +41,6 @@ SAMPLE_ROWS = 2048
 COPY_PARTS = 64
 MIN_BLOCK_ROWS = 16
 BLOCKS_PER_CORE = 4
-MAX_TASKS = 20_000
 SPREAD_ROWS = 10_000
 WORK_PER_TASK = 4 << 30
 BOUND_SLACK = 1e-9
@@ -64,6 +65,7 @@ class PointSet:
     block_bytes: int = BLOCK_BYTES
     shared: dict[int, Broadcast] = field(default_factory=dict, repr=False)
     stored: dict = field(default_factory=dict, repr=False)
+    folders: list[str] = field(default_factory=list, repr=False)
 
     @classmethod
     def of_centers(cls, spark, centers, **limits):
@@ -93,9 +95,19 @@ class PointSet:
             for keys in (["features", part], ["features"]):
                 copies = Window.partitionBy(*keys).orderBy("train_id")
                 rows = rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k).drop("copy")
-            self.stored["reference", k] = written_table(rows, "reference"), _sample(self)
+            self.folders.append(written_folder(rows, "reference"))
+            self.stored["reference", k] = rows.sparkSession.read.parquet(self.folders[-1]), _sample(self)
         return self.stored["reference", k]
 
+    def release(self):
+        """Removes what was stored and broadcast for searches; the next one makes it anew."""
+        for path in self.folders:
+            remove_folder(self.table.sparkSession, path)
+        for block in self.shared.values():
+            block.unpersist()
+        for held in (self.folders, self.shared, self.stored):
+            held.clear()
+
     def cells(self, k, n_cells):
         """The reference by nearest pivot, found once for a number of pivots."""
         if ("cells", k, n_cells) not in self.stored:
@@ -147,7 +159,7 @@ def _spread(df, points):
     work_per_row = points.rows * points.width
     if df.isStreaming or points.rows < SPREAD_ROWS:
         return df
-    tasks = min(MAX_TASKS, df.count() * work_per_row // WORK_PER_TASK)
+    tasks = df.count() * work_per_row // WORK_PER_TASK
     return df.repartition(int(tasks)) if tasks > 1 else df
 
 
@@ -285,7 +297,7 @@ def _visits(queries, shared, radii, n_homes, width, k):
 def _count_visits(visiting):
     """Queries per group, and visits per group and cell.
 
-    One row per pair of them, at most PIVOTS x PIVOTS, whatever the tables hold.
+    One row per pair of them, at most PIVOTS x SAMPLE_ROWS, whatever the tables hold.
     """
     total = F.lit(-1)
     counts = (
@@ -317,7 +329,8 @@ def _search_blocks(queries, points, k):
         )
     )
     n_homes = min(PIVOTS, asked_rows // block_rows + 1)
-    coarse = min(PIVOTS, max(points.rows // block_rows + 1, n_homes))
+    pivots = min(SAMPLE_ROWS, max(PIVOTS, points.rows // PIVOT_ROWS))
+    coarse = min(pivots, max(points.rows // block_rows + 1, n_homes))
     fine = min(FINE_CELLS, points.rows // FINE_ROWS)
     found = None
     if fine >= FINER * coarse:
@@ -341,7 +354,7 @@ def _search_blocks(queries, points, k):
     routes = F.broadcast(spark.createDataFrame(pa.table(dict(zip(names, map(pa.array, columns))))))
     key = ["home", "query_block", "cell", "train_block"]
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(MAX_TASKS, max(least, slots, _met(visits, sizes) * width // WORK_PER_TASK))
+    tasks = max(least, slots, _met(visits, sizes) * width // WORK_PER_TASK)
 
     def numbers(count):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))

@@ -52,11 +52,16 @@ def written_table(df, name):
     For rows that many passes read and that are costly to compute: unlike a
     cache it outlives lost executors, and scans of it still skip and prune.
     """
+    return df.sparkSession.read.parquet(written_folder(df, name))
+
+
+def written_folder(df, name):
+    """Where ``written_table`` puts the table, for those who remove it themselves."""
     path = shared_folder(df.sparkSession, name)
     if _written.get() is not None:
         _written.get().append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return path
 
 
 def remove_folder(spark, path):

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -238,14 +240,30 @@ def test_repeated_null_and_absent_ids(spark, limits):
         model.predict(spark.readStream.format("rate").load())
 
 
-def test_reference_is_stored_once(points, monkeypatch):
-    written = []
-    plain = nearest.written_table
-    monkeypatch.setattr(nearest, "written_table", lambda df, name: written.append(name) or plain(df, name))
+def test_reference_is_stored_once(points):
     table = points([(i, [float(i)], i % 2) for i in range(60)])
     model = pl.fit_knn(table, 2, **GRID)
-    first, second = model.predict(table).count(), model.predict(table).count()
-    assert first == second == 60 and written.count("reference") == 1
+    assert model.predict(table).count() == 60 and len(model.points.folders) == 1
+    assert model.predict(table).count() == 60 and len(model.points.folders) == 1
+    path = Path(model.points.folders[0])
+    assert path.exists()
+    model.unpersist()
+    assert not path.exists() and not model.points.stored
+    assert model.predict(table).count() == 60 and len(model.points.folders) == 1
+    small = pl.fit_knn(table, 2)
+    assert small.predict(table).count() == 60
+    small.unpersist()
+    assert small.predict(table).count() == 60
+
+
+@pytest.mark.parametrize("pivots,rows", [(2, 7), (2, 1_000_000)])
+def test_pivots_grow_with_the_reference(points, monkeypatch, pivots, rows):
+    monkeypatch.setattr(nearest, "PIVOTS", pivots)
+    monkeypatch.setattr(nearest, "PIVOT_ROWS", rows)
+    table = points([(i, [float(i * 37 % 101)], i % 3) for i in range(90)])
+    found = pl.fit_knn(table, 3, **GRID).neighbors(table)
+    expected = pl.fit_knn(table, 3).neighbors(table)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
 
 
 def test_forest_depends_on_its_rows_only(points, spark):
