@@ -511,7 +511,16 @@ BUDGETS = (100, -1)
 
 def benchmark_report(spark, sf_dir):
     report = pl.sweep(_document_features(spark, sf_dir), BUDGETS)
-    return report.select("run_id", "model", "train_rows", "test_rows")
+    predict_ms = F.col("total_time_ms") - F.col("train_time_ms")
+    predicted = F.col("prediction_throughput") * predict_ms / 1000
+    return report.select(
+        "run_id",
+        "model",
+        "train_rows",
+        "test_rows",
+        (F.col("accuracy") > 0.5).alias("mostly_right"),
+        (F.round(predicted).cast("long") == F.col("test_rows")).alias("times_agree"),
+    )
 
 
 def report_csv(spark, sf_dir):
@@ -637,9 +646,11 @@ def _report_sql(budgets, models, numbered):
         for m, model in enumerate(models):
             rows = f"least({budget}, count(*))" if budget > 0 else "count(*)"
             run = f"{b * len(models) + m}::INTEGER AS run_id, " if numbered else ""
+            right = "NULL::BOOLEAN" if model == "KMeans" else "TRUE"
+            facts = f", {right} AS mostly_right, TRUE AS times_agree" if numbered else ""
             lines.append(
                 f"SELECT {run}'{model}' AS model, {rows} * 4 // 5 AS train_rows, "
-                f"{rows} - {rows} * 4 // 5 AS test_rows FROM ({RATED})"
+                f"{rows} - {rows} * 4 // 5 AS test_rows{facts} FROM ({RATED})"
             )
     return " UNION ALL ".join(lines)
 
