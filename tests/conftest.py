@@ -8,8 +8,6 @@ sys.path.insert(0, str(ROOT))
 
 import plumbline as pl  # noqa: E402
 
-TINY = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
