@@ -518,7 +518,7 @@ def benchmark_report(spark, sf_dir):
         "model",
         "train_rows",
         "test_rows",
-        (F.col("accuracy") > 0.5).alias("mostly_right"),
+        F.coalesce(F.col("accuracy") > 0.5, F.lit(False)).alias("mostly_right"),
         (F.round(predicted).cast("long") == F.col("test_rows")).alias("times_agree"),
     )
 
@@ -646,7 +646,7 @@ def _report_sql(budgets, models, numbered):
         for m, model in enumerate(models):
             rows = f"least({budget}, count(*))" if budget > 0 else "count(*)"
             run = f"{b * len(models) + m}::INTEGER AS run_id, " if numbered else ""
-            right = "NULL::BOOLEAN" if model == "KMeans" else "TRUE"
+            right = "FALSE" if model == "KMeans" else "TRUE"
             facts = f", {right} AS mostly_right, TRUE AS times_agree" if numbered else ""
             lines.append(
                 f"SELECT {run}'{model}' AS model, {rows} * 4 // 5 AS train_rows, "
