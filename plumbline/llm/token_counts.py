@@ -1,22 +1,24 @@
 """Token counts of texts by a SentencePiece BPE model, one count for each distinct pre-token."""
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from plumbline.llm.arrow import TEXT, append_columns, column, free_of
+from plumbline.llm.arrow import TEXT, column, free_of
+from plumbline.session import scratch, written_table
 
 SPACE = "▁"
 #: Letters that no piece of the known vocabularies joins to anything else.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 FINE = f"{SPACE}*(?:[{LETTERS}]+|[^{LETTERS}{SPACE}]+)|{SPACE}+"
 COARSE = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
-#: Texts whose frequencies are held at once, in characters, and counted pre-tokens kept by a task.
-BLOCK_CHARS = 4_000_000
-KNOWN = 400_000
+#: Texts that share one list of their distinct pre-tokens, in characters, or one longer text.
+BLOCK_CHARS = 8_000_000
 
 
 def pre_token_pattern(pieces):
@@ -33,7 +35,7 @@ def pre_token_pattern(pieces):
 
 
 class PieceCounter:
-    """Pieces of pre-tokens by a model; made once in each task."""
+    """Pre-tokens of texts and pieces of pre-tokens by a model; made once in each task."""
 
     def __init__(self, model_file):
         import sentencepiece
@@ -44,64 +46,140 @@ class PieceCounter:
         if m.encode("  a", out_type=str) != m.encode(" a".replace(" ", SPACE * 2), out_type=str):
             raise ValueError("the model must mark and keep every space")
         self.find = re.compile(pre_token_pattern(ordinary)).findall
-        self.known = {}
 
     def frequencies(self, text):
         """Pre-tokens of one text with their numbers; the model puts one space in front."""
         return Counter(self.find(SPACE + text.replace(" ", SPACE))) if text else Counter()
 
-    def counts(self, texts):
-        found = [self.frequencies(t) for t in texts]
-        if len(self.known) > KNOWN:
-            self.known = {}
-        new = list(set().union(*found).difference(self.known))
-        self.known.update(self._pieces(new))
-        known = self.known
-        return [sum(n * known[p] for p, n in f.items()) for f in found]
-
-    def _pieces(self, tokens):
+    def pieces(self, tokens):
+        """The number of pieces of each pre-token."""
         # The model itself puts a space in front of what begins with none, so a
         # pre-token's own first one is taken off. A pre-token without one, or of
         # that alone, is counted behind a line break, which is a piece by itself.
         led = [t[0] == SPACE and len(t) > 1 for t in tokens]
         texts = [t[1:] if yes else "\n" + t for t, yes in zip(tokens, led)]
         alone = len(self.model.encode("\n"))
-        for token, yes, ids in zip(tokens, led, self.model.encode(texts, num_threads=1)):
-            yield token, len(ids) - (0 if yes else alone)
+        return [len(ids) - (0 if yes else alone) for yes, ids in zip(led, self.model.encode(texts, num_threads=1))]
+
+
+def packed(places, numbers):
+    """Frequencies as bytes: differences of the places in order, by byte planes, then
+    the numbers, a byte each. A number above 255 is several entries of one place.
+    """
+    order = np.argsort(places)
+    places, numbers = places[order], numbers[order]
+    if len(numbers) and numbers.max() > 255:
+        times = -(-numbers // 255)
+        last = np.cumsum(times) - 1
+        rest = numbers - 255 * (times - 1)
+        places, numbers = np.repeat(places, times), np.full(last[-1] + 1, 255)
+        numbers[last] = rest
+    return np.diff(places, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() + numbers.astype(np.uint8).tobytes()
 
 
-def count_tokens(docs, model_file, text="text", limit=4096, carry=None):
+def unpacked(raw):
+    """Places and numbers of ``packed``."""
+    planes = np.frombuffer(raw, np.uint8).reshape(5, -1)
+    return np.cumsum(np.ascontiguousarray(planes[:4].T).view("<u4").ravel()), planes[4]
+
+
+def frequency_blocks(rows, model_file, block_chars):
+    """Rows of texts, and rows of blocks, told apart by the column tokens.
+
+    A row of a text has its block and its packed frequencies, by place in the
+    block's distinct pre-tokens; a row of a block has these, as tokens.
+    """
+    new = [("block", LongType()), ("packed", BinaryType()), ("tokens", ArrayType(StringType()))]
+    carried = [StructField(f.name, f.dataType) for f in rows.schema.fields if f.name != TEXT]
+    schema = StructType(carried + [StructField(n, t) for n, t in new])
+
+    def run(batches):
+        counter, number = PieceCounter(model_file), TaskContext.get().partitionId() << 32
+        places = defaultdict()
+        places.default_factory = places.__len__
+        size = 0
+
+        def closed():
+            kinds = [f.type for f in kept.schema]
+            columns = [pa.nulls(1, k) for k in kinds] + [pa.array([number]), pa.nulls(1, pa.binary())]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([list(places)], pa.list_(pa.string()))], names=schema.names)
+
+        kept = None
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            kept = pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1])
+            low, out = 0, []
+            for at, text in enumerate(texts.to_pylist()):
+                found = counter.frequencies(text)
+                out.append(
+                    packed(
+                        np.fromiter(map(places.__getitem__, found), np.int64, len(found)),
+                        np.fromiter(found.values(), np.int64, len(found)),
+                    )
+                )
+                size += len(text or "")
+                if size >= block_chars or at + 1 == batch.num_rows:
+                    part = kept.slice(low, at + 1 - low)
+                    n = part.num_rows
+                    made = [pa.array([number] * n, pa.int64()), pa.array(out, pa.binary())]
+                    made.append(pa.nulls(n, pa.list_(pa.string())))
+                    yield pa.RecordBatch.from_arrays([*part.columns, *made], names=schema.names)
+                    low, out = at + 1, []
+                if size >= block_chars:
+                    yield closed()
+                    places.clear()
+                    number, size = number + 1, 0
+        if places:
+            yield closed()
+
+    return rows.mapInArrow(run, schema)
+
+
+def count_tokens(docs, model_file, text="text", limit=4096, carry=None, block_chars=BLOCK_CHARS):
     """``docs`` with n_bytes, n_tokens and over_limit of each whole text.
 
-    Every text becomes pre-token frequencies; a block's distinct pre-tokens are
-    counted once by the model, joined to the frequencies and summed, so no ids
-    of a text are ever made. Rows do not move: the counts of frequent pre-tokens
-    stay in the task from block to block.
+    Every text becomes pre-token frequencies. The distinct pre-tokens of all texts
+    are counted once each by the model, joined to the frequencies and summed, so no
+    ids of a text are ever made. Frequencies are packed for the join: texts of a
+    block, about ``block_chars`` characters in one task, share a list of their
+    distinct pre-tokens, and only these lists meet the counts. So a pre-token has
+    at most one row for each block, however frequent it is, and the counts of a
+    block's list return to its texts by the block's number.
 
     Null and empty texts have 0 bytes and 0 tokens. Repeated rows are counted
     each. A text of any length is read whole. A column of ``docs`` that has the
     name of a result gives way; an empty table gives an empty one.
     """
-
-    def start():
-        counter = PieceCounter(model_file)
-
-        def compute(array):
-            texts, out, low = array.to_pylist(), [], 0
-            while low < len(texts):
-                high, size = low, 0
-                while high < len(texts) and (high == low or size < BLOCK_CHARS):
-                    size += len(texts[high] or "")
-                    high += 1
-                out += counter.counts(texts[low:high])
-                low = high
-            return [pa.array(out, pa.int64())]
-
-        return compute
-
     made = ["n_bytes", "n_tokens", "over_limit"]
     kept = free_of(docs.columns if carry is None else carry, made)
-    size = F.coalesce(F.octet_length(column(text)), F.lit(0)).cast("long")
-    rows = docs.select(*[column(k) for k in kept], size.alias("n_bytes"), column(text).alias(TEXT))
-    found = append_columns(rows, TEXT, [("n_tokens", LongType())], start, carry=[*kept, "n_bytes"])
-    return found.withColumn("over_limit", (F.col("n_tokens") > limit).cast(BooleanType()))
+    row = F.struct(F.lit(0).alias("__none"), *[column(k) for k in kept]).alias("row")
+    size = F.coalesce(F.octet_length(column(text)), F.lit(0)).cast("long").alias("n_bytes")
+    rows = docs.select(row, size, column(text).alias(TEXT))
+
+    def counted(batches):
+        counter = PieceCounter(model_file)
+        for batch in batches:
+            pieces = pa.array(counter.pieces(batch.column(0).to_pylist()), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pieces], names=["token", "pieces"])
+
+    def summed(texts, counts):
+        pieces = np.zeros(counts.num_rows, np.int64)
+        pieces[counts.column("place").to_numpy()] = counts.column("pieces").to_numpy()
+        totals = []
+        for raw in texts.column("packed").to_pylist():
+            places, numbers = unpacked(raw)
+            totals.append(int((pieces[places] * numbers).sum()))
+        columns = [texts.column("row"), texts.column("n_bytes"), pa.array(totals, pa.int64())]
+        return pa.table(columns, names=["row", "n_bytes", "n_tokens"])
+
+    with scratch(docs.sparkSession) as keep:
+        blocks = written_table(frequency_blocks(rows, model_file, block_chars), "token-blocks")
+        words = blocks.filter("tokens IS NOT NULL").select("block", F.posexplode("tokens").alias("place", "token"))
+        pieces = words.select("token").distinct().mapInArrow(counted, "token string, pieces int")
+        pieces = written_table(pieces, "token-pieces")
+        counts = words.join(pieces, "token").select(F.col("block").alias("of"), "place", "pieces")
+        texts = blocks.filter("packed IS NOT NULL").select("block", "row", "n_bytes", "packed")
+        schema = StructType([texts.schema["row"], texts.schema["n_bytes"], StructField("n_tokens", LongType())])
+        found = texts.groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(summed, schema)
+        found = found.select(*[F.col("row").getField(k).alias(k) for k in kept], "n_bytes", "n_tokens")
+        return keep(found.withColumn("over_limit", F.col("n_tokens") > limit), "token-counts")

@@ -15,7 +15,7 @@ from plumbline.llm.decontamination import decontaminated, find_contamination
 from plumbline.llm.language_id import ByteNetwork, fit_language_id, is_held_out, predict_language
 from plumbline.llm.license_scan import scan_licenses
 from plumbline.llm.quality_rules import FACTS, RULES, Rule, apply_quality_rules, measured_order
-from plumbline.llm.token_counts import count_tokens, pre_token_pattern
+from plumbline.llm.token_counts import count_tokens, packed, pre_token_pattern, unpacked
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ODD = [
@@ -45,6 +45,20 @@ def test_token_counts_of_the_table(spark):
         assert r.n_tokens == len(model.encode(texts[r.doc_id] or ""))
 
 
+def test_token_counts_of_small_blocks(spark, docs_of):
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for limit in (1, 50):
+        found = rows(count_tokens(docs_of(ODD * 3), MODEL, carry=["doc_id", "text"], block_chars=limit), "text", "n_tokens")
+        assert found == [(t, len(model.encode(t or ""))) for t in ODD * 3]
+
+
+def test_frequencies_round_trip():
+    for places, numbers in (([], []), ([70_000, 3, 0], [1, 255, 256]), ([5], [100_000])):
+        at, n = unpacked(packed(np.array(places, np.int64), np.array(numbers, np.int64)))
+        assert n.max(initial=0) <= 255
+        assert [int(n[at == p].sum()) for p in places] == numbers
+
+
 def test_pre_tokens_must_stand_alone():
     with pytest.raises(ValueError):
         pre_token_pattern(["▁a", "a▁b"])
