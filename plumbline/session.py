@@ -46,21 +46,24 @@ def shared_folder(spark, name):
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written_table(df, name):
+def written_table(df, name, **options):
     """The table written once below the checkpoint folder, and read from there.
 
     For rows that many passes read and that are costly to compute: unlike a
     cache it outlives lost executors, and scans of it still skip and prune.
     """
-    return df.sparkSession.read.parquet(written_folder(df, name))
+    return df.sparkSession.read.parquet(written_folder(df, name, **options))
 
 
-def written_folder(df, name):
-    """Where ``written_table`` puts the table, for those who remove it themselves."""
+def written_folder(df, name, **options):
+    """Where ``written_table`` puts the table, for those who remove it themselves.
+
+    ``options`` are those of the Parquet writer.
+    """
     path = shared_folder(df.sparkSession, name)
     if _written.get() is not None:
         _written.get().append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, **options)
     return path
 
 
