@@ -18,7 +18,7 @@ LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 FINE = f"{SPACE}*(?:[{LETTERS}]+|[^{LETTERS}{SPACE}]+)|{SPACE}+"
 COARSE = f"{SPACE}*[^{SPACE}]+|{SPACE}+"
 #: Texts that share one list of their distinct pre-tokens, in characters, or one longer text.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 32_000_000
 
 
 def pre_token_pattern(pieces):
@@ -173,7 +173,8 @@ def count_tokens(docs, model_file, text="text", limit=4096, carry=None, block_ch
         return pa.table(columns, names=["row", "n_bytes", "n_tokens"])
 
     with scratch(docs.sparkSession) as keep:
-        blocks = written_table(frequency_blocks(rows, model_file, block_chars), "token-blocks")
+        blocks = frequency_blocks(rows, model_file, block_chars)
+        blocks = written_table(blocks, "token-blocks", compression="zstd")
         words = blocks.filter("tokens IS NOT NULL").select("block", F.posexplode("tokens").alias("place", "token"))
         pieces = words.select("token").distinct().mapInArrow(counted, "token string, pieces int")
         pieces = written_table(pieces, "token-pieces")
