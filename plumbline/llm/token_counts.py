@@ -163,12 +163,16 @@ def count_tokens(docs, model_file, text="text", limit=4096, carry=None, block_ch
             yield pa.RecordBatch.from_arrays([batch.column(0), pieces], names=["token", "pieces"])
 
     def summed(texts, counts):
-        pieces = np.zeros(counts.num_rows, np.int64)
-        pieces[counts.column("place").to_numpy()] = counts.column("pieces").to_numpy()
+        found = counts.column("found").to_numpy()
+        at = found & 0xFFFFFFFF
+        known = np.ones(at.max(initial=-1) + 1, np.int64)
+        known[at] = found >> 32
         totals = []
         for raw in texts.column("packed").to_pylist():
             places, numbers = unpacked(raw)
-            totals.append(int((pieces[places] * numbers).sum()))
+            if len(places):
+                known = np.pad(known, (0, max(0, int(places[-1]) + 1 - len(known))), constant_values=1)
+            totals.append(int((known[places] * numbers).sum()))
         columns = [texts.column("row"), texts.column("n_bytes"), pa.array(totals, pa.int64())]
         return pa.table(columns, names=["row", "n_bytes", "n_tokens"])
 
@@ -177,8 +181,10 @@ def count_tokens(docs, model_file, text="text", limit=4096, carry=None, block_ch
         blocks = written_table(blocks, "token-blocks", compression="zstd")
         words = blocks.filter("tokens IS NOT NULL").select("block", F.posexplode("tokens").alias("place", "token"))
         pieces = words.select("token").distinct().mapInArrow(counted, "token string, pieces int")
-        pieces = written_table(pieces, "token-pieces")
-        counts = words.join(pieces, "token").select(F.col("block").alias("of"), "place", "pieces")
+        pieces = written_table(pieces, "token-pieces", compression="zstd")
+        # Place and pieces travel as one number; a pre-token that is one piece needs none.
+        found = F.shiftleft(F.col("pieces").cast("long"), 32) + F.col("place")
+        counts = words.join(pieces, "token").filter("pieces <> 1").select(F.col("block").alias("of"), found.alias("found"))
         texts = blocks.filter("packed IS NOT NULL").select("block", "row", "n_bytes", "packed")
         schema = StructType([texts.schema["row"], texts.schema["n_bytes"], StructField("n_tokens", LongType())])
         found = texts.groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(summed, schema)
