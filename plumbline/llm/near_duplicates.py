@@ -282,13 +282,14 @@ def links(lists, sets, docs, doc_id, text, words, percent, sketch):
 
 
 def near_duplicates(docs, doc_id="doc_id", text="text", words=WORDS, percent=PERCENT, sketch=SKETCH):
-    """doc_id, n_shingles, component_id and kept of each row.
+    """doc_id, n_shingles, component_id and kept of each row, with text_key and group.
 
     A text's set is that of its distinct ``words``-word shingles, words
     ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; fewer words are one shingle. Texts
     are linked where the common shingles are at least ``percent`` of all of both.
     component_id is the smallest doc_id that links reach, and the row that has it
-    is kept.
+    is kept. text_key is the MD5 of the text; group tells the rows that are linked
+    or have equal sets, whatever their ids, and is null for a row alone.
 
     Rows with equal sets become one set first, however many they are. A set keeps
     the ``sketch`` smallest hashes of one hash function; lists of sets by retained
@@ -317,18 +318,38 @@ def near_duplicates(docs, doc_id="doc_id", text="text", words=WORDS, percent=PER
         named = sets.select("node", "set_id", "least_id", "copies").join(labels, "node", "left")
         groups = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("least_id").alias("group_id"))
         named = named.filter("comp IS NOT NULL OR copies > 1").join(groups, "comp", "left")
-        named = named.select("set_id", F.coalesce("group_id", "least_id").alias("component_id"))
+        group = F.coalesce(F.col("comp").cast("string"), "set_id").alias("group")
+        named = named.select("set_id", F.coalesce("group_id", "least_id").alias("component_id"), group)
         found = rows.select("doc_id", "n_shingles", "text_key", "set_id").join(named, "set_id", "left")
         found = found.withColumn("component_id", F.coalesce("component_id", "doc_id"))
         kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
-        return keep(found.select("doc_id", "n_shingles", "component_id", kept, "text_key"), "near-groups")
+        return keep(found.select("doc_id", "n_shingles", "component_id", kept, "text_key", "group"), "near-groups")
 
 
 def without_near_duplicates(docs, doc_id="doc_id", text="text", **options):
-    """``docs`` with one document of each group, the one with the smallest doc_id."""
-    found = near_duplicates(docs, doc_id, text, **options)
-    dropped = found.filter(~F.col("kept")).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
-    ).distinct()
+    """``docs`` with one row of each group, the one with the smallest doc_id.
+
+    A null doc_id comes after all others, and ties go to the least text_key. Of
+    rows that repeat in both, the one whose other columns have the least MD5 as
+    JSON stays. Null, empty and blank texts are in no group and stay as they are.
+    """
+    with scratch(docs.sparkSession) as keep:
+        found = near_duplicates(docs, doc_id, text, **options).filter("group IS NOT NULL")
+        found = found.select("group", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+        pairs = written_table(found.groupBy("group", "__id", "__key").agg(F.count("*").alias("copies")), "near-copies")
+        least = F.min(F.struct(F.col("__id").isNull().alias("nameless"), "__id", "__key", "copies")).alias("least")
+        first = written_table(pairs.groupBy("group").agg(least).select("least.*"), "near-first")
+        same = F.col("__id").eqNullSafe(F.col("id")) & (F.col("__key") == F.col("key"))
+        single = first.filter("copies = 1").select(F.col("__id").alias("id"), F.col("__key").alias("key"))
+        dropped = keep(pairs.join(single, same, "left_anti").select("__id", "__key"), "near-dropped")
+        repeated = keep(first.filter("copies > 1").select("__id", "__key"), "near-repeated")
     same = column(doc_id).eqNullSafe(F.col("__id")) & F.md5(column(text)).eqNullSafe(F.col("__key"))
-    return docs.join(dropped, same, "left_anti")
+    kept = docs.join(dropped, same, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    others = F.struct(F.lit(0).alias("__none"), *[column(c) for c in docs.columns if c != text])
+    rows = docs.join(repeated, same).select(
+        "__id", "__key", F.struct(*[column(c) for c in docs.columns]).alias("row"), F.md5(F.to_json(others)).alias("order")
+    )
+    one = rows.groupBy("__id", "__key").agg(F.min_by("row", "order").alias("row"))
+    return kept.unionByName(one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -194,3 +194,25 @@ def test_pipeline_stages_take_effect(spark):
     assert {r.doc_id for r in clean.collect()} == {i for i, j in zip(order, judged) if not j[4]}
     result = corpus_pipeline.run(spark, TINY)
     assert result.count() > 0 and result.filter(F.col("copies") < 1).count() == 0
+
+
+def test_one_row_of_repeated_rows_passes_the_stages(spark):
+    rng = random.Random(11)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    repeated, nameless, near, several, alone = (text() for _ in range(5))
+    data = [
+        (4, repeated, "a"), (4, repeated, "a"), (4, repeated, "b"), (None, nameless, "a"), (None, nameless, "a"),
+        (None, near + " x", "a"), (None, near + " y", "a"), (8, several + " x", "a"), (8, several + " y", "a"),
+        (9, alone, "a"), (10, " ", "a"), (10, " ", "a"), (None, None, "a"), (None, None, "a"),
+    ]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in data], "doc_id long, text string, source string, n_chars long")
+    kept = corpus_pipeline.near_duplicates(spark, docs, TINY)
+    assert kept.columns == docs.columns
+    texts = sorted((r.text or "") for r in kept.collect())
+    assert len(texts) == 9
+    for one in ([repeated], [nameless], [near + " x", near + " y"], [several + " x", several + " y"], [alone]):
+        assert sum(texts.count(t) for t in one) == 1
+    left = corpus_pipeline.repeated_strings(spark, kept, TINY)
+    assert sorted((r.text or "") for r in left.collect()) == texts
+    again = corpus_pipeline.near_duplicates(spark, docs.repartition(5), TINY)
+    assert sorted(map(str, again.collect())) == sorted(map(str, kept.collect()))
