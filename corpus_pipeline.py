@@ -45,7 +45,7 @@ def repeated_strings(spark, docs, sf_dir):
 
 def decontamination(spark, docs, sf_dir):
     """Documents of which less than a twentieth lies in benchmark windows."""
-    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), unnamed=True)
 
 
 def mixing(spark, docs, sf_dir):

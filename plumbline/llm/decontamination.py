@@ -194,7 +194,7 @@ def _contained(rows, items, span, gram):
                 if hits:
                     keys.append(row["key"])
                     ranges.append([{"a": a, "b": b} for a, b in {(int(a), int(b)) for a, b, _ in hits}])
-                    names.append(sorted({held.ids[i] for _, _, i in hits}))
+                    names.append(list({held.ids[i] for _, _, i in hits}))
             kinds = [pa.string(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.list_(pa.string())]
             columns = [pa.array(v, t) for v, t in zip((keys, ranges, names), kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "ranges", "items"])
@@ -264,6 +264,7 @@ def find_contamination(
     share=20,
     broadcast_bytes=BROADCAST_BYTES,
     carry=None,
+    unnamed=False,
 ):
     """``docs`` with the words that lie in a benchmark window, and the items met.
 
@@ -278,15 +279,19 @@ def find_contamination(
     documents do not move. Fingerprints of a larger one are joined with those of
     the documents by a shuffle. Both ways give the same rows.
 
-    Null and empty texts have no words and no hits; null ids or texts of items
-    are left out; items with one id count once. Repeated rows are judged each,
+    Null and empty texts have no words and no hits; items with null text are left
+    out, and so are those with null id but with ``unnamed``: their windows then
+    count for n_hit and contaminated, all of them are one of n_items, and items
+    does not list them. Items with one id count once. Repeated rows are judged each,
     long texts are read whole, a column with the name of a result gives way, and
     an empty benchmark hits nothing.
     """
     if not 0 < gram <= span:
         raise ValueError("a fingerprint has 1 to span words")
-    items = benchmark.select(column(item_id).cast("string").alias("id"), column(item_text).alias("text")).dropna()
-    size = items.agg(F.sum(F.octet_length("text") + F.octet_length("id") + 16)).first()[0] or 0
+    items = benchmark.select(column(item_id).cast("string").alias("id"), column(item_text).alias("text"))
+    items = items.dropna(subset=["text"] if unnamed else ["id", "text"])
+    bytes_of = F.octet_length("text") + F.coalesce(F.octet_length("id"), F.lit(0)) + 16
+    size = items.agg(F.sum(bytes_of)).first()[0] or 0
     if size > broadcast_bytes:
         return _join_contamination(docs, items, text, span, gram, share, carry)
     whole = items.toArrow()
@@ -299,17 +304,19 @@ def find_contamination(
         def compute(array):
             data, bounds = utf8(array)
             numbers, hit = np.zeros(len(array), np.int64), np.zeros(len(array), np.int64)
-            names = [[] for _ in range(len(array))]
+            names, met = [[] for _ in range(len(array))], np.zeros(len(array), np.int64)
             for low, high in blocks(bounds, BLOCK_BYTES):
                 n, hits = scanner.scan(items, data, bounds[low : high + 1])
                 numbers[low:high] = n
                 for number, found in hits.items():
                     hit[low + number] = covered((a, b) for a, b, _ in found)
-                    names[low + number] = sorted({items.ids[i] for _, _, i in found})
+                    ids = {items.ids[i] for _, _, i in found}
+                    met[low + number] = len(ids)
+                    names[low + number] = sorted(ids - {None})
             return [
                 pa.array(numbers),
                 pa.array(hit),
-                pa.array([len(x) for x in names], pa.int64()),
+                pa.array(met),
                 pa.array([",".join(x) for x in names], pa.string()),
                 pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in names], pa.string()),
                 pa.array((hit > 0) & (share * hit >= numbers)),

@@ -80,7 +80,7 @@ def op8_suffix_dedup(spark, sf_dir):
 
 def op9_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"], unnamed=True)
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 

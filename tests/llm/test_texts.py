@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import public_tokenizers
@@ -10,6 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import brute
+import corpus_pipeline
 from plumbline.llm import queries
 from plumbline.llm.decontamination import decontaminated, find_contamination
 from plumbline.llm.language_id import ByteNetwork, fit_language_id, is_held_out, predict_language
@@ -202,3 +204,24 @@ def test_decontamination_equals_brute_force(spark, docs_of, limit):
     kept = decontaminated(docs_of(texts), benchmark)
     assert kept.columns == docs_of(["x"]).columns
     assert {r.doc_id for r in kept.collect()} == {i for i, e in enumerate(expected) if not e[4]}
+
+
+def test_items_without_id_contaminate(spark, docs_of, tmp_path):
+    words = [f"n{i}" for i in range(30)]
+    items = [(None, " ".join(words[:20])), (None, "lone"), (3, " ".join(words[10:])), (5, None), (None, None)]
+    texts = [" ".join(words[:14]), "lone", "lone " + " ".join(words), " ".join(words[12:]), "other words", None]
+    docs = docs_of(texts)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    expected = sorted(con.execute(queries.SQL["op9_decontamination"]).fetchall())
+    assert [(e[2], e[3], e[5]) for e in expected[:4]] == [(14, 1, True), (1, 1, True), (31, 2, True), (18, 1, True)]
+    found = queries.op9_decontamination(spark, str(tmp_path))
+    assert rows(found, *found.columns) == expected
+    benchmark = spark.read.parquet(f"{tmp_path}/benchmark.parquet")
+    joined = find_contamination(docs, benchmark, broadcast_bytes=0, carry=["doc_id"], unnamed=True)
+    assert rows(joined, *found.columns) == expected
+    clean = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert {r.doc_id for r in clean.collect()} == {4, 5}
