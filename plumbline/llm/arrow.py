@@ -8,8 +8,8 @@ TEXT = "__text__"
 
 
 def column(name):
-    """A column by its exact name, dots included."""
-    return F.col(f"`{name}`")
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def free_of(names, taken):
@@ -18,6 +18,21 @@ def free_of(names, taken):
     return [n for n in names if n.lower() not in taken]
 
 
+def packed(names):
+    """The named columns as one struct ``row``, so that they clash with no others.
+
+    Fields are numbered; the first, always null, is there for rows without columns.
+    """
+    kept = [column(n).alias(f"c{i}") for i, n in enumerate(names)]
+    return F.struct(F.lit(None).cast("int").alias("none"), *kept).alias("row")
+
+
+def unpacked(df, names, *more):
+    """The columns of ``row`` by their names, then ``more``, by default all others."""
+    kept = [F.col("row").getField(f"c{i}").alias(n) for i, n in enumerate(names)]
+    return df.select(*kept, *(more or [column(c) for c in df.columns if c != "row"]))
+
+
 def append_columns(docs, text, fields, start, carry=None):
     """``docs`` with new columns that a Python function finds from the text column.
 
@@ -26,16 +41,16 @@ def append_columns(docs, text, fields, start, carry=None):
     No row moves to another task. ``carry`` names the columns to keep, all by
     default; one that has the name of a new column gives way to it.
     """
-    new = StructType([StructField(n, t) for n, t in fields])
-    kept = free_of(docs.columns if carry is None else carry, new.names)
-    schema = StructType([docs.schema[k] for k in kept] + new.fields)
+    kept = free_of(docs.columns if carry is None else carry, [n for n, _ in fields])
+    rows = docs.select(packed(kept), column(text).alias("text"))
+    schema = StructType([rows.schema["row"], *[StructField(n, t) for n, t in fields]])
     names = schema.names
 
     def run(batches):
         compute = start()
         for batch in batches:
-            made = compute(batch.column(batch.num_columns - 1))
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + list(made), names=names)
+            made = compute(batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], names=names)
 
-    rows = docs.select(*[column(k) for k in kept], column(text).alias(TEXT))
-    return rows.mapInArrow(run, schema)
+    found = rows.mapInArrow(run, schema)
+    return unpacked(found, kept, *[column(n) for n, _ in fields])

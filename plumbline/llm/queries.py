@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from plumbline.llm.centroid_clusters import cluster_vectors
 from plumbline.llm.chat_format import rotate
 from plumbline.llm.decontamination import find_contamination
 from plumbline.llm.language_id import fit_language_id, is_held_out, predict_language
@@ -10,9 +11,11 @@ from plumbline.llm.license_scan import PHRASES, TEMPLATES, scan_licenses, templa
 from plumbline.llm.mixing import mix_sources
 from plumbline.llm.near_duplicates import near_duplicates
 from plumbline.llm.quality_rules import BASE_RULES, RULES, apply_quality_rules
+from plumbline.llm.simhash import simhash_groups
 from plumbline.llm.suffix_dedup import remove_repeats
 from plumbline.llm.token_counts import count_tokens
 from plumbline.llm.url_filter import filter_urls
+from plumbline.llm.vector_codes import code_vectors
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -99,6 +102,18 @@ def op10_chat_format(spark, sf_dir):
     )
 
 
+def op11_centroid_clustering(spark, sf_dir):
+    return cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), carry=["vec_id"])
+
+
+def op12_vector_codes(spark, sf_dir):
+    return code_vectors(table(spark, sf_dir, "embeddings"), carry=["vec_id"])
+
+
+def op13_simhash_dedup(spark, sf_dir):
+    return simhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -112,6 +127,9 @@ QUERIES = {
         op8_suffix_dedup,
         op9_decontamination,
         op10_chat_format,
+        op11_centroid_clustering,
+        op12_vector_codes,
+        op13_simhash_dedup,
     )
 }
 
@@ -148,6 +166,67 @@ def _url_rules():
     return ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
 
+def _gap(a, b):
+    return f"list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _floor_mean(total, n):
+    return f"(({total} - (({total} % {n}) + {n}) % {n}) // {n})::BIGINT"
+
+
+FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _integers(scale):
+    return f"list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT)"
+
+
+def _cluster_sql(clusters=16, rounds=3):
+    """Rounds of assignment and means over numbered rows, one WITH table for each."""
+    steps = [
+        f"""v AS (SELECT row_number() OVER () AS r, vec_id, {_integers(64)} AS q FROM embeddings
+          WHERE {FINITE} AND len(embedding) = 64)""",
+        f"""c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR), q) - 1 AS c, q AS m FROM v
+          QUALIFY c < {clusters})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, vec_id, q, c, d FROM (SELECT r, vec_id, q, c, {_gap("q", "m")} AS d
+          FROM v, c{i}) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        steps.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, coalesce(n.m, o.m) AS m FROM c{i} o LEFT JOIN (SELECT c,
+          list(x ORDER BY k) AS m FROM (SELECT c, k, {_floor_mean("sum(q[k])", "count(*)")} AS x
+          FROM a{i}, range(1, 65) t(k) GROUP BY c, k) GROUP BY c) n USING (c))""")
+    last = f"a{rounds}"
+    return f"""WITH {", ".join(steps)}
+        SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance,
+          (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+          sha256(array_to_string(m, ',')) AS centroid_sha256
+        FROM {last} JOIN c{rounds} USING (c)"""
+
+
+def _code_sql(parts=16, entries=64, rounds=2):
+    """As for clusters, for each part position."""
+    steps = [
+        f"""v AS (SELECT row_number() OVER () AS r, vec_id, label, {_integers(256)} AS q FROM embeddings WHERE {FINITE}),
+        w AS (SELECT len(q) // {parts} AS w FROM v LIMIT 1),
+        s AS (SELECT r, vec_id, p, q[p * w + 1:p * w + w] AS q FROM v, w, range({parts}) t(p))""",
+        f"""b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id, q) - 1 AS e, q AS m FROM s
+          QUALIFY e < {entries})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, p, q, e, d FROM (SELECT r, p, s.q, e, {_gap("s.q", "m")} AS d
+          FROM s JOIN b{i} USING (p)) QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY d, e) = 1)""")
+        steps.append(f"""b{i + 1} AS MATERIALIZED (SELECT p, e, coalesce(n.m, o.m) AS m FROM b{i} o LEFT JOIN (SELECT p, e,
+          list(x ORDER BY k) AS m FROM (SELECT p, e, k, {_floor_mean("sum(q[k])", "count(*)")} AS x
+          FROM (SELECT p, e, q, unnest(range(1, len(q) + 1)) AS k FROM a{i}) GROUP BY p, e, k) GROUP BY p, e) n
+          USING (p, e))""")
+    return f"""WITH {", ".join(steps)},
+        f AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+          FROM a{rounds} GROUP BY r),
+        h AS (SELECT sha256(string_agg(array_to_string(m, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+        FROM v JOIN f USING (r), h"""
+
+
 BASE_FAILED = " OR ".join(r.fails for r in BASE_RULES)
 FAILED = " OR ".join(r.fails for r in BASE_RULES + RULES)
 
@@ -280,4 +359,6 @@ SQL = {
           sha256(coalesce(items, '')) AS items_sha256,
           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN n USING (doc_id) LEFT JOIN i USING (doc_id)""",
+    "op11_centroid_clustering": _cluster_sql(),
+    "op12_vector_codes": _code_sql(),
 }
