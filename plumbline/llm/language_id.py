@@ -2,11 +2,14 @@
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from plumbline.llm.arrow import TEXT, append_columns, column
+from plumbline.llm.arrow import append_columns, column, free_of, packed, unpacked
+from plumbline.llm.joins import spread_join
 from plumbline.llm.words import utf8
+from plumbline.session import scratch, written_table
 
 UNKNOWN = "und"
 UNITS = 8
@@ -16,8 +19,8 @@ CORE, LEAD = 240, 16
 WINDOWS = 2048
 #: The bound of the training sample: rows of each language, and pieces of each row.
 ROWS_PER_LANGUAGE, PIECES, PIECE_CHARS = 400, 3, 96
-#: Languages whose sampling rates, a short string and a number each, are broadcast.
-BROADCAST_LANGUAGES = 100_000
+#: Rows of all languages together, but for one of each.
+MOST_ROWS = 100_000
 
 
 class ByteNetwork:
@@ -157,27 +160,39 @@ def is_held_out(doc_id):
     return F.coalesce(F.crc32(column(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit_language_id(docs, train, doc_id="doc_id", text="text", lang="lang", rows=ROWS_PER_LANGUAGE, seed=0):
-    """A network trained on a bounded sample of the rows where ``train`` holds.
-
-    The sample is the documented bound: about ``rows`` rows of each language,
-    chosen by a hash of the id at a rate from the counts of all rows, and of each
-    row ``PIECES`` pieces of ``PIECE_CHARS`` characters. Only these reach the
-    driver. Rows without text or language teach nothing; with no rows at all the
-    network knows no language.
-    """
+def sample(docs, train, doc_id, text, lang, rows, seed):
+    """(language, hash, pieces) of the rows to learn from; see ``fit_language_id``."""
     known = docs.filter(train & column(lang).isNotNull() & column(text).isNotNull() & (column(text) != ""))
-    known = known.select(column(doc_id).alias("i"), column(lang).alias("l"), column(text).alias("t"))
-    rates = known.groupBy("l").agg(F.least(F.lit(1.0), rows / F.count("*")).alias("rate"))
-    if rates.count() <= BROADCAST_LANGUAGES:
-        rates = F.broadcast(rates)
-    share = F.pmod(F.xxhash64("i", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    digest = F.xxhash64(column(doc_id), column(text), column(lang), F.lit(seed)).alias("h")
+    known = known.select(column(lang).alias("l"), digest, column(text).alias("t"))
+    # The number of different rows need not be exact: it sets a rate that leaves twice as many as are taken.
+    kinds = written_table(known.groupBy("l").agg(F.approx_count_distinct("h").alias("n")), "languages")
+    of_each = min(rows, max(1, MOST_ROWS // max(kinds.count(), 1)))
+    rates = kinds.select("l", F.least(F.lit(1.0), F.lit(2.0 * of_each) / F.col("n")).alias("rate"))
+    share = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
     size = F.length("t")
     step = F.greatest(F.floor(size / PIECES), F.lit(1)).cast("int")
     pieces = [F.substring("t", 1 + k * step, F.lit(PIECE_CHARS)) for k in range(PIECES)]
-    cut = known.select("l", share.alias("s"), F.array(*pieces).alias("p"))
-    chosen = cut.join(rates, "l").filter(F.col("s") < F.col("rate"))
-    found = sorted((r.l, r.s, r.p) for r in chosen.toLocalIterator())
+    cut = known.select("l", "h", share.alias("s"), F.array(*pieces).alias("p"))
+    chosen = spread_join(cut, rates.withColumn("copies", F.lit(1)), "l", "copies").filter(F.col("s") < F.col("rate"))
+    chosen = chosen.groupBy("l", "h").agg(F.first("p").alias("p"))
+    least = Window.partitionBy("l").orderBy("h")
+    chosen = chosen.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= of_each)
+    return sorted((r.l, r.h, r.p) for r in chosen.collect())
+
+
+def fit_language_id(docs, train, doc_id="doc_id", text="text", lang="lang", rows=ROWS_PER_LANGUAGE, seed=0):
+    """A network trained on a bounded sample of the rows where ``train`` holds.
+
+    The sample is the documented bound: at most ``rows`` rows of each language, and
+    ``MOST_ROWS`` of all but for one of each, those with the least hashes of id, text and
+    language, and of each row ``PIECES`` pieces of ``PIECE_CHARS`` characters. Only these
+    reach the driver. Rows that repeat in all three are one there, so neither ids, which
+    may all be equal or null, nor copies keep a language out. Rows without text or
+    language teach nothing; with no rows at all the network knows no language.
+    """
+    with scratch(docs.sparkSession):
+        found = sample(docs, train, doc_id, text, lang, rows, seed)
     languages = sorted({r[0] for r in found})
     network = ByteNetwork(languages, seed=seed)
     samples = [(languages.index(l), p.encode()[:PIECE_CHARS]) for l, _, ps in found for p in ps if p]
@@ -194,8 +209,9 @@ def fit_language_id(docs, train, doc_id="doc_id", text="text", lang="lang", rows
 def predict_language(docs, network, text="text", carry=None):
     """``docs`` with lang_pred and score, the language of the whole text and its share.
 
-    Every byte gets a probability of each language from the network, run over
-    windows with a lead-in on both sides; the document's score is the mean over
+    Every byte gets a probability of each language from the network. It is run over
+    windows of ``CORE`` bytes and not over the text from end to end: both directions
+    start ``LEAD`` bytes outside of the window. The document's score is the mean over
     all its bytes, and equal scores go to the language that sorts first.
 
     A text that is null, empty or without a letter is ``und`` with score 0, as is
@@ -217,15 +233,12 @@ def predict_language(docs, network, text="text", carry=None):
         return compute
 
     letters = F.coalesce(column(text).rlike(r"\p{L}"), F.lit(False))
-    names = docs.columns if carry is None else carry
-    rows = docs.select(
-        *[column(c) for c in names], letters.alias("__letters__"), column(text).alias(TEXT)
-    )
     fields = [("lang_pred", StringType()), ("score", DoubleType())]
-    found = append_columns(rows, TEXT, fields, start, carry=[*names, "__letters__"])
-    return found.withColumns(
-        {
-            "lang_pred": F.when(F.col("__letters__"), F.col("lang_pred")).otherwise(UNKNOWN),
-            "score": F.when(F.col("__letters__"), F.col("score")).otherwise(0.0),
-        }
-    ).drop("__letters__")
+    names = free_of(docs.columns if carry is None else carry, [n for n, _ in fields])
+    rows = docs.select(packed(names), letters.alias("letters"), column(text).alias("text"))
+    found = append_columns(rows, "text", fields, start, carry=["row", "letters"])
+    known = {
+        "lang_pred": F.when(F.col("letters"), F.col("lang_pred")).otherwise(UNKNOWN),
+        "score": F.when(F.col("letters"), F.col("score")).otherwise(0.0),
+    }
+    return unpacked(found.withColumns(known).drop("letters"), names)

@@ -8,8 +8,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import TEXT, column, free_of
-from plumbline.session import written_table
+from plumbline.llm.arrow import column, free_of, packed, unpacked
+from plumbline.llm.joins import spread_join
+from plumbline.session import scratch, written_table
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of lower-cased text.
@@ -55,6 +56,14 @@ TEMPLATES = [
     ),
 ]
 THRESHOLD = 0.8
+#: A template of fewer distinct words must be there whole: one word of so few can be
+#: the license's name.
+WHOLE_WORDS = 12
+
+
+def least_words(n, threshold=THRESHOLD, whole_words=WHOLE_WORDS):
+    """Words of a template of ``n`` distinct words that a paragraph must hold."""
+    return n if n < whole_words else math.ceil(threshold * n - 1e-9)
 
 
 def template_words(text):
@@ -110,19 +119,26 @@ def _stands(parts, sought):
 
 
 def scan_licenses(
-    docs, text="text", templates=TEMPLATES, threshold=THRESHOLD, phrases=PHRASES, carry=None
+    docs,
+    text="text",
+    templates=TEMPLATES,
+    threshold=THRESHOLD,
+    whole_words=WHOLE_WORDS,
+    phrases=PHRASES,
+    carry=None,
 ):
     """``docs`` with n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     The base are the places where a phrase's words stand one after the other. The
     method is an exact set-similarity join of the text's paragraphs with the
     templates: a template is found where a paragraph holds at least ``threshold``
-    of its distinct words. score is the greatest such share, 0 where there is none.
+    of its distinct words, or all of them where they are fewer than ``whole_words``.
+    score is the greatest such share, 0 where there is none.
 
     The words of the templates are counted over all paragraphs and put in order,
     rare ones first. A paragraph is the list, in that order, of the words it
     shares with the templates, for others cannot match. With a template of T words
-    at least c = ceil(threshold * T) must be common, so one of the template's
+    at least c = least_words(T) must be common, so one of the template's
     first T - c + 1 words is among the first b - c + 1 of a paragraph of b: the
     join is on these (prefix filter). Shorter lists (length filter) and first
     common words with too few words after them (positional filter) are left out,
@@ -140,12 +156,12 @@ def scan_licenses(
     sought = [(label, template_words(t)) for label, t in templates]
     sought = [(label, ws) for label, ws in sought if ws]
     lower = F.translate(F.coalesce(column(text), F.lit("")), CAPITALS, SMALL)
-    rows = docs.select(*[column(k) for k in kept], lower.alias(TEXT))
+    rows = docs.select(packed(kept), lower.alias("text"))
     order = _rare_first(rows, sorted({w for _, ws in sought for w in ws}))
     rank = {w: i for i, w in enumerate(order)}
     shapes = []
     for number, (label, ws) in enumerate(sought):
-        least = math.ceil(threshold * len(ws) - 1e-9)
+        least = least_words(len(ws), threshold, whole_words)
         ws = sorted(ws, key=rank.get)
         shapes += [(number, label, w, place, len(ws), least, ws) for place, w in enumerate(ws[: len(ws) - least + 1])]
     fewest = min((s[5] for s in shapes), default=1)
@@ -154,33 +170,36 @@ def scan_licenses(
     def head(block):
         return F.slice(block, 1, F.greatest(F.size(block) - (fewest - 1), F.lit(0)))
 
-    blocks = F.transform(F.split(F.col(TEXT), BLANK_LINE), lambda p: F.array_intersect(_strings(order), words(p)))
+    blocks = F.transform(F.split("text", BLANK_LINE), lambda p: F.array_intersect(_strings(order), words(p)))
     blocks = F.filter(blocks, lambda b: F.arrays_overlap(head(b), _strings(heads)))
-    hinted = F.col(TEXT).rlike("|".join(f"{GAP}+".join(map(re.escape, p.split())) for p in phrases) or "(?!)")
+    hinted = F.col("text").rlike("|".join(f"{GAP}+".join(map(re.escape, p.split())) for p in phrases) or "(?!)")
     no_places = F.array().cast("array<struct<at:bigint,label:string>>")
-    places = F.when(hinted, phrase_places(F.col(TEXT), phrases)).otherwise(no_places) if phrases else no_places
+    places = F.when(hinted, phrase_places(F.col("text"), phrases)).otherwise(no_places) if phrases else no_places
     found = rows.select(
-        *[column(k) for k in kept],
-        let(words(F.col(TEXT)), word_count).cast("long").alias("n_words"),
-        places.alias("__places"),
-        F.when(F.size(blocks) > 0, F.to_json(F.array_sort(F.array_distinct(blocks)))).alias("__blocks"),
-    )
-    found = written_table(found, "license-rows")
-    lists = found.filter("__blocks IS NOT NULL").select("__blocks").distinct()
-    matched = _joined(lists, shapes, fewest)
-    base = F.array_sort(F.array_distinct(F.transform("__places", lambda p: p["label"])))
-    both = F.array_sort(F.array_distinct(F.concat(base, F.coalesce(F.col("__labels"), _strings([])))))
-    starts = F.transform("__places", lambda p: p["at"])
-    return found.join(matched, "__blocks", "left").select(
-        *[column(k) for k in kept],
-        "n_words",
-        F.size("__places").cast("long").alias("n_base"),
-        F.array_min(starts).alias("first_word"),
-        F.array_max(starts).alias("last_word"),
-        F.array_join(base, ",").alias("base_labels"),
-        F.array_join(both, ",").alias("labels"),
-        F.coalesce("__score", F.lit(0.0)).alias("score"),
+        "row",
+        let(words(F.col("text")), word_count).cast("long").alias("n_words"),
+        places.alias("places"),
+        F.when(F.size(blocks) > 0, F.to_json(F.array_sort(F.array_distinct(blocks)))).alias("blocks"),
     )
+    with scratch(docs.sparkSession) as keep:
+        found = written_table(found, "license-rows")
+        lists = found.filter("blocks IS NOT NULL").groupBy("blocks").agg(F.count("*").alias("copies"))
+        matched = written_table(_joined(lists, shapes, fewest), "license-lists")
+        found = spread_join(found, matched, "blocks", "copies", local=False)
+        base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
+        both = F.array_sort(F.array_distinct(F.concat(base, F.coalesce(F.col("found"), _strings([])))))
+        starts = F.transform("places", lambda p: p["at"])
+        found = found.select(
+            "row",
+            "n_words",
+            F.size("places").cast("long").alias("n_base"),
+            F.array_min(starts).alias("first_word"),
+            F.array_max(starts).alias("last_word"),
+            F.array_join(base, ",").alias("base_labels"),
+            F.array_join(both, ",").alias("labels"),
+            F.coalesce("share", F.lit(0.0)).alias("score"),
+        )
+        return keep(unpacked(found, kept), "license-scan")
 
 
 def _strings(values):
@@ -189,7 +208,7 @@ def _strings(values):
 
 def _rare_first(rows, vocabulary):
     """The templates' words by the number of texts that hold them, over all texts."""
-    counts = rows.select(F.explode(F.array_intersect(_strings(vocabulary), words(F.col(TEXT)))).alias("w"))
+    counts = rows.select(F.explode(F.array_intersect(_strings(vocabulary), words(F.col("text")))).alias("w"))
     counts = {r.w: r.n for r in counts.groupBy("w").agg(F.count("*").alias("n")).collect()}
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
@@ -199,7 +218,7 @@ def _joined(lists, shapes, fewest):
     spark = lists.sparkSession
     kinds = "template int, label string, word string, place int, n int, least int, words array<string>"
     heads = spark.createDataFrame(shapes, kinds)
-    blocks = lists.select("__blocks", F.explode(F.from_json("__blocks", "array<array<string>>")).alias("block"))
+    blocks = lists.select("blocks", "copies", F.explode(F.from_json("blocks", "array<array<string>>")).alias("block"))
     sides = blocks.select("block").distinct().withColumn("size", F.size("block"))
     first = sides.select("*", F.posexplode(F.slice("block", F.lit(1), F.col("size") - (fewest - 1))).alias("at", "word"))
     common = first.join(heads, "word").filter("size >= least AND at <= size - least")
@@ -212,8 +231,5 @@ def _joined(lists, shapes, fewest):
     verdicts = shared.groupBy("block").agg(
         F.collect_set("label").alias("labels"), F.max(F.col("shared") / F.col("n")).alias("share")
     )
-    return (
-        blocks.join(verdicts, "block")
-        .groupBy("__blocks")
-        .agg(F.array_distinct(F.flatten(F.collect_set("labels"))).alias("__labels"), F.max("share").alias("__score"))
-    )
+    labels = F.array_distinct(F.flatten(F.collect_set("labels"))).alias("found")
+    return blocks.join(verdicts, "block").groupBy("blocks", "copies").agg(labels, F.max("share").alias("share"))

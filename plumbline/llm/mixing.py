@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import column, free_of
+from plumbline.llm.arrow import column, free_of, packed, unpacked
 from plumbline.session import scratch, written_table
 
 WEIGHTS = (5, 2, 1)
@@ -88,27 +88,27 @@ def mix_sources(docs, doc_id="doc_id", text="text", source="source", weights=WEI
         sized = written_table(
             docs.select(
                 column(doc_id).alias("doc_id"),
-                column(source).alias("__source"),
+                column(source).alias("source"),
                 n_words(column(text)).alias("size"),
-                F.coalesce(F.md5(column(doc_id).cast("string")), F.lit("0" * 32)).alias("__hash"),
-                *[column(k) for k in kept],
+                F.coalesce(F.md5(column(doc_id).cast("string")), F.lit("0" * 32)).alias("hash"),
+                packed(kept),
             ),
             "mix-sizes",
         )
-        counts = sized.groupBy(F.col("__source").alias("source"), "size").agg(F.count("*").alias("n"))
+        counts = sized.groupBy("source", "size").agg(F.count("*").alias("n"))
         cells = written_table(_cells(counts, weights), "mix-cells")
-        cell = sized["__source"].eqNullSafe(cells["__cell_source"]) & (sized["size"] == cells["__cell_size"])
-        part = F.floor(_unit("__hash") * F.ceil(F.col("__n") / CELL_ROWS))
-        rows = sized.join(cells, cell).withColumn("__part", part)
-        rows = written_table(rows.drop("__cell_source", "__cell_size"), "mix-rows")
-        by_part = Window.partitionBy("__cell").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-        parts = rows.groupBy("__cell", "__part").agg(F.count("*").alias("m"))
-        parts = parts.select("__cell", "__part", F.coalesce(F.sum("m").over(by_part), F.lit(0)).alias("__earlier"))
-        in_part = Window.partitionBy("__cell", "__part").orderBy("__hash", "doc_id")
-        placed = rows.withColumn("__rank", F.row_number().over(in_part)).join(parts, ["__cell", "__part"])
-        place = F.col("__smaller") + F.col("__earlier") + F.col("__rank")
+        cell = F.col("source").eqNullSafe(F.col("cell_source")) & (F.col("size") == F.col("cell_size"))
+        part = F.floor(_unit("hash") * F.ceil(F.col("n") / CELL_ROWS))
+        rows = sized.join(cells, cell).withColumn("part", part)
+        rows = written_table(rows.drop("cell_source", "cell_size"), "mix-rows")
+        by_part = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        parts = rows.groupBy("cell", "part").agg(F.count("*").alias("m"))
+        parts = parts.select("cell", "part", F.coalesce(F.sum("m").over(by_part), F.lit(0)).alias("earlier"))
+        in_part = Window.partitionBy("cell", "part").orderBy("hash", "doc_id")
+        placed = rows.withColumn("rank", F.row_number().over(in_part)).join(parts, ["cell", "part"])
+        place = F.col("smaller") + F.col("earlier") + F.col("rank")
         expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-        offset = _unit(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("__source"), F.lit("")))))
+        offset = _unit(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("source"), F.lit("")))))
         copies = F.floor(place * expected + offset) - F.floor((place - 1) * expected + offset)
         mixed = placed.select(
             "doc_id",
@@ -117,9 +117,9 @@ def mix_sources(docs, doc_id="doc_id", text="text", source="source", weights=WEI
             "target",
             copies.cast("long").alias("copies"),
             (copies * F.col("size")).cast("long").alias("taken"),
-            *[column(k) for k in kept],
+            "row",
         )
-        return keep(mixed, "mix")
+        return keep(unpacked(mixed, kept), "mix")
 
 
 def _unit(hexadecimal):
@@ -130,15 +130,15 @@ def _unit(hexadecimal):
 def _cells(counts, weights):
     """One row per source and size: its documents, those of smaller size, and the target."""
     sizes = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    targets = source_targets(sizes, weights).withColumnRenamed("source", "__of")
+    targets = source_targets(sizes, weights).withColumnRenamed("source", "of")
     smaller = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = counts.withColumn("__smaller", F.coalesce(F.sum("n").over(smaller), F.lit(0)))
-    return rows.join(targets, F.col("source").eqNullSafe(F.col("__of"))).select(
-        F.monotonically_increasing_id().alias("__cell"),
-        F.col("source").alias("__cell_source"),
-        F.col("size").alias("__cell_size"),
-        F.col("n").alias("__n"),
-        "__smaller",
+    rows = counts.withColumn("smaller", F.coalesce(F.sum("n").over(smaller), F.lit(0)))
+    return rows.join(targets, F.col("source").eqNullSafe(F.col("of"))).select(
+        F.monotonically_increasing_id().alias("cell"),
+        F.col("source").alias("cell_source"),
+        F.col("size").alias("cell_size"),
+        F.col("n").alias("n"),
+        "smaller",
         "source_size",
         "target",
     )

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType
 
-from plumbline.llm.arrow import TEXT, append_columns, column
+from plumbline.llm.arrow import TEXT, append_columns, column, packed, unpacked
 from plumbline.llm.words import WordReader, blocks, run_hashes, spaced_word_bytes, utf8
 from plumbline.session import scratch, written_table
 
@@ -335,21 +335,25 @@ def without_near_duplicates(docs, doc_id="doc_id", text="text", **options):
     """
     with scratch(docs.sparkSession) as keep:
         found = near_duplicates(docs, doc_id, text, **options).filter("group IS NOT NULL")
-        found = found.select("group", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-        pairs = written_table(found.groupBy("group", "__id", "__key").agg(F.count("*").alias("copies")), "near-copies")
-        least = F.min(F.struct(F.col("__id").isNull().alias("nameless"), "__id", "__key", "copies")).alias("least")
+        found = found.select("group", F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+        pairs = written_table(found.groupBy("group", "id", "key").agg(F.count("*").alias("copies")), "near-copies")
+        least = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "key", "copies")).alias("least")
         first = written_table(pairs.groupBy("group").agg(least).select("least.*"), "near-first")
-        same = F.col("__id").eqNullSafe(F.col("id")) & (F.col("__key") == F.col("key"))
-        single = first.filter("copies = 1").select(F.col("__id").alias("id"), F.col("__key").alias("key"))
-        dropped = keep(pairs.join(single, same, "left_anti").select("__id", "__key"), "near-dropped")
-        repeated = keep(first.filter("copies > 1").select("__id", "__key"), "near-repeated")
-    same = column(doc_id).eqNullSafe(F.col("__id")) & F.md5(column(text)).eqNullSafe(F.col("__key"))
-    kept = docs.join(dropped, same, "left_anti")
+        single = first.filter("copies = 1").select(F.col("id").alias("own_id"), F.col("key").alias("own_key"))
+        same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key"))
+        gone = pairs.join(single, same, "left_anti")
+        dropped = keep(gone.select(F.col("id").alias("gone_id"), F.col("key").alias("gone_key")), "near-dropped")
+        repeated = first.filter("copies > 1").select(F.col("id").alias("same_id"), F.col("key").alias("same_key"))
+        repeated = keep(repeated, "near-repeated")
+    names = docs.columns
+    rows = docs.select(packed(names), column(doc_id).alias("id"), F.md5(column(text)).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & F.col("key").eqNullSafe(F.col("gone_key"))
+    kept = unpacked(rows.join(dropped, same, "left_anti").select("row"), names)
     if repeated.isEmpty():
         return kept
-    others = F.struct(F.lit(0).alias("__none"), *[column(c) for c in docs.columns if c != text])
-    rows = docs.join(repeated, same).select(
-        "__id", "__key", F.struct(*[column(c) for c in docs.columns]).alias("row"), F.md5(F.to_json(others)).alias("order")
-    )
-    one = rows.groupBy("__id", "__key").agg(F.min_by("row", "order").alias("row"))
-    return kept.unionByName(one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))
+    same = F.col("id").eqNullSafe(F.col("same_id")) & F.col("key").eqNullSafe(F.col("same_key"))
+    numbered = {n: f"c{i}" for i, n in enumerate(names) if n != text}
+    others = F.struct("row.none", *[F.col("row").getField(c).alias(n) for n, c in numbered.items()])
+    several = rows.join(repeated, same).select("same_id", "same_key", "row", F.md5(F.to_json(others)).alias("order"))
+    one = several.groupBy("same_id", "same_key").agg(F.min_by("row", "order").alias("row"))
+    return kept.unionByName(unpacked(one.select("row"), names))

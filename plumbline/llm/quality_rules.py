@@ -1,75 +1,76 @@
 """Quality rules as a short-circuit cascade, in DataFrame operations only."""
 
-import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import TEXT, column, free_of
+from plumbline.llm.arrow import column, free_of, packed, unpacked
 from plumbline.llm.license_scan import let
 from plumbline.llm.mixing import n_words
 
 SPACES = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
-#: The documented bound of the sample that costs and rejections are measured on.
+#: The documented bound of the sample that costs and rejections are estimated on.
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 20_000
 
-#: Facts of a text that rules are stated in; each is computed from the text column.
-FACTS = {}
+
+@dataclass(frozen=True)
+class Fact:
+    """A number that rules are stated in.
+
+    ``value`` gives it from the text column. ``work`` gives the characters that
+    finding it touches, from n_chars and the facts of a text as arrays.
+    """
+
+    value: Callable
+    work: Callable
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A text fails the rule where the SQL condition on the facts holds."""
+    """A text fails the rule where ``fails`` of the facts, as columns, holds."""
 
     name: str
-    fails: str
     facts: tuple
+    fails: Callable
+
+    def failed(self, columns):
+        return F.coalesce(self.fails(*[columns[f] for f in self.facts]), F.lit(False))
 
 
 BASE_RULES = (
-    Rule("few_words", "n_words < 50", ("n_words",)),
-    Rule("repeats", "100 * n_repeat_words > 50 * n_words", ("n_repeat_words", "n_words")),
+    Rule("few_words", ("n_words",), lambda n: n < 50),
+    Rule("repeats", ("n_repeat_words", "n_words"), lambda r, n: 100 * r > 50 * n),
 )
 #: Wide limits: they reject symbol tables, shouting and line spam, not prose.
 RULES = (
-    Rule("short_words", "word_chars < 2 * n_words", ("word_chars", "n_words")),
-    Rule("long_words", "word_chars > 20 * n_words", ("word_chars", "n_words")),
-    Rule("symbols", "10 * n_symbols > n_words", ("n_symbols", "n_words")),
-    Rule("same_lines", "2 * n_dup_lines > n_lines", ("n_dup_lines", "n_lines")),
-    Rule("capitals", "2 * n_capitals > n_letters", ("n_capitals", "n_letters")),
-    Rule("few_letters", "2 * n_letters < word_chars", ("n_letters", "word_chars")),
+    Rule("short_words", ("word_chars", "n_words"), lambda c, n: c < 2 * n),
+    Rule("long_words", ("word_chars", "n_words"), lambda c, n: c > 20 * n),
+    Rule("symbols", ("n_symbols", "n_words"), lambda s, n: 10 * s > n),
+    Rule("same_lines", ("n_dup_lines", "n_lines"), lambda d, n: 2 * d > n),
+    Rule("capitals", ("n_capitals", "n_letters"), lambda c, n: 2 * c > n),
+    Rule("few_letters", ("n_letters", "word_chars"), lambda n, c: 2 * n < c),
 )
 
 
-def _fact(f):
-    FACTS[f.__name__] = f
-    return f
-
-
 def _kept_chars(text, dropped):
     return F.length(F.regexp_replace(text, dropped, "")).cast("long")
 
 
-FACTS["n_words"] = n_words
-
-
-@_fact
 def word_chars(text):
     return _kept_chars(text, f"{SPACES}+")
 
 
-@_fact
 def n_symbols(text):
     return _kept_chars(text, "[^#*$%&|<>]+")
 
 
-@_fact
 def n_letters(text):
     return _kept_chars(text, r"\P{L}+")
 
 
-@_fact
 def n_capitals(text):
     return _kept_chars(text, r"\P{Lu}+")
 
@@ -78,17 +79,14 @@ def _lines(text):
     return F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
 
 
-@_fact
 def n_lines(text):
     return F.size(_lines(text)).cast("long")
 
 
-@_fact
 def n_dup_lines(text):
     return let(_lines(text), lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-@_fact
 def n_repeat_words(text):
     """Words in 3-word windows that stand twice or more in the text.
 
@@ -131,42 +129,99 @@ def n_repeat_words(text):
     return let(words, counted).cast("long")
 
 
-def measured_order(rows, rules, sample_rows=SAMPLE_ROWS):
-    """The rules by falling rejection per second, both measured on a sample of rows.
-
-    Each rule runs over the same bounded sample with the facts it needs, which
-    gives its share of rejected rows and its time beyond that of reading. The
-    sample, at most ``sample_rows`` texts cut at ``SAMPLE_CHARS``, only sets the
-    order.
+def once(facts):
+    return facts["n_chars"]
+
+
+#: Facts by name. A pass of a pattern touches each character once, a split copies them;
+#: three-word windows hold each word three times and are built and hashed, and texts with
+#: equal ones sort them.
+FACTS = {
+    "n_words": Fact(n_words, lambda f: 2 * f["n_chars"]),
+    "word_chars": Fact(word_chars, once),
+    "n_symbols": Fact(n_symbols, once),
+    "n_letters": Fact(n_letters, once),
+    "n_capitals": Fact(n_capitals, once),
+    "n_lines": Fact(n_lines, lambda f: 2 * f["n_chars"]),
+    "n_dup_lines": Fact(n_dup_lines, lambda f: 3 * f["n_chars"]),
+    "n_repeat_words": Fact(
+        n_repeat_words,
+        lambda f: 2 * f["n_chars"]
+        + 6 * f["word_chars"]
+        + np.where(f["n_repeat_words"] > 0, 6 * f["word_chars"] * np.log2(f["n_words"] + 2), 0),
+    ),
+}
+#: Facts that ``work`` is stated in besides a rule's own.
+MEASURES = ("n_words", "word_chars")
+
+
+def sampled(rows, sample_rows=SAMPLE_ROWS, sample_chars=SAMPLE_CHARS):
+    """(text, copies): at most ``sample_rows`` distinct rows by a hash of all their columns.
+
+    The hash takes rows at a rate from the number of rows, and of those the ones
+    with the least hashes: a table gives the same sample however it is cut. Equal
+    rows are one with their number, so that copies do not fill it.
     """
-    cut = rows.select(F.substring(TEXT, 1, SAMPLE_CHARS)).limit(sample_rows).collect()
-    sample = rows.sparkSession.createDataFrame([(r[0],) for r in cut], f"{TEXT} string")
-
-    def timed(condition, facts):
-        with_facts = sample.withColumns({f: FACTS[f](F.col(TEXT)) for f in facts})
-        begun = time.perf_counter()
-        share = with_facts.agg(F.avg(F.expr(condition).cast("int"))).first()[0]
-        return time.perf_counter() - begun, share or 0.0
-
-    timed("true", ())
-    empty = timed("true", ())[0]
-    worth = {}
-    for rule in rules:
-        seconds, share = timed(rule.fails, rule.facts)
-        worth[rule.name] = share / max(seconds - empty, 1e-3)
-    return sorted(rules, key=lambda r: (-worth[r.name], r.name))
-
-
-def cascade(rules):
+    stride = max(1, rows.count() // (2 * sample_rows))
+    digest = F.xxhash64(F.to_json(F.struct("row")), "text")
+    some = rows.select(digest.alias("digest"), F.substring("text", 1, sample_chars).alias("text"))
+    some = some.filter(F.pmod("digest", F.lit(stride)) == 0)
+    distinct = some.groupBy("digest").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    return distinct.orderBy("digest").limit(sample_rows).select("text", "copies")
+
+
+def estimated_order(rows, rules, known=(), sample_rows=SAMPLE_ROWS):
+    """The rules by falling rejection per cost, both estimated on a sample of ``rows``.
+
+    The sample is that of ``sampled``, texts cut at ``SAMPLE_CHARS``; it only sets the
+    order. Costs are the characters that the facts of a rule touch, those facts
+    left out that are ``known`` or that an earlier rule has found. Rejections and
+    costs count the rows that the rules before have left, so each place goes to the
+    rule that does best after those. Equal rules stand by cost and name; the same
+    rows give the same order each time.
+    """
+    names = sorted({f for rule in rules for f in rule.facts} | set(MEASURES))
+    some = sampled(rows, sample_rows).select("copies", F.length("text").alias("n_chars"), *_facts(names))
+    here = {n: F.col(n) for n in names}
+    some = some.select("*", *[r.failed(here).alias(f"fails_{i}") for i, r in enumerate(rules)])
+    found = some.toArrow()
+    facts = {n: found[n].to_numpy() for n in ("n_chars", *names)}
+    fails = {r.name: found[f"fails_{i}"].to_numpy(zero_copy_only=False) for i, r in enumerate(rules)}
+    work = {n: FACTS[n].work(facts) for n in names}
+    passed, known, order = found["copies"].to_numpy().astype(float), set(known), []
+
+    def place(rule):
+        cost = sum(float((work[f] * passed).sum()) for f in rule.facts if f not in known)
+        rejected = float((fails[rule.name] * passed).sum())
+        return -(rejected / cost if cost else float("inf")), cost, rule.name
+
+    left = list(rules)
+    while left:
+        order.append(min(left, key=place))
+        left.remove(order[-1])
+        known |= set(order[-1].facts)
+        passed = passed * ~fails[order[-1].name]
+    return order
+
+
+def _facts(names):
+    return [FACTS[n].value(F.col("text")).alias(n) for n in names]
+
+
+def cascade(rules, text, known):
     """The name of the first rule in order that a row fails, null if none.
 
-    One CASE: a later rule's facts are not computed for a row that failed before.
+    Facts that are not ``known`` columns stand inside the branch that needs them, each
+    bound once for the rules from there on. A row that fails a rule never finds
+    the facts that only later rules need.
     """
-    chain = None
-    for rule in rules:
-        condition = F.expr(rule.fails)
-        chain = F.when(condition, rule.name) if chain is None else chain.when(condition, rule.name)
-    return F.lit(None).cast("string") if chain is None else chain
+    if not rules:
+        return F.lit(None).cast("string")
+    rule = rules[0]
+    wanted = [f for f in rule.facts if f not in known]
+    if wanted:
+        return let(FACTS[wanted[0]].value(text), lambda v: cascade(rules, text, known | {wanted[0]: v}))
+    return F.when(rule.failed(known), rule.name).otherwise(cascade(rules[1:], text, known))
 
 
 def apply_quality_rules(
@@ -174,33 +229,25 @@ def apply_quality_rules(
 ):
     """``docs`` with the facts asked for, failed_rule and kept.
 
-    The order of the rules is found first: cost and rejection are measured on a
-    bounded sample and the rules stand by rejection per cost. Facts are then
-    expressions of the text inside one CASE, so a row pays for the rules up to the
-    one it fails; facts asked for as columns are computed for every row. The order
-    decides what is computed and which of several failed rules is named, never
-    which rows are kept.
+    The order of the rules is found first: cost and rejection are estimated on a
+    bounded sample, and the rules stand by rejection per cost. Then each row goes
+    through the rules in that order up to the one it fails. Facts asked for as
+    columns are found for every row; all others only where a rule comes up that
+    needs them. The order decides what is computed and which of several failed rules
+    is named, never which rows are kept.
 
     Null and empty texts have no words, characters or lines. Repeated rows are
     judged each, whole texts are read, columns with the names of results give
     way, and an empty table gives an empty one.
     """
-    made = [*facts, "failed_rule", "kept"]
-    kept = free_of(docs.columns if carry is None else carry, made)
-    rows = docs.select(*[column(k) for k in kept], F.coalesce(column(text), F.lit("")).alias(TEXT))
-    rules = measured_order(rows, rules, sample_rows)
-    hidden = {f: f"__fact_{f}" for rule in rules for f in rule.facts} | {f: f"__fact_{f}" for f in facts}
-    found = rows.withColumns({h: FACTS[f](F.col(TEXT)) for f, h in hidden.items()})
-    renamed = [Rule(r.name, _renamed(r.fails, hidden), r.facts) for r in rules]
-    found = found.withColumn("failed_rule", cascade(renamed))
-    return found.select(
-        *[column(k) for k in kept],
-        *[column(hidden[f]).alias(f) for f in facts],
-        "failed_rule",
-        F.col("failed_rule").isNull().alias("kept"),
-    )
-
-
-def _renamed(condition, names):
-    words = condition.split()
-    return " ".join(names.get(w, w) for w in words)
+    kept = free_of(docs.columns if carry is None else carry, [*facts, "failed_rule", "kept"])
+    rows = docs.select(packed(kept), F.coalesce(column(text), F.lit("")).alias("text"))
+    order = estimated_order(rows, rules, facts, sample_rows)
+    return unpacked(judged(rows, order, facts), kept)
+
+
+def judged(rows, order, facts=()):
+    """The rows with ``facts``, failed_rule and kept, by rules in the order given."""
+    found = rows.select("row", "text", *_facts(facts))
+    found = found.select("row", *facts, cascade(order, F.col("text"), {f: F.col(f) for f in facts}).alias("failed_rule"))
+    return found.withColumn("kept", F.col("failed_rule").isNull())

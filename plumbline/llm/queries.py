@@ -7,10 +7,10 @@ from plumbline.llm.centroid_clusters import cluster_vectors
 from plumbline.llm.chat_format import rotate
 from plumbline.llm.decontamination import find_contamination
 from plumbline.llm.language_id import fit_language_id, is_held_out, predict_language
-from plumbline.llm.license_scan import PHRASES, TEMPLATES, scan_licenses, template_words
+from plumbline.llm.license_scan import PHRASES, TEMPLATES, least_words, scan_licenses, template_words
 from plumbline.llm.mixing import mix_sources
 from plumbline.llm.near_duplicates import near_duplicates
-from plumbline.llm.quality_rules import BASE_RULES, RULES, apply_quality_rules
+from plumbline.llm.quality_rules import BASE_RULES, apply_quality_rules
 from plumbline.llm.simhash import simhash_groups
 from plumbline.llm.suffix_dedup import remove_repeats
 from plumbline.llm.token_counts import count_tokens
@@ -67,8 +67,8 @@ BASE_FACTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 def op6_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = apply_quality_rules(docs, facts=BASE_FACTS, carry=["doc_id"])
-    base = " OR ".join(r.fails for r in BASE_RULES)
-    return found.select("doc_id", *BASE_FACTS, F.expr(base).alias("base_failed"), "kept")
+    failed = [r.failed({f: F.col(f) for f in BASE_FACTS}) for r in BASE_RULES]
+    return found.select("doc_id", *BASE_FACTS, F.greatest(*failed).alias("base_failed"), "kept")
 
 
 def op7_url_filter(spark, sf_dir):
@@ -158,7 +158,7 @@ def _templates():
     rows = []
     for label, text in TEMPLATES:
         ws = template_words(text)
-        rows.append(f"('{label}', {_list(ws)}, {-(-8 * len(ws) // 10)})")
+        rows.append(f"('{label}', {_list(ws)}, {least_words(len(ws))})")
     return ", ".join(rows)
 
 
@@ -227,8 +227,9 @@ def _code_sql(parts=16, entries=64, rounds=2):
         FROM v JOIN f USING (r), h"""
 
 
-BASE_FAILED = " OR ".join(r.fails for r in BASE_RULES)
-FAILED = " OR ".join(r.fails for r in BASE_RULES + RULES)
+BASE_FAILED = "n_words < 50 OR 100 * n_repeat_words > 50 * n_words"
+FAILED = f"""{BASE_FAILED} OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * n_symbols > n_words
+  OR 2 * n_dup_lines > n_lines OR 2 * n_capitals > n_letters OR 2 * n_letters < word_chars"""
 
 SQL = {
     "op3_license_scan": rf"""
@@ -313,19 +314,31 @@ SQL = {
         FROM p LEFT JOIN (SELECT * FROM k WHERE n = 1) USING (page_id)""",
     "op10_chat_format": """
         WITH m AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text
-          FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+          FROM conversations),
+        b AS (SELECT *, coalesce(sum(length(role) + length(text) + 24) OVER (PARTITION BY conv_id
+          ORDER BY turn NULLS LAST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM m),
+        o AS (SELECT conv_id, min(before) AS opened FROM b WHERE role <> 'system' GROUP BY conv_id),
+        k AS (SELECT conv_id, max(before // 1048576) AS parts FROM b GROUP BY conv_id),
+        e AS (SELECT b.*, unnest(range(1, k.parts::BIGINT + 1)) AS part FROM b
+          JOIN k ON b.conv_id IS NOT DISTINCT FROM k.conv_id JOIN o ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+          WHERE role = 'system' AND before < 65536 AND before < opened),
+        p AS (SELECT conv_id, turn, role, text, 1 AS own_part, (before // 1048576)::BIGINT AS part FROM b UNION ALL
+          SELECT e.conv_id, turn, role, text, 0, e.part FROM e JOIN
+          (SELECT DISTINCT conv_id, (before // 1048576)::BIGINT AS part FROM b) h
+          ON e.conv_id IS NOT DISTINCT FROM h.conv_id AND e.part = h.part),
         s AS (SELECT DISTINCT conv_id, role AS speaker FROM m WHERE role <> 'system'),
-        p AS (SELECT conv_id, speaker, floor(turn / 64)::BIGINT AS part, turn, role, text, role = speaker AS own,
+        q AS (SELECT p.conv_id, speaker, part, own_part, turn, role, text, role = speaker AS own,
           CASE WHEN role = speaker THEN '<|assistant|>' || chr(10) WHEN role = 'system' THEN '<|system|>' || chr(10)
-            ELSE '<|user|>' || chr(10) || role || ': ' END AS lead, text || '<|end|>' AS learned FROM m JOIN s USING (conv_id)),
-        q AS (SELECT *, sum(length(lead) + length(learned) + 1) OVER (PARTITION BY conv_id, speaker, part
-          ORDER BY turn, role, text) - length(learned) - 1 AS a FROM p)
+            ELSE '<|user|>' || chr(10) || role || ': ' END AS lead, text || '<|end|>' AS learned
+          FROM p JOIN s ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
+        r AS (SELECT *, sum(length(lead) + length(learned) + 1) OVER (PARTITION BY conv_id, speaker, part
+          ORDER BY own_part, turn NULLS LAST, role, text) - length(learned) - 1 AS a FROM q)
         SELECT conv_id, speaker, part, count(*) AS n_messages,
-          string_agg(lead || learned || chr(10), '' ORDER BY turn, role, text) AS rendered,
-          coalesce(string_agg(a::VARCHAR || '-' || (a + length(learned))::VARCHAR, ',' ORDER BY turn, role, text)
-            FILTER (own), '') AS mask,
+          string_agg(lead || learned || chr(10), '' ORDER BY own_part, turn NULLS LAST, role, text) AS rendered,
+          coalesce(string_agg(a::VARCHAR || '-' || (a + length(learned))::VARCHAR, ','
+            ORDER BY own_part, turn NULLS LAST, role, text) FILTER (own), '') AS mask,
           coalesce(sum(length(learned)) FILTER (own), 0)::BIGINT AS n_learned
-        FROM q GROUP BY conv_id, speaker, part""",
+        FROM r GROUP BY conv_id, speaker, part""",
     "op8_suffix_dedup": """
         WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
         w AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 400)) AS h FROM

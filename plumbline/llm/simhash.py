@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from plumbline.llm.arrow import append_columns, column
-from plumbline.llm.joins import FREQUENT, spread_join
+from plumbline.llm.joins import BROADCAST_ROWS, spread_join
 from plumbline.llm.near_duplicates import components
 from plumbline.session import scratch, written_table
 
@@ -130,7 +130,7 @@ def spanning(values, other, start, most):
     return found
 
 
-def links(nodes, most, block=BLOCK, frequent=FREQUENT):
+def links(nodes, most, block=BLOCK, broadcast_rows=BROADCAST_ROWS):
     """Edges (a, b) of fingerprints that connect all within ``most`` bits of each other.
 
     Keys of one fingerprint alone are dropped by their count. The members of a key
@@ -141,7 +141,7 @@ def links(nodes, most, block=BLOCK, frequent=FREQUENT):
     keys = nodes.select("node", F.explode(chain_keys(F.col("node"), most)).alias("key"))
     counts = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     counts = written_table(counts.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")), "simhash-keys")
-    met = spread_join(keys, counts, "key", "n", frequent).filter("blocks IS NOT NULL")
+    met = spread_join(keys, counts, "key", "n", broadcast_rows).filter("blocks IS NOT NULL")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = met.withColumn("own", own).withColumn("other", others)
@@ -166,7 +166,7 @@ def links(nodes, most, block=BLOCK, frequent=FREQUENT):
 
 
 def simhash_groups(
-    docs, doc_id="doc_id", text="text", words=WORDS, most=MOST, block=BLOCK, frequent=FREQUENT
+    docs, doc_id="doc_id", text="text", words=WORDS, most=MOST, block=BLOCK, broadcast_rows=BROADCAST_ROWS
 ):
     """doc_id, fingerprint (16 hex digits) and component_id of each row.
 
@@ -176,8 +176,8 @@ def simhash_groups(
     linked if at most ``most`` of their bits differ; component_id is the smallest doc_id
     that links reach.
 
-    Equal fingerprints are one from the start, however many rows have them, and are
-    broadcast back to the rows if they are among the ``frequent`` most common. Only the
+    Equal fingerprints are one from the start, however many rows have them; groups return
+    to the rows by ``spread_join``, which broadcasts up to ``broadcast_rows`` of them. Only the
     fingerprints that share a key of ``chain_keys`` are compared, in blocks of about
     ``block``; ``most`` must be below the number of segments, so that a key has equal bits.
 
@@ -194,16 +194,16 @@ def simhash_groups(
             F.min("doc_id").alias("least_id"), F.count("*").alias("copies")
         )
         nodes = written_table(nodes, "simhash-nodes")
-        labels = components(links(nodes.select("node"), most, block, frequent))
+        labels = components(links(nodes.select("node"), most, block, broadcast_rows))
         named = written_table(nodes.join(labels, "node", "left"), "simhash-named")
         groups = named.filter("comp IS NOT NULL").groupBy("comp").agg(
             F.min("least_id").alias("group_id"), F.count("*").alias("members")
         )
-        named = spread_join(named, groups, "comp", "members", frequent).select(
+        named = spread_join(named, groups, "comp", "members", broadcast_rows).select(
             F.col("node").alias("fingerprint"), F.coalesce("group_id", "least_id").alias("component_id"), "copies"
         )
         named = written_table(named.filter("copies > 1 OR component_id IS NOT NULL"), "simhash-named")
-        found = spread_join(rows, named, "fingerprint", "copies", frequent)
+        found = spread_join(rows, named, "fingerprint", "copies", broadcast_rows)
         digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
         found = found.select("doc_id", digits, F.coalesce("component_id", "doc_id").alias("component_id"))
         return keep(found, "simhash-groups")

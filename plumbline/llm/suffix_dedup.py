@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from plumbline.llm.arrow import TEXT, column
+from plumbline.llm.arrow import column, packed, unpacked
 from plumbline.llm.words import ONE_BYTES, blocks, byte_values, mixed, utf8
 from plumbline.session import scratch, written_table
 
@@ -488,11 +488,11 @@ def remove_repeats(docs, text="text", carry=None, kept_text=False):
     made = ["n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * kept_text
     taken = {m.lower() for m in made}
     names = [c for c in (docs.columns if carry is None else carry) if c.lower() not in taken]
-    rows = docs.select(*[column(c) for c in names], column(text).alias(TEXT))
-    whole_text = F.coalesce(F.col(TEXT), F.lit(""))
-    rows = rows.withColumn("__key", F.sha2(whole_text, 256))
+    rows = docs.select(packed(names), column(text).alias("text"))
+    whole_text = F.coalesce(F.col("text"), F.lit(""))
+    rows = rows.withColumn("key", F.sha2(whole_text, 256))
     rows = rows.withColumn("n_bytes", F.octet_length(whole_text).cast("long"))
-    copies = rows.groupBy("__key").agg(F.count("*").alias("n"), F.first("n_bytes").alias("size"))
+    copies = rows.groupBy("key").agg(F.count("*").alias("n"), F.first("n_bytes").alias("size"))
     whole = copies.filter((F.col("n") > 1) & (F.col("size") >= SPAN))
 
     def results(batches):
@@ -510,28 +510,28 @@ def remove_repeats(docs, text="text", carry=None, kept_text=False):
             columns += [pa.array(digests, pa.string()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    kinds = [("__key", StringType()), ("n_removed", LongType()), ("n_spans", LongType())]
+    kinds = [("key", StringType()), ("n_removed", LongType()), ("n_spans", LongType())]
     kinds += [("kept_sha256", StringType()), ("kept_text", StringType())]
     schema = StructType([StructField(n, t) for n, t in kinds])
     gone = whole.select(
-        "__key",
+        "key",
         F.col("size").alias("n_removed"),
         F.lit(1).cast("long").alias("n_spans"),
         F.lit(EMPTY_SHA).alias("kept_sha256"),
         F.lit("").alias("kept_text"),
     )
     with scratch(docs.sparkSession) as keep:
-        found = repeated_places(rows, "__key", TEXT)
-        found = found.join(whole.select(F.col("__key").alias("key")), "key", "left_anti")
+        found = repeated_places(rows, "key", "text")
+        found = found.join(whole.select("key"), "key", "left_anti")
         cut = found.select("key", "text", "spans").mapInArrow(results, schema)
         changed = keep(cut.unionByName(gone), "suffix-results")
-    shown = rows if kept_text else rows.drop(TEXT)
-    answered = shown.join(changed, "__key", "left")
-    return answered.select(
-        *[column(c) for c in names],
+    shown = rows if kept_text else rows.drop("text")
+    answered = shown.join(changed, "key", "left").select(
+        "row",
         "n_bytes",
         F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("kept_sha256", "__key").alias("kept_sha256"),
-        *([F.coalesce("kept_text", F.col(TEXT)).alias("kept_text")] if kept_text else []),
+        F.coalesce("kept_sha256", "key").alias("kept_sha256"),
+        *([F.coalesce("kept_text", "text").alias("kept_text")] if kept_text else []),
     )
+    return unpacked(answered, names)

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from plumbline.llm.arrow import column
-from plumbline.session import written_table
+from plumbline.session import scratch, written_table
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEFAULT = "allow"
@@ -81,8 +81,21 @@ def filter_urls(pages, rules, page_id="page_id", url="url", default=DEFAULT, ran
     """
     host, path = host_and_path(column(url))
     found = pages.select(column(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
-    keyed = found.select("host", "path").distinct().filter(F.col("host") != "")
-    keyed = keyed.withColumn("key", F.concat(host_key(F.col("host")), F.lit("\0"), "path"))
+    with scratch(pages.sparkSession) as keep:
+        verdicts = judged_urls(found.select("host", "path").distinct().filter(F.col("host") != ""), rules, range_rows)
+        # Pages without a host may be many and fit no rule.
+        named = found.filter(F.col("host") != "").join(verdicts, ["host", "path"], "left")
+        nothing = F.lit(None).cast("string")
+        nameless = found.filter(F.col("host") == "").withColumns({"rule": nothing, "verdict": nothing})
+        answered = named.unionByName(nameless).select(
+            "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
+        )
+        return keep(answered, "url-verdicts")
+
+
+def judged_urls(places, rules, range_rows):
+    """(host, path, rule, verdict) of the distinct hosts and paths that a rule fits."""
+    keyed = places.withColumn("key", F.concat(host_key(F.col("host")), F.lit("\0"), "path"))
     keyed = written_table(keyed, "url-keys")
     hosts = rules.select(F.translate("host", CAPITALS, SMALL).alias("host"), "path", "verdict").dropna()
     hosts = hosts.groupBy("host", "path").agg(F.min("verdict").alias("verdict"))
@@ -130,11 +143,7 @@ def filter_urls(pages, rules, page_id="page_id", url="url", default=DEFAULT, ran
     schema = f"range int, key string, last string, host string, path string, rules {kind}"
     placed = sides.mapInArrow(place, schema).repartition(len(cuts) + 1, "range")
     ordered = placed.sortWithinPartitions("range", "key", F.col("rules").isNull())
-    verdicts = ordered.mapInArrow(judge, "host string, path string, rule string, verdict string")
-    answered = found.join(verdicts, ["host", "path"], "left")
-    return answered.select(
-        "page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
-    )
+    return ordered.mapInArrow(judge, "host string, path string, rule string, verdict string")
 
 
 def key_end(key):

@@ -2,12 +2,13 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from plumbline.llm import suffix_dedup
+from plumbline.llm import chat_format, queries, suffix_dedup
 from plumbline.llm.chat_format import rotate
 from plumbline.llm.mixing import mix_sources
 from plumbline.llm.near_duplicates import least_common, near_duplicates, without_near_duplicates
@@ -154,23 +155,80 @@ def test_url_rules_equal_brute_force(spark, range_rows):
     assert filter_urls(pages.limit(0), rules).count() == 0
 
 
-def test_dialogues_rotate(spark):
-    turns = [
-        (1, 0, "system", "Be kind."), (1, 1, "ann", "Hi"), (1, 2, "bob", "Hello <|end|>"), (1, 70, "ann", None),
-        (1, 1, "ann", "Hi"), (2, 0, "system", "alone"), (3, 0, None, "?"), (None, 0, "x", "y"), (4, None, "x", "y"),
-    ]
-    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    found = {(r.conv_id, r.speaker, r.part): r for r in rotate(frame).collect()}
-    assert set(found) == {(1, "ann", 0), (1, "ann", 1), (1, "bob", 0), (1, "bob", 1), (3, "unknown", 0)}
-    ann = found[1, "ann", 0]
-    assert ann.rendered == (
-        "<|system|>\nBe kind.<|end|>\n<|assistant|>\nHi<|end|>\n<|user|>\nbob: Hello <|end|><|end|>\n"
-    )
-    assert [ann.rendered[m.first : m.end] for m in ann.mask] == ["Hi<|end|>"] and ann.n_messages == 3
-    assert found[1, "bob", 1].rendered == "<|user|>\nann: <|end|>\n" and found[1, "bob", 1].mask == []
+CHATS = "conv_id long, turn long, role string, text string, speaker string"
+
+
+def dialogues(messages, part_chars, opening_chars):
+    """(conv, speaker, part) to (messages, rendered, learned texts), by plain Python."""
+    out = {}
+    unique = {(c, t, r or "unknown", x or "") for c, t, r, x in messages}
+    for conv in {m[0] for m in unique}:
+        own = sorted((m[1] is None, m[1] or 0, m[2], m[3]) for m in unique if m[0] == conv)
+        parts, opening, before, opened = {}, [], 0, False
+        for _, _, role, text in own:
+            opened |= role != "system"
+            if not opened and before < opening_chars:
+                opening.append((role, text))
+            parts.setdefault(before // part_chars, []).append((role, text))
+            before += len(role) + len(text) + 24
+        for part, said in parts.items():
+            said = (opening if part else []) + said
+            for speaker in {m[2] for m in own} - {"system"}:
+                lines, learned = [], []
+                for role, text in said:
+                    kind = "assistant" if role == speaker else "system" if role == "system" else "user"
+                    name = f"{role}: " if kind == "user" else ""
+                    lines.append(f"<|{kind}|>\n{name}{text}<|end|>\n")
+                    if role == speaker:
+                        learned.append(f"{text}<|end|>")
+                out[conv, speaker, part] = (len(said), "".join(lines), learned)
+    return out
+
+
+def found_dialogues(frame):
+    return {
+        (r.conv_id, r.speaker, r.part): (r.n_messages, r.rendered, [r.rendered[m.first : m.end] for m in r.mask])
+        for r in frame.collect()
+    }
+
+
+def some_dialogues():
+    rng = random.Random(3)
+    said = [(1, 0, "system", "Be kind."), (1, 100, "ann", "Hi"), (1, 200, "bob", "Hello <|end|>"), (1, 200, "bob", "Hello <|end|>")]
+    # Sparse and null turns, many messages of one turn, null ids, roles and texts, a system message late.
+    said += [(2, t, "ann" if t % 2 else "bob", f"turn {t} é") for t in range(200)]
+    said += [(2, -1, "system", "first"), (2, -1, "system", "second"), (2, 77, "system", "late")]
+    said += [(2, None, "bob", "no turn"), (2, None, None, None), (3, 10**12, "cy", None), (3, 5, "cy", "x" * 500)]
+    said += [(None, i, rng.choice(["p", "q"]), "lost") for i in range(5)] + [(4, 1, "system", "alone")]
+    return said + [(5, 7, f"r{i % 3}", f"{i}") for i in range(60)]
+
+
+@pytest.mark.parametrize("part_chars,opening_chars", [(1 << 20, 1 << 16), (300, 60), (80, 0), (1, 1)])
+def test_dialogues_rotate(spark, monkeypatch, part_chars, opening_chars):
+    monkeypatch.setattr(chat_format, "RANGE_ROWS", 20)
+    monkeypatch.setattr(chat_format, "BROADCAST_OPENINGS", 2)
+    said = some_dialogues()
+    frame = spark.createDataFrame([(*m, "clash") for m in said], CHATS).repartition(4)
+    found = found_dialogues(rotate(frame, part_chars=part_chars, opening_chars=opening_chars))
+    assert found == dialogues(said, part_chars, opening_chars)
+    if part_chars == 1 << 20:
+        assert all(part == 0 for _, _, part in found) and found[2, "ann", 0][0] == 205
     assert rotate(frame.limit(0)).count() == 0
 
 
+def test_a_long_dialogue_equals_its_sql(spark, tmp_path):
+    said = some_dialogues() + [(9, i, ["ann", "bob"][i % 2], f"{i} " * 300) for i in range(2500)]
+    said += [(9, -5, "system", "Be brief."), (9, -5, "system", "z" * 70_000), (9, -4, "system", "not repeated")]
+    said += [(8, None, "ann", "w" * 1_100_000), (8, 3, "system", "late"), (8, 1, "bob", "v" * 1_100_000)]
+    spark.createDataFrame([(*m, None) for m in said], CHATS).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    theirs = con.execute(queries.SQL["op10_chat_format"]).fetchall()
+    ours = queries.op10_chat_format(spark, str(tmp_path)).collect()
+    assert {r.part for r in ours if r.conv_id == 9} == {0, 1, 2, 3}
+    assert sorted(map(str, map(tuple, ours))) == sorted(map(str, theirs))
+
+
 def test_pipeline_stages_take_effect(spark):
     docs = spark.read.parquet(f"{TINY}/documents.parquet")
     columns = docs.columns

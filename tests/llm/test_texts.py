@@ -16,7 +16,7 @@ from plumbline.llm import queries
 from plumbline.llm.decontamination import decontaminated, find_contamination
 from plumbline.llm.language_id import ByteNetwork, fit_language_id, is_held_out, predict_language
 from plumbline.llm.license_scan import scan_licenses
-from plumbline.llm.quality_rules import FACTS, RULES, Rule, apply_quality_rules, measured_order
+from plumbline.llm.quality_rules import BASE_RULES, FACTS, RULES, Fact, Rule, apply_quality_rules, estimated_order, judged
 from plumbline.llm.token_counts import count_tokens, packed, pre_token_pattern, unpacked
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -152,8 +152,25 @@ def test_license_templates(spark, docs_of):
     assert found[8] == ("cc", 1.0) and found[9][0] == "" and found[0] == ("", 0.0)
     templates = [("t", "one two three four five"), ("u", "six"), ("none", "!")]
     texts = ["five x four three two", "one two three", "six\n\none two three four", None]
-    found = rows(scan_licenses(docs_of(texts), templates=templates, phrases={}), "labels", "score")
+    found = rows(scan_licenses(docs_of(texts), templates=templates, phrases={}, whole_words=0), "labels", "score")
     assert found == [("t", 0.8), ("", 0.0), ("t,u", 1.0), ("", 0.0)]
+    found = rows(scan_licenses(docs_of(texts), templates=templates, phrases={}), "labels", "score")
+    assert found == [("", 0.0), ("", 0.0), ("u", 1.0), ("", 0.0)]
+
+
+def test_notices_of_other_licenses_get_no_label(spark, docs_of):
+    texts = [
+        "The book was released by the press under a license from the author.",
+        "Educational Community License, Version 2.0: licensed under the terms",
+        "This was released under the Apache license.",
+        "Released under the MIT License.",
+        "Licensed under the Apache License, Version 2.0 (the License)",
+        "This work is licensed under the Academic Free License, version 3",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "Permission is hereby granted to the visitors of this house, free of charge, to use the garden.",
+    ]
+    found = rows(scan_licenses(docs_of(texts)), "labels")
+    assert [f[0] for f in found] == ["", "", "apache", "mit", "apache", "", "cc", ""]
 
 
 def test_quality_cascade(spark, docs_of):
@@ -170,13 +187,55 @@ def test_quality_cascade(spark, docs_of):
     assert [r[5] for r in found] == [False] * 6 + [True]
 
 
+def packed_rows(docs):
+    return docs.select(F.struct(F.col("doc_id")).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def test_rules_stand_by_rejection_per_cost(spark, docs_of):
-    docs = docs_of(["a b " * 50] * 40).select(F.col("text").alias("__text__"))
-    never, always = Rule("never", "n_words < 0", ("n_words",)), Rule("always", "n_words > 0", ("n_words",))
-    assert [r.name for r in measured_order(docs, [never, always])] == ["always", "never"]
+    docs = packed_rows(docs_of(["a b " * 50] * 40))
+    never, always = Rule("never", ("n_words",), lambda n: n < 0), Rule("always", ("n_words",), lambda n: n > 0)
+    assert [r.name for r in estimated_order(docs, [never, always])] == ["always", "never"]
+    dear = Rule("dear", ("n_repeat_words",), lambda n: n > 0)
+    assert [r.name for r in estimated_order(docs, [dear, always])] == ["always", "dear"]
+    # What is known already costs nothing.
+    assert [r.name for r in estimated_order(docs, [always, dear], ("n_repeat_words",))] == ["dear", "always"]
     assert all(f in FACTS for r in RULES for f in r.facts)
 
 
+def test_rule_order_is_the_same_each_time(spark):
+    docs = packed_rows(spark.read.parquet(f"{TINY}/documents.parquet"))
+    orders = {
+        tuple(r.name for r in estimated_order(docs.repartition(n), BASE_RULES + RULES, sample_rows=50))
+        for n in range(1, 11)
+    }
+    assert len(orders) == 1
+
+
+def test_failed_rows_find_no_later_facts(spark, docs_of, monkeypatch):
+    """A fact that fails the job where it is found is not found behind a failed rule."""
+
+    def trap(text):
+        return F.when(text.contains("word"), F.length(text)).otherwise(F.raise_error(F.lit("found"))).cast("long")
+
+    monkeypatch.setitem(FACTS, "trap", Fact(trap, lambda f: 1000 * f["n_chars"]))
+    short = Rule("short", ("n_words",), lambda n: n < 50)
+    trapped = Rule("trapped", ("trap",), lambda n: n < 0)
+    long = " ".join(f"word{i}" for i in range(80))
+    docs = packed_rows(docs_of([None, "", "a b", long, "x " * 49]))
+    kept = judged(docs, (short, trapped)).orderBy("row").select("failed_rule").collect()
+    assert [r.failed_rule for r in kept] == ["short", "short", "short", None, "short"]
+    with pytest.raises(Exception, match="found"):
+        judged(docs, (trapped, short)).collect()
+
+
+def test_plan_finds_rule_facts_inside_the_cascade(spark, docs_of):
+    plan = apply_quality_rules(docs_of(["a b"]), carry=["doc_id"])._jdf.queryExecution().optimizedPlan().toString()
+    upper, lower = plan.rsplit("Project", 1)
+    for fact in (r"\P{Lu}+", "[^#*$%&|<>]+", r"\P{L}+", "sequence("):
+        assert fact not in lower and upper.count(fact) <= 2
+        assert "CASE WHEN" in upper[: upper.index(fact)] and upper.index(fact) < upper.index("AS failed_rule")
+
+
 def contaminated_texts():
     rng = random.Random(5)
     words = [f"w{i}" for i in range(60)] + ["É", "X-ray", "o'clock"]

@@ -180,7 +180,7 @@ def test_chains_lose_no_pair(spark, most):
     prints |= {sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(60)}
     prints = sorted(prints)
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
-    found = simhash.links(spark.createDataFrame(signed, "node long"), most, block=4, frequent=8).collect()
+    found = simhash.links(spark.createDataFrame(signed, "node long"), most, block=4, broadcast_rows=8).collect()
     group = {s[0]: i for i, s in enumerate(signed)}
     names = list(range(len(prints)))
     for a, b in found:
@@ -210,5 +210,8 @@ def test_spread_join_beyond_the_broadcast(spark):
     rows = spark.createDataFrame([(i % 7 if i % 5 else None, i) for i in range(100)], "k long, v long")
     counts = rows.groupBy("k").agg(F.count("*").alias("copies"), F.lit(2).alias("twice"))
     for frequent in (2, 100):
-        found = spread_join(rows, counts, "k", "copies", frequent)
-        assert found.count() == 100 and found.filter("twice <> 2 OR twice IS NULL").count() == 0
+        for local in (True, False):
+            found = spread_join(rows, counts, "k", "copies", frequent, local)
+            assert found.count() == 100 and found.filter("twice <> 2 OR twice IS NULL").count() == 0
+            some = spread_join(rows, counts.filter("k > 2"), "k", "copies", frequent, local)
+            assert some.count() == 100 and some.filter("(twice IS NULL) = coalesce(k > 2, false)").count() == 0
