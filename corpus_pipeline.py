@@ -2,13 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import column
+from plumbline.llm.arrow import column, packed, unpacked
 from plumbline.llm.decontamination import decontaminated
 from plumbline.llm.language_id import UNKNOWN, fit_language_id, is_held_out, predict_language
 from plumbline.llm.mixing import mix_sources
 from plumbline.llm.near_duplicates import without_near_duplicates
 from plumbline.llm.suffix_dedup import remove_repeats
-from plumbline.session import written_table
+from plumbline.session import remove_folder, scratch, shared_folder
 
 #: A document whose likeliest language has a smaller share of it is rejected.
 LEAST_SCORE = 0.35
@@ -17,10 +17,10 @@ LEAST_SCORE = 0.35
 def language(spark, docs, sf_dir):
     """Documents in a language that the network can tell; the rest go."""
     network = fit_language_id(docs, ~is_held_out("doc_id"))
-    rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), "text")
+    rows = docs.select(packed(docs.columns), column("text").alias("text"))
     found = predict_language(rows, network, carry=["row"])
     kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return unpacked(kept.select("row"), docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):
@@ -68,8 +68,17 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over ``documents``; each is written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``; each is written and read again by the next.
+
+    A stage's table and all it wrote on the way go when the next one is written, so
+    that two copies of the corpus are there at most, and only the result stays.
+    """
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        path = shared_folder(spark, f"pipeline-{name}")
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            remove_folder(spark, last)
+        docs, last = spark.read.parquet(path), path
+    return docs
