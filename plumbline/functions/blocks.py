@@ -62,11 +62,17 @@ class Points:
         self.ids, self.labels, self.values = ids, labels, values
         self.scale = None
 
-    def __getstate__(self):
-        return self.ids, self.labels, self.values
-
-    def __setstate__(self, state):
-        self.__init__(*state)
+    @classmethod
+    def shared(cls, broadcast, name="points"):
+        """The points of a broadcast of plain arrays, made once in each worker.
+
+        A class of this package does not travel in a broadcast: executors may not
+        have the package. What is made here stays in the worker's copy.
+        """
+        held = broadcast.value
+        if isinstance(held[name], tuple):
+            held[name] = cls(*held[name])
+        return held[name]
 
     def prepare(self, scale):
         """Scaled coordinates; once per worker unless far larger queries come."""

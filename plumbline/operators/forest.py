@@ -1,4 +1,4 @@
-"""Random-forest classification on Spark ML trees."""
+"""Random-forest classification: Spark ML trees, or trees grown best leaf first."""
 
 from dataclasses import dataclass
 
@@ -9,10 +9,12 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from plumbline.functions.vectors import of_width
+from plumbline.operators import grown_forest
 from plumbline.operators.evaluate import training_shape
 
 DEFAULT_TREES = 100
 DEFAULT_DEPTH = 16
+#: Spark ML numbers nodes by their path, which ends here; deeper trees are grown.
 DEEPEST = 30
 BINS = 128
 SEED = 42
@@ -35,6 +37,18 @@ class ForestModel:
         return scored.drop(prediction).join(names, "_class", "left").drop("_class")
 
 
+@dataclass
+class GrownForestModel:
+    trees: grown_forest.GrownTrees
+    classes: list[int]
+    width: int
+
+    def predict(self, df, features="features", prediction="prediction"):
+        """Adds the class with the highest vote, leaf class shares summed over the trees."""
+        vote = grown_forest.predicted(self.trees, df, features, self.width, self.classes)
+        return df.withColumn(prediction, vote)
+
+
 def _class_table(spark, classes):
     """Class numbers as the trees give them, with the labels; a few bytes each."""
     rows = pa.table({"_class": pa.array(np.arange(len(classes), dtype=np.float64)), "_name": pa.array(classes, pa.int32())})
@@ -55,10 +69,11 @@ def _parts(rows, width, row_id, values):
     """The rows in partitions that depend on nothing but the rows.
 
     Bootstrap samples are drawn by partition and place in it. Rows go by a hash of
-    their id, of all values where there is none, and stand in order.
+    their id, if they have one, and all values, and stand in that order; only rows
+    that are equal in all of them may change places.
     """
     count = rows * width // PART_VALUES + LEAST_PARTS
-    keys = [row_id] if row_id in values.columns else values.columns
+    keys = sorted(values.columns, key=lambda c: c != row_id)
     return values.repartition(int(count), F.xxhash64(*keys)).sortWithinPartitions(*keys)
 
 
@@ -76,14 +91,24 @@ def fit_random_forest(
 ):
     """Gini trees on bootstrap samples with the square root of the columns per node.
 
-    ``max_features`` also takes a share of the columns between 0 and 1.
+    ``max_features`` also takes a share of the columns between 0 and 1. With
+    ``max_leaves`` each tree has at most that many leaves, always splitting the leaf
+    whose split lowers the impurity of its rows most; -1 is no limit. Such trees, and
+    those deeper than Spark ML's, come from ``grown_forest``: a pass over the rows for
+    every level of unlimited trees, or for every few splits of limited ones. A model
+    of either kind depends on the rows only, not on their order or partitions.
     """
-    if max_leaves != -1:
-        raise ValueError("max_leaves other than -1 (no limit) is not supported")
-    if not 0 <= max_depth <= DEEPEST:
-        raise ValueError(f"max_depth must lie between 0 and {DEEPEST}, not {max_depth}")
+    if max_leaves != -1 and max_leaves < 1:
+        raise ValueError(f"max_leaves must be -1 or at least 1, not {max_leaves}")
+    if max_depth < 0:
+        raise ValueError(f"max_depth must not be negative, but it is {max_depth}")
     rows_found, width = training_shape(df, features, label)
     classes = _classes(df, label)
+    if max_leaves != -1 or max_depth > DEEPEST:
+        grown = grown_forest.grow(
+            df, width, classes, features, label, trees, max_depth, max_features, max_leaves, max_samples, row_id
+        )
+        return GrownForestModel(grown, classes, width)
     nominal = {"ml_attr": {"type": "nominal", "num_vals": max(2, len(classes))}}
     kept = [row_id] if row_id in df.columns else []
     values = df.select(*kept, F.col(features).alias("_features"), F.col(label).cast("int").alias("_name"))

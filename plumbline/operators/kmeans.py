@@ -14,7 +14,7 @@ from plumbline.operators.evaluate import training_shape
 from plumbline.operators.nearest import (
     BROADCAST_BYTES,
     PointSet,
-    as_points,
+    numbered,
     point_bytes,
     with_neighbors,
 )
@@ -89,7 +89,7 @@ def _partial_sums(shared, width):
     """Per task: one row per cluster with its count, coordinate sums and cost."""
 
     def collect(batches):
-        points = shared.value
+        points = blocks.Points.shared(shared)
         centers = points.values
         counts = np.zeros(len(centers), dtype=np.int64)
         sums = np.zeros(centers.shape)
@@ -120,7 +120,7 @@ def _partial_sums(shared, width):
 
 def _cluster_sums(df, centers, width):
     """Count, cost and coordinate sums of every non-empty cluster."""
-    shared = df.sparkSession.sparkContext.broadcast(as_points(centers))
+    shared = df.sparkSession.sparkContext.broadcast({"points": numbered(centers)})
     partial = df.mapInArrow(_partial_sums(shared, width), PARTIAL)
     parts = max(1, min(MERGE_PARTS, len(centers)))
     merged = (

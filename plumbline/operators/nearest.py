@@ -120,8 +120,8 @@ class PointSet:
         if k not in self.shared:
             ids, labels, values = _local(self.table, self.width)
             keep = blocks.limit_copies(ids, values, k)
-            block = blocks.Points(ids[keep], labels[keep], values[keep])
-            self.shared[k] = self.table.sparkSession.sparkContext.broadcast(block)
+            block = (ids[keep], labels[keep], values[keep])
+            self.shared[k] = self.table.sparkSession.sparkContext.broadcast({"points": block})
         return self.shared[k]
 
 
@@ -140,7 +140,7 @@ def _by_id(table, width):
 def _search_udf(shared, width, k):
     @F.arrow_udf(f"array<{NEIGHBOR}>")
     def search(features: pa.Array) -> pa.Array:
-        points = shared.value
+        points = blocks.Points.shared(shared)
         distances, found = blocks.nearest(blocks.doubles(features, width), points, k)
         used = found >= 0
         offsets = np.concatenate([[0], np.cumsum(used.sum(axis=1))]).astype(np.int32)
@@ -211,7 +211,8 @@ def _sample(points):
 def _cell_udf(shared, width):
     @F.arrow_udf("struct<cell:int,radius:double>")
     def assign(features: pa.Array) -> pa.Array:
-        distances, cells = blocks.nearest(blocks.doubles(features, width), shared.value[1], 1)
+        pivots = blocks.Points.shared(shared, "pivots")
+        distances, cells = blocks.nearest(blocks.doubles(features, width), pivots, 1)
         return pa.StructArray.from_arrays(
             [pa.array(cells[:, 0].astype(np.int32)), pa.array(np.sqrt(distances[:, 0]))],
             names=["cell", "radius"],
@@ -224,7 +225,7 @@ def _cell_udf(shared, width):
 def _visit_udf(shared, radii, homes, width, k):
     @F.arrow_udf("struct<home:int,cells:array<int>>")
     def visit(features: pa.Array) -> pa.Array:
-        sample, pivots = shared.value
+        sample, pivots = (blocks.Points.shared(shared, name) for name in ("sample", "pivots"))
         queries = blocks.doubles(features, width)
         reach = np.sqrt(blocks.nearest(queries, sample, k)[0][:, -1])
         gaps = np.empty((len(queries), len(pivots.values)))
@@ -268,16 +269,19 @@ def _block_search(width, k):
     return search
 
 
-def as_points(values):
+def numbered(values):
+    """Ids, labels and values of points that are numbered by position."""
     ids = np.arange(len(values))
-    return blocks.Points(ids, ids, values)
+    return ids, ids, values
 
 
 def _cells(reference, sample, n_cells, width):
     """Reference rows by nearest pivot, with the pivots and each cell's radius and size."""
     distinct = sample[blocks.limit_copies(np.arange(len(sample)), sample, 1)]
     pivots = distinct[:n_cells].astype(np.float64)
-    shared = reference.sparkSession.sparkContext.broadcast((as_points(sample), as_points(pivots)))
+    shared = reference.sparkSession.sparkContext.broadcast(
+        {"sample": numbered(sample), "pivots": numbered(pivots)}
+    )
     placed = reference.withColumn("at", _cell_udf(shared, width)("features")).select(
         "train_id", "label", "features", "at.*"
     )

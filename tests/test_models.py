@@ -214,7 +214,7 @@ def test_forest_of_one_class(points):
 
 def test_forest_options(points):
     table = points([(i, [float(i % 2), 0.0], i % 2) for i in range(20)])
-    for wrong in ({"max_leaves": 8}, {"max_depth": 31}):
+    for wrong in ({"max_leaves": 0}, {"max_leaves": -2}, {"max_depth": -1}):
         with pytest.raises(ValueError):
             pl.fit_random_forest(table, 3, **wrong)
     model = pl.fit_random_forest(table, 7, max_depth=2, max_features=1.0, max_samples=0.5)
@@ -266,12 +266,15 @@ def test_pivots_grow_with_the_reference(points, monkeypatch, pivots, rows):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
 
 
-def test_forest_depends_on_its_rows_only(points, spark):
+@pytest.mark.parametrize("ids", [300, 7, 1])
+@pytest.mark.parametrize("options", [{}, {"max_leaves": 9}])
+def test_forest_depends_on_its_rows_only(points, ids, options):
     rng = np.random.default_rng(7)
-    rows = [(i, rng.normal(size=3).tolist(), int(rng.integers(0, 2))) for i in range(300)]
+    rows = [(i % ids, rng.normal(size=3).tolist(), int(rng.integers(0, 2))) for i in range(300)]
+    asked = [(i, r[1], r[2]) for i, r in enumerate(rows)]
     found = []
     for table in (points(rows).repartition(2), points(rows[::-1]).repartition(7)):
-        predicted = pl.fit_random_forest(table, 5, 6).predict(points(rows))
+        predicted = pl.fit_random_forest(table, 5, 6, **options).predict(points(asked))
         found.append(sorted((r.row_id, r.prediction) for r in predicted.select("row_id", "prediction").collect()))
     assert found[0] == found[1]
 
