@@ -25,7 +25,7 @@ from plumbline.session import build_session, shared_folder, written_table
 from plumbline.sources.labelled_csv import load_labelled_csv
 from plumbline.sources.report_csv import read_report, report_summary, write_report
 from plumbline.streaming.scoring import score_stream
-from plumbline.streaming.utilization import utilization_stream
+from plumbline.streaming.utilization import merge_run_parts, utilization_runs, utilization_stream
 
 # The functions that run inside tasks travel with the job, so executors do not
 # need this package installed.
@@ -50,6 +50,7 @@ __all__ = [
     "knn_job",
     "lloyd",
     "load_labelled_csv",
+    "merge_run_parts",
     "nearest_neighbors",
     "num_classes",
     "num_classes_max",
@@ -60,6 +61,7 @@ __all__ = [
     "shared_folder",
     "split_by_key",
     "sweep",
+    "utilization_runs",
     "utilization_stream",
     "utilization_summary",
     "with_row_id",

@@ -6,10 +6,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import blocks
-from plumbline.functions.vectors import of_width
+from plumbline.functions.vectors import UNROLL_WIDTH, of_width
 from plumbline.operators.evaluate import training_shape
 from plumbline.operators.nearest import (
     BROADCAST_BYTES,
@@ -18,7 +19,8 @@ from plumbline.operators.nearest import (
     point_bytes,
     with_neighbors,
 )
-from plumbline.session import scratch, written_table
+from plumbline.operators.order import with_row_id
+from plumbline.session import remove_folder, scratch, shared_folder, written_table
 
 DEFAULT_CLUSTERS = 8
 DEFAULT_ITERATIONS = 300
@@ -39,14 +41,7 @@ class CentroidModel:
 
     def assign(self, df, features="features", row_id="row_id"):
         """Adds ``prediction`` and the squared ``distance`` to that centre."""
-        points = PointSet.of_centers(df.sparkSession, self.centers)
-        found = with_neighbors(df, points, 1, features, "_nearest")
-        hit = F.col("_nearest")[0]
-        return (
-            found.withColumn("prediction", hit["label"])
-            .withColumn("distance", hit["distance"])
-            .drop("_nearest")
-        )
+        return _assigned(df, PointSet.of_centers(df.sparkSession, self.centers), features)
 
     def predict(self, df, features="features", row_id="row_id"):
         """Adds the nearest centre of each row; the lowest cluster id wins a tie."""
@@ -58,11 +53,48 @@ class CentroidModel:
         return spark.createDataFrame(rows, "cluster_id int, center array<double>")
 
 
-def _check_clusters(k, width):
+@dataclass
+class StoredCentroidModel:
+    """As ``CentroidModel``, for centres beyond the broadcast bound.
+
+    They are a table ``(cluster_id, center)`` below the checkpoint folder, and rows find
+    theirs by the block search. ``unpersist`` removes what the model and its
+    predictions have stored; predictions not yet computed need it.
+    """
+
+    table: DataFrame
+    folder: str
+    points: PointSet
+    inertia: float
+    iterations: int
+
+    def assign(self, df, features="features", row_id="row_id"):
+        """Adds ``prediction`` and the squared ``distance`` to that centre."""
+        return _assigned(df, self.points, features)
+
+    def predict(self, df, features="features", row_id="row_id"):
+        """Adds the nearest centre of each row; the lowest cluster id wins a tie."""
+        return self.assign(df, features, row_id).drop("distance")
+
+    def center_rows(self, spark):
+        """Centres as ``(cluster_id, center)`` rows."""
+        return self.table
+
+    def unpersist(self):
+        self.points.release()
+        remove_folder(self.table.sparkSession, self.folder)
+
+
+def _assigned(df, points, features):
+    found = with_neighbors(df, points, 1, features, "_nearest")
+    hit = F.col("_nearest")[0]
+    assigned = found.withColumn("prediction", hit["label"]).withColumn("distance", hit["distance"])
+    return assigned.drop("_nearest")
+
+
+def _check_clusters(k):
     if k < 1:
         raise ValueError(f"the number of clusters must be at least 1, not {k}")
-    if k * point_bytes(width) > BROADCAST_BYTES:
-        raise ValueError(f"{k} centres of {width} columns do not fit the broadcast bound")
 
 
 def fit_kmeans(
@@ -72,10 +104,19 @@ def fit_kmeans(
     tol=DEFAULT_TOLERANCE,
     features="features",
     row_id="row_id",
+    broadcast_bytes=BROADCAST_BYTES,
 ):
-    """Fit with seeded parallel initialisation."""
+    """Fit with seeded parallel initialisation.
+
+    Centres beyond ``broadcast_bytes`` start as the ``k`` different rows with the least
+    hash instead, all rows where there are fewer, and the fit goes on as for ``lloyd``.
+    """
     rows, width = training_shape(df, features)
-    _check_clusters(k, width)
+    _check_clusters(k)
+    if k * point_bytes(width) > broadcast_bytes:
+        with scratch(df.sparkSession):
+            start = _least_hashes(df.select(of_width(features, width).alias("features")), k)
+            return lloyd(df, start, max_iter, tol, features, (rows, width), broadcast_bytes)
     if k == 1:
         return lloyd(df, np.zeros((1, width)), 1, tol, features, rows_width=(rows, width))
     vectors = df.select(array_to_vector(F.col(features)).alias("features"))
@@ -155,6 +196,21 @@ def _add_sums(parts):
     )
 
 
+def _least_hashes(rows, k):
+    """``k`` different rows by a hash, numbered from 0: ``(cluster_id, center)``."""
+    key = F.xxhash64("features", F.lit(SEED)).alias("key")
+    distinct = rows.select(key, "features").distinct()
+    kinds = distinct.count()
+    if kinds > k:
+        # Hashes are spread evenly, so a share of their range holds about a share of the rows.
+        share = min(1.0, 1.1 * k / kinds + 100 / kinds)
+        bound = int((share - 0.5) * 2**64)
+        some = distinct.filter(F.col("key") < F.lit(min(bound, 2**63 - 1)))
+        distinct = some if some.count() >= k else distinct
+    placed = with_row_id(distinct.groupBy("key").agg(F.min("features").alias("center")), "key", "place")
+    return placed.filter(F.col("place") < k).select(F.col("place").cast("int").alias("cluster_id"), F.col("center").cast("array<double>").alias("center"))
+
+
 def lloyd(
     df,
     centers,
@@ -162,27 +218,98 @@ def lloyd(
     tol=DEFAULT_TOLERANCE,
     features="features",
     rows_width=None,
+    broadcast_bytes=BROADCAST_BYTES,
 ):
     """Fit from given centres; the result depends on nothing but the rows.
 
-    The features are written once, so joins and parsing before them are not
-    repeated. Each pass reads them once, sums them per cluster inside the tasks
-    and brings back one row per cluster. It stops after ``max_iter``
-    passes or when no centre moves further than ``tol``; a cluster that loses
-    all rows keeps its centre.
+    ``centers`` is an array, or a table ``(cluster_id, center)`` of ids from 0. The
+    features are written once, so joins and parsing before them are not repeated.
+    Each pass reads them once, sums them per cluster inside the tasks and brings
+    back one row per cluster. It stops after ``max_iter`` passes or when no centre
+    moves further than ``tol``; a cluster that loses all rows keeps its centre.
+
+    Centres of more than ``broadcast_bytes`` stay a table: rows find theirs by the
+    block search, sums go by cluster through a shuffle, and the centres of the next
+    pass are written. Both ways give the same centres but for the order of sums.
     """
-    centers = np.asarray(centers, dtype=np.float64)
     _, width = rows_width or training_shape(df, features)
-    if centers.ndim != 2 or centers.shape[1] != width:
+    if isinstance(centers, DataFrame):
+        shape = centers.agg(F.count("*").alias("n"), F.min(F.size("center")).alias("low"), F.max(F.size("center")).alias("high"))
+        n, low, high = shape.first()
+        fits = n and low == high == width
+    else:
+        centers = np.asarray(centers, dtype=np.float64)
+        n, fits = len(centers), centers.ndim == 2 and centers.shape[1] == width
+    if n < 1:
+        raise ValueError(f"the number of clusters must be at least 1, not {n}")
+    if not fits:
         raise ValueError(f"centres must have {width} columns")
-    _check_clusters(len(centers), width)
     rows = df.select(of_width(features, width).alias("features"))
     with scratch(df.sparkSession):
+        if n * point_bytes(width) > broadcast_bytes:
+            if not isinstance(centers, DataFrame):
+                centers = _center_table(df.sparkSession, centers)
+            return _stored_passes(written_table(rows, "kmeans-rows"), centers, n, width, max_iter, tol, broadcast_bytes)
+        if isinstance(centers, DataFrame):
+            held = centers.orderBy("cluster_id").toArrow()
+            centers = blocks.doubles(held["center"], width)
         if max_iter > 1:
             rows = written_table(rows, "kmeans-rows")
         return _passes(rows, centers, width, max_iter, tol)
 
 
+def _center_table(spark, centers):
+    ids = pa.array(np.arange(len(centers)), pa.int32())
+    return spark.createDataFrame(pa.table({"cluster_id": ids, "center": pa.array(list(centers), pa.list_(pa.float64()))}))
+
+
+def _point_table(centers, n, width, broadcast_bytes):
+    ids = [F.col("cluster_id").cast("long").alias("train_id"), F.col("cluster_id").alias("label")]
+    return PointSet(centers.select(*ids, F.col("center").alias("features")), n, width, broadcast_bytes)
+
+
+def _means(found, width):
+    """The mean of each cluster's rows, (cluster_id, mean)."""
+    if width <= UNROLL_WIDTH:
+        mean = F.array(*[F.avg(F.col("features")[i].cast("double")) for i in range(width)]).alias("mean")
+        return found.groupBy(F.col("prediction").alias("cluster_id")).agg(mean)
+    cells = found.select(F.col("prediction").alias("cluster_id"), F.posexplode("features").alias("at", "x"))
+    each = cells.groupBy("cluster_id", "at").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    ordered = F.array_sort(F.collect_list(F.struct("at", "x")))
+    return each.groupBy("cluster_id").agg(F.transform(ordered, lambda s: s["x"]).alias("mean"))
+
+
+def _stored_passes(rows, centers, n, width, max_iter, tol, broadcast_bytes):
+    """Passes with the centres as a table; only it, and not the driver, grows with them."""
+    spark, done = rows.sparkSession, 0
+    folder = shared_folder(spark, "centres")
+    centers.select("cluster_id", "center").write.parquet(folder)
+    gap = F.aggregate(
+        F.zip_with("center", "next", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, x: total + x
+    )
+    while done < max_iter:
+        centers = spark.read.parquet(folder)
+        points = _point_table(centers, n, width, broadcast_bytes)
+        means = _means(_assigned(rows, points, "features"), width)
+        following = shared_folder(spark, "centres")
+        moved = centers.join(means, "cluster_id", "left")
+        moved.select("cluster_id", "center", F.coalesce("mean", "center").alias("next")).write.parquet(following + "-moved")
+        points.release()
+        moved = spark.read.parquet(following + "-moved")
+        shift = moved.agg(F.max(F.sqrt(gap)).alias("shift")).first()["shift"]
+        moved.select("cluster_id", F.col("next").alias("center")).write.parquet(following)
+        for path in (folder, following + "-moved"):
+            remove_folder(spark, path)
+        folder, done = following, done + 1
+        if shift <= tol:
+            break
+    centers = spark.read.parquet(folder)
+    points = _point_table(centers, n, width, broadcast_bytes)
+    with scratch(spark):
+        cost = _assigned(rows, points, "features").agg(F.sum("distance").alias("cost")).first()["cost"]
+    return StoredCentroidModel(centers, folder, points, float(cost), done)
+
+
 def _passes(rows, centers, width, max_iter, tol):
     done = 0
     while done < max_iter:

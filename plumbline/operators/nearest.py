@@ -3,18 +3,20 @@
 A reference table within ``BROADCAST_BYTES`` is sent to every task and the
 search is one projection over the queries: no shuffle, and it works on streams.
 
-A larger one is searched block by block. Reference rows are grouped by their
-nearest pivot and queries likewise; a query's distance to a bounded sample of
-the reference bounds its k-th distance from above, the triangle inequality
-bounds its distance to a whole pivot cell from below, and only cells that can
-hold a neighbour are visited. Cells and query groups are cut into blocks of
-bounded size by a hash of the row id, so a cell that holds much of the table is
-spread over many tasks. Blocks emit k rows per query, never all pairs.
+A larger one is stored once, by cells: each reference row goes to its nearest pivot,
+a cell is cut into blocks of bounded size by a hash of the row id, and the table is
+bucketed by block. A search moves queries only. Each query first visits its home cell,
+which gives it k neighbours and so an upper bound of its k-th distance; the triangle
+inequality bounds its distance to any other cell from below, and only cells that can
+hold a neighbour are visited then. A block that very many queries visit is dealt to
+several tasks, with a copy of the block for each. Blocks emit k rows per query, never
+all pairs.
 
 Both ways answer every row by itself: queries get an id of their own, so rows with
 equal, null or no ids are told apart, and a row without neighbours stays.
 """
 
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,22 +27,22 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import blocks
 from plumbline.functions.vectors import of_width
-from plumbline.session import remove_folder, written_folder, written_table
+from plumbline.session import remove_folder, scratch, shared_folder, written_folder, written_table
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_BYTES = 32 << 20
-PIVOTS = 256
-# A larger reference has a pivot for so many rows, as far as the sample goes.
-PIVOT_ROWS = 1_000_000
-FINE_CELLS = 128
-FINE_ROWS = 64
-FINER = 2
-PROBE_ROWS = 10_000
-FEW_MET = 0.5
+#: Cells of a reference: so many rows each at least, and so many cells until a cell would
+#: hold more than ``CELL_ROWS``; never more than the sample.
+LEAST_CELL_ROWS, FINE_CELLS, CELL_ROWS = 64, 128, 1_000_000
 SAMPLE_ROWS = 2048
+#: Sampled rows that show whether cells spare queries more than this share of the rows.
+PROBE_ROWS, FEW_MET = 256, 0.5
 COPY_PARTS = 64
 MIN_BLOCK_ROWS = 16
-BLOCKS_PER_CORE = 4
+BLOCKS_PER_CORE = 2
+BLOCKS_PER_BUCKET, MOST_BUCKETS = 8, 100_000
+#: Queries that meet one block in one task.
+ASKED_ROWS = 100_000
 SPREAD_ROWS = 10_000
 WORK_PER_TASK = 4 << 30
 BOUND_SLACK = 1e-9
@@ -66,6 +68,8 @@ class PointSet:
     shared: dict[int, Broadcast] = field(default_factory=dict, repr=False)
     stored: dict = field(default_factory=dict, repr=False)
     folders: list[str] = field(default_factory=list, repr=False)
+    tables: list[str] = field(default_factory=list, repr=False)
+    compared: int = 0
 
     @classmethod
     def of_centers(cls, spark, centers, **limits):
@@ -83,38 +87,24 @@ class PointSet:
     def fits_broadcast(self):
         return self.rows * self.row_bytes <= self.broadcast_bytes
 
-    def reference(self, k):
-        """The rows that can be among the k nearest and a sample, stored once.
-
-        Copies of a point beyond the k lowest ids lose every tie. They are dropped
-        in parts of a hot point first, so no task ranks all of its copies.
-        """
-        if ("reference", k) not in self.stored:
-            part = F.pmod(F.xxhash64("train_id"), F.lit(COPY_PARTS))
-            rows = self.table
-            for keys in (["features", part], ["features"]):
-                copies = Window.partitionBy(*keys).orderBy("train_id")
-                rows = rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k).drop("copy")
-            self.folders.append(written_folder(rows, "reference"))
-            self.stored["reference", k] = rows.sparkSession.read.parquet(self.folders[-1]), _sample(self)
-        return self.stored["reference", k]
+    def index(self, k):
+        """The reference by cells and blocks, stored once for all searches of k neighbours."""
+        if ("index", k) not in self.stored:
+            self.stored["index", k] = _stored_index(self, k)
+        return self.stored["index", k]
 
     def release(self):
         """Removes what was stored and broadcast for searches; the next one makes it anew."""
+        spark = self.table.sparkSession
+        for name in self.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         for path in self.folders:
-            remove_folder(self.table.sparkSession, path)
+            remove_folder(spark, path)
         for block in self.shared.values():
             block.unpersist()
-        for held in (self.folders, self.shared, self.stored):
+        for held in (self.folders, self.tables, self.shared, self.stored):
             held.clear()
 
-    def cells(self, k, n_cells):
-        """The reference by nearest pivot, found once for a number of pivots."""
-        if ("cells", k, n_cells) not in self.stored:
-            reference, sample = self.reference(k)
-            self.stored["cells", k, n_cells] = _cells(reference, sample, n_cells, self.width)
-        return self.stored["cells", k, n_cells]
-
     def local(self, k):
         """Ids, labels and matrix of all points, shared with every task once."""
         if k not in self.shared:
@@ -178,9 +168,7 @@ def with_neighbors(df, points, k, features="features", name="neighbors"):
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
     )
     visiting, hits = _search_blocks(asked, points, k)
-    found = hits.groupBy("query_id").agg(
-        F.sort_array(F.collect_list(F.struct("distance", "train_id", "label"))).alias("found")
-    )
+    found = hits.groupBy("query_id").agg(F.sort_array(F.collect_list("hit")).alias("found"))
     none = F.array().cast(f"array<{NEIGHBOR}>")
     rows = visiting.select("query_id", "row").join(found, "query_id", "left")
     kept = [F.col("row").getField(c).alias(c) for c in df.columns if c != name]
@@ -222,26 +210,132 @@ def _cell_udf(shared, width):
     return assign.asNondeterministic()
 
 
-def _visit_udf(shared, radii, homes, width, k):
-    @F.arrow_udf("struct<home:int,cells:array<int>>")
-    def visit(features: pa.Array) -> pa.Array:
+def numbered(values):
+    """Ids, labels and values of points that are numbered by position."""
+    ids = np.arange(len(values))
+    return ids, ids, values
+
+
+def _gaps(queries, pivots):
+    gaps = np.empty((len(queries), len(pivots)))
+    with np.errstate(invalid="ignore", over="ignore"):
+        for j, pivot in enumerate(pivots):
+            step = queries - pivot
+            gaps[:, j] = np.sqrt(np.einsum("ij,ij->i", step, step))
+    return gaps
+
+
+@dataclass
+class Index:
+    """The stored reference, one bucketed table, and what routes queries to its blocks.
+
+    Cell i has the blocks from ``first[i]`` on, ``counts[i]`` of them, and all its rows
+    within ``radii[i]`` of pivot i, -1 where it has none.
+    """
+
+    table: DataFrame
+    buckets: int
+    shared: Broadcast
+    sizes: np.ndarray
+
+    def route(self, features, width, k):
+        """For each query the blocks of its home cell, and of other cells with a lower bound."""
+        return _route_udf(self.shared, width, k)(features)
+
+
+def _pivots(sample, rows, k):
+    """Distinct sampled rows as pivots: many, if some of the sample show that this spares
+    queries most rows, else one."""
+    distinct = sample[blocks.limit_copies(np.arange(len(sample)), sample, 1)].astype(np.float64)
+    fine = min(len(distinct), rows // LEAST_CELL_ROWS, max(FINE_CELLS, rows // CELL_ROWS))
+    if fine < 2:
+        return distinct[:1]
+    every = blocks.Points(*numbered(sample.astype(np.float64)))
+    reach = np.sqrt(blocks.nearest(every.values[:PROBE_ROWS], every, min(k + 1, len(sample)))[0][:, -1])
+    gaps = _gaps(every.values, distinct[:fine])
+    known = ~np.isnan(gaps).any(axis=1)
+    cell = np.where(np.isnan(gaps), np.inf, gaps).argmin(axis=1)
+    radii, sizes = np.zeros(fine), np.bincount(cell, minlength=fine)
+    np.maximum.at(radii, cell[known], gaps[known, cell[known]])
+    with np.errstate(invalid="ignore"):
+        met = ~(gaps[:PROBE_ROWS] - radii > reach[:, None])
+    spared = 1 - (met @ sizes).mean() / len(sample)
+    return distinct[:fine] if spared > 1 - FEW_MET else distinct[:1]
+
+
+def _stored_index(points, k):
+    """Writes the rows that can be among the k nearest of a query, bucketed by block.
+
+    Copies of a point beyond the k lowest ids lose every tie. They are dropped in
+    parts of a hot point first, so no task ranks all of its copies.
+    """
+    spark, width = points.table.sparkSession, points.width
+    part = F.pmod(F.xxhash64("train_id"), F.lit(COPY_PARTS))
+    rows = points.table
+    for keys in (["features", part], ["features"]):
+        copies = Window.partitionBy(*keys).orderBy("train_id")
+        rows = rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k).drop("copy")
+    sample = _sample(points)
+    pivots = _pivots(sample, points.rows, k)
+    held = {"sample": numbered(sample.astype(np.float64)), "pivots": numbered(pivots)}
+    shared = spark.sparkContext.broadcast(held)
+    with scratch(spark):
+        placed = rows.withColumn("at", _cell_udf(shared, width)("features"))
+        placed = written_table(placed.select("train_id", "label", "features", "at.*"), "reference")
+        cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r")).collect()
+        sizes, radii = np.zeros(len(pivots), np.int64), np.full(len(pivots), -1.0)
+        for row in cells:
+            sizes[row["cell"]] = row["n"]
+            radii[row["cell"]] = np.inf if np.isnan(row["r"]) else row["r"]
+        slots = BLOCKS_PER_CORE * spark.sparkContext.defaultParallelism
+        block_rows = max(MIN_BLOCK_ROWS, min(points.block_bytes // points.row_bytes, -(-int(sizes.sum()) // slots)))
+        counts = -(-sizes // block_rows)
+        first = np.cumsum(counts) - counts
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = int(min(MOST_BUCKETS, max(least, counts.sum() // BLOCKS_PER_BUCKET)))
+        cut = pa.table({"cell": pa.array(np.arange(len(pivots)), pa.int32()), "first": pa.array(first, pa.int32()), "count": pa.array(counts, pa.int32())})
+        # One row for each pivot, of which the sample bounds the number.
+        block = (F.col("first") + _hash("train_id", F.col("count"))).cast("int").alias("block")
+        blocked = placed.join(F.broadcast(spark.createDataFrame(cut)), "cell").select(block, "train_id", "label", "features")
+        name, path = f"plumbline_points_{uuid.uuid4().hex}", shared_folder(spark, "points")
+        stored = blocked.repartition(buckets, "block").write.format("parquet").bucketBy(buckets, "block")
+        stored.option("path", path).saveAsTable(name)
+    points.tables.append(name)
+    points.folders.append(path)
+    block_sizes = np.repeat(-(-sizes // np.maximum(counts, 1)), counts)
+    routes = spark.sparkContext.broadcast(held | {"radii": radii, "first": first, "counts": counts})
+    shared.unpersist()
+    return Index(spark.table(name), buckets, routes, block_sizes)
+
+
+def _route_udf(shared, width, k):
+    @F.arrow_udf("struct<reach:double,home:array<int>,others:array<struct<low:double,first:int,count:int>>>")
+    def route(features: pa.Array) -> pa.Array:
+        held = shared.value
         sample, pivots = (blocks.Points.shared(shared, name) for name in ("sample", "pivots"))
+        radii, first, counts = held["radii"], held["first"], held["counts"]
         queries = blocks.doubles(features, width)
         reach = np.sqrt(blocks.nearest(queries, sample, k)[0][:, -1])
-        gaps = np.empty((len(queries), len(pivots.values)))
+        gaps = _gaps(queries, pivots.values)
         with np.errstate(invalid="ignore", over="ignore"):
-            for j, pivot in enumerate(pivots.values):
-                step = queries - pivot
-                gaps[:, j] = np.sqrt(np.einsum("ij,ij->i", step, step))
-            slack = BOUND_SLACK * (gaps + radii + reach[:, None])
-            far = (gaps - radii - slack > reach[:, None]) | (radii < 0)
-        home = np.where(np.isnan(gaps), np.inf, gaps)[:, :homes].argmin(axis=1).astype(np.int32)
+            low = gaps - radii - BOUND_SLACK * (gaps + radii + reach[:, None])
+            far = (low > reach[:, None]) | (radii < 0)
+        low[np.isnan(low)] = -np.inf
+        home = np.where(np.isnan(gaps) | (radii < 0), np.inf, gaps).argmin(axis=1)
+        far[np.arange(len(home)), home] = True
         used, cells = np.nonzero(~far)
         offsets = np.searchsorted(used, np.arange(len(queries) + 1)).astype(np.int32)
-        visited = pa.ListArray.from_arrays(offsets, pa.array(cells.astype(np.int32)))
-        return pa.StructArray.from_arrays([pa.array(home), visited], names=["home", "cells"])
+        others = pa.StructArray.from_arrays(
+            [pa.array(low[used, cells]), pa.array(first[cells], pa.int32()), pa.array(counts[cells], pa.int32())],
+            names=["low", "first", "count"],
+        )
+        ends = np.concatenate([[0], np.cumsum(counts[home])])
+        own = np.arange(ends[-1]) - np.repeat(ends[:-1] - first[home], counts[home])
+        homes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(own, pa.int32()))
+        columns = [pa.array(reach), homes, pa.ListArray.from_arrays(offsets, others)]
+        return pa.StructArray.from_arrays(columns, names=["reach", "home", "others"])
 
-    return visit.asNondeterministic()
+    return route.asNondeterministic()
 
 
 def _block_search(width, k):
@@ -269,119 +363,64 @@ def _block_search(width, k):
     return search
 
 
-def numbered(values):
-    """Ids, labels and values of points that are numbered by position."""
-    ids = np.arange(len(values))
-    return ids, ids, values
-
-
-def _cells(reference, sample, n_cells, width):
-    """Reference rows by nearest pivot, with the pivots and each cell's radius and size."""
-    distinct = sample[blocks.limit_copies(np.arange(len(sample)), sample, 1)]
-    pivots = distinct[:n_cells].astype(np.float64)
-    shared = reference.sparkSession.sparkContext.broadcast(
-        {"sample": numbered(sample), "pivots": numbered(pivots)}
-    )
-    placed = reference.withColumn("at", _cell_udf(shared, width)("features")).select(
-        "train_id", "label", "features", "at.*"
-    )
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("radius").alias("r"))
-    radii, sizes = np.full(len(pivots), -1.0), {}
-    for row in cells.collect():
-        radii[row["cell"]] = np.inf if np.isnan(row["r"]) else row["r"]
-        sizes[row["cell"]] = row["n"]
-    return placed, shared, radii, sizes
-
-
-def _visits(queries, shared, radii, n_homes, width, k):
-    visit = _visit_udf(shared, radii, n_homes, width, k)("features")
-    return queries.withColumn("visit", visit).select(*queries.columns, "visit.*")
-
+def _visited(asked, index, points, k):
+    """The k best hits of each query in each block that it visits, (query_id, hit).
 
-def _count_visits(visiting):
-    """Queries per group, and visits per group and cell.
-
-    One row per pair of them, at most PIVOTS x SAMPLE_ROWS, whatever the tables hold.
+    ``asked`` has query_id, features and block. The blocks stay where they are; one
+    that more than ``ASKED_ROWS`` queries visit is copied for each part of these.
     """
-    total = F.lit(-1)
-    counts = (
-        visiting.select("home", F.explode(F.array_append("cells", total)).alias("cell"))
-        .groupBy("home", "cell")
-        .count()
-        .collect()
-    )
-    homes = {r["home"]: r["count"] for r in counts if r["cell"] == -1}
-    return homes, [(r["home"], r["cell"], r["count"]) for r in counts if r["cell"] != -1]
-
-
-def _met(visits, sizes):
-    """Pairs of a query and a reference row in a cell that it visits."""
-    return sum(n * sizes[cell] for _, cell, n in visits)
+    spark, search = asked.sparkSession, _block_search(points.width, k)
+    counts = asked.groupBy("block").count().toArrow()
+    at, numbers = counts["block"].to_numpy(), counts["count"].to_numpy()
+    points.compared += int((numbers * index.sizes[at]).sum())
+    hot = numbers > ASKED_ROWS
+    cold_asked, cold = asked, index.table
+    found = []
+    if hot.any():
+        parts = pa.table({"block": pa.array(at[hot], pa.int32()), "parts": pa.array(-(-numbers[hot] // ASKED_ROWS), pa.int32())})
+        # One row for each block that fills several tasks with queries.
+        parts = F.broadcast(spark.createDataFrame(parts))
+        several = asked.join(parts, "block").withColumn("part", _hash("query_id", F.col("parts")))
+        copies = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        copied = index.table.join(parts, "block").withColumn("part", copies)
+        pairs = several.groupBy("block", "part").cogroup(copied.groupBy("block", "part"))
+        found.append(pairs.applyInArrow(search, NEIGHBOR_ROWS))
+        cold_asked = asked.join(parts, "block", "left_anti")
+    met = cold_asked.repartition(index.buckets, "block").groupBy("block").cogroup(cold.groupBy("block"))
+    found.append(met.applyInArrow(search, NEIGHBOR_ROWS))
+    hits = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    return hits.select("query_id", F.struct("distance", "train_id", "label").alias("hit"))
+
+
+def _best(hits, k):
+    order = Window.partitionBy("query_id").orderBy("hit")
+    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
 
 
 def _search_blocks(queries, points, k):
-    """The queries, stored, and the best hits of each by blocks of the reference."""
-    spark, width = queries.sparkSession, points.width
-    queries = written_table(queries, "queries")
-    asked_rows = queries.count()
-    # Square blocks: small enough for a task's memory, and many enough for all cores.
-    slots = BLOCKS_PER_CORE * spark.sparkContext.defaultParallelism
-    block_rows = int(
-        max(
-            MIN_BLOCK_ROWS,
-            min(points.block_bytes // points.row_bytes, (asked_rows * points.rows / slots) ** 0.5),
-        )
-    )
-    n_homes = min(PIVOTS, asked_rows // block_rows + 1)
-    pivots = min(SAMPLE_ROWS, max(PIVOTS, points.rows // PIVOT_ROWS))
-    coarse = min(pivots, max(points.rows // block_rows + 1, n_homes))
-    fine = min(FINE_CELLS, points.rows // FINE_ROWS)
-    found = None
-    if fine >= FINER * coarse:
-        # Many small cells, if some of the queries show that it spares them most cells.
-        found = points.cells(k, fine)
-        placed, shared, radii, sizes = found
-        some = queries.filter(_hash("query_id", F.lit(asked_rows // PROBE_ROWS + 1)) == 0)
-        tried, visits = _count_visits(_visits(some, shared, radii, n_homes, width, k))
-        if _met(visits, sizes) > FEW_MET * sum(tried.values()) * sum(sizes.values()):
-            found = None
-    placed, shared, radii, sizes = found or points.cells(k, coarse)
-    asked = queries.select("query_id", "features")
-    visiting = written_table(_visits(asked, shared, radii, n_homes, width, k), "visits")
-    homes, visits = _count_visits(visiting)
-    names = ["home", "cell", "query_blocks", "train_blocks"]
-    pairs = [
-        (home, cell, -(-homes[home] // block_rows), -(-sizes[cell] // block_rows))
-        for home, cell, _ in visits
-    ]
-    columns = np.array(pairs, dtype=np.int32).reshape(-1, len(names)).T
-    routes = F.broadcast(spark.createDataFrame(pa.table(dict(zip(names, map(pa.array, columns))))))
-    key = ["home", "query_block", "cell", "train_block"]
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(least, slots, _met(visits, sizes) * width // WORK_PER_TASK)
-
-    def numbers(count):
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    asked = (
-        visiting.select("query_id", "features", "home", F.explode("cells").alias("cell"))
-        .join(routes, ["home", "cell"])
-        .withColumn("query_block", _hash("query_id", F.col("query_blocks")))
-        .withColumn("train_block", numbers("train_blocks"))
-        .select(*key, "query_id", "features")
-        .repartition(tasks, *key)
-    )
-    offered = (
-        placed.join(routes, "cell")
-        .withColumn("train_block", _hash("train_id", F.col("train_blocks")))
-        .withColumn("query_block", numbers("query_blocks"))
-        .select(*key, "train_id", "label", "features")
-        .repartition(tasks, *key)
-    )
-    hits = (
-        asked.groupBy(*key)
-        .cogroup(offered.groupBy(*key))
-        .applyInArrow(_block_search(width, k), NEIGHBOR_ROWS)
-    )
-    best = Window.partitionBy("query_id").orderBy("distance", "train_id")
-    return queries, hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    """The queries, stored, and the best hits of each: of the home cell first, then of
+    the cells that can hold a nearer row."""
+    index = points.index(k)
+    routed = queries.withColumn("route", index.route(F.col("features"), points.width, k))
+    queries = _kept(points, routed.select(*queries.columns, "route.*"), "queries")
+    at_home = queries.select("query_id", "features", F.explode("home").alias("block"))
+    first = _best(_visited(at_home, index, points, k), k).groupBy("query_id").agg(F.collect_list("hit").alias("hits"))
+    first = _kept(points, first, "home-hits")
+    known = F.when(F.size("hits") == k, F.sqrt(F.array_max(F.transform("hits", lambda h: h["distance"]))))
+    bounds = first.select("query_id", known.alias("known"))
+    further = queries.filter(F.size("others") > 0).join(bounds, "query_id", "left")
+    reach = F.least("reach", F.coalesce("known", F.lit(float("inf"))))
+    further = further.withColumn("bound", reach).select("query_id", "features", "bound", F.explode("others").alias("cell"))
+    further = further.filter(F.col("cell.low") <= F.col("bound"))
+    each = F.explode(F.sequence(F.col("cell.first"), F.col("cell.first") + F.col("cell.count") - 1))
+    further = _kept(points, further.select("query_id", "features", each.alias("block")), "visits")
+    hits = first.select("query_id", F.explode("hits").alias("hit"))
+    if not further.isEmpty():
+        hits = _best(hits.unionByName(_visited(further, index, points, k)), k)
+    return queries, hits
+
+
+def _kept(points, df, name):
+    """A table of one search, removed by ``release`` or at the end of a ``scratch`` block."""
+    points.folders.append(written_folder(df, name))
+    return df.sparkSession.read.parquet(points.folders[-1])

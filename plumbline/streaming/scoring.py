@@ -1,5 +1,7 @@
 """Predictions for rows that keep arriving."""
 
+from plumbline.session import scratch
+
 
 def score_stream(model, stream, path, checkpoint, trigger=None, **predict):
     """Starts a query that appends the predictions of each batch of rows to ``path``.
@@ -11,7 +13,9 @@ def score_stream(model, stream, path, checkpoint, trigger=None, **predict):
     """
 
     def score(batch, batch_id):
-        model.predict(batch, **predict).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        # What a search stores for this batch goes with it; a model's own tables stay.
+        with scratch(batch.sparkSession):
+            model.predict(batch, **predict).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(score)

@@ -1,5 +1,6 @@
 """Running average and peak of utilisation samples."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 
@@ -26,3 +27,115 @@ def utilization_stream(samples, window, late="1 minute", run="run_id", ts="ts",
         "util_peak",
         "n_samples",
     )
+
+
+# The kinds of rows in a stream of runs. At one instant a start comes first,
+# then readings, then a stop, so that readings at both ends count.
+START, READING, STOP = 0, 1, 2
+STATE = (
+    "started long, total double, peak double, n long, running boolean, "
+    "ts array<long>, kind array<int>, value array<double>"
+)
+PART = "part int, started_at timestamp, stopped_at timestamp, total double, peak double, n_samples long"
+
+
+class _Run:
+    """One run's readings so far, and the rows whose time has not come yet."""
+
+    def __init__(self, state):
+        held = state.get if state.exists else (0, 0.0, 0.0, 0, False, [], [], [])
+        self.started, self.total, self.peak, self.n, self.running = held[:5]
+        self.waiting = sorted(zip(*held[5:]))
+
+    def take(self, rows):
+        self.waiting = sorted(self.waiting + list(rows))
+
+    def until(self, instant):
+        """Rows up to an instant, in order: each stop gives the run that it ends."""
+        done = 0
+        for ts, kind, value in self.waiting:
+            if ts > instant:
+                break
+            done += 1
+            if kind == START:
+                self.started, self.total, self.peak, self.n, self.running = ts, 0.0, 0.0, 0, True
+            elif kind == STOP:
+                if self.running:
+                    yield self.started, ts, self.total, self.peak, self.n
+                self.running = False
+            elif self.running:
+                self.total, self.peak, self.n = self.total + value, max(self.peak, value), self.n + 1
+        self.waiting = self.waiting[done:]
+
+    def keep(self, state, watermark):
+        if not self.running and not self.waiting:
+            state.remove()
+            return
+        ts, kind, value = (list(x) for x in zip(*self.waiting)) if self.waiting else ([], [], [])
+        state.update((self.started, self.total, self.peak, self.n, self.running, ts, kind, value))
+        if self.waiting:
+            state.setTimeoutTimestamp(max(watermark + 1, -(-ts[0] // 1000)))
+
+
+def utilization_runs(rows, late="1 minute", run="run_id", ts="ts", value="util", kind="kind", salts=1):
+    """Readings of each run between its start and stop, from a stream, as parts of sums.
+
+    ``kind`` is ``start``, ``stop`` or any other word for a reading. Rows may come in
+    any order: those of a run wait until the watermark, ``late`` behind the latest
+    row, has passed their time, and are then taken in order of time. A start sets
+    the sums to zero, whatever was before; a stop gives the run's row and clears them;
+    readings outside of a run and a stop without a start count for nothing. Rows
+    later than the watermark are dropped, and so are rows without run or time and
+    readings without a value. A run whose stop the watermark never passes gives no row.
+
+    The state of a run is its sums and the rows of the last ``late``. With ``salts`` the
+    readings of each run are dealt to so many keys, by a hash, and starts and stops
+    go to all, so that a run that holds much of the stream is not one task's. The
+    result has one row for each run and salt; ``merge_run_parts`` adds them up.
+    """
+    words = F.lower(F.col(kind))
+    code = F.when(words == "start", START).when(words == "stop", STOP).otherwise(READING)
+    taken = rows.withWatermark(ts, late).filter(F.col(run).isNotNull() & F.col(ts).isNotNull())
+    taken = taken.select(
+        F.col(run).alias("run"), F.col(ts).alias("at"), code.alias("kind"), F.col(value).cast("double").alias("value")
+    ).filter((F.col("kind") != READING) | F.col("value").isNotNull())
+    one = F.array(F.pmod(F.xxhash64("at", "value"), F.lit(salts)).cast("int"))
+    every = F.array(*[F.lit(i) for i in range(salts)])
+    taken = taken.withColumn("part", F.explode(F.when(F.col("kind") == READING, one).otherwise(every)))
+    kept = taken.select("run", "part", "at", F.unix_micros("at").alias("ts"), "kind", F.coalesce("value", F.lit(0.0)).alias("value"))
+
+    def follow(key, batches, state):
+        now, watermark = _Run(state), state.getCurrentWatermarkMs()
+        for batch in batches:
+            batch = batch[batch["ts"] > watermark * 1000] if watermark > 0 else batch
+            now.take(zip(batch["ts"].tolist(), batch["kind"].tolist(), batch["value"].tolist()))
+        found = list(now.until(watermark * 1000))
+        now.keep(state, watermark)
+        columns = list(zip(*found)) or [()] * 5
+        yield pd.DataFrame(
+            {
+                "run": [key[0]] * len(found),
+                "part": [key[1]] * len(found),
+                "started_at": pd.to_datetime(list(columns[0]), unit="us"),
+                "stopped_at": pd.to_datetime(list(columns[1]), unit="us"),
+                "total": list(columns[2]),
+                "peak": list(columns[3]),
+                "n_samples": list(columns[4]),
+            }
+        )
+
+    of = kept.schema["run"].dataType.simpleString()
+    found = kept.groupBy("run", "part").applyInPandasWithState(
+        follow, f"run {of}, {PART}", STATE, "append", "EventTimeTimeout"
+    )
+    return found.withColumnRenamed("run", run)
+
+
+def merge_run_parts(parts, run="run_id"):
+    """Average, peak (not below 0) and number of readings of each run, from its parts."""
+    n = F.sum("n_samples")
+    return parts.groupBy(run, "started_at", "stopped_at").agg(
+        F.coalesce(F.sum("total") / F.nullif(n, F.lit(0)), F.lit(0.0)).alias("util_avg"),
+        F.max("peak").alias("util_peak"),
+        n.alias("n_samples"),
+    )

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import plumbline as pl
+from plumbline.sources import labelled_csv
 
 
 @pytest.fixture
@@ -137,10 +138,11 @@ def test_file_order_over_many_files_and_splits(spark, tmp_path):
     assert sorted((r.row_id, int(r.a)) for r in found) == [(i, i) for i in range(2000)]
 
 
-def test_positions_do_not_depend_on_how_files_are_packed(spark, tmp_path):
+def test_positions_do_not_depend_on_how_files_are_packed(spark, tmp_path, monkeypatch):
     for part in range(8):
         lines = "".join(f"{100 * part + i},0\n" for i in range(100))
         (tmp_path / f"part-{part}.csv").write_text("a,y\n" + lines)
+    monkeypatch.setattr(labelled_csv, "TAKEN_CELLS", 0)
     keys = ["spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"]
     before = [spark.conf.get(k) for k in keys]
     table = pl.load_labelled_csv(spark, str(tmp_path), "y")
@@ -155,3 +157,56 @@ def test_positions_do_not_depend_on_how_files_are_packed(spark, tmp_path):
             spark.conf.set(k, value)
     assert sorted((r.row_id, int(r.a)) for r in found) == [(i, i) for i in range(800)]
     assert sorted((r.row_id, int(r.a)) for r in first) == [(i, i) for i in range(150)]
+
+
+def test_bad_cells_name_their_row(spark, csv):
+    table = pl.load_labelled_csv(spark, csv("a,b,y\n1,2,0\n3,x,1\n"), "y")
+    with pytest.raises(Exception, match="invalid feature in column 'b': 'x', row 1"):
+        table.rows.collect()
+    table = pl.load_labelled_csv(spark, csv("a,y\n1,0\n2,0\n3,?\n", "other.csv"), "y")
+    with pytest.raises(Exception, match="invalid label in column 'y': '\\?', row 2"):
+        table.rows.collect()
+
+
+@pytest.mark.parametrize("max_rows", [-1, 7])
+def test_rejects_beside_the_rows(spark, csv, max_rows):
+    lines = ["1,2,0", "x,y,0", "3,4,1.5", "5,6", "7,True,1", "8,,2", "nan,inf,3", "z,z,z"]
+    table = pl.load_labelled_csv(spark, csv("a,b,y\n" + "\n".join(lines) + "\n"), "y", max_rows, rejects=True)
+    found = rows(table)
+    assert [r[0] for r in found] == [0, 4, 6] and found[1] == (4, [7.0, 1.0], 1)
+    listed = sorted((r.row_id, r.column or "", r.cell or "") for r in table.rejects.collect())
+    expected = [(1, "a", "x"), (1, "b", "y"), (2, "y", "1.5"), (3, "", "5,6"), (5, "b", "")]
+    assert listed == expected + ([] if max_rows > 0 else [(7, "a", "z"), (7, "b", "z"), (7, "y", "z")])
+    assert all(r.file.endswith("data.csv") for r in table.rejects.collect())
+    none = pl.load_labelled_csv(spark, csv("a,y\n1,0\n", "good.csv"), "y", rejects=True)
+    assert none.rejects.count() == 0 and rows(none) == [(0, [1.0], 0)]
+
+
+def test_rejects_of_text_labels(spark, csv):
+    table = pl.load_labelled_csv(spark, csv("a,y\n?,u\n2,v\n3,w\n"), "y", text_label=True, rejects=True)
+    assert [(r[0], r[2]) for r in rows(table)] == [(1, 0), (2, 1)]
+    assert [(r.row_id, r.column, r.cell) for r in table.rejects.collect()] == [(0, "a", "?")]
+
+
+def test_a_small_cap_reads_the_first_split_only(spark, csv):
+    """One file of many splits: ten rows take tasks over its first split alone."""
+    path = csv("a,y\n" + "".join(f"{i},{i % 3}\n" for i in range(40_000)))
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = [spark.conf.get(k) for k in keys]
+    for k, value in zip(keys, ("4096", "1")):
+        spark.conf.set(k, value)
+    context = spark.sparkContext
+    try:
+        assert spark.read.csv(path).rdd.getNumPartitions() > 50
+        context.setJobGroup("cap", "a small cap")
+        table = pl.load_labelled_csv(spark, path, "y", max_rows=10)
+        found = rows(table)
+        status = context.statusTracker()
+        stages = [s for j in status.getJobIdsForGroup("cap") for s in status.getJobInfo(j).stageIds]
+        tasks = [status.getStageInfo(s).numTasks for s in stages if status.getStageInfo(s)]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, value in zip(keys, before):
+            spark.conf.set(k, value)
+    assert found == [(i, [float(i)], i % 3) for i in range(10)]
+    assert max(tasks) <= 8, tasks

@@ -45,24 +45,50 @@ def test_neighbors_match_brute_force(points, limits, kind):
     assert found == brute([(i, v) for i, v, _ in test], train, 4)
 
 
-def test_blocks_skip_far_cells(points, monkeypatch):
-    sent = []
-    whole = nearest._visit_udf
-
-    def watch(shared, radii, homes, width, k):
-        visit = whole(shared, radii, homes, width, k)
-        sent.append(visit)
-        return visit
-
-    monkeypatch.setattr(nearest, "_visit_udf", watch)
-    rng = np.random.default_rng(5)
-    x = rng.normal(size=(4000, 3)) + 1000.0 * rng.integers(0, 8, (4000, 1))
-    table = points([(i, v.tolist(), 0) for i, v in enumerate(x)])
+def clustered(rows, width, seed=5):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(40, width)) * 20
+    return [(i, (centers[i % 40] + rng.normal(size=width)).tolist(), i % 3) for i in range(rows)]
+
+
+def test_blocks_skip_far_cells(points):
+    """At 64 columns a quarter of all pairs is compared at most."""
+    table = points(clustered(3000, 64))
     model = pl.fit_knn(table, 3, broadcast_bytes=0, block_bytes=50_000)
-    model.neighbors(table).count()
-    assert len(sent) == 2  # tried on some queries, then kept for all
-    visits = table.withColumn("v", sent[1]("features")).select(F.size("v.cells").alias("n"))
-    assert visits.agg(F.avg("n")).first()[0] < 62 / 6
+    assert model.neighbors(table).count() == 9000
+    assert 0 < model.points.compared < 3000 * 3000 / 4
+
+
+def test_home_cell_first_spares_cells(points, monkeypatch):
+    """With a sample that says little the home cell gives the bound."""
+    monkeypatch.setattr(nearest, "SAMPLE_ROWS", 45)
+    monkeypatch.setattr(nearest, "_pivots", lambda sample, rows, k: np.unique(sample, axis=0).astype(float))
+    table = points(clustered(2000, 8))
+    model = pl.fit_knn(table, 5, broadcast_bytes=0, block_bytes=50_000)
+    found = sorted(map(tuple, model.neighbors(table).collect()))
+    assert found == sorted(map(tuple, pl.fit_knn(table, 5).neighbors(table).collect()))
+    assert model.points.compared < 2000 * 2000 / 4
+
+
+def test_a_search_moves_no_reference_rows(points):
+    """The stored blocks are read where they lie: no exchange, no search for their pivots."""
+    table = points(clustered(600, 4))
+    model = pl.fit_knn(table, 2, **GRID)
+    model.predict(table).count()
+    index = model.points.index(2)
+    asked = table.select(F.col("row_id").alias("query_id"), "features", F.lit(1).alias("block"))
+    plan = nearest._visited(asked, index, model.points, 2)._jdf.queryExecution().executedPlan().toString()
+    own, other = plan.split("FlatMapCoGroupsInArrow")[1].split("\n      :- ", 1)[-1].split("\n      +- ", 1)
+    assert "Exchange" in own and "SelectedBucketsCount" in other
+    assert "Exchange" not in other and "ArrowEvalPython" not in plan
+
+
+def test_blocks_that_many_queries_visit_are_copied(points, monkeypatch):
+    table = points(clustered(400, 3))
+    expected = sorted(map(tuple, pl.fit_knn(table, 3).neighbors(table).collect()))
+    monkeypatch.setattr(nearest, "ASKED_ROWS", 7)
+    found = pl.fit_knn(table, 3, **GRID).neighbors(table)
+    assert sorted(map(tuple, found.collect())) == expected
 
 
 @pytest.mark.parametrize("limits", PATHS)
@@ -200,6 +226,33 @@ def test_many_centers_are_searched_in_blocks(points, monkeypatch):
     assert sorted(model.assign(table).select("row_id", "prediction").collect()) == near
 
 
+@pytest.mark.parametrize("width", [1, 3, 70])
+def test_stored_centers_equal_the_small_path(points, spark, width):
+    rng = np.random.default_rng(8)
+    table = points([(i, v.tolist(), 0) for i, v in enumerate(rng.normal(size=(160, width)).round(2))])
+    start = rng.normal(size=(50, width)).round(2)
+    small = pl.lloyd(table, start, 3, 0.0)
+    large = pl.lloyd(table, start, 3, 0.0, broadcast_bytes=100)
+    again = pl.lloyd(table, large.table, 0)
+    held = {r.cluster_id: r.center for r in large.center_rows(spark).collect()}
+    assert np.allclose([held[i] for i in range(50)], small.centers) and np.allclose(again.centers, small.centers)
+    assert large.iterations == small.iterations == 3 and np.isclose(large.inertia, small.inertia)
+    near = sorted(small.predict(table).select("row_id", "prediction").collect())
+    assert sorted(large.predict(table).select("row_id", "prediction").collect()) == near
+    large.unpersist()
+    assert not Path(large.folder).exists()
+    with pytest.raises(ValueError, match="columns"):
+        pl.lloyd(table, [[0.0] * (width + 1)], 1)
+
+
+def test_more_clusters_than_a_broadcast(points):
+    table = points([(i, [float(i % 90), 1.0], 0) for i in range(300)])
+    model = pl.fit_kmeans(table, 60, broadcast_bytes=100)
+    assert model.predict(table).select("prediction").distinct().count() == 60
+    every = pl.fit_kmeans(table, 500, broadcast_bytes=100)
+    assert every.inertia == 0.0 and every.center_rows(None).count() == 90
+
+
 def test_forest_labels_with_gaps_and_below_zero(points):
     table = points([(i, [float(i % 3)], [-4, 2, 500][i % 3]) for i in range(60)])
     found = pl.fit_random_forest(table, 10).predict(table)
@@ -240,32 +293,43 @@ def test_repeated_null_and_absent_ids(spark, limits):
         model.predict(spark.readStream.format("rate").load())
 
 
-def test_reference_is_stored_once(points):
+def test_reference_is_stored_once(points, spark):
     table = points([(i, [float(i)], i % 2) for i in range(60)])
     model = pl.fit_knn(table, 2, **GRID)
-    assert model.predict(table).count() == 60 and len(model.points.folders) == 1
-    assert model.predict(table).count() == 60 and len(model.points.folders) == 1
-    path = Path(model.points.folders[0])
-    assert path.exists()
+    assert model.predict(table).count() == 60
+    stored = model.points.folders[0]
+    assert model.predict(table).count() == 60 and len(model.points.tables) == 1
+    assert [f for f in model.points.folders if "points-" in f] == [stored]
+    paths, names = [Path(f) for f in model.points.folders], set(model.points.tables)
+    assert all(path.exists() for path in paths)
     model.unpersist()
-    assert not path.exists() and not model.points.stored
-    assert model.predict(table).count() == 60 and len(model.points.folders) == 1
+    assert not any(path.exists() for path in paths) and not model.points.stored
+    assert not names & {t.name for t in spark.catalog.listTables()}
+    assert model.predict(table).count() == 60
     small = pl.fit_knn(table, 2)
     assert small.predict(table).count() == 60
     small.unpersist()
     assert small.predict(table).count() == 60
 
 
-@pytest.mark.parametrize("pivots,rows", [(2, 7), (2, 1_000_000)])
-def test_pivots_grow_with_the_reference(points, monkeypatch, pivots, rows):
-    monkeypatch.setattr(nearest, "PIVOTS", pivots)
-    monkeypatch.setattr(nearest, "PIVOT_ROWS", rows)
+@pytest.mark.parametrize("cells", [1, 3, 40])
+def test_any_number_of_cells_gives_the_same(points, monkeypatch, cells):
+    monkeypatch.setattr(nearest, "_pivots", lambda sample, rows, k: np.unique(sample, axis=0)[:cells].astype(float))
     table = points([(i, [float(i * 37 % 101)], i % 3) for i in range(90)])
     found = pl.fit_knn(table, 3, **GRID).neighbors(table)
     expected = pl.fit_knn(table, 3).neighbors(table)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_odd_values_in_blocks(points):
+    nan, inf = float("nan"), float("inf")
+    values = [[nan, 0.0], [inf, 1.0], [-inf, 1.0], [1e30, 1.0], [0.0, 0.0]] + [[float(i), 1.0] for i in range(40)]
+    table = points([(i, v, i % 3) for i, v in enumerate(values)])
+    found = pl.fit_knn(table, 3, **GRID).neighbors(table).select("row_id", "rank", "train_id")
+    expected = pl.fit_knn(table, 3).neighbors(table).select("row_id", "rank", "train_id")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+
+
 @pytest.mark.parametrize("ids", [300, 7, 1])
 @pytest.mark.parametrize("options", [{}, {"max_leaves": 9}])
 def test_forest_depends_on_its_rows_only(points, ids, options):

@@ -1,3 +1,5 @@
+import datetime
+import decimal
 import random
 
 import pytest
@@ -48,9 +50,45 @@ def test_cap_inside_copies_of_a_key_fails(spark):
     assert pl.cap_rows(table, 3, "k").count() == 3
 
 
-def test_order_needs_an_integral_key_without_nulls(spark):
+@pytest.mark.parametrize("kind", ["string", "date", "decimal(20,3)", "smallint"])
+def test_any_ordered_key(spark, monkeypatch, kind):
+    monkeypatch.setattr(order, "SORT_ROWS", 3)
+    monkeypatch.setattr(order, "SPLITTERS", 4)
+    rng = random.Random(2)
+    numbers = rng.sample(range(-20_000, 20_000), 120)
+    made = {
+        "string": lambda n: chr(0x61 + n % 1000) + str(n) + "é",
+        "date": lambda n: datetime.date(2000, 1, 1) + datetime.timedelta(days=n),
+        "decimal(20,3)": lambda n: decimal.Decimal(n) / 8 + decimal.Decimal(10) ** 12,
+        "smallint": int,
+    }[kind]
+    values = [made(n) for n in numbers]
+    table = spark.createDataFrame([(v,) for v in values], f"k {kind}").repartition(4)
+    ordered = sorted(values, key=lambda v: v.encode() if kind == "string" else v)
+    for position in (0, 1, 59, 118, 119):
+        assert order.key_at(table, "k", position) == ordered[position]
+    assert order.key_at(table, "k", 120) is None
+    parts = pl.split_by_key(table, "k")
+    assert sorted(r.k for r in parts.train.collect()) == sorted(ordered[:96])
+    assert {r.k: r.row_id for r in pl.with_row_id(table, "k").collect()} == {v: i for i, v in enumerate(ordered)}
+
+
+def test_copies_of_any_key_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(order, "SORT_ROWS", 3)
+    table = spark.createDataFrame([("a",)] + [("hot",)] * 50 + [("z",)], "k string")
+    with pytest.raises(ValueError, match="not unique"):
+        pl.cap_rows(table, 20, "k")
+    assert pl.cap_rows(table, 1, "k").count() == 1 and pl.cap_rows(table, 51, "k").count() == 51
+    long = spark.createDataFrame([(1,)] + [(2,)] * 50 + [(3,)], "k long")
+    with pytest.raises(ValueError, match="not unique"):
+        pl.cap_rows(long, 20, "k")
+    with pytest.raises(ValueError, match="null"):
+        pl.cap_rows(spark.createDataFrame([("a",), (None,)], "k string"), 1, "k")
+
+
+def test_order_needs_an_ordered_key_without_nulls(spark):
     with pytest.raises(TypeError):
-        pl.cap_rows(spark.createDataFrame([("a",)], "k string"), 1, "k")
+        pl.cap_rows(spark.createDataFrame([(1.5,)], "k double"), 1, "k")
     with pytest.raises(ValueError, match="null"):
         pl.split_by_key(spark.createDataFrame([(1,), (None,)], "k long"), "k")
 

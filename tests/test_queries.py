@@ -46,3 +46,11 @@ def test_every_query_of_the_library_has_sql():
 def test_forest_on_more_rows(spark, name):
     found = QUERIES[name](spark, "/root/testdata/sf0.01").toPandas()
     assert len(found) and found.iloc[:, -1].all()
+
+
+def test_forest_finds_both_classes_of_rows_it_has_not_seen(spark):
+    model, test = entry_points._forest(spark, "/root/testdata/sf0.01")
+    found = model.predict(test).groupBy("label").agg({"*": "count"}).collect()
+    right = model.predict(test).filter("label = prediction").groupBy("label").agg({"*": "count"}).collect()
+    right = {r[0]: r[1] for r in right}
+    assert len(found) == 2 and all(right.get(r[0], 0) > 0.6 * r[1] for r in found)

@@ -1,4 +1,6 @@
+import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,3 +93,93 @@ def test_narrow_models_score_a_stream_directly(spark, tmp_path, drain):
     model = pl.lloyd(rows, [[0.0], [19.0]], 1)
     batches = drain(model.predict(stream), "append")
     assert sum(len(b) for b in batches) == 20
+
+
+def plain_runs(rows):
+    """(run, start, stop, average, peak, readings) of all ended runs, in order of time."""
+    order = {"start": 0, "reading": 1, "stop": 2}
+    out = []
+    for run in {r[0] for r in rows if r[0] is not None}:
+        own = sorted(((m, order[k], v) for r, m, k, v in rows if r == run), key=lambda r: r[:2])
+        start, held = None, []
+        for minute, kind, value in own:
+            if kind == 0:
+                start, held = minute, []
+            elif kind == 1 and start is not None and value is not None:
+                held.append(value)
+            elif kind == 2 and start is not None:
+                mean = sum(held) / len(held) if held else 0.0
+                out.append((run, start, minute, round(mean, 9), max(held + [0.0]), len(held)))
+                start = None
+    return sorted(out)
+
+
+def runs_stream(spark, tmp_path, parts):
+    schema = "run_id int, ts timestamp, kind string, util double"
+    for part in parts:
+        table = [(r, START + timedelta(minutes=m), k, v) for r, m, k, v in part]
+        spark.createDataFrame(table, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+
+
+def found_runs(spark, batches):
+    rows = [r for batch in batches for r in batch]
+    schema = "run_id int, part int, started_at timestamp, stopped_at timestamp, total double, peak double, n_samples long"
+    merged = pl.merge_run_parts(spark.createDataFrame(rows, schema)).collect()
+    minute = lambda t: int((t - START).total_seconds() // 60)
+    return sorted(
+        (r.run_id, minute(r.started_at), minute(r.stopped_at), round(r.util_avg, 9), r.util_peak, r.n_samples) for r in merged
+    )
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_runs_of_rows_in_any_order(spark, tmp_path, drain, salts):
+    rng = random.Random(4)
+    rows = []
+    for run in range(6):
+        at = rng.randint(0, 20)
+        for _ in range(rng.randint(1, 3)):
+            rows.append((run, at, "start", None))
+            end = at + rng.randint(0, 30)
+            rows += [(run, rng.randint(at - 5, end + 5), "reading", rng.choice([None, -4.0, rng.random() * 90])) for _ in range(25)]
+            rows.append((run, end, rng.choice(["stop", "stop", "start"]), None))
+            at = end + rng.randint(8, 20)
+    rows = [r for r in rows if not (r[2] == "reading" and r[3] is None)] + [(0, 0, "stop", None)]
+    rng.shuffle(rows)
+    # All rows of an hour come in three files; the last row moves the clock.
+    parts = [rows[0::3], rows[1::3], rows[2::3], [(99, 10_000, "stop", None)]]
+    stream = runs_stream(spark, tmp_path, parts)
+    batches = drain(pl.utilization_runs(stream, late="300 minutes", salts=salts), "append")
+    assert found_runs(spark, batches) == plain_runs(rows)
+
+
+def test_run_rows_behind_the_watermark_are_dropped(spark, tmp_path, drain):
+    parts = [
+        [(1, 0, "start", None), (1, 1, "reading", 10.0), (1, 30, "reading", 20.0)],
+        [(1, 2, "reading", 99.0), (1, 40, "reading", 30.0), (None, 41, "reading", 5.0), (2, 35, "stop", None)],
+        [(1, 45, "stop", None), (1, 46, "reading", 77.0), (2, 500, "reading", 1.0)],
+        [(2, 900, "reading", 1.0)],
+    ]
+    batches = drain(pl.utilization_runs(runs_stream(spark, tmp_path, parts), late="10 minutes"), "append")
+    assert found_runs(spark, batches) == [(1, 0, 45, 20.0, 30.0, 3)]
+
+
+def test_scoring_leaves_no_folders(spark, tmp_path):
+    """Ten batches of a search in blocks: what each stored is gone, the model's table stays."""
+    table = spark.createDataFrame([(i, [float(i * 37 % 101), float(i % 7)], i % 3) for i in range(200)], "row_id long, features array<float>, label int")
+    model = pl.fit_knn(table, 3, broadcast_bytes=0, block_bytes=2000)
+    expected = {r.row_id: r.prediction for r in model.predict(table).collect()}
+    kept = len(model.points.tables)
+    root = Path(model.points.folders[0]).parent
+
+    def stored():
+        return sum(any(w in p.name for w in ("queries-", "home-hits-", "visits-", "points-")) for p in root.iterdir())
+
+    before = stored()
+    for i in range(10):
+        table.filter(F.col("row_id") % 10 == i).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    pl.score_stream(model, stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    found = {r.row_id: r.prediction for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert found == expected and stored() == before and len(model.points.tables) == kept
+    model.unpersist()
