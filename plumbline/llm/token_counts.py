@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from plumbline.llm.arrow import TEXT, column, free_of
+from plumbline.llm.arrow import packed as packed_row
+from plumbline.llm.arrow import unpacked as unpacked_row
 from plumbline.session import scratch, written_table
 
 SPACE = "▁"
@@ -152,9 +154,8 @@ def count_tokens(docs, model_file, text="text", limit=4096, carry=None, block_ch
     """
     made = ["n_bytes", "n_tokens", "over_limit"]
     kept = free_of(docs.columns if carry is None else carry, made)
-    row = F.struct(F.lit(0).alias("__none"), *[column(k) for k in kept]).alias("row")
     size = F.coalesce(F.octet_length(column(text)), F.lit(0)).cast("long").alias("n_bytes")
-    rows = docs.select(row, size, column(text).alias(TEXT))
+    rows = docs.select(packed_row(kept), size, column(text).alias(TEXT))
 
     def counted(batches):
         counter = PieceCounter(model_file)
@@ -188,5 +189,4 @@ def count_tokens(docs, model_file, text="text", limit=4096, carry=None, block_ch
         texts = blocks.filter("packed IS NOT NULL").select("block", "row", "n_bytes", "packed")
         schema = StructType([texts.schema["row"], texts.schema["n_bytes"], StructField("n_tokens", LongType())])
         found = texts.groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(summed, schema)
-        found = found.select(*[F.col("row").getField(k).alias(k) for k in kept], "n_bytes", "n_tokens")
-        return keep(found.withColumn("over_limit", F.col("n_tokens") > limit), "token-counts")
+        return keep(unpacked_row(found.withColumn("over_limit", F.col("n_tokens") > limit), kept), "token-counts")
