@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType
 
-from plumbline.llm.arrow import TEXT, append_columns, column, free_of
+from plumbline.llm.arrow import append_columns, column, free_of, packed, unpacked
+from plumbline.llm.joins import spread_join
 from plumbline.llm.words import NONE, WordReader, blocks, plain_word_bytes, run_hashes, utf8, window_minima
 from plumbline.session import scratch, written_table
 
@@ -121,29 +122,49 @@ def covered(ranges):
     return total
 
 
+def _windows_by_place(hashes, of, span, gram):
+    """Each kept place of ``winnowed`` with the hashes of the windows that keep it.
+
+    Gives (places, gram hashes, numbers of windows, window hashes one place after the
+    other). Equal windows have their place at the same distance, so two texts share a
+    window exactly where they share a gram hash and, of that, a window hash.
+    """
+    kept, grams = winnowed(hashes, of, span, gram)
+    windows, w = run_hashes(hashes, of, span), span - gram + 1
+    least = window_minima(grams, w)
+    place, found = [], []
+    for back in range(w):
+        at = kept[kept >= back]
+        start = at - back
+        own = (windows[start] != NONE) & (grams[at] == least[start]) & (of[start] == of[at])
+        place.append(at[own])
+        found.append(windows[start[own]])
+    place, found = np.concatenate(place), np.concatenate(found)
+    order = np.argsort(place, kind="stable")
+    kept, counts = np.unique(place, return_counts=True)
+    return kept, grams[kept], counts, found[order]
+
+
 def _fingerprints(batches, shapes=None):
-    """(size, hash, key) of the distinct fingerprints of each text: an item's own window
+    """(size, hash, windows, key) of the fingerprints of each text: of an item's own window
     size, or those of ``shapes`` for a document."""
     reader = WordReader(plain_word_bytes())
     for batch in batches:
         data, bounds = utf8(batch.column(1))
-        sizes, hashes, rows = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for low, high in blocks(bounds, BLOCK_BYTES):
             _, _, of, words = reader.read(data, bounds[low : high + 1])
             numbers = np.bincount(of, minlength=high - low)
             for size, span, gram in shapes(numbers):
-                kept, grams = winnowed(words, of, span, gram)
-                text = of[kept]
+                kept, grams, counts, windows = _windows_by_place(words, of, span, gram)
                 if shapes.own:
-                    there = np.minimum(numbers[text], shapes.span) == size
-                    kept, text = kept[there], text[there]
-                found = np.unique(np.stack([text + low, grams[kept].view(np.int64)]), axis=1)
-                rows.append(found[0])
-                hashes.append(found[1])
-                sizes.append(np.full(found.shape[1], size, np.int32))
-        keys = batch.column(0).take(pa.array(np.concatenate(rows)))
-        columns = [pa.array(np.concatenate(sizes)), pa.array(np.concatenate(hashes)), keys]
-        yield pa.RecordBatch.from_arrays(columns, names=["size", "hash", "key"])
+                    there = np.minimum(numbers[of[kept]], shapes.span) == size
+                    windows = windows[np.repeat(there, counts)]
+                    kept, grams, counts = kept[there], grams[there], counts[there]
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(windows.view(np.int64)))
+                keys = batch.column(0).take(pa.array(of[kept] + low))
+                columns = [pa.array(np.full(len(kept), size, np.int32)), pa.array(grams.view(np.int64)), lists, keys]
+                yield pa.RecordBatch.from_arrays(columns, names=["size", "hash", "windows", "key"])
 
 
 @dataclass(frozen=True)
@@ -163,19 +184,27 @@ class Shapes:
 def _contained(rows, items, span, gram):
     """(key, ranges, items): hit words and items of each text of ``rows`` that has any.
 
-    ``rows`` has key and text, ``items`` item, id and text. Fingerprints of both
-    are joined; a document and the items it shares one with are compared in full,
+    ``rows`` has key and text, ``items`` item, id and text. A document's fingerprints
+    that no item has are dropped first; the others bring the hashes of the windows
+    that keep them, and a document meets an item only under a window that both have,
+    not under every phrase of ``gram`` words. Both are then compared in full,
     ``PART_ITEMS`` items at a time, so no document's items meet in one place.
     """
-    kinds = "size int, hash long, key"
+    kinds = "size int, hash long, windows array<long>, key"
     own = Shapes(span, gram, own=True)
     theirs = items.select("item", "text").mapInArrow(lambda b: _fingerprints(b, own), f"{kinds} long")
     theirs = written_table(theirs.withColumnRenamed("key", "item"), "leak-items")
     # One size for each number of words up to the span.
     sizes = tuple(r["size"] for r in theirs.select("size").distinct().collect())
     every = Shapes(span, gram, sizes)
+    known = theirs.groupBy(F.xxhash64("size", "hash").alias("print")).agg(F.count("*").alias("copies"), F.lit(True).alias("known"))
+    known = written_table(known, "leak-prints")
     ours = rows.mapInArrow(lambda b: _fingerprints(b, every), f"{kinds} string")
-    pairs = written_table(ours.join(theirs, ["size", "hash"]).select("key", "item").distinct(), "leak-pairs")
+    ours = ours.withColumn("print", F.xxhash64("size", "hash"))
+    ours = spread_join(ours, known, "print", "copies", local=False).filter("known")
+    ours = ours.select("size", "key", F.explode("windows").alias("window")).distinct()
+    theirs = theirs.select("size", "item", F.explode("windows").alias("window")).distinct()
+    pairs = written_table(ours.join(theirs, ["size", "window"]).select("key", "item").distinct(), "leak-pairs")
     met = pairs.groupBy("key").agg(F.ceil(F.count("*") / PART_ITEMS).alias("parts"))
     some = pairs.join(met, "key").withColumn("part", F.pmod(F.xxhash64("item"), F.col("parts")))
     some = some.join(items.withColumnRenamed("text", "item_text"), "item")
@@ -231,8 +260,8 @@ def _join_contamination(docs, items, text, span, gram, share, carry):
 
     made = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated"]
     kept = free_of(docs.columns if carry is None else carry, made)
-    rows = docs.select(F.struct(F.lit(0).alias("__none"), *[column(c) for c in kept]).alias("row"), key.alias("key"), whole.alias(TEXT))
-    rows = append_columns(rows, TEXT, [("n_words", LongType())], start, carry=["row", "key"])
+    rows = docs.select(packed(kept), key.alias("key"), whole.alias("text"))
+    rows = append_columns(rows, "text", [("n_words", LongType())], start, carry=["row", "key"])
     zero = F.lit(0).cast("long")
 
     def add(state, r):
@@ -243,14 +272,15 @@ def _join_contamination(docs, items, text, span, gram, share, carry):
     hit = F.coalesce(F.aggregate("ranges", start_state, add, lambda state: state["total"]), zero)
     names = F.coalesce(F.array_join("items", ","), F.lit(""))
     answered = rows.join(found, "key", "left").select(
-        *[F.col("row").getField(c).alias(c) for c in kept],
+        "row",
         "n_words",
         hit.alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         names.alias("items"),
         F.sha2(names, 256).alias("items_sha256"),
     )
-    return answered.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+    answered = answered.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+    return unpacked(answered, kept)
 
 
 def find_contamination(
@@ -337,7 +367,6 @@ def find_contamination(
 
 def decontaminated(docs, benchmark, text="text", **options):
     """The documents that are not contaminated, with the columns they came with."""
-    rows = docs.select(F.struct(*[column(c) for c in docs.columns]).alias("row"), column(text).alias(TEXT))
-    judged = find_contamination(rows, benchmark, TEXT, carry=["row"], **options)
-    kept = judged.filter(~F.col("contaminated"))
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    rows = docs.select(packed(docs.columns), column(text).alias("text"))
+    judged = find_contamination(rows, benchmark, "text", carry=["row"], **options)
+    return unpacked(judged.filter(~F.col("contaminated")).select("row"), docs.columns)

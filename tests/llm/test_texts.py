@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from plumbline.llm import queries
+from plumbline.llm import decontamination, queries
 from plumbline.llm.decontamination import decontaminated, find_contamination
 from plumbline.llm.language_id import ByteNetwork, fit_language_id, is_held_out, predict_language
 from plumbline.llm.license_scan import scan_licenses
@@ -265,6 +265,29 @@ def test_decontamination_equals_brute_force(spark, docs_of, limit):
     assert {r.doc_id for r in kept.collect()} == {i for i, e in enumerate(expected) if not e[4]}
 
 
+def test_a_common_phrase_joins_no_pairs(spark, docs_of, monkeypatch):
+    """Every text and item has one phrase of nine words: only true windows make pairs."""
+    rng = random.Random(6)
+    phrase = "it is a truth that everyone here will know"
+    text = lambda: " ".join(f"u{rng.randrange(10**6)}" for _ in range(30))
+    texts = [f"{text()} {phrase} {text()}" for _ in range(120)]
+    items = [(i, f"{text()} {phrase} {text()}") for i in range(80)]
+    items += [(1000 + i, " ".join(texts[i].split()[i : i + 13])) for i in range(20)]
+    items += [(2000, phrase)]
+    written, sizes = decontamination.written_table, {}
+
+    def watch(df, name, **options):
+        table = written(df, name, **options)
+        sizes[name] = table.count()
+        return table
+
+    monkeypatch.setattr(decontamination, "written_table", watch)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = find_contamination(docs_of(texts), benchmark, broadcast_bytes=0)
+    assert rows(found, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == brute.contamination(texts, items)
+    assert sizes["leak-pairs"] == 120 + 20
+
+
 def test_items_without_id_contaminate(spark, docs_of, tmp_path):
     words = [f"n{i}" for i in range(30)]
     items = [(None, " ".join(words[:20])), (None, "lone"), (3, " ".join(words[10:])), (5, None), (None, None)]
