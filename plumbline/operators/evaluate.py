@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plumbline.session import written_table
+from plumbline.session import scratch, written_table
 
 BROADCAST_BYTES = 16 << 20
 # Readings of one run that are summed in one task, about.
@@ -82,7 +82,11 @@ def utilization_summary(runs, samples, run="run_id", ts="ts", value="util"):
     summed before the shuffle; when the runs are too many bytes to broadcast, the
     samples of a run that has many are spread over as many tasks as they need.
     """
-    runs = written_table(runs, "runs")
+    with scratch(runs.sparkSession) as keep:
+        return keep(_summary(written_table(runs, "runs"), samples, run, ts, value), "utilization")
+
+
+def _summary(runs, samples, run, ts, value):
     spans = runs.select(run, "started_at", "stopped_at")
     taken = samples.select(run, F.col(ts).alias("_ts"), F.col(value).alias("_value"))
     size = spans.agg(F.sum(F.octet_length(F.col(run).cast("string")) + 16)).first()[0] or 0

@@ -1,11 +1,9 @@
-"""k-means clustering: fits by Spark ML or from given centres."""
+"""k-means clustering: from drawn or given centres."""
 
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +24,11 @@ DEFAULT_CLUSTERS = 8
 DEFAULT_ITERATIONS = 300
 DEFAULT_TOLERANCE = 1e-4
 SEED = 42
+#: Rounds of the parallel initialisation, more while there are too few candidates, each
+#: drawing about ``OVERSAMPLING`` candidates for a cluster; passes over the candidates.
+START_ROUNDS, MOST_ROUNDS, OVERSAMPLING, LOCAL_PASSES = 2, 40, 2, 30
+#: Partial sums of all tasks that go to the driver at once; more of them meet in tasks first.
+DIRECT_BYTES = 16 << 20
 # Partial sums of a cluster meet in two steps: so many groups of tasks, then one row.
 MERGE_TREE, MERGE_PARTS = 64, 256
 PARTIAL = "cluster_id int, n long, cost double, sums array<double>"
@@ -106,24 +109,92 @@ def fit_kmeans(
     row_id="row_id",
     broadcast_bytes=BROADCAST_BYTES,
 ):
-    """Fit with seeded parallel initialisation.
+    """Fit with seeded parallel initialisation, then ``lloyd``.
+
+    Rows are drawn as candidates in rounds, with a chance that grows with their distance
+    to the candidates so far; each is weighted by the rows nearest to it, and weighted
+    k-means on the driver makes the ``k`` starting centres of them. Chances are compared
+    with a hash of the row, so the centres depend on the rows only, but for the order of
+    sums. With fewer different candidates than ``k`` there are fewer centres.
 
     Centres beyond ``broadcast_bytes`` start as the ``k`` different rows with the least
     hash instead, all rows where there are fewer, and the fit goes on as for ``lloyd``.
     """
     rows, width = training_shape(df, features)
     _check_clusters(k)
-    if k * point_bytes(width) > broadcast_bytes:
-        with scratch(df.sparkSession):
-            start = _least_hashes(df.select(of_width(features, width).alias("features")), k)
-            return lloyd(df, start, max_iter, tol, features, (rows, width), broadcast_bytes)
-    if k == 1:
-        return lloyd(df, np.zeros((1, width)), 1, tol, features, rows_width=(rows, width))
-    vectors = df.select(array_to_vector(F.col(features)).alias("features"))
-    estimator = KMeans(k=k, maxIter=max_iter, tol=tol, seed=SEED, initMode="k-means||")
-    fitted = estimator.fit(vectors)
-    centers = np.array(fitted.clusterCenters())
-    return CentroidModel(centers, float(fitted.summary.trainingCost), fitted.summary.numIter)
+    with scratch(df.sparkSession):
+        table = written_table(df.select(of_width(features, width).alias("features")), "kmeans-rows")
+        if k * point_bytes(width) > broadcast_bytes:
+            start = written_table(_least_hashes(table, k), "kmeans-start")
+            return lloyd(table, start, max_iter, tol, "features", (rows, width), broadcast_bytes)
+        start = np.zeros((1, width)) if k == 1 else _drawn_centers(table, k, width)
+        return _passes(table, start, width, 1 if k == 1 else max_iter, tol)
+
+
+def _drawn_centers(rows, k, width):
+    key = F.xxhash64("features", F.lit(SEED))
+    first = rows.orderBy(key, "features").limit(1).toArrow()
+    found = blocks.doubles(first["features"], width)
+    rate = OVERSAMPLING * k
+    for step in range(MOST_ROUNDS):
+        cost = _cluster_sums(rows, found, width)[2]
+        if not 0 < cost < np.inf or (step >= START_ROUNDS and len(found) >= k):
+            break
+        # Copies of a row are drawn together, so rounds may give few; then the chances double.
+        rate *= 2 if step >= START_ROUNDS else 1
+        draw = F.pmod(F.xxhash64("features", F.lit(SEED), F.lit(step)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+        shared = rows.sparkSession.sparkContext.broadcast({"points": numbered(found)})
+        chosen = rows.select("features", draw.alias("draw")).mapInArrow(
+            _drawn(shared, width, rate / cost), rows.select("features").schema
+        )
+        new = blocks.doubles(chosen.distinct().toArrow()["features"], width)
+        found = np.unique(np.concatenate([found, new]), axis=0)
+        shared.unpersist()
+    return _reduced(found, _cluster_sums(rows, found, width)[0].astype(np.float64), k)
+
+
+def _drawn(shared, width, rate):
+    """The rows whose draw is below their squared distance times ``rate``."""
+
+    def run(batches):
+        points = blocks.Points.shared(shared)
+        for batch in batches:
+            distance = blocks.nearest(blocks.doubles(batch.column(0), width), points, 1)[0][:, 0]
+            chosen = pa.array(batch.column(1).to_numpy() < rate * distance)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen)], names=["features"])
+
+    return run
+
+
+def _reduced(points, weights, k):
+    """``k`` centres of weighted points: seeded draws by distance, then passes over the points."""
+    rng = np.random.default_rng(SEED)
+    every = blocks.Points(*numbered(points))
+
+    def gaps(centers):
+        held = blocks.Points(*numbered(np.array(centers)))
+        distance, at = blocks.nearest(points, held, 1)
+        return distance[:, 0], at[:, 0]
+
+    if len(points) <= k:
+        return every.values
+    centers = [points[rng.choice(len(points), p=weights / weights.sum())]]
+    while len(centers) < k:
+        chance = weights * gaps(centers)[0]
+        if not 0 < chance.sum() < np.inf:
+            break
+        centers.append(points[rng.choice(len(points), p=chance / chance.sum())])
+    centers = np.array(centers)
+    for _ in range(LOCAL_PASSES):
+        at = gaps(centers)[1]
+        total = np.bincount(at, weights=weights, minlength=len(centers))
+        sums = np.zeros(centers.shape)
+        np.add.at(sums, at, points * weights[:, None])
+        moved = np.where(total[:, None] > 0, sums / np.maximum(total, 1e-300)[:, None], centers)
+        if np.array_equal(moved, centers):
+            break
+        centers = moved
+    return centers
 
 
 def _partial_sums(shared, width):
@@ -159,26 +230,28 @@ def _partial_sums(shared, width):
     return collect
 
 
-def _cluster_sums(df, centers, width):
+def _cluster_sums(df, centers, width, tasks=None):
     """Count, cost and coordinate sums of every non-empty cluster."""
+    tasks = tasks or df.rdd.getNumPartitions()
     shared = df.sparkSession.sparkContext.broadcast({"points": numbered(centers)})
     partial = df.mapInArrow(_partial_sums(shared, width), PARTIAL)
-    parts = max(1, min(MERGE_PARTS, len(centers)))
-    merged = (
-        partial.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_TREE)))
-        .groupBy("cluster_id", "part")
-        .applyInArrow(_add_sums, PARTIAL)
-        .repartition(parts, "cluster_id")
-        .groupBy("cluster_id")
-        .applyInArrow(_add_sums, PARTIAL)
-    )
-    found = merged.toArrow()
+    if tasks * centers.nbytes > DIRECT_BYTES:
+        parts = max(1, min(MERGE_PARTS, len(centers)))
+        partial = (
+            partial.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_TREE)))
+            .groupBy("cluster_id", "part")
+            .applyInArrow(_add_sums, PARTIAL)
+            .repartition(parts, "cluster_id")
+            .groupBy("cluster_id")
+            .applyInArrow(_add_sums, PARTIAL)
+        )
+    found = partial.toArrow()
     shared.unpersist()
     counts, sums = np.zeros(len(centers)), np.zeros(centers.shape)
     cluster = found["cluster_id"].to_numpy()
-    counts[cluster] = found["n"].to_numpy()
+    np.add.at(counts, cluster, found["n"].to_numpy())
     if len(cluster):
-        sums[cluster] = blocks.doubles(found["sums"], width)
+        np.add.at(sums, cluster, blocks.doubles(found["sums"], width))
     return counts, sums, float(found["cost"].to_numpy().sum())
 
 
@@ -311,9 +384,10 @@ def _stored_passes(rows, centers, n, width, max_iter, tol, broadcast_bytes):
 
 
 def _passes(rows, centers, width, max_iter, tol):
-    done = 0
+    # The plan counts the splits of the written rows without a job.
+    done, tasks = 0, rows.rdd.getNumPartitions()
     while done < max_iter:
-        counts, sums, _ = _cluster_sums(rows, centers, width)
+        counts, sums, _ = _cluster_sums(rows, centers, width, tasks)
         filled = counts > 0
         moved = centers.copy()
         moved[filled] = sums[filled] / counts[filled, None]
@@ -321,4 +395,4 @@ def _passes(rows, centers, width, max_iter, tol):
         centers, done = moved, done + 1
         if shift <= tol:
             break
-    return CentroidModel(centers, _cluster_sums(rows, centers, width)[2], done)
+    return CentroidModel(centers, _cluster_sums(rows, centers, width, tasks)[2], done)

@@ -171,7 +171,7 @@ def blobs(points):
 def test_two_blobs(blobs):
     clusters = pl.fit_kmeans(blobs, 2).predict(blobs)
     assert clusters.groupBy("label", "prediction").count().count() == 2
-    forest = pl.fit_random_forest(blobs, 10)
+    forest = pl.fit_random_forest(blobs, 50)
     assert pl.accuracy(forest.predict(blobs)).first().accuracy == 1.0
     assert pl.accuracy(pl.fit_knn(blobs).predict(blobs)).first().accuracy == 1.0
 
@@ -191,6 +191,27 @@ def test_kmeans_fit_is_a_clustering(points):
     assert sum(r.n_rows for r in sizes) == 200 and len(sizes) == 5
 
 
+def test_kmeans_depends_on_its_rows_only(points, spark):
+    rng = np.random.default_rng(14)
+    rows = [(i, (rng.normal(size=3) + 6.0 * (i % 5)).tolist(), 0) for i in range(500)]
+    fits = [pl.fit_kmeans(points(order).repartition(n), 5) for order, n in ((rows, 2), (rows[::-1], 8), (rows, 3))]
+    for other in fits[1:]:
+        assert np.allclose(other.centers, fits[0].centers, rtol=1e-9) and np.isclose(other.inertia, fits[0].inertia)
+    # Five groups far apart are found.
+    found = fits[0].predict(points(rows)).withColumn("of", F.col("row_id") % 5)
+    assert found.groupBy("of", "prediction").count().count() == 5
+
+
+@pytest.mark.parametrize("direct", [0, 1 << 30])
+def test_sums_on_the_driver_or_in_tasks(points, monkeypatch, direct):
+    from plumbline.operators import kmeans
+
+    monkeypatch.setattr(kmeans, "DIRECT_BYTES", direct)
+    table = points([(i, [float(i % 4) * 10, 1.0], 0) for i in range(80)]).repartition(5)
+    model = pl.fit_kmeans(table, 4)
+    assert sorted(c[0] for c in model.centers.tolist()) == [0.0, 10.0, 20.0, 30.0] and model.inertia == 0.0
+
+
 def test_one_cluster_is_the_mean(points):
     model = pl.fit_kmeans(points([(0, [0.0, 2.0], 0), (1, [2.0, 4.0], 0)]), 1)
     assert model.centers.tolist() == [[1.0, 3.0]] and model.inertia == 4.0
