@@ -68,15 +68,19 @@ def columns_of(tree, node, width, taken):
 
 
 def bin_cuts(values, bins):
-    """Values that cut a column into bins, x <= cut going left, from a sample of it."""
-    values = np.sort(values[~np.isnan(values)])
-    distinct = np.unique(values)
+    """Values that cut a column into bins, x <= cut going left, from a sample of it.
+
+    NaN goes right at every cut; where there is any, the last one parts it from all else.
+    """
+    known = np.sort(values[~np.isnan(values)])
+    distinct = np.unique(known)
+    last = distinct[-1:] if len(known) < len(values) else distinct[:0]
     if len(distinct) > bins:
-        return np.unique(values[[len(values) * i // bins for i in range(1, bins)]])
+        return np.unique(np.concatenate([known[[len(known) * i // bins for i in range(1, bins)]], last]))
     with np.errstate(invalid="ignore", over="ignore"):
         middle = distinct[:-1] / 2 + distinct[1:] / 2
     inside = (distinct[:-1] <= middle) & (middle < distinct[1:])
-    return np.where(inside, middle, distinct[:-1])
+    return np.concatenate([np.where(inside, middle, distinct[:-1]), last])
 
 
 @dataclass
@@ -138,27 +142,34 @@ class Growth:
             heapq.heappush(self.open, (-split["gain"], node))
 
     def advance(self):
-        """Splits leaves as long as their order is known, then tries the next ones."""
+        """Splits leaves as long as their order is known, then tries the next ones; again,
+        where no child of these can be split itself."""
+        while True:
+            self._settle()
+            if 0 < self.max_leaves <= self.leaves:
+                self.waiting.clear()
+                return
+            wanted = len(self.open) if self.max_leaves < 0 else self.max_leaves - self.leaves
+            new = [node for _, node in heapq.nsmallest(wanted, self.open) if node not in self.tried]
+            for node in new:
+                self._try(node)
+                self.waiting |= {c for c in self.tried[node] if self.may_split(c)}
+            if self.waiting or not new:
+                return
+
+    def _settle(self):
         while self.open and not (0 < self.max_leaves <= self.leaves):
             node = self.open[0][1]
             last = self.leaves + 1 == self.max_leaves
             if node not in self.tried and last:
                 self._try(node)
             if node not in self.tried or (not last and any(c in self.waiting for c in self.tried[node])):
-                break
+                return
             heapq.heappop(self.open)
             self.done.add(node)
             self.leaves += 1
             for child in self.tried[node]:
                 self._offer(child)
-        if 0 < self.max_leaves <= self.leaves:
-            self.waiting.clear()
-            return
-        wanted = len(self.open) if self.max_leaves < 0 else self.max_leaves - self.leaves
-        for _, node in heapq.nsmallest(wanted, self.open):
-            if node not in self.tried:
-                self._try(node)
-                self.waiting |= {c for c in self.tried[node] if self.may_split(c)}
 
     def _try(self, node):
         s = self.best[node]
