@@ -16,7 +16,7 @@ UNITS = 8
 #: Bytes that are labelled in one window, and those before and after it that only lead in.
 CORE, LEAD = 240, 16
 #: Windows that run through the network at once.
-WINDOWS = 2048
+WINDOWS = 1024
 #: The bound of the training sample: rows of each language, and pieces of each row.
 ROWS_PER_LANGUAGE, PIECES, PIECE_CHARS = 400, 3, 96
 #: Rows of all languages together, but for one of each.
