@@ -127,17 +127,18 @@ def fit_kmeans(
         if k * point_bytes(width) > broadcast_bytes:
             start = written_table(_least_hashes(table, k), "kmeans-start")
             return lloyd(table, start, max_iter, tol, "features", (rows, width), broadcast_bytes)
-        start = np.zeros((1, width)) if k == 1 else _drawn_centers(table, k, width)
-        return _passes(table, start, width, 1 if k == 1 else max_iter, tol)
+        tasks = _tasks(table)
+        start = np.zeros((1, width)) if k == 1 else _drawn_centers(table, k, width, tasks)
+        return _passes(table, start, width, 1 if k == 1 else max_iter, tol, tasks)
 
 
-def _drawn_centers(rows, k, width):
+def _drawn_centers(rows, k, width, tasks):
     key = F.xxhash64("features", F.lit(SEED))
     first = rows.orderBy(key, "features").limit(1).toArrow()
     found = blocks.doubles(first["features"], width)
     rate = OVERSAMPLING * k
     for step in range(MOST_ROUNDS):
-        cost = _cluster_sums(rows, found, width)[2]
+        cost = _cluster_sums(rows, found, width, tasks)[2]
         if not 0 < cost < np.inf or (step >= START_ROUNDS and len(found) >= k):
             break
         # Copies of a row are drawn together, so rounds may give few; then the chances double.
@@ -150,7 +151,7 @@ def _drawn_centers(rows, k, width):
         new = blocks.doubles(chosen.distinct().toArrow()["features"], width)
         found = np.unique(np.concatenate([found, new]), axis=0)
         shared.unpersist()
-    return _reduced(found, _cluster_sums(rows, found, width)[0].astype(np.float64), k)
+    return _reduced(found, _cluster_sums(rows, found, width, tasks)[0].astype(np.float64), k)
 
 
 def _drawn(shared, width, rate):
@@ -231,11 +232,10 @@ def _partial_sums(shared, width):
 
 
 def _cluster_sums(df, centers, width, tasks=None):
-    """Count, cost and coordinate sums of every non-empty cluster."""
-    tasks = tasks or df.rdd.getNumPartitions()
+    """Count, cost and coordinate sums of every non-empty cluster, of ``tasks`` tasks if known."""
     shared = df.sparkSession.sparkContext.broadcast({"points": numbered(centers)})
     partial = df.mapInArrow(_partial_sums(shared, width), PARTIAL)
-    if tasks * centers.nbytes > DIRECT_BYTES:
+    if tasks is None or tasks * centers.nbytes > DIRECT_BYTES:
         parts = max(1, min(MERGE_PARTS, len(centers)))
         partial = (
             partial.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(MERGE_TREE)))
@@ -326,9 +326,10 @@ def lloyd(
         if isinstance(centers, DataFrame):
             held = centers.orderBy("cluster_id").toArrow()
             centers = blocks.doubles(held["center"], width)
-        if max_iter > 1:
-            rows = written_table(rows, "kmeans-rows")
-        return _passes(rows, centers, width, max_iter, tol)
+        if max_iter <= 1:
+            return _passes(rows, centers, width, max_iter, tol)
+        rows = written_table(rows, "kmeans-rows")
+        return _passes(rows, centers, width, max_iter, tol, _tasks(rows))
 
 
 def _center_table(spark, centers):
@@ -383,9 +384,13 @@ def _stored_passes(rows, centers, n, width, max_iter, tol, broadcast_bytes):
     return StoredCentroidModel(centers, folder, points, float(cost), done)
 
 
-def _passes(rows, centers, width, max_iter, tol):
-    # The plan counts the splits of the written rows without a job.
-    done, tasks = 0, rows.rdd.getNumPartitions()
+def _tasks(written):
+    """The splits of a written table, which its plan counts without a job."""
+    return written.rdd.getNumPartitions()
+
+
+def _passes(rows, centers, width, max_iter, tol, tasks=None):
+    done = 0
     while done < max_iter:
         counts, sums, _ = _cluster_sums(rows, centers, width, tasks)
         filled = counts > 0

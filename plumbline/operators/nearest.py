@@ -378,14 +378,15 @@ def _visited(asked, index, points, k):
     found = []
     if hot.any():
         parts = pa.table({"block": pa.array(at[hot], pa.int32()), "parts": pa.array(-(-numbers[hot] // ASKED_ROWS), pa.int32())})
-        # One row for each block that fills several tasks with queries.
-        parts = F.broadcast(spark.createDataFrame(parts))
-        several = asked.join(parts, "block").withColumn("part", _hash("query_id", F.col("parts")))
+        # One row for each block that fills several tasks with queries; a table of its own for
+        # each side of the co-group, whose columns must not be the same.
+        ours, theirs = (F.broadcast(spark.createDataFrame(parts)) for _ in range(2))
+        several = asked.join(ours, "block").withColumn("part", _hash("query_id", F.col("parts"))).drop("parts")
         copies = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        copied = index.table.join(parts, "block").withColumn("part", copies)
+        copied = index.table.join(theirs, "block").withColumn("part", copies).drop("parts")
         pairs = several.groupBy("block", "part").cogroup(copied.groupBy("block", "part"))
         found.append(pairs.applyInArrow(search, NEIGHBOR_ROWS))
-        cold_asked = asked.join(parts, "block", "left_anti")
+        cold_asked = asked.join(ours, "block", "left_anti")
     met = cold_asked.repartition(index.buckets, "block").groupBy("block").cogroup(cold.groupBy("block"))
     found.append(met.applyInArrow(search, NEIGHBOR_ROWS))
     hits = found[0] if len(found) == 1 else found[0].unionByName(found[1])

@@ -77,11 +77,11 @@ def test_a_tree_equals_plain_best_first(points, spark, monkeypatch, depth, leave
 
 
 def test_passes_in_small_memory_give_the_same_trees(points, monkeypatch):
-    table = points(some_rows(8, 200, 6, 3))
-    options = {"max_depth": 8, "max_leaves": 20, "max_features": 1.0}
-    whole = pl.fit_random_forest(table, 4, **options)
+    table = points(some_rows(8, 120, 4, 3))
+    options = {"max_depth": 4, "max_leaves": 5, "max_features": 1.0}
+    whole = pl.fit_random_forest(table, 2, **options)
     monkeypatch.setattr(grown_forest, "HISTOGRAM_BYTES", 8 * 128 * 3 * 2)
-    small = pl.fit_random_forest(table, 4, **options)
+    small = pl.fit_random_forest(table, 2, **options)
     for a, b in zip(whole.trees.trees, small.trees.trees):
         assert all(np.array_equal(x, y) for x, y in zip(a, b))
 
