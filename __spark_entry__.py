@@ -551,8 +551,9 @@ def utilization_stream_runs(spark, sf_dir):
         .start()
     )
     query.awaitTermination()
+    # Parts are added in any order, so the mean is rounded where no mean of two decimals ties.
     return pl.merge_run_parts(spark.read.schema(found.schema).parquet(path)).select(
-        "run_id", F.round("util_avg", 6).alias("util_avg"), F.round("util_peak", 6).alias("util_peak"), "n_samples"
+        "run_id", F.round("util_avg", 9).alias("util_avg"), F.round("util_peak", 6).alias("util_peak"), "n_samples"
     )
 
 
@@ -866,7 +867,7 @@ def oracle_sql() -> dict[str, str]:
         "utilization_stream_runs": """
             WITH r AS (SELECT user_id AS run_id, min(ts) FILTER (event_type = 'signup') AS s,
                 max(ts) FILTER (event_type = 'purchase') AS e FROM events GROUP BY user_id)
-            SELECT run_id, round(coalesce(avg(value), 0), 6) AS util_avg,
+            SELECT run_id, round(coalesce(avg(value), 0), 9) AS util_avg,
               round(greatest(coalesce(max(value), 0), 0), 6) AS util_peak, count(value) AS n_samples
             FROM r LEFT JOIN events ON user_id = run_id AND ts BETWEEN s AND e WHERE s <= e GROUP BY run_id""",
         "split_by_text_key": """
