@@ -399,11 +399,12 @@ def rf_fit_predict(spark, sf_dir):
 
     No predictor that names one class, or draws lots, passes for both labels.
     """
-    model, test = _forest(spark, sf_dir)
-    every = _document_features(spark, sf_dir).join(test.select("row_id", F.lit(True).alias("tested")), "row_id", "left")
+    parts = pl.split_by_key(_document_features(spark, sf_dir))
+    model = pl.fit_random_forest(parts.train, max_depth=10)
+    tested = [part.withColumn("tested", F.lit(t)) for part, t in ((parts.train, False), (parts.test, True))]
     right = (F.col("prediction") == F.col("label")).cast("double")
-    return model.predict(every).groupBy("label").agg(
-        F.count("tested").alias("n_tested"), F.count("*").alias("n_rows"), (F.avg(right) > 0.75).alias("mostly_right")
+    return model.predict(tested[0].unionByName(tested[1])).groupBy("label").agg(
+        F.count_if("tested").alias("n_tested"), F.count("*").alias("n_rows"), (F.avg(right) > 0.75).alias("mostly_right")
     )
 
 
