@@ -472,13 +472,10 @@ def utilization_summary(spark, sf_dir):
 
 
 def _stream(spark, sf_dir, name):
-    """The table's file as a stream that ends when it is read."""
+    """The table, one file or a folder of files, as a stream that ends when it is read."""
     schema = _table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    # A stream of a plain path must be a folder's; a pattern finds either.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
 def _utilization(spark, sf_dir, mode):

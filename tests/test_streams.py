@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
 import plumbline as pl
 
 START = datetime(2024, 1, 1)
@@ -183,3 +184,18 @@ def test_scoring_leaves_no_folders(spark, tmp_path):
     found = {r.row_id: r.prediction for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert found == expected and stored() == before and len(model.points.tables) == kept
     model.unpersist()
+
+
+@pytest.mark.parametrize("files", [1, 3])
+@pytest.mark.parametrize("query", ["kmeans_score_stream", "knn_score_stream", "knn_score_stream_blocked"])
+def test_tables_of_one_file_and_of_several_are_scored(spark, tmp_path, query, files):
+    rows = [(i, [float((i * 37 + j) % 11) for j in range(64)], i % 3) for i in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    table.repartition(files).write.parquet(str(tmp_path / "embeddings.parquet"))
+    folder = tmp_path
+    if files == 1:
+        folder = tmp_path / "plain"
+        folder.mkdir()
+        next((tmp_path / "embeddings.parquet").glob("part-*")).rename(folder / "embeddings.parquet")
+    found = entry_points.queries()[query](spark, str(folder)).collect()
+    assert sorted(r.vec_id for r in found) == list(range(60)) and all(r.prediction is not None for r in found)
