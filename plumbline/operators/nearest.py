@@ -4,12 +4,14 @@ A reference table within ``BROADCAST_BYTES`` is sent to every task and the
 search is one projection over the queries: no shuffle, and it works on streams.
 
 A larger one is stored once, by cells: each reference row goes to its nearest pivot,
-a cell is cut into blocks of bounded size by a hash of the row id, and the table is
-bucketed by block. A search moves queries only. Each query first visits its home cell,
+a cell is cut into pieces of bounded size by a hash of the row id, pieces in a row make
+a block, and the table is bucketed by block. A search moves queries only, once for each
+block, of which there are few for each core until one would be larger than
+``BLOCK_BYTES``. Each query first visits its home cell,
 which gives it k neighbours and so an upper bound of its k-th distance; the triangle
-inequality bounds its distance to any other cell from below, and only cells that can
-hold a neighbour are visited then. A block that very many queries visit is dealt to
-several tasks, with a copy of the block for each. Blocks emit k rows per query, never
+inequality bounds its distance to any other cell from below, and only pieces of cells
+that can hold a neighbour are visited then. A block that very many queries visit is dealt
+to several tasks, with a copy of the block for each. Blocks emit k rows per query, never
 all pairs.
 
 Both ways answer every row by itself: queries get an id of their own, so rows with
@@ -229,17 +231,19 @@ def _gaps(queries, pivots):
 class Index:
     """The stored reference, one bucketed table, and what routes queries to its blocks.
 
-    Cell i has the blocks from ``first[i]`` on, ``counts[i]`` of them, and all its rows
-    within ``radii[i]`` of pivot i, -1 where it has none.
+    Cell i has the pieces from ``first[i]`` on, ``counts[i]`` of them, and all its rows
+    within ``radii[i]`` of pivot i, -1 where it has none. A block is ``pieces`` pieces in a
+    row; ``sizes`` has the mean rows of a piece of each block.
     """
 
     table: DataFrame
     buckets: int
+    pieces: int
     shared: Broadcast
     sizes: np.ndarray
 
     def route(self, features, width, k):
-        """For each query the blocks of its home cell, and of other cells with a lower bound."""
+        """For each query the pieces of its home cell, and of other cells with a lower bound."""
         return _route_udf(self.shared, width, k)(features)
 
 
@@ -288,28 +292,36 @@ def _stored_index(points, k):
             sizes[row["cell"]] = row["n"]
             radii[row["cell"]] = np.inf if np.isnan(row["r"]) else row["r"]
         slots = BLOCKS_PER_CORE * spark.sparkContext.defaultParallelism
-        block_rows = max(MIN_BLOCK_ROWS, min(points.block_bytes // points.row_bytes, -(-int(sizes.sum()) // slots)))
-        counts = -(-sizes // block_rows)
+        piece_rows = max(MIN_BLOCK_ROWS, min(points.block_bytes // points.row_bytes, -(-int(sizes.sum()) // slots)))
+        counts = -(-sizes // piece_rows)
         first = np.cumsum(counts) - counts
+        pieces = int(max(1, min(counts.sum() // slots, BLOCK_BYTES // (piece_rows * points.row_bytes))))
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        buckets = int(min(MOST_BUCKETS, max(least, counts.sum() // BLOCKS_PER_BUCKET)))
+        buckets = int(min(MOST_BUCKETS, max(least, counts.sum() // pieces // BLOCKS_PER_BUCKET)))
         cut = pa.table({"cell": pa.array(np.arange(len(pivots)), pa.int32()), "first": pa.array(first, pa.int32()), "count": pa.array(counts, pa.int32())})
         # One row for each pivot, of which the sample bounds the number.
-        block = (F.col("first") + _hash("train_id", F.col("count"))).cast("int").alias("block")
-        blocked = placed.join(F.broadcast(spark.createDataFrame(cut)), "cell").select(block, "train_id", "label", "features")
+        piece = (F.col("first") + _hash("train_id", F.col("count"))).cast("int").alias("piece")
+        blocked = placed.join(F.broadcast(spark.createDataFrame(cut)), "cell").select(piece, "train_id", "label", "features")
+        blocked = blocked.withColumn("block", _block_of(F.col("piece"), pieces))
         name, path = f"plumbline_points_{uuid.uuid4().hex}", shared_folder(spark, "points")
         stored = blocked.repartition(buckets, "block").write.format("parquet").bucketBy(buckets, "block")
         stored.option("path", path).saveAsTable(name)
     points.tables.append(name)
     points.folders.append(path)
-    block_sizes = np.repeat(-(-sizes // np.maximum(counts, 1)), counts)
+    piece_sizes = np.repeat(-(-sizes // np.maximum(counts, 1)), counts)
+    block = np.arange(len(piece_sizes)) // pieces
+    block_sizes = np.bincount(block, weights=piece_sizes) / np.bincount(block)
     routes = spark.sparkContext.broadcast(held | {"radii": radii, "first": first, "counts": counts})
     shared.unpersist()
-    return Index(spark.table(name), buckets, routes, block_sizes)
+    return Index(spark.table(name), buckets, pieces, routes, block_sizes)
+
+
+def _block_of(piece, pieces):
+    return (piece / F.lit(pieces)).cast("int")
 
 
 def _route_udf(shared, width, k):
-    @F.arrow_udf("struct<reach:double,home:array<int>,others:array<struct<low:double,first:int,count:int>>>")
+    @F.arrow_udf("struct<reach:double,home:struct<first:int,count:int>,others:array<struct<low:double,first:int,count:int>>>")
     def route(features: pa.Array) -> pa.Array:
         held = shared.value
         sample, pivots = (blocks.Points.shared(shared, name) for name in ("sample", "pivots"))
@@ -329,28 +341,54 @@ def _route_udf(shared, width, k):
             [pa.array(low[used, cells]), pa.array(first[cells], pa.int32()), pa.array(counts[cells], pa.int32())],
             names=["low", "first", "count"],
         )
-        ends = np.concatenate([[0], np.cumsum(counts[home])])
-        own = np.arange(ends[-1]) - np.repeat(ends[:-1] - first[home], counts[home])
-        homes = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(own, pa.int32()))
+        homes = pa.StructArray.from_arrays(
+            [pa.array(first[home], pa.int32()), pa.array(counts[home], pa.int32())], names=["first", "count"]
+        )
         columns = [pa.array(reach), homes, pa.ListArray.from_arrays(offsets, others)]
         return pa.StructArray.from_arrays(columns, names=["reach", "home", "others"])
 
     return route.asNondeterministic()
 
 
+def _runs(pieces, query, low, high):
+    """Pieces in a row that the same queries visit, with these."""
+    held, run = None, []
+    for piece in pieces:
+        asking = query[(low <= piece) & (piece < high)]
+        if run and not np.array_equal(asking, held):
+            yield held, run
+            run = []
+        held = asking
+        run.append(piece)
+    if run:
+        yield held, run
+
+
 def _block_search(width, k):
     def search(queries: pa.Table, reference: pa.Table) -> pa.Table:
-        ids, labels, found = np.empty(0, np.int64), np.empty(0, np.int32), None
         asked = queries["query_id"].to_numpy()
-        used = np.zeros((len(asked), k), dtype=bool)
-        distances = np.empty((len(asked), k))
-        if len(asked) and reference.num_rows:
-            ids, labels, values = _by_id(reference, width)
-            distances, found = blocks.nearest(
-                blocks.doubles(queries["features"], width), blocks.Points(ids, labels, values), k
-            )
-            used = found >= 0
-        at = found[used] if found is not None else np.empty(0, np.int64)
+        ids, labels, values = _by_id(reference, width)
+        # Unused places hold the position after the last.
+        found = np.full((len(asked), k), len(ids))
+        distances = np.full((len(asked), k), np.inf)
+        if len(asked) and len(ids):
+            features = blocks.doubles(queries["features"], width)
+            piece = reference["piece"].to_numpy()[np.argsort(reference["train_id"].to_numpy(), kind="stable")]
+            ranges = queries["ranges"].combine_chunks()
+            query = np.repeat(np.arange(len(asked)), np.diff(ranges.offsets.to_numpy()))
+            low, count = (ranges.flatten().field(n).to_numpy() for n in ("first", "count"))
+            for some, run in _runs(np.unique(piece), query, low, low + count):
+                if not len(some):
+                    continue
+                rows = np.flatnonzero(np.isin(piece, run))
+                points = blocks.Points(ids[rows], labels[rows], values[rows])
+                new, at = blocks.nearest(features[some], points, k)
+                at = np.where(at >= 0, rows[at], len(ids))
+                both = np.hstack([distances[some], new]), np.hstack([found[some], at])
+                best = np.lexsort(both[::-1], axis=1)[:, :k]
+                distances[some], found[some] = (np.take_along_axis(x, best, 1) for x in both)
+        used = found < len(ids)
+        at = found[used]
         return pa.table(
             {
                 "query_id": np.repeat(asked, used.sum(axis=1)),
@@ -363,16 +401,35 @@ def _block_search(width, k):
     return search
 
 
+def _visits(queries, ranges, index):
+    """A row for each block of the pieces in ``ranges``, with those of its ranges."""
+    ends = [lambda r: r["first"], lambda r: r["first"] + r["count"] - 1]
+    at = F.transform(ranges, lambda r: F.sequence(*[_block_of(end(r), index.pieces) for end in ends]))
+    each = queries.select("query_id", "features", ranges.alias("ranges"), F.explode(F.array_distinct(F.flatten(at))).alias("block"))
+    return each.withColumn("ranges", F.filter("ranges", lambda r: _met(r, index) > 0))
+
+
+def _met(r, index):
+    """How many pieces of the row's block are in a range."""
+    start = F.col("block") * index.pieces
+    return F.least(r["first"] + r["count"], start + index.pieces) - F.greatest(r["first"], start)
+
+
 def _visited(asked, index, points, k):
     """The k best hits of each query in each block that it visits, (query_id, hit).
 
-    ``asked`` has query_id, features and block. The blocks stay where they are; one
-    that more than ``ASKED_ROWS`` queries visit is copied for each part of these.
+    ``asked`` has query_id, features, block and the ranges of pieces to search there, all
+    of them if there is no such column. The blocks stay where they are; one that more than
+    ``ASKED_ROWS`` queries visit is copied for each part of these.
     """
     spark, search = asked.sparkSession, _block_search(points.width, k)
-    counts = asked.groupBy("block").count().toArrow()
+    if "ranges" not in asked.columns:
+        every = F.struct((F.col("block") * index.pieces).alias("first"), F.lit(index.pieces).alias("count"))
+        asked = asked.withColumn("ranges", F.array(every))
+    met = F.aggregate("ranges", F.lit(0), lambda n, r: n + _met(r, index))
+    counts = asked.groupBy("block").agg(F.count("*").alias("count"), F.sum(met).alias("pieces")).toArrow()
     at, numbers = counts["block"].to_numpy(), counts["count"].to_numpy()
-    points.compared += int((numbers * index.sizes[at]).sum())
+    points.compared += int((counts["pieces"].to_numpy() * index.sizes[at]).sum())
     hot = numbers > ASKED_ROWS
     cold_asked, cold = asked, index.table
     found = []
@@ -404,17 +461,17 @@ def _search_blocks(queries, points, k):
     index = points.index(k)
     routed = queries.withColumn("route", index.route(F.col("features"), points.width, k))
     queries = _kept(points, routed.select(*queries.columns, "route.*"), "queries")
-    at_home = queries.select("query_id", "features", F.explode("home").alias("block"))
+    at_home = _visits(queries, F.array("home"), index)
     first = _best(_visited(at_home, index, points, k), k).groupBy("query_id").agg(F.collect_list("hit").alias("hits"))
     first = _kept(points, first, "home-hits")
     known = F.when(F.size("hits") == k, F.sqrt(F.array_max(F.transform("hits", lambda h: h["distance"]))))
     bounds = first.select("query_id", known.alias("known"))
     further = queries.filter(F.size("others") > 0).join(bounds, "query_id", "left")
     reach = F.least("reach", F.coalesce("known", F.lit(float("inf"))))
-    further = further.withColumn("bound", reach).select("query_id", "features", "bound", F.explode("others").alias("cell"))
-    further = further.filter(F.col("cell.low") <= F.col("bound"))
-    each = F.explode(F.sequence(F.col("cell.first"), F.col("cell.first") + F.col("cell.count") - 1))
-    further = _kept(points, further.select("query_id", "features", each.alias("block")), "visits")
+    near = F.filter("others", lambda c: c["low"] <= F.col("bound"))
+    near = F.transform(near, lambda c: F.struct(c["first"].alias("first"), c["count"].alias("count")))
+    further = further.withColumn("bound", reach).select("query_id", "features", near.alias("near"))
+    further = _kept(points, _visits(further, F.col("near"), index), "visits")
     hits = first.select("query_id", F.explode("hits").alias("hit"))
     if not further.isEmpty():
         hits = _best(hits.unionByName(_visited(further, index, points, k)), k)

@@ -83,6 +83,27 @@ def test_a_search_moves_no_reference_rows(points):
     assert "Exchange" not in other and "ArrowEvalPython" not in plan
 
 
+def test_more_reference_rows_take_no_more_visits(points, monkeypatch):
+    """A query travels once for each block, and their number is that of the cores."""
+    visited, visits = nearest._visited, []
+
+    def counted(asked, *rest):
+        visits.append(asked.count())
+        return visited(asked, *rest)
+
+    monkeypatch.setattr(nearest, "_visited", counted)
+    rng = np.random.default_rng(3)
+    for rows in (400, 4000):
+        table = points([(i, v.tolist(), i % 3) for i, v in enumerate(rng.normal(size=(rows, 24)).astype(np.float32))])
+        some = table.filter("row_id < 50")
+        expected = sorted(map(tuple, pl.fit_knn(table, 3).neighbors(some).collect()))
+        found = pl.fit_knn(table, 3, broadcast_bytes=0, block_bytes=4000).neighbors(some)
+        assert sorted(map(tuple, found.collect())) == expected
+        cores = table.sparkSession.sparkContext.defaultParallelism
+        assert 0 < max(visits) <= 50 * 2 * nearest.BLOCKS_PER_CORE * cores
+        visits.clear()
+
+
 def test_blocks_that_many_queries_visit_are_copied(points, monkeypatch):
     table = points(clustered(400, 3))
     expected = sorted(map(tuple, pl.fit_knn(table, 3).neighbors(table).collect()))
