@@ -25,8 +25,9 @@ DEFAULT_ITERATIONS = 300
 DEFAULT_TOLERANCE = 1e-4
 SEED = 42
 #: Rounds of the parallel initialisation, more while there are too few candidates, each
-#: drawing about ``OVERSAMPLING`` candidates for a cluster; passes over the candidates.
-START_ROUNDS, MOST_ROUNDS, OVERSAMPLING, LOCAL_PASSES = 2, 40, 2, 30
+#: drawing about ``OVERSAMPLING`` candidates for a cluster; rounds that one pass over the
+#: rows draws until one gives any; passes over the candidates.
+START_ROUNDS, MOST_ROUNDS, OVERSAMPLING, ROUNDS_AT_ONCE, LOCAL_PASSES = 2, 40, 2, 8, 30
 #: Partial sums of all tasks that go to the driver at once; more of them meet in tasks first.
 DIRECT_BYTES = 16 << 20
 # Partial sums of a cluster meet in two steps: so many groups of tasks, then one row.
@@ -136,33 +137,48 @@ def _drawn_centers(rows, k, width, tasks):
     key = F.xxhash64("features", F.lit(SEED))
     first = rows.orderBy(key, "features").limit(1).toArrow()
     found = blocks.doubles(first["features"], width)
-    rate = OVERSAMPLING * k
-    for step in range(MOST_ROUNDS):
-        cost = _cluster_sums(rows, found, width, tasks)[2]
-        if not 0 < cost < np.inf or (step >= START_ROUNDS and len(found) >= k):
-            break
+    step, sums = 0, _cluster_sums(rows, found, width, tasks)
+    while step < MOST_ROUNDS and 0 < sums[2] < np.inf and not (step >= START_ROUNDS and len(found) >= k):
+        # Rounds that give nothing leave the costs as they are, so a pass goes on with the next.
+        last = MOST_ROUNDS if len(found) < k else START_ROUNDS
+        steps = range(step, min(step + ROUNDS_AT_ONCE, last))
         # Copies of a row are drawn together, so rounds may give few; then the chances double.
-        rate *= 2 if step >= START_ROUNDS else 1
-        draw = F.pmod(F.xxhash64("features", F.lit(SEED), F.lit(step)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+        rates = [OVERSAMPLING * k * 2.0 ** max(0, s + 1 - START_ROUNDS) / sums[2] for s in steps]
+        draws = [F.pmod(F.xxhash64("features", F.lit(SEED), F.lit(s)), F.lit(1 << 53)) / F.lit(float(1 << 53)) for s in steps]
         shared = rows.sparkSession.sparkContext.broadcast({"points": numbered(found)})
-        chosen = rows.select("features", draw.alias("draw")).mapInArrow(
-            _drawn(shared, width, rate / cost), rows.select("features").schema
+        drawn = rows.select("features", *[d.alias(f"draw{i}") for i, d in enumerate(draws)]).mapInArrow(
+            _drawn(shared, width, rates), "round int, features array<double>"
         )
-        new = blocks.doubles(chosen.distinct().toArrow()["features"], width)
-        found = np.unique(np.concatenate([found, new]), axis=0)
+        drawn = drawn.toArrow()
         shared.unpersist()
-    return _reduced(found, _cluster_sums(rows, found, width, tasks)[0].astype(np.float64), k)
+        if not len(drawn):
+            step = steps[-1] + 1
+            continue
+        at = drawn["round"].to_numpy()
+        new = blocks.doubles(drawn["features"], width)[at == at.min()]
+        found, step = np.unique(np.concatenate([found, new]), axis=0), steps[at.min()] + 1
+        sums = _cluster_sums(rows, found, width, tasks)
+    return _reduced(found, sums[0].astype(np.float64), k)
 
 
-def _drawn(shared, width, rate):
-    """The rows whose draw is below their squared distance times ``rate``."""
+def _drawn(shared, width, rates):
+    """The different rows whose draw is below their squared distance times the rate, of the
+    task's first round that has any."""
 
     def run(batches):
         points = blocks.Points.shared(shared)
+        first, held = len(rates), np.empty((0, width))
         for batch in batches:
-            distance = blocks.nearest(blocks.doubles(batch.column(0), width), points, 1)[0][:, 0]
-            chosen = pa.array(batch.column(1).to_numpy() < rate * distance)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen)], names=["features"])
+            rows = blocks.doubles(batch.column(0), width)
+            distance = blocks.nearest(rows, points, 1)[0][:, 0]
+            for i, rate in enumerate(rates[: first + 1]):
+                chosen = batch.column(i + 1).to_numpy() < rate * distance
+                if chosen.any():
+                    held = np.unique(np.concatenate([held if i == first else held[:0], rows[chosen]]), axis=0)
+                    first = i
+                    break
+        features = pa.array(list(held), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(held), first, np.int32)), features], names=["round", "features"])
 
     return run
 
@@ -392,12 +408,14 @@ def _tasks(written):
 def _passes(rows, centers, width, max_iter, tol, tasks=None):
     done = 0
     while done < max_iter:
-        counts, sums, _ = _cluster_sums(rows, centers, width, tasks)
+        counts, sums, cost = _cluster_sums(rows, centers, width, tasks)
         filled = counts > 0
         moved = centers.copy()
         moved[filled] = sums[filled] / counts[filled, None]
         shift = np.sqrt(((moved - centers) ** 2).sum(axis=1)).max()
+        still = np.array_equal(moved, centers)
         centers, done = moved, done + 1
         if shift <= tol:
-            break
+            # The pass was over these centres if none has moved.
+            return CentroidModel(centers, cost if still else _cluster_sums(rows, centers, width, tasks)[2], done)
     return CentroidModel(centers, _cluster_sums(rows, centers, width, tasks)[2], done)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import plumbline as pl
-from plumbline.operators import nearest
+from plumbline.operators import kmeans, nearest
 
 GRID = {"broadcast_bytes": 0, "block_bytes": 2000}
 PATHS = [{}, GRID]
@@ -389,3 +389,23 @@ def test_forest_takes_many_classes(points):
     table = points([(i, [float(i)], 7 * i - 50) for i in range(120)])
     found = pl.fit_random_forest(table, 2, 2).predict(table)
     assert found.filter("prediction % 7 = -1 OR prediction % 7 = 6").count() == 120
+
+
+def test_rounds_without_candidates_take_no_passes(points, monkeypatch):
+    """Of copies no row may be drawn in many rounds: the costs are summed for new candidates only."""
+    calls, sums, drawn = [], kmeans._cluster_sums, kmeans._drawn
+    monkeypatch.setattr(kmeans, "_cluster_sums", lambda *a: calls.append("sums") or sums(*a))
+    monkeypatch.setattr(kmeans, "_drawn", lambda *a: calls.append("draws") or drawn(*a))
+    table = points([(0, [0.0, 0.0], 0)]).sparkSession.range(60_000).select(
+        F.array((F.col("id") % 3).cast("float"), F.lit(1.0).cast("float")).alias("features")
+    )
+    model = pl.fit_kmeans(table, 3)
+    assert sorted(c[0] for c in model.centers) == [0.0, 1.0, 2.0] and model.inertia == 0.0
+    assert calls.count("sums") <= 4 and calls.count("draws") <= 5
+
+
+def test_inertia_of_centres_that_moved_in_the_last_pass(points):
+    table = points([(i, [float(x)], 0) for i, x in enumerate([0, 1, 9, 11])])
+    for steps, inertia in ((0, 4.0 + 1.0 + 0.0 + 4.0), (1, 0.5 + 2.0), (5, 0.5 + 2.0)):
+        assert pl.lloyd(table, [[2.0], [9.0]], steps).inertia == inertia
+    assert pl.lloyd(table, [[2.0], [9.0]], 5, 100.0).inertia == 2.5
