@@ -199,3 +199,25 @@ def test_tables_of_one_file_and_of_several_are_scored(spark, tmp_path, query, fi
         next((tmp_path / "embeddings.parquet").glob("part-*")).rename(folder / "embeddings.parquet")
     found = entry_points.queries()[query](spark, str(folder)).collect()
     assert sorted(r.vec_id for r in found) == list(range(60)) and all(r.prediction is not None for r in found)
+
+
+def test_runs_share_the_state_of_their_group(spark, tmp_path):
+    """Many runs take no more states than there are groups, each run with its own readings."""
+    schema = "run_id string, ts timestamp, kind string, util double"
+    rows = [(f"r{r}", m, k, v) for r in range(40) for m, k, v in ((r, "start", None), (r + 1, "reading", 2.0 * r), (r + 3, "stop", None))]
+    rows.append(("clock", 10_000, "stop", None))
+    table = [(r, START + timedelta(minutes=m), k, v) for r, m, k, v in rows]
+    spark.createDataFrame(table, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    batches = []
+    query = (
+        pl.utilization_runs(stream, groups=3)
+        .writeStream.foreachBatch(lambda batch, _: batches.extend(batch.collect()))
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(held) <= 3
+    assert sorted((r.run_id, r.total, r.n_samples) for r in batches) == sorted((f"r{r}", 2.0 * r, 1) for r in range(40))
