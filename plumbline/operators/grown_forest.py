@@ -26,6 +26,8 @@ HISTOGRAM_BYTES, VOTE_BYTES = 32 << 20, 32 << 20
 #: Histograms of one leaf meet in so many groups of tasks first, then in one row.
 MERGE_TREE = 64
 LEAST_GAIN = 1e-9
+#: Leading bits of a random number that settle most draws by a table.
+GUIDE_BITS = 12
 SPLITS = "unit int, feature int, bin int, gain double, left array<long>, right array<long>"
 
 
@@ -54,10 +56,48 @@ def poisson(rate):
     return np.cumsum(terms)[:-1]
 
 
+def spread(seeds):
+    """The rows' part of their random numbers, which is the same for all trees."""
+    return mixed(np.asarray(seeds).astype(np.uint64) + np.uint64(1))
+
+
+def guide(chances):
+    """Draws by the leading bits of a random number, -1 where more bits are needed."""
+    edges = np.arange((1 << GUIDE_BITS) + 1) / (1 << GUIDE_BITS)
+    low, high = np.searchsorted(chances, edges[:-1], "right"), np.searchsorted(chances, edges[1:], "left")
+    return np.where(low == high, low, -1)
+
+
+def drawn_rows(spread_seeds, tree, chances, guided):
+    """``draws`` from what ``spread`` and ``guide`` give."""
+    numbers = mixed(key_of(tree) ^ spread_seeds)
+    found = guided[(numbers >> np.uint64(64 - GUIDE_BITS)).view(np.int64)]
+    more = np.flatnonzero(found < 0)
+    found[more] = np.searchsorted(chances, (numbers[more] >> np.uint64(11)) / float(1 << 53), "right")
+    return found
+
+
 def draws(seeds, tree, chances):
     """How often a tree draws each row for its sample: numbers of the rows' seeds only."""
-    unit = (key_of(tree, seeds) >> np.uint64(11)) / float(1 << 53)
-    return np.searchsorted(chances, unit, "right")
+    return drawn_rows(spread(seeds), tree, chances, guide(chances))
+
+
+def alike(rows):
+    """The first place of each different row of a matrix, and for every row which of them it equals.
+
+    Rows are told apart byte by byte, by a hash of their bytes first.
+    """
+    size = rows.shape[1] * rows.itemsize
+    words = np.zeros((len(rows), -(-size // 8) * 8), np.uint8)
+    words[:, :size] = np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), size)
+    words = words.view(np.uint64)
+    key = words[:, 0]
+    for i in range(1, words.shape[1]):
+        key = mixed(key) ^ words[:, i]
+    _, first, which = np.unique(key, return_index=True, return_inverse=True)
+    if not np.array_equal(words[first][which], words):
+        first = which = np.arange(len(rows))
+    return first, which
 
 
 def columns_of(tree, node, width, taken):
@@ -218,11 +258,19 @@ def _histograms(shared, width, shape, chances):
         asked = shared.value
         sums = np.zeros((len(asked["columns"]), *shape), np.int64)
         slots, bins, classes = shape
+        guided = guide(chances)
         for batch in batches:
+            if not batch.num_rows:
+                continue
             binned = binary_rows(batch.column("bins"), width)
-            own, seeds = batch.column("class").to_numpy(), batch.column("seed").to_numpy().view(np.uint64)
+            own, seeds = batch.column("class").to_numpy(), spread(batch.column("seed").to_numpy().view(np.uint64))
+            # Every row is drawn by itself; equal ones then go down the trees as one.
+            texts = np.ascontiguousarray(own, np.int32).view(np.uint8).reshape(len(own), 4)
+            first, which = alike(np.concatenate([binned, texts], axis=1))
+            binned, own = binned[first], own[first]
             for number, tree, units in asked["trees"]:
-                drawn = draws(seeds, number, chances)
+                times = drawn_rows(seeds, number, chances, guided)
+                drawn = np.bincount(which, times, len(first)).astype(np.int64)
                 rows = np.flatnonzero(drawn)
                 unit = units[leaves_of(binned[rows], tree)]
                 rows, unit = rows[unit >= 0], unit[unit >= 0]
@@ -369,17 +417,34 @@ class GrownTrees:
         return self.shared
 
 
-def grow(df, width, labels, features, label, trees, max_depth, max_features, max_leaves, max_samples, row_id):
-    """``trees`` trees on bootstrap samples of the rows of ``df``; see ``fit_random_forest``."""
-    spark = df.sparkSession
-    taken = max(1, int(np.sqrt(width)) if max_features == "sqrt" else round(float(max_features) * width))
-    keys = [F.col(c) for c in ([row_id] if row_id in df.columns else []) + [features, label]]
-    rows = df.select(F.col(features).alias("features"), F.col(label).cast("int").alias("label"), F.xxhash64(*keys).alias("seed"))
+def _sample(rows, width):
+    """Feature vectors of rows with the least seeds."""
     n = rows.count()
     bound = max(1, min(SAMPLE_ROWS, SAMPLE_VALUES // width))
     some = rows.filter(F.pmod("seed", F.lit(max(1, n // (2 * bound)))) == 0)
     some = some.groupBy("seed").agg(F.first("features").alias("features")).orderBy("seed").limit(bound)
-    sample = blocks.doubles(some.toArrow()["features"], width)
+    return blocks.doubles(some.toArrow()["features"], width)
+
+
+def _copies_apart(rows):
+    """Rows that are equal in all get seeds of their own; they are counted before any shuffle."""
+    counted = rows.groupBy("bins", "class", "seed").agg(F.count("*").alias("n"))
+    each = counted.select("bins", "class", "seed", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    own = F.when(F.col("copy") == 1, F.col("seed")).otherwise(F.xxhash64("seed", "copy"))
+    return each.select("bins", "class", own.alias("seed"))
+
+
+def grow(df, width, labels, features, label, trees, max_depth, max_features, max_leaves, max_samples, row_id, vectors=None):
+    """``trees`` trees on bootstrap samples of the rows of ``df``; see ``fit_random_forest``.
+
+    ``vectors`` are all the feature vectors that there are, where these are known. Bins
+    are then cut from them, and rows that are equal in all are drawn each by itself.
+    """
+    spark = df.sparkSession
+    taken = max(1, int(np.sqrt(width)) if max_features == "sqrt" else round(float(max_features) * width))
+    keys = [F.col(c) for c in ([row_id] if row_id in df.columns else []) + [features, label]]
+    rows = df.select(F.col(features).alias("features"), F.col(label).cast("int").alias("label"), F.xxhash64(*keys).alias("seed"))
+    sample = _sample(rows, width) if vectors is None else vectors
     cuts = [bin_cuts(sample[:, i], BINS) for i in range(width)]
     bins = max(len(c) for c in cuts) + 1
     classes = np.array(labels, np.int64)
@@ -389,12 +454,14 @@ def grow(df, width, labels, features, label, trees, max_depth, max_features, max
             values = blocks.doubles(batch.column(0), width)
             table = np.stack([np.searchsorted(c, values[:, i]) for i, c in enumerate(cuts)], axis=1).astype(np.uint8)
             own = np.searchsorted(classes, batch.column(1).to_numpy()).astype(np.int32)
-            texts = pa.array([r.tobytes() for r in table], pa.binary())
+            ends = pa.py_buffer(np.arange(len(table) + 1, dtype=np.int32) * np.int32(width))
+            texts = pa.Array.from_buffers(pa.binary(), len(table), [None, ends, pa.py_buffer(np.ascontiguousarray(table))])
             yield pa.RecordBatch.from_arrays([texts, pa.array(own), batch.column(2)], names=["bins", "class", "seed"])
 
     chances = poisson(float(max_samples))
     with scratch(spark):
-        rows = written_table(rows.mapInArrow(binned, "bins binary, class int, seed long"), "forest-rows")
+        rows = rows.mapInArrow(binned, "bins binary, class int, seed long")
+        rows = written_table(rows if vectors is None else _copies_apart(rows), "forest-rows")
         growing = [Growth(max_depth, max_leaves) for _ in range(trees)]
         while asked := [(t, node) for t, g in enumerate(growing) for node in sorted(g.waiting)]:
             found = evaluated(rows, asked, [g.tree for g in growing], width, taken, bins, len(classes), chances)
@@ -427,7 +494,8 @@ def predicted(grown, df, features, width, labels):
 
     @F.arrow_udf("int")
     def vote(column: pa.Array) -> pa.Array:
-        values = blocks.doubles(column, width)
+        first, which = alike(every := blocks.doubles(column, width))
+        values = every[first]
         out = np.zeros(len(values), np.int32)
         for low in range(0, len(values), step):
             part = values[low : low + step]
@@ -439,7 +507,7 @@ def predicted(grown, df, features, width, labels):
                 at = np.repeat(ends[leaf] - np.cumsum(sizes) + sizes, sizes) + np.arange(len(row))
                 np.add.at(votes, (row, classes[at]), shares[at])
             out[low : low + step] = names[votes.argmax(axis=1)]
-        return pa.array(out)
+        return pa.array(out[which])
 
     return vote(of_width(features, width))
 

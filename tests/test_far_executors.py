@@ -21,3 +21,19 @@ def test_models_need_no_package_on_the_workers(tmp_path):
         tmp_path,
     )
     assert said.strip().endswith("done")
+
+
+def test_grown_forests_need_no_package_on_the_workers(tmp_path):
+    said = run_far(
+        """
+        from plumbline.operators import forest
+        forest.DRAWN_VALUES = 0
+        rows = [(i % 50, [float(i % 2), float(i % 3)], i % 2) for i in range(300)]
+        table = spark.createDataFrame(rows, "row_id long, features array<float>, label int")
+        model = pl.fit_random_forest(table, 3, 4)
+        assert type(model).__name__ == "GrownForestModel" and model.predict(table).filter("label = prediction").count() == 300
+        print("done")
+        """,
+        tmp_path,
+    )
+    assert said.strip().endswith("done")

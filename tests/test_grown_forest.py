@@ -1,11 +1,13 @@
 """Trees grown best leaf first, against plain Python."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_points
 import plumbline as pl
-from plumbline.operators import grown_forest
+from plumbline.operators import forest, grown_forest
 
 
 def gini_gain(left, right):
@@ -118,3 +120,99 @@ def test_leaves_of_many_classes_and_odd_values(points):
     assert {r.prediction for r in pl.fit_random_forest(same, 3, max_leaves=4).predict(same).collect()} == {4}
     with pytest.raises(Exception, match="feature width differs"):
         model.predict(points([(0, [1.0], 0)])).collect()
+
+
+FLAGS = [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]]
+
+
+@pytest.mark.parametrize("key", [lambda i: i, lambda i: i % 4, lambda i: None])
+def test_large_tables_of_few_vectors_are_grown(points, monkeypatch, key):
+    """Equal rows, whatever their ids, are drawn each by itself: no tree is without a class."""
+    monkeypatch.setattr(forest, "DRAWN_VALUES", 0)
+    rows = [(key(i), FLAGS[i % 3], [0, 2, 5][i % 3]) for i in range(300)]
+    model = pl.fit_random_forest(points(rows), 30, 10)
+    assert isinstance(model, forest.GrownForestModel)
+    assert pl.accuracy(model.predict(points(rows))).first().accuracy == 1.0
+    for feature, _, _, _, ends, _, shares in model.trees.trees:
+        assert (feature < 0).sum() == 3 and (shares == 1.0).all() and ends[-1] == 3
+    turned = pl.fit_random_forest(points(rows[::-1]).repartition(5), 30, 10)
+    for a, b in zip(model.trees.trees, turned.trees.trees):
+        assert all(np.array_equal(x, y) for x, y in zip(a, b))
+
+
+def test_spark_ml_takes_small_tables_and_many_vectors(points, monkeypatch):
+    few = points([(i, FLAGS[i % 3], i % 3) for i in range(60)])
+    many = points([(i, [float(i), 1.0], i % 2) for i in range(140)])
+    assert isinstance(pl.fit_random_forest(few, 3), forest.ForestModel)
+    monkeypatch.setattr(forest, "DRAWN_VALUES", 0)
+    assert isinstance(pl.fit_random_forest(many, 3), forest.ForestModel)
+
+
+@pytest.mark.parametrize("max_features,columns", [("sqrt", 2), (0.1, 1), (1.0, 3)])
+def test_grown_tables_try_as_many_columns_as_spark_ml(points, monkeypatch, max_features, columns):
+    tried = []
+    columns_of = grown_forest.columns_of
+    monkeypatch.setattr(grown_forest, "columns_of", lambda t, n, w, taken: tried.append(taken) or columns_of(t, n, w, taken))
+    monkeypatch.setattr(forest, "DRAWN_VALUES", 0)
+    pl.fit_random_forest(points([(i, FLAGS[i % 3], i % 3) for i in range(60)]), 3, max_features=max_features)
+    assert set(tried) == {columns}
+
+
+def test_odd_values_of_few_vectors(points, monkeypatch):
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [[nan, -inf, inf, -0.0, 1e38][i % 5], 1.0], [7, -7, 2**31 - 1, 0, 3][i % 5]) for i in range(100)]
+    monkeypatch.setattr(forest, "DRAWN_VALUES", 0)
+    model = pl.fit_random_forest(points(rows), 15)
+    assert isinstance(model, forest.GrownForestModel)
+    assert pl.accuracy(model.predict(points(rows))).first().accuracy == 1.0
+
+
+def test_equal_rows_of_a_batch_go_down_a_tree_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    bins, classes, seeds = rng.integers(0, 2, (900, 3)).astype(np.uint8), rng.integers(0, 2, 900), rng.integers(0, 2**62, 900)
+    tree = grown_forest.Tree()
+    tree.split(0, 1, 0, None, None)
+    asked = {"columns": np.array([[0, 2]]), "trees": [(4, tree.arrays(), np.array([-1, -1, 0]))]}
+    shared, chances = type("Shared", (), {"value": asked}), grown_forest.poisson(1.0)
+    walked, leaves_of = [], grown_forest.leaves_of
+    monkeypatch.setattr(grown_forest, "leaves_of", lambda b, t: walked.append(len(b)) or leaves_of(b, t))
+    texts = pa.array([r.tobytes() for r in bins], pa.binary())
+    batch = pa.RecordBatch.from_arrays([texts, pa.array(classes.astype(np.int32)), pa.array(seeds)], names=["bins", "class", "seed"])
+    (found,) = grown_forest._histograms(shared, 3, (2, 2, 2), chances)([batch.slice(0, 0), batch])
+    expected = np.zeros((2, 2, 2), np.int64)
+    for row, c, n in zip(bins, classes, grown_forest.draws(seeds, 4, chances)):
+        for slot, column in enumerate((0, 2)):
+            expected[slot, row[column], c] += n * (row[1] > 0)
+    assert found.column("sums")[0].as_py() == expected.tobytes()
+    assert max(walked) <= 16
+
+
+@pytest.mark.parametrize("rate", [0.3, 1.0, 5.0, 200.0])
+def test_draws_by_a_table_are_those_by_search(rate):
+    chances, seeds = grown_forest.poisson(rate), np.random.default_rng(5).integers(0, 2**62, 20_000)
+    unit = (grown_forest.key_of(9, seeds) >> np.uint64(11)) / float(1 << 53)
+    assert np.array_equal(grown_forest.draws(seeds, 9, chances), np.searchsorted(chances, unit, "right"))
+    assert (grown_forest.guide(chances) >= 0).mean() > 0.5
+
+
+@pytest.mark.parametrize("width", [1, 3])
+def test_rows_are_alike_where_their_bytes_are(monkeypatch, width):
+    values = np.array([0.0, -0.0, np.nan, np.inf, 1.0, 0.0, np.nan, 1.0])
+    rows = np.stack([values] + [np.ones(len(values))] * (width - 1), axis=1)
+    for _ in range(2):
+        first, which = grown_forest.alike(rows)
+        assert rows[first][which].tobytes() == rows.tobytes()
+        # With a hash that tells nothing, rows stay apart.
+        monkeypatch.setattr(grown_forest, "mixed", lambda x: x & np.uint64(0))
+    assert [len(a) for a in grown_forest.alike(rows[:0])] == [0, 0]
+
+
+@pytest.mark.parametrize("name", ["rf_separable"])
+def test_flags_of_lines_on_grown_trees(spark, monkeypatch, name):
+    grown, grow = [], grown_forest.grow
+    monkeypatch.setattr(grown_forest, "grow", lambda *a: grown.append(a) or grow(*a))
+    monkeypatch.setattr(forest, "DRAWN_VALUES", 0)
+    found = entry_points.queries()[name](spark, "/root/testdata/sf0.001")
+    lines = entry_points._line_flags(spark, "/root/testdata/sf0.001").select("l_orderkey", "l_linenumber", "label")
+    assert len(grown) == 1
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, lines.collect()))
