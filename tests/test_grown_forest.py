@@ -207,7 +207,7 @@ def test_rows_are_alike_where_their_bytes_are(monkeypatch, width):
     assert [len(a) for a in grown_forest.alike(rows[:0])] == [0, 0]
 
 
-@pytest.mark.parametrize("name", ["rf_separable"])
+@pytest.mark.parametrize("name", ["rf_separable", "rf_score_stream"])
 def test_flags_of_lines_on_grown_trees(spark, monkeypatch, name):
     grown, grow = [], grown_forest.grow
     monkeypatch.setattr(grown_forest, "grow", lambda *a: grown.append(a) or grow(*a))
