@@ -342,7 +342,10 @@ def kmeans_fit_predict(spark, sf_dir):
 
 
 def _line_flags(spark, sf_dir):
-    line = _table(spark, sf_dir, "lineitem")
+    return _flags(_table(spark, sf_dir, "lineitem"))
+
+
+def _flags(line):
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     flags = line.select(
         key.alias("row_id"),
@@ -577,12 +580,8 @@ def knn_score_stream_blocked(spark, sf_dir):
 
 
 def rf_score_stream(spark, sf_dir):
-    rows = _line_flags(spark, sf_dir)
-    model = pl.fit_random_forest(rows, max_depth=10)
-    flags = _line_flags(spark, sf_dir).schema
-    folder = pl.shared_folder(spark, "line-flags")
-    rows.write.parquet(folder)
-    stream = spark.readStream.schema(flags).parquet(folder)
+    model = pl.fit_random_forest(_line_flags(spark, sf_dir), max_depth=10)
+    stream = _flags(_stream(spark, sf_dir, "lineitem"))
     path = pl.shared_folder(spark, "scored")
     pl.score_stream(model, stream, path, pl.shared_folder(spark, "scored-state")).awaitTermination()
     return spark.read.parquet(path).select("l_orderkey", "l_linenumber", "prediction")

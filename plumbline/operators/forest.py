@@ -115,8 +115,9 @@ def fit_random_forest(
     those deeper than Spark ML's, come from ``grown_forest``: a pass over the rows for
     every level of unlimited trees, or for every few splits of limited ones. So do those
     of a large table that has no more different feature vectors than a column has bins:
-    each row is drawn by itself, and equal ones go down the trees as one. A model of
-    either kind depends on the rows only, not on their order or partitions.
+    rows of equal features and label are counted, and a tree draws from each group as
+    often as from all its rows one by one, as one Poisson number of the summed rate. A
+    model of either kind depends on the rows only, not on their order or partitions.
     """
     if max_leaves != -1 and max_leaves < 1:
         raise ValueError(f"max_leaves must be -1 or at least 1, not {max_leaves}")

@@ -82,6 +82,17 @@ def draws(seeds, tree, chances):
     return drawn_rows(spread(seeds), tree, chances, guide(chances))
 
 
+def group_draws(seeds, rates, trees):
+    """How often each of the trees draws from each group of equal rows, all rows of it together.
+
+    A row's draws are a Poisson number, and those of many rows add up to a Poisson number
+    of the sum of their rates. Numbers depend on the seed and rate of the group only, and
+    those of a tree not on how many more trees there are.
+    """
+    found = [np.random.default_rng(int(s)).poisson(r, trees) for s, r in zip(key_of(seeds), rates)]
+    return np.array(found, np.int64).reshape(len(found), trees).T
+
+
 def alike(rows):
     """The first place of each different row of a matrix, and for every row which of them it equals.
 
@@ -264,12 +275,16 @@ def _histograms(shared, width, shape, chances):
                 continue
             binned = binary_rows(batch.column("bins"), width)
             own, seeds = batch.column("class").to_numpy(), spread(batch.column("seed").to_numpy().view(np.uint64))
-            # Every row is drawn by itself; equal ones then go down the trees as one.
+            grouped = "rate" in batch.schema.names
+            if grouped:
+                most = 1 + max(number for number, _, _ in asked["trees"])
+                every = group_draws(batch.column("seed").to_numpy().view(np.uint64), batch.column("rate").to_numpy(), most)
+            # Every row or group is drawn by itself; equal ones then go down the trees as one.
             texts = np.ascontiguousarray(own, np.int32).view(np.uint8).reshape(len(own), 4)
             first, which = alike(np.concatenate([binned, texts], axis=1))
             binned, own = binned[first], own[first]
             for number, tree, units in asked["trees"]:
-                times = drawn_rows(seeds, number, chances, guided)
+                times = every[number] if grouped else drawn_rows(seeds, number, chances, guided)
                 drawn = np.bincount(which, times, len(first)).astype(np.int64)
                 rows = np.flatnonzero(drawn)
                 unit = units[leaves_of(binned[rows], tree)]
@@ -426,19 +441,18 @@ def _sample(rows, width):
     return blocks.doubles(some.toArrow()["features"], width)
 
 
-def _copies_apart(rows):
-    """Rows that are equal in all get seeds of their own; they are counted before any shuffle."""
-    counted = rows.groupBy("bins", "class", "seed").agg(F.count("*").alias("n"))
-    each = counted.select("bins", "class", "seed", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
-    own = F.when(F.col("copy") == 1, F.col("seed")).otherwise(F.xxhash64("seed", "copy"))
-    return each.select("bins", "class", own.alias("seed"))
+def _groups(rows, rate):
+    """One row for all that are equal in features and label, with the draws expected from it."""
+    counted = rows.groupBy("features", "label").agg((F.count("*") * F.lit(float(rate))).alias("rate"))
+    return counted.select("features", "label", F.xxhash64("features", "label").alias("seed"), "rate")
 
 
 def grow(df, width, labels, features, label, trees, max_depth, max_features, max_leaves, max_samples, row_id, vectors=None):
     """``trees`` trees on bootstrap samples of the rows of ``df``; see ``fit_random_forest``.
 
     ``vectors`` are all the feature vectors that there are, where these are known. Bins
-    are then cut from them, and rows that are equal in all are drawn each by itself.
+    are then cut from them, and rows of equal features and label are counted first and
+    drawn together: a pass over the trees meets one row for each group.
     """
     spark = df.sparkSession
     taken = max(1, int(np.sqrt(width)) if max_features == "sqrt" else round(float(max_features) * width))
@@ -456,12 +470,15 @@ def grow(df, width, labels, features, label, trees, max_depth, max_features, max
             own = np.searchsorted(classes, batch.column(1).to_numpy()).astype(np.int32)
             ends = pa.py_buffer(np.arange(len(table) + 1, dtype=np.int32) * np.int32(width))
             texts = pa.Array.from_buffers(pa.binary(), len(table), [None, ends, pa.py_buffer(np.ascontiguousarray(table))])
-            yield pa.RecordBatch.from_arrays([texts, pa.array(own), batch.column(2)], names=["bins", "class", "seed"])
+            kept = batch.schema.names[2:]
+            yield pa.RecordBatch.from_arrays([texts, pa.array(own), *batch.columns[2:]], names=["bins", "class", *kept])
 
     chances = poisson(float(max_samples))
     with scratch(spark):
-        rows = rows.mapInArrow(binned, "bins binary, class int, seed long")
-        rows = written_table(rows if vectors is None else _copies_apart(rows), "forest-rows")
+        found = "bins binary, class int, seed long"
+        if vectors is not None:
+            rows, found = _groups(rows, max_samples), f"{found}, rate double"
+        rows = written_table(rows.mapInArrow(binned, found), "forest-rows")
         growing = [Growth(max_depth, max_leaves) for _ in range(trees)]
         while asked := [(t, node) for t, g in enumerate(growing) for node in sorted(g.waiting)]:
             found = evaluated(rows, asked, [g.tree for g in growing], width, taken, bins, len(classes), chances)

@@ -216,3 +216,47 @@ def test_flags_of_lines_on_grown_trees(spark, monkeypatch, name):
     lines = entry_points._line_flags(spark, "/root/testdata/sf0.001").select("l_orderkey", "l_linenumber", "label")
     assert len(grown) == 1
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, lines.collect()))
+
+
+def test_equal_rows_are_stored_once_and_drawn_as_often(points, monkeypatch):
+    """Ten thousand rows are three groups; each tree draws about as many rows as there are."""
+    stored, written_table = [], grown_forest.written_table
+    monkeypatch.setattr(grown_forest, "written_table", lambda df, name: stored.append(df.collect()) or written_table(df, name))
+    monkeypatch.setattr(forest, "DRAWN_VALUES", 0)
+    plain = []
+    monkeypatch.setattr(grown_forest, "_plain", lambda t, cuts, f=grown_forest._plain: plain.append(t.counts[0]) or f(t, cuts))
+    rows = [(i, FLAGS[min(i % 10, 2)], min(i % 10, 2)) for i in range(10_000)]
+    for share in (1.0, 0.3):
+        plain.clear()
+        pl.fit_random_forest(points(rows), 40, 10, max_samples=share)
+        expected = share * np.array([1000, 1000, 8000])
+        assert len(stored[-1]) == 3 and sum(r.rate for r in stored[-1]) == pytest.approx(10_000 * share)
+        gap = (np.array(plain) - expected) / np.sqrt(expected)
+        assert gap.shape == (40, 3) and np.abs(gap).max() < 5 and 0.7 < gap.std() < 1.3
+
+
+def test_draws_of_a_group_are_those_of_its_rows():
+    seeds, chances = np.arange(20_000, dtype=np.uint64), grown_forest.poisson(0.7)
+    drawn = grown_forest.group_draws(seeds, np.full(len(seeds), 7 * 0.7), 3)
+    single = sum(grown_forest.draws(seeds + np.uint64(i * 10**6), 0, chances) for i in range(7))
+    most = max(drawn.max(), single.max()) + 1
+    shares = [np.bincount(d, minlength=most) / len(seeds) for d in (*drawn, single)]
+    assert all(np.abs(s - shares[-1]).max() < 0.015 for s in shares)
+    assert np.abs(np.corrcoef(drawn) - np.eye(3)).max() < 0.03
+    # Numbers depend on the group only: not on the other groups, nor on more trees.
+    assert np.array_equal(grown_forest.group_draws(seeds[:50][::-1], np.full(50, 7 * 0.7), 9)[:3, ::-1], drawn[:, :50])
+    assert grown_forest.group_draws(seeds[:0], np.zeros(0), 3).shape == (3, 0)
+
+
+def test_lines_are_scored_from_where_they_are(spark, tmp_path, monkeypatch):
+    """The stream reads a folder of line items itself; no copy of the table is written."""
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    lines.repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    folders, shared_folder = [], pl.shared_folder
+    monkeypatch.setattr(pl, "shared_folder", lambda spark, name: folders.append(name) or shared_folder(spark, name))
+    monkeypatch.setattr(forest, "DRAWN_VALUES", 0)
+    found = entry_points.queries()["rf_score_stream"](spark, str(tmp_path))
+    label = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 2).otherwise(5)
+    expected = lines.select("l_orderkey", "l_linenumber", label)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert folders == ["scored", "scored-state"]
